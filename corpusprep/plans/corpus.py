@@ -197,6 +197,27 @@ def keyword_keep_ratio(spark, sf_dir):
     return shape.keep_ratio(docs, shape.any_keyword("text", ["the", "und", "que"]), by=["lang"])
 
 
+def conversation_issues_frame(spark, sf_dir):
+    """Issue-style shaping on conversations (P10, P11, J1, P2, J11, T1/P7): first turn = title,
+    second = body, later turns = comments; conversations with a system turn play pull requests.
+    One row per kept comment (more than 15 words) with its turn."""
+    conv = table(spark, sf_dir, "conversations")
+    issues = conv.groupBy("conv_id").agg(
+        F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("title"),
+        F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("body"),
+        F.max(F.when(F.col("role") == "system", F.col("conv_id"))).alias("pull_request"),
+    )
+    comments = conv.where(F.col("turn") >= 2).groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("comments"))
+    issues = joins.lookup_list(issues, comments, "conv_id", "comments", "struct<turn:bigint,text:string>")
+    issues = issues.where(shape.has_items("pull_request", "comments"))
+    issues = shape.keep_only(issues, ["conv_id", "title", "body", "comments"])
+    ex = joins.explode_list(issues, "comments")
+    ex = ex.select("conv_id", "title", "body", F.col("comments.turn").alias("turn"), F.col("comments.text").alias("comment"))
+    ex = ex.withColumn("comment_length", word_count("comment").cast("long"))
+    return ex.where(F.col("comment_length") > 15)
+
+
 @register("conversation_issues", f"""
 WITH conv AS (
   SELECT conv_id,
@@ -213,22 +234,8 @@ SELECT conv_id, {NWORDS_SQL.format(c='comment')} AS comment_length,
        md5(coalesce(title, '') || ' \n ' || coalesce(body, '') || ' \n ' || coalesce(comment, '')) AS text_md5
 FROM exploded WHERE {NWORDS_SQL.format(c='comment')} > 15""")
 def conversation_issues(spark, sf_dir):
-    """Issue-style shaping on conversations (P10, P11, J1, P2, J11, T1/P7, P13): first turn = title,
-    second = body, later turns = comments; conversations with a system turn play pull requests."""
-    conv = table(spark, sf_dir, "conversations")
-    issues = conv.groupBy("conv_id").agg(
-        F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("title"),
-        F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("body"),
-        F.max(F.when(F.col("role") == "system", F.col("conv_id"))).alias("pull_request"),
-    )
-    comments = conv.where(F.col("turn") >= 2).groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("_c")) \
-        .select("conv_id", F.transform("_c", lambda s: s["text"]).alias("comments"))
-    issues = joins.lookup_list(issues, comments, "conv_id", "comments")
-    issues = issues.where(shape.has_items("pull_request", "comments"))
-    issues = shape.keep_only(issues, ["conv_id", "title", "body", "comments"])
-    ex = joins.explode_list(issues, "comments").withColumnRenamed("comments", "comment")
-    ex = ex.withColumn("comment_length", word_count("comment").cast("long")).where(F.col("comment_length") > 15)
+    """P13 on the issue rows: title, body and comment joined null-safely."""
+    ex = conversation_issues_frame(spark, sf_dir)
     return ex.select("conv_id", "comment_length",
                      F.md5(shape.join_text(["title", "body", "comment"])).alias("text_md5"))
 
