@@ -113,15 +113,16 @@ def best_answers(features: DataFrame, examples: DataFrame, n_best: int = 20, max
 
 # The punctuation set and article words of the SQuAD normaliser.
 PUNCTUATION = string.punctuation
-ARTICLES = r"\b(a|an|the)\b"
+ARTICLES = ("a", "an", "the")
 
 
 def squad_normalize(c) -> Column:
-    """Lower case, punctuation removed, articles removed, whitespace collapsed."""
-    s = F.lower(_c(c))
-    s = F.translate(s, PUNCTUATION, "")
-    s = F.regexp_replace(s, ARTICLES, " ")
-    return F.array_join(words(s), " ")
+    """Lower case, punctuation removed, article tokens removed, whitespace collapsed.  Articles are
+    dropped as whole whitespace tokens (the same as a word-boundary rule on ASCII text, and
+    well-defined on accented text where regex word boundaries differ between engines)."""
+    s = F.translate(F.lower(_c(c)), PUNCTUATION, "")
+    kept = F.filter(words(s), lambda x: ~x.isin(*ARTICLES))
+    return F.array_join(kept, " ")
 
 
 def squad_scores(pred: DataFrame, ref: DataFrame, key: str = "id", prediction: str = "prediction_text",

@@ -8,8 +8,10 @@ Packing emits one slice per (row, chunk) it overlaps instead of one row per toke
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusprep.operators.ranking import global_rank, seeded_uniform
 from corpusprep.operators.vocab import SPECIAL_IDS
@@ -186,22 +188,26 @@ def mask_tokens(ids, key, seed: int, p: float = 0.15, vocab_size: int = 30522, f
     return F.struct(F.transform(_c(ids), new_id).alias("input_ids"), F.transform(_c(ids), label).alias("labels"))
 
 
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _runs(word_ids: pd.Series) -> pd.Series:
+    def one(ws):
+        out, prev, run = [], None, -1
+        for w in ws:
+            if w is None or (isinstance(w, float) and w != w):
+                out.append(None)
+                continue
+            if prev is None or w != prev:
+                run += 1
+                prev = w
+            out.append(run)
+        return out
+    return word_ids.map(one)
+
+
 def word_runs(word_ids) -> Column:
     """Run number per token: a run ends when the word id changes; null ids get null and do not
-    end a run (equal ids around a special count as one word)."""
-    init = F.struct(F.lit(None).cast("int").alias("prev"), F.lit(-1).alias("run"),
-                    F.array().cast("array<int>").alias("runs"))
-
-    def step(acc, x):
-        new = acc["prev"].isNull() | (x != acc["prev"])
-        return (F.when(x.isNull(), F.struct(acc["prev"].alias("prev"), acc["run"].alias("run"),
-                                            F.array_append(acc["runs"], F.lit(None).cast("int")).alias("runs")))
-                .when(new, F.struct(x.alias("prev"), (acc["run"] + 1).alias("run"),
-                                    F.array_append(acc["runs"], acc["run"] + 1).alias("runs")))
-                .otherwise(F.struct(acc["prev"].alias("prev"), acc["run"].alias("run"),
-                                    F.array_append(acc["runs"], acc["run"]).alias("runs"))))
-
-    return F.aggregate(_c(word_ids), init, step, lambda acc: acc["runs"])
+    end a run (equal ids around a special count as one word).  One linear pass per row."""
+    return _runs(_c(word_ids))
 
 
 def mask_words(ids, word_ids, key, seed: int, p: float = 0.2) -> Column:
