@@ -152,15 +152,17 @@ def _merge_wp(symbols: pd.Series, left: pd.Series, right: pd.Series) -> pd.Serie
     return symbols.map(one)
 
 
-def learn_wordpiece(freqs: DataFrame, vocab_size: int, specials: tuple[str, ...] = (PAD, UNK, CLS, SEP, MASK)):
+def learn_wordpiece(freqs: DataFrame, vocab_size: int, specials: tuple[str, ...] = (PAD, UNK, CLS, SEP, MASK),
+                    max_merges: int | None = None):
     """Merge the pair with the best score freq(ab) / (freq(a) * freq(b)) (ties: left, right)
-    until the vocabulary (specials + alphabet + merges) reaches ``vocab_size``; returns (token, id)."""
+    until the vocabulary (specials + alphabet + merges) reaches ``vocab_size`` or ``max_merges``
+    merges are done; returns (token, id)."""
     spark = freqs.sparkSession
     words = cut_lineage(_wp_initial(freqs))
     alphabet = [r[0] for r in words.select(F.explode("symbols").alias("t")).distinct().orderBy("t").collect()]
     vocab = list(specials) + alphabet
     step = 0
-    while len(vocab) < vocab_size:
+    while len(vocab) < vocab_size and (max_merges is None or step < max_merges):
         units = words.select("count", F.explode("symbols").alias("u")).groupBy("u").agg(F.sum("count").alias("uf"))
         pairs = _pair_counts(words)
         scored = pairs.join(units.withColumnRenamed("u", "left").withColumnRenamed("uf", "lf"), "left") \
