@@ -79,20 +79,33 @@ def tag_type(tag: Column) -> Column:
     return F.when(tag.startswith("B-") | tag.startswith("I-"), F.substring(tag, 3, 1 << 20))
 
 
+def span_array(tags) -> Column:
+    """Entity spans of one tag array (conlleval chunking), computed inside the row: an entity
+    starts at B-X, or at I-X after O or after another type, and ends where the next tag does not
+    continue it.  Starts and ends come out in the same order, so zipping them pairs each entity.
+    Each tag is zipped with its neighbours (shifted copies), so one linear pass decides both
+    flags.  Returns array<struct<type, start, end>> with inclusive positions."""
+    t = _c(tags)
+    n = F.size(t)
+    null_s = F.array(F.lit(None).cast("string"))
+    prev = F.concat(null_s, F.slice(t, 1, F.greatest(n - 1, F.lit(0))))
+    nxt = F.concat(F.slice(t, 2, F.greatest(n - 1, F.lit(0))), null_s)
+    pos = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+    z = F.arrays_zip(t.alias("c"), F.slice(prev, 1, n).alias("p"), F.slice(nxt, 1, n).alias("x"), F.slice(pos, 1, n).alias("i"))
+    flags = F.transform(z, lambda e: F.struct(
+        e["i"].alias("i"), tag_type(e["c"]).alias("ty"),
+        (tag_type(e["c"]).isNotNull() & (e["c"].startswith("B-") | tag_type(e["p"]).isNull()
+                                          | (tag_type(e["p"]) != tag_type(e["c"])))).alias("st"),
+        (tag_type(e["c"]).isNotNull() & ~F.coalesce(e["x"].startswith("I-") & (tag_type(e["x"]) == tag_type(e["c"])),
+                                                      F.lit(False))).alias("en")))
+    starts = F.filter(flags, lambda f: f["st"])
+    ends = F.transform(F.filter(flags, lambda f: f["en"]), lambda f: f["i"])
+    return F.zip_with(starts, ends, lambda s_, e_: F.struct(s_["ty"].alias("type"), s_["i"].alias("start"), e_.alias("end")))
+
+
 def entity_spans(df: DataFrame, key: str, tags: str) -> DataFrame:
-    """Spans of a tag sequence (conlleval chunking): an entity starts at B-X, or at I-X after O or
-    after another type, and continues over I-X of the same type.  One row per entity:
-    (key, type, start, end) with inclusive token positions."""
-    ex = df.select(key, F.posexplode(tags).alias("pos", "tag"))
-    w = Window.partitionBy(key).orderBy("pos")
-    t = tag_type(F.col("tag"))
-    prev_t = F.lag(t).over(w)
-    starts = t.isNotNull() & (F.col("tag").startswith("B-") | prev_t.isNull() | (prev_t != t))
-    ex = ex.withColumn("_type", t).withColumn("_start", starts)
-    ex = ex.withColumn("_ent", F.sum(F.col("_start").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ents = ex.where(F.col("_type").isNotNull())
-    return ents.groupBy(key, "_ent").agg(F.first("_type").alias("type"), F.min("pos").alias("start"), F.max("pos").alias("end")) \
-        .drop("_ent")
+    """Spans of a tag sequence, one row per entity: (key, type, start, end)."""
+    return df.select(key, F.explode(span_array(tags)).alias("s")).select(key, "s.type", "s.start", "s.end")
 
 
 def group_entities(df: DataFrame, key: str, tokens: str = "tokens", tags: str = "tags", scores: str = "scores",

@@ -66,21 +66,25 @@ def drop_ignored(pred, ref, names: list[str] | None = None) -> Column:
 
 
 def entity_scores(df: DataFrame, key: str, pred: str, ref: str) -> DataFrame:
-    """Entity-level precision / recall / F1 (span and type must match), overall (type 'overall')
-    and per type, plus token accuracy on the overall row.  ``pred``/``ref`` are tag-name arrays."""
-    ps = entity_spans(df.select(key, F.col(pred).alias("t")), key, "t")
-    rs = entity_spans(df.select(key, F.col(ref).alias("t")), key, "t")
-    hit = ps.join(rs, [key, "type", "start", "end"], "inner").groupBy("type").agg(F.count(F.lit(1)).alias("tp"))
-    npred = ps.groupBy("type").agg(F.count(F.lit(1)).alias("n_pred"))
-    nref = rs.groupBy("type").agg(F.count(F.lit(1)).alias("n_ref"))
-    per = npred.join(nref, "type", "full").join(hit, "type", "left").na.fill(0, ["tp", "n_pred", "n_ref"])
-    overall = per.agg(F.lit("overall").alias("type"), F.sum("n_pred").alias("n_pred"), F.sum("n_ref").alias("n_ref"),
-                      F.sum("tp").alias("tp"))
-    tok = df.select(F.explode(F.arrays_zip(F.col(pred).alias("p"), F.col(ref).alias("r"))).alias("e")) \
-        .agg(F.round(F.avg((F.col("e.p") == F.col("e.r")).cast("double")), 6).alias("accuracy"))
-    overall = overall.withColumn("_k", F.lit(1)).join(tok.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    per = per.withColumn("accuracy", F.lit(None).cast("double"))
-    out = per.unionByName(overall)
+    """Entity-level precision / recall / F1 (span and type must match), per type and overall
+    (type 'overall', which also carries the token accuracy).  ``pred``/``ref`` are tag-name arrays.
+
+    Spans of both sides come from one pass over the rows, meet in one shuffle on
+    (key, type, start, end), and one rollup gives the per-type and overall counts."""
+    from corpusprep.operators.labels import span_array
+    both = F.concat(F.transform(span_array(F.col(pred)), lambda s_: F.struct(s_["type"].alias("type"), s_["start"].alias("start"),
+                                                                            s_["end"].alias("end"), F.lit(1).alias("p"), F.lit(0).alias("r"))),
+                    F.transform(span_array(F.col(ref)), lambda s_: F.struct(s_["type"].alias("type"), s_["start"].alias("start"),
+                                                                           s_["end"].alias("end"), F.lit(0).alias("p"), F.lit(1).alias("r"))))
+    spans = df.select(key, F.explode(both).alias("s")).select(key, "s.*")
+    per_span = spans.groupBy(key, "type", "start", "end").agg(F.max("p").alias("p"), F.max("r").alias("r"))
+    counts = per_span.rollup("type").agg(F.sum("p").alias("n_pred"), F.sum("r").alias("n_ref"),
+                                          F.sum(F.col("p") * F.col("r")).alias("tp"))
+    same = F.size(F.filter(F.arrays_zip(F.col(pred).alias("p"), F.col(ref).alias("r")), lambda e: e["p"] == e["r"]))
+    token_acc = df.agg(F.round(F.sum(same) / F.sum(F.size(ref)), 6)).scalar()
+    out = counts.select(F.coalesce("type", F.lit("overall")).alias("type"), F.col("n_pred").cast("long").alias("n_pred"),
+                        F.col("n_ref").cast("long").alias("n_ref"), F.col("tp").cast("long").alias("tp"),
+                        F.when(F.col("type").isNull(), token_acc).alias("accuracy"))
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0)
     rec = F.when(F.col("n_ref") > 0, F.col("tp") / F.col("n_ref")).otherwise(0.0)
     return out.withColumn("precision", F.round(prec, 6)).withColumn("recall", F.round(rec, 6)) \

@@ -51,11 +51,12 @@ def byte_units(c) -> Column:
 
 def word_vocab(freqs: DataFrame, size: int, first_id: int = 1000) -> DataFrame:
     """Word-level vocabulary: the ``size`` most frequent words (ties by word) get ids from
-    ``first_id`` on; special tokens keep their fixed ids."""
+    ``first_id`` on; special tokens keep their fixed ids.  The id window runs over the TopK result
+    only, so it is bounded by ``size``."""
+    from pyspark.sql import Window
     top = freqs.orderBy(F.col("count").desc(), F.col("word")).limit(size)
-    from corpusprep.operators.ranking import global_rank
-    ranked = global_rank(top, [F.col("count").desc(), F.col("word")], "_r")
-    words = ranked.select(F.col("word").alias("token"), (F.col("_r") - 1 + first_id).cast("int").alias("id"))
+    rank = F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("word")))
+    words = top.select(F.col("word").alias("token"), (rank - 1 + first_id).cast("int").alias("id"))
     spark = freqs.sparkSession
     specials = spark.createDataFrame(list(SPECIAL_IDS.items()), "token string, id int")
     return specials.unionByName(words)
@@ -382,21 +383,32 @@ def encode_unigram(df: DataFrame, c, key: str, units: DataFrame) -> DataFrame:
 # --- ids, decoding, reports (B9-B12) --------------------------------------------------------------
 
 def to_ids(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", out: str = "input_ids", unk_id: int = 100) -> DataFrame:
-    """Token array -> id array, partition-local (broadcast vocabulary, size-checked); unknown -> unk."""
+    """Token array -> id array, partition-local and vectorised: the vocabulary (size-checked)
+    is broadcast as two Arrow arrays and every batch is looked up with one hash lookup in C++."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
     n = vocab.count()
     _check_size(n, "vocabulary")
-    mapping = {r["token"]: int(r["id"]) for r in vocab.collect()}
-    bc = df.sparkSession.sparkContext.broadcast(mapping)
-    in_schema = df.schema
-    schema = T.StructType(list(in_schema.fields) + [T.StructField(out, T.ArrayType(T.IntegerType()))])
-
-    def run(it):
-        m = bc.value
-        for pdf in it:
-            pdf[out] = [None if ts is None else [m.get(t, unk_id) for t in ts] for ts in pdf[tokens]]
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+    rows = vocab.select("token", "id").collect()
+    bc = df.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [int(r[1]) for r in rows]))
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        keys = pa.array(bc.value[0], pa.string())
+        ids = pa.array(bc.value[1], pa.int32())
+        for rb in batches:
+            col = rb.column(rb.schema.get_field_index(tokens))
+            if isinstance(col, pa.ChunkedArray):
+                col = col.combine_chunks()
+            flat = pc.list_flatten(col)
+            pos = pc.index_in(flat, value_set=keys)
+            mapped = pc.fill_null(pc.take(ids, pos), pa.scalar(unk_id, pa.int32()))
+            offsets = pc.list_value_length(col).fill_null(0)
+            starts = pa.array(np.concatenate([[0], np.cumsum(offsets.to_numpy(zero_copy_only=False))]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(starts, mapped, mask=col.is_null())
+            yield pa.RecordBatch.from_arrays(list(rb.columns) + [lists], names=list(rb.schema.names) + [out])
+
+    return df.mapInArrow(run, schema)
 
 
 def to_tokens(df: DataFrame, vocab: DataFrame, ids: str = "input_ids", out: str = "tokens") -> DataFrame:

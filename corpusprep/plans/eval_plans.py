@@ -79,15 +79,15 @@ NER_TAGS = ["O", "B-PER", "I-PER", "B-ORG", "I-ORG", "B-LOC", "I-LOC", "B-MISC",
 
 def _tags_frame(spark, sf_dir):
     """Reference tags per word chosen by md5 (70% O), predictions = reference with 10% redrawn;
-    words starting with an upper-case letter carry the ignore label -100 on the reference side."""
+    words starting with an upper-case letter carry the ignore label -100 on the reference side.
+    Three draws per word, each computed once and zipped."""
     docs = table(spark, sf_dir, "documents").select("doc_id", words("text").alias("w"))
-    def tag(kind, i):
-        u = seeded_uniform(F.lit(7), F.lit(kind), F.col("doc_id"), i)
-        return F.when(u < 0.7, F.lit(0)).otherwise((F.floor((u - 0.7) / 0.3 * 8) + 1).cast("int"))
-    ref = F.transform("w", lambda x, i: F.when(F.substring(x, 1, 1).rlike("^[A-Z]$"), F.lit(-100)).otherwise(tag("r", i)))
-    pred = F.transform("w", lambda x, i: F.when(seeded_uniform(F.lit(7), F.lit("s"), F.col("doc_id"), i) < 0.1, tag("p", i))
-                       .otherwise(tag("r", i)))
-    return docs.select("doc_id", ref.alias("ref"), pred.alias("pred"))
+    draws = lambda kind: F.transform("w", lambda x, i: seeded_uniform(F.lit(7), F.lit(kind), F.col("doc_id"), i))
+    tag = lambda u: F.when(u < 0.7, F.lit(0)).otherwise((F.floor((u - 0.7) / 0.3 * 8) + 1).cast("int"))
+    z = F.arrays_zip(F.col("w").alias("x"), draws("r").alias("r"), draws("s").alias("s"), draws("p").alias("p"))
+    ref = F.transform("_z", lambda e: F.when(F.substring(e["x"], 1, 1).rlike("^[A-Z]$"), F.lit(-100)).otherwise(tag(e["r"])))
+    pred = F.transform("_z", lambda e: F.when(e["s"] < 0.1, tag(e["p"])).otherwise(tag(e["r"])))
+    return docs.select("doc_id", z.alias("_z")).select("doc_id", ref.alias("ref"), pred.alias("pred"))
 
 
 def _tag_sql(kind: str) -> str:

@@ -29,6 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CORPUSPREP_DRIVER_MEMORY", "16g"))
     )
     for k, v in DEFAULT_CONF.items():
