@@ -101,14 +101,18 @@ def bm25_benchmark_docs(spark, sf_dir):
     return top.select(F.col("query_id").alias("item_id"), "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
-@register("bm25_no_match_report", "WITH " + bm25_sql("SELECT item_id AS query_id, upper(text) AS query FROM benchmark",
+@register("bm25_no_match_report", "WITH " + bm25_sql(
+    "SELECT item_id AS query_id, translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS query FROM benchmark",
                                                      "SELECT doc_id, text FROM documents", 3) + """
 SELECT b.item_id, count(top.doc_id) AS hits,
        CASE WHEN count(top.doc_id) = 0 THEN 'No matching information found.' END AS message
 FROM benchmark b LEFT JOIN top ON b.item_id = top.query_id GROUP BY b.item_id""")
 def bm25_no_match_report(spark, sf_dir):
-    """V5 message path: upper-cased benchmark items (case-sensitive BM25 rarely matches them)."""
-    q = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.upper("text").alias("query"))
+    """V5 message path: benchmark items with ASCII letters upper-cased (case-sensitive BM25 rarely
+    matches them; ``translate`` maps the same characters in every engine, unlike full Unicode upper)."""
+    q = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"),
+        F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("query"))
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     top = rv.bm25(q, d, k=3, with_message=True)
     return top.groupBy(F.col("query_id").alias("item_id")).agg(F.count("doc_id").alias("hits"),
