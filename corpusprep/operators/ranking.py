@@ -74,20 +74,79 @@ def global_rank(df: DataFrame, order_by, rank_col: str = "rank", partitions: int
     return ranked
 
 
+# Rows ranked exactly around each cut point, and the bound beyond which the band
+# falls back to a full distributed rank.
+BAND_TARGET = 1_000_000
+BAND_MAX = 4_000_000
+
+
+def seeded_cut_labels(df: DataFrame, key: str, seed: int, cuts: list[int], labels: list[str],
+                      split_col: str = "split", rest: str | None = None) -> DataFrame:
+    """Label rows by their position in the seeded md5 order: rows before ``cuts[0]`` get
+    ``labels[0]``, before ``cuts[1]`` ``labels[1]`` ... and the rest ``rest`` (dropped if None).
+
+    The full table is only scanned, never shuffled or rewritten: an approximate quantile of the
+    hash brackets every cut with a band of about 4*eps*n rows (eps chosen so a band holds some
+    ``BAND_TARGET`` rows), one aggregation counts the rows below each band, and only band rows are
+    ranked exactly (a bounded window); their verdicts reach the table through a broadcast join of
+    a size-checked frame."""
+    h = seeded_key(key, seed)
+    base = df.withColumn("_h", h).withColumn("_v", F.conv(F.substring(h, 1, 13), 16, 10).cast("double"))
+    n = base.count()
+    if n == 0:
+        return base.withColumn(split_col, F.lit(None).cast("string")).drop("_h", "_v").limit(0)
+    eps = min(0.01, max(1e-6, BAND_TARGET / (4.0 * n)))
+    probs = []
+    for c in cuts:
+        p = c / n
+        probs += [max(0.0, p - 2 * eps), min(1.0, p + 2 * eps)]
+    qs = base.approxQuantile("_v", probs, eps)
+    bands = [(qs[2 * i], qs[2 * i + 1]) for i in range(len(cuts))]
+    below = base.agg(*[F.count_if(F.col("_v") < lo).alias(f"b{i}") for i, (lo, hi) in enumerate(bands)]).first()
+    in_any = None
+    for lo, hi in bands:
+        cond = (F.col("_v") >= lo) & (F.col("_v") <= hi)
+        in_any = cond if in_any is None else (in_any | cond)
+    band = base.where(in_any).select(key, "_h", "_v")
+    band_n = band.count()
+    if band_n > BAND_MAX:
+        ranked, _ = global_rank(base, ["_h", key], "_r", with_total=True)
+        slot = F.lit(len(cuts))
+        for i in reversed(range(len(cuts))):
+            slot = F.when(F.col("_r") <= cuts[i], F.lit(i)).otherwise(slot)
+        out = ranked.withColumn("_slot", slot).drop("_r")
+    else:
+        order = Window.orderBy("_v", "_h", key)  # bounded: band_n <= BAND_MAX rows, checked above
+        flags = []
+        for i, (lo, hi) in enumerate(bands):
+            in_i = (F.col("_v") >= lo) & (F.col("_v") <= hi)
+            r = F.sum(in_i.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+            flags.append((in_i & (r <= cuts[i] - below[f"b{i}"])).alias(f"_in{i}"))
+        verdict = band.select(key, *flags)
+        out = base.join(F.broadcast(verdict), key, "left")
+        slot = F.lit(len(cuts))
+        for i in reversed(range(len(cuts))):
+            lo, hi = bands[i]
+            before = (F.col("_v") < lo) | F.coalesce(F.col(f"_in{i}"), F.lit(False))
+            slot = F.when(before, F.lit(i)).otherwise(slot)
+        out = out.withColumn("_slot", slot).drop(*[f"_in{i}" for i in range(len(cuts))])
+    names = F.array(*[F.lit(x) for x in labels + ([rest] if rest is not None else [])])
+    if rest is None:
+        out = out.where(F.col("_slot") < len(cuts))
+    return out.withColumn(split_col, F.element_at(names, F.col("_slot") + 1)).drop("_slot", "_h", "_v")
+
+
 def split_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42,
                    names: tuple[str, str] = ("train", "test"), split_col: str = "split") -> DataFrame:
     """L4: exact sizes floor(n*f) and the rest, chosen by the seeded md5 order."""
-    ranked, total = global_rank(df.withColumn("_h", seeded_key(key, seed)), ["_h", key], "_r", with_total=True)
-    cut = int(total * fraction)
-    return ranked.withColumn(split_col, F.when(F.col("_r") <= cut, names[0]).otherwise(names[1])).drop("_h", "_r")
+    n = df.count()
+    return seeded_cut_labels(df, key, seed, [int(n * fraction)], [names[0]], split_col, rest=names[1])
 
 
 def split_counts(df: DataFrame, key: str, train: int, test: int, seed: int = 42,
                  names: tuple[str, str] = ("train", "test"), split_col: str = "split") -> DataFrame:
     """Exact train and test counts; the remainder is dropped."""
-    ranked = global_rank(df.withColumn("_h", seeded_key(key, seed)), ["_h", key], "_r")
-    return ranked.where(F.col("_r") <= train + test) \
-        .withColumn(split_col, F.when(F.col("_r") <= train, names[0]).otherwise(names[1])).drop("_h", "_r")
+    return seeded_cut_labels(df, key, seed, [train, train + test], list(names), split_col, rest=None)
 
 
 def relabel_splits(df: DataFrame, mapping: dict[str, str], held_out: DataFrame | None = None,

@@ -195,3 +195,71 @@ def chunk_expansion(spark, sf_dir):
     enc = encoded_docs_frame(spark, sf_dir)
     ch = sq.overflow_chunks(enc, "doc_id", "ids", 128)
     return shape.expansion_ratio(table(spark, sf_dir, "documents"), ch.select("doc_id", "chunk_id"), "doc_id")
+
+
+@register("summarization_pairs", f"""
+WITH p AS (SELECT doc_id, lang, text AS source, lead(split_part(text, chr(10), 1)) OVER (PARTITION BY lang ORDER BY doc_id) AS target
+           FROM documents)
+SELECT doc_id, md5('summarize: ' || source) AS input_md5, target,
+       CAST(len({WORDS_SQL.format(c='target')}) AS INTEGER) AS target_words
+FROM p WHERE target IS NOT NULL AND len({WORDS_SQL.format(c='target')}) > 5""")
+def summarization_pairs(spark, sf_dir):
+    """P15 + P16 + P17: (document, first line of the next document of its language) as a
+    translation-style struct, fields picked into columns, task prefix added, short targets dropped."""
+    from corpusprep.operators import shape
+    from corpusprep.functions.text import word_count
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    w = Window.partitionBy("lang").orderBy("doc_id")
+    pairs = docs.select("doc_id", F.struct(F.col("text").alias("source"),
+                                           F.lead(F.split("text", "\n").getItem(0)).over(w).alias("target")).alias("translation"))
+    pairs = shape.pick_pair(pairs, "translation", "source", "target").where(F.col("target").isNotNull())
+    pairs = shape.min_target_words(pairs, "target", 5)
+    return pairs.select("doc_id", F.md5(shape.task_prefix("source")).alias("input_md5"), "target",
+                        word_count("target").alias("target_words"))
+
+
+@register("parallel_pairs_encoded", f"""WITH {ENC_SQL},
+p AS (SELECT doc_id, ids AS src, lead(ids) OVER (PARTITION BY lang ORDER BY doc_id) AS tgt FROM e)
+SELECT doc_id, {IDS_MD5.format(c='src[1:128]')} AS input_md5, {IDS_MD5.format(c='tgt[1:128]')} AS labels_md5,
+       CAST(len(tgt[1:128]) AS INTEGER) AS n_labels FROM p WHERE tgt IS NOT NULL""")
+def parallel_pairs_encoded(spark, sf_dir):
+    """Q21: source -> input_ids and target -> labels (the next document of the same language),
+    both encoded with the corpus vocabulary and cut at 128."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    freqs = vb.word_frequencies(docs, "text", pretok=words)
+    vocab = vb.word_vocab(freqs, VOCAB_SIZE)
+    w = Window.partitionBy("lang").orderBy("doc_id")
+    pairs = docs.select("doc_id", F.col("text").alias("src"), F.lead("text").over(w).alias("tgt")).where(F.col("tgt").isNotNull())
+
+    def encode(df, col):
+        return vb.to_ids(df.select("doc_id", words(col).alias("tokens")), vocab, "tokens", "input_ids")
+
+    out = sq.encode_parallel(pairs, "doc_id", "src", "tgt", encode, 128)
+    return out.select("doc_id", _md5(F.col("input_ids")).alias("input_md5"), _md5(F.col("labels")).alias("labels_md5"),
+                      F.size("labels").alias("n_labels"))
+
+
+@register("frozen_masks_docs", SQL["masked_docs"])
+def frozen_masks_docs(spark, sf_dir):
+    """Q18: masking done once with a fixed seed, written to the shared checkpoint area, read back
+    with the masked columns renamed to the model's names (same values as the live masking)."""
+    from corpusprep.streaming.streams import checkpoint_path
+    enc = encoded_docs_frame(spark, sf_dir)
+    t = enc.select("doc_id", sq.single_template("ids", 128)["input_ids"].alias("ids"))
+    back = sq.freeze_masks(t, "doc_id", "ids", 42, checkpoint_path(spark, "frozen-masks"))
+    return back.select("doc_id", _md5(F.col("input_ids")).alias("ids_md5"), _md5(F.col("labels")).alias("labels_md5"),
+                       F.size(F.filter("labels", lambda x: x != -100)).alias("n_masked"))
+
+
+@register("qa_windows_per_doc", f"""WITH {ENC_SQL}
+SELECT doc_id, CAST(CASE WHEN len(ids) <= 64 - 3 - len(ids[1:8]) THEN 1
+            ELSE 1 + ceil((len(ids) - (64 - 3 - len(ids[1:8]))) / (64 - 3 - len(ids[1:8]) - 16)) END AS BIGINT) AS n_features
+FROM e WHERE len(ids) >= 4""")
+def qa_windows_per_doc(spark, sf_dir):
+    """J4 + J3 + Q5: windows (features) of 64 ids, stride 16, grouped back to their document."""
+    from corpusprep.operators import joins
+    from corpusprep.plans.label_plans import _windows
+    w = _windows(spark, sf_dir).select("doc_id", "window_id")
+    examples = encoded_docs_frame(spark, sf_dir).where(F.size("ids") >= 4).select("doc_id")
+    per = joins.features_of(examples, w, "doc_id").select("doc_id", "n_features").distinct()
+    return joins.pair_with_reference(per, examples, "doc_id")

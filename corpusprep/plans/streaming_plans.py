@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusprep.plans.log_plans import SQL as LOG_SQL
 from corpusprep.plans.quality_plans import RULES_SQL, customer_rules
 from corpusprep.sources.tables import table
 from corpusprep.streaming import streams as st
@@ -96,3 +97,22 @@ def _exists(spark, path: str) -> bool:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(conf).exists(p)
+
+
+@register("stream_event_log_lines", LOG_SQL["event_log_parse"])
+def stream_event_log_lines(spark, sf_dir):
+    """Events appended as JSON-lines files (values above 95 cut in half, as a crash would leave
+    them), ingested as a file stream with a checkpoint: every line delivered once, broken lines
+    as parse_error rows."""
+    from corpusprep.plans.log_plans import LOG_SCHEMA
+    ev = table(spark, sf_dir, "events")
+    line = F.to_json(F.struct(F.col("event_type").alias("event"), F.col("value").alias("ts"),
+                              F.struct(F.col("user_id").alias("id")).alias("task"),
+                              F.struct(F.col("event_id").cast("string").alias("name")).alias("worktree")))
+    text = F.when(F.col("value") > 95, F.substring(line, 1, F.floor(F.length(line) / 2).cast("int"))).otherwise(line)
+    folder = st.checkpoint_path(spark, "x3-log")
+    ev.select(text.alias("value")).write.mode("overwrite").text(folder)
+    out = st.checkpoint_path(spark, "x3-out")
+    st.run_to_parquet(st.stream_event_log(spark, folder, LOG_SCHEMA), out, st.checkpoint_path(spark, "x3"))
+    res = spark.read.parquet(out)
+    return res.groupBy("event").agg(F.count(F.lit(1)).alias("rows"), F.count("raw").alias("raw_lines"))

@@ -68,3 +68,30 @@ def test_columnar_slice(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string")
     r = ranking.columnar_slice(df, "k", 2).first()
     assert r["k"] == [1, 2] and r["v"] == ["a", "b"]
+
+
+def _expected_split(spark, n, seed, cut):
+    df = spark.range(n).withColumnRenamed("id", "k")
+    ref = df.withColumn("rn", F.row_number().over(Window.orderBy(ranking.seeded_key("k", seed), F.col("k"))))
+    return {r["k"] for r in ref.where(F.col("rn") <= cut).collect()}
+
+
+def test_band_split_exact_on_larger_input(spark, monkeypatch):
+    n, seed = 60000, 11
+    df = spark.range(n).withColumnRenamed("id", "k")
+    monkeypatch.setattr(ranking, "BAND_TARGET", 200)  # narrow bands: most rows decided by the quantile
+    s = ranking.split_fraction(df, "k", 0.7, seed=seed)
+    got = {r["k"] for r in s.where("split = 'train'").select("k").collect()}
+    assert got == _expected_split(spark, n, seed, int(n * 0.7))
+    assert s.count() == n
+
+
+def test_band_split_fallback(spark, monkeypatch):
+    n, seed = 3000, 5
+    df = spark.range(n).withColumnRenamed("id", "k")
+    monkeypatch.setattr(ranking, "BAND_MAX", 0)  # force the full distributed rank
+    s = ranking.split_counts(df, "k", 1000, 500, seed=seed)
+    counts = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
+    assert counts == {"train": 1000, "test": 500}
+    got = {r["k"] for r in s.where("split = 'train'").select("k").collect()}
+    assert got == _expected_split(spark, n, seed, 1000)
