@@ -81,7 +81,7 @@ BAND_MAX = 4_000_000
 
 
 def seeded_cut_labels(df: DataFrame, key: str, seed: int, cuts: list[int], labels: list[str],
-                      split_col: str = "split", rest: str | None = None) -> DataFrame:
+                      split_col: str = "split", rest: str | None = None, n: int | None = None) -> DataFrame:
     """Label rows by their position in the seeded md5 order: rows before ``cuts[0]`` get
     ``labels[0]``, before ``cuts[1]`` ``labels[1]`` ... and the rest ``rest`` (dropped if None).
 
@@ -92,14 +92,14 @@ def seeded_cut_labels(df: DataFrame, key: str, seed: int, cuts: list[int], label
     a size-checked frame."""
     h = seeded_key(key, seed)
     base = df.withColumn("_h", h).withColumn("_v", F.conv(F.substring(h, 1, 13), 16, 10).cast("double"))
-    n = base.count()
+    n = base.count() if n is None else n
     if n == 0:
         return base.withColumn(split_col, F.lit(None).cast("string")).drop("_h", "_v").limit(0)
     eps = min(0.01, max(1e-6, BAND_TARGET / (4.0 * n)))
     probs = []
     for c in cuts:
-        p = c / n
-        probs += [max(0.0, p - 2 * eps), min(1.0, p + 2 * eps)]
+        p = min(1.0, max(0.0, c / n))
+        probs += [float(max(0.0, p - 2 * eps)), float(min(1.0, p + 2 * eps))]
     qs = base.approxQuantile("_v", probs, eps)
     bands = [(qs[2 * i], qs[2 * i + 1]) for i in range(len(cuts))]
     below = base.agg(*[F.count_if(F.col("_v") < lo).alias(f"b{i}") for i, (lo, hi) in enumerate(bands)]).first()
@@ -140,7 +140,7 @@ def split_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42,
                    names: tuple[str, str] = ("train", "test"), split_col: str = "split") -> DataFrame:
     """L4: exact sizes floor(n*f) and the rest, chosen by the seeded md5 order."""
     n = df.count()
-    return seeded_cut_labels(df, key, seed, [int(n * fraction)], [names[0]], split_col, rest=names[1])
+    return seeded_cut_labels(df, key, seed, [int(n * fraction)], [names[0]], split_col, rest=names[1], n=n)
 
 
 def split_counts(df: DataFrame, key: str, train: int, test: int, seed: int = 42,

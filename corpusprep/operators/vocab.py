@@ -160,7 +160,9 @@ def learn_wordpiece(freqs: DataFrame, vocab_size: int, specials: tuple[str, ...]
     merges are done; returns (token, id)."""
     spark = freqs.sparkSession
     words = cut_lineage(_wp_initial(freqs))
-    alphabet = [r[0] for r in words.select(F.explode("symbols").alias("t")).distinct().orderBy("t").collect()]
+    alpha_df = words.select(F.explode("symbols").alias("t")).distinct()
+    _check_size(alpha_df.count(), "alphabet")
+    alphabet = [r[0] for r in alpha_df.orderBy("t").collect()]
     vocab = list(specials) + alphabet
     step = 0
     while len(vocab) < vocab_size and (max_merges is None or step < max_merges):

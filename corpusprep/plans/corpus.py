@@ -313,3 +313,27 @@ def labelled_expansion(spark, sf_dir):
     return out.select("lang", "source_rows", F.coalesce("output_rows", F.lit(0)).alias("output_rows"),
                       F.coalesce("sources_used", F.lit(0)).alias("sources_used"),
                       F.coalesce("ratio", F.lit(0.0)).alias("ratio"))
+
+
+@register("conversation_answer_audit", """
+SELECT conv_id, max(CASE WHEN role = 'system' THEN 1 ELSE 0 END) = 1 AS is_pull_request,
+       CAST(count(*) FILTER (WHERE role = 'assistant') AS INTEGER) AS answers,
+       count(*) FILTER (WHERE role = 'assistant') <> 1 AS not_single_answer,
+       ['question', 'answer', 'instruction'][CASE min(role) WHEN 'assistant' THEN 1 WHEN 'system' THEN 2 ELSE 0 END + 1] AS least_role_name,
+       CASE min(role) WHEN 'assistant' THEN 1 WHEN 'system' THEN 2 WHEN 'user' THEN 0 END AS least_role_id
+FROM conversations GROUP BY conv_id""")
+def conversation_answer_audit(spark, sf_dir):
+    """P10 + P12 + P18: pull-request flag from a nullable field, conversations whose answer list
+    does not hold exactly one answer, and a class id <-> name mapping both ways."""
+    conv = table(spark, sf_dir, "conversations")
+    names = ["question", "answer", "instruction"]
+    role_names = F.create_map(F.lit("user"), F.lit("question"), F.lit("assistant"), F.lit("answer"),
+                              F.lit("system"), F.lit("instruction"))
+    g = conv.groupBy("conv_id").agg(
+        F.max(F.when(F.col("role") == "system", F.col("conv_id"))).alias("pull_request"),
+        F.collect_list(F.when(F.col("role") == "assistant", F.col("turn"))).alias("answer_turns"),
+        F.min("role").alias("least_role"))
+    least_id = shape.label_to_id(F.element_at(role_names, F.col("least_role")), names)
+    return g.select("conv_id", shape.flag_present("pull_request").alias("is_pull_request"),
+                    F.size("answer_turns").alias("answers"), shape.size_not("answer_turns", 1).alias("not_single_answer"),
+                    shape.id_to_label(least_id, names).alias("least_role_name"), least_id.alias("least_role_id"))

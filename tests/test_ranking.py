@@ -95,3 +95,10 @@ def test_band_split_fallback(spark, monkeypatch):
     assert counts == {"train": 1000, "test": 500}
     got = {r["k"] for r in s.where("split = 'train'").select("k").collect()}
     assert got == _expected_split(spark, n, seed, 1000)
+
+
+def test_split_counts_larger_than_table(spark):
+    df = spark.range(50).withColumnRenamed("id", "k")
+    s = ranking.split_counts(df, "k", 40, 30, seed=1)
+    counts = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
+    assert counts == {"train": 40, "test": 10}

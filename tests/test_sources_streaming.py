@@ -81,3 +81,15 @@ def test_stream_keyword_and_validation(spark, tmpdir_path):
     q = st.stream_validate(sdf, [("no import", F.col("content").startswith("import"))], good, bad, os.path.join(tmpdir_path, "c2"))
     q.awaitTermination()
     assert spark.read.parquet(good).count() == 2 and spark.read.parquet(bad).first()["errors"] == ["no import"]
+
+
+def test_export_pages_and_records(spark, tmpdir_path):
+    from corpusprep.operators import web
+    html = "<html><head><title>T</title></head><body><h1>H</h1><p>P</p><a href='/x'>X</a></body></html>"
+    df = web.parse_pages(spark.createDataFrame([(1, "https://e.org", html)], "page_id long, url string, html string"))
+    files.export_pages(web.render_text(df), os.path.join(tmpdir_path, "pages"))
+    r = spark.read.parquet(os.path.join(tmpdir_path, "pages")).first()
+    assert r["file_name"] == "T" and r["html_file"].startswith("<!-- Source: https://e.org -->\n")
+    assert "[h1] H" in r["text_file"] and "X -> /x" in r["text_file"]
+    files.write_records(spark.createDataFrame([(1, "a")], "id long, t string"), os.path.join(tmpdir_path, "rec"))
+    assert spark.read.json(os.path.join(tmpdir_path, "rec")).count() == 1
