@@ -69,22 +69,28 @@ def entity_scores(df: DataFrame, key: str, pred: str, ref: str) -> DataFrame:
     """Entity-level precision / recall / F1 (span and type must match), per type and overall
     (type 'overall', which also carries the token accuracy).  ``pred``/``ref`` are tag-name arrays.
 
-    Spans of both sides come from one pass over the rows, meet in one shuffle on
-    (key, type, start, end), and one rollup gives the per-type and overall counts."""
+    One pass over the rows emits the spans of both sides plus one token-count record per row; one
+    shuffle on (key, type, start, end) pairs predicted and reference spans; one rollup gives the
+    per-type rows and the overall row."""
     from corpusprep.operators.labels import span_array
-    both = F.concat(F.transform(span_array(F.col(pred)), lambda s_: F.struct(s_["type"].alias("type"), s_["start"].alias("start"),
-                                                                            s_["end"].alias("end"), F.lit(1).alias("p"), F.lit(0).alias("r"))),
-                    F.transform(span_array(F.col(ref)), lambda s_: F.struct(s_["type"].alias("type"), s_["start"].alias("start"),
-                                                                           s_["end"].alias("end"), F.lit(0).alias("p"), F.lit(1).alias("r"))))
-    spans = df.select(key, F.explode(both).alias("s")).select(key, "s.*")
-    per_span = spans.groupBy(key, "type", "start", "end").agg(F.max("p").alias("p"), F.max("r").alias("r"))
-    counts = per_span.rollup("type").agg(F.sum("p").alias("n_pred"), F.sum("r").alias("n_ref"),
-                                          F.sum(F.col("p") * F.col("r")).alias("tp"))
+    marker = "\u0000tokens"
+    side = lambda arr, p, r: F.transform(span_array(F.col(arr)), lambda s_: F.struct(
+        s_["type"].alias("type"), s_["start"].alias("start"), s_["end"].alias("end"),
+        F.lit(p).alias("p"), F.lit(r).alias("r"), F.lit(0).alias("same"), F.lit(0).alias("total")))
     same = F.size(F.filter(F.arrays_zip(F.col(pred).alias("p"), F.col(ref).alias("r")), lambda e: e["p"] == e["r"]))
-    token_acc = df.agg(F.round(F.sum(same) / F.sum(F.size(ref)), 6)).scalar()
-    out = counts.select(F.coalesce("type", F.lit("overall")).alias("type"), F.col("n_pred").cast("long").alias("n_pred"),
-                        F.col("n_ref").cast("long").alias("n_ref"), F.col("tp").cast("long").alias("tp"),
-                        F.when(F.col("type").isNull(), token_acc).alias("accuracy"))
+    tokens = F.array(F.struct(F.lit(marker).alias("type"), F.lit(-1).alias("start"), F.lit(-1).alias("end"),
+                              F.lit(0).alias("p"), F.lit(0).alias("r"), same.alias("same"), F.size(ref).alias("total")))
+    rows = df.select(key, F.explode(F.concat(side(pred, 1, 0), side(ref, 0, 1), tokens)).alias("s")).select(key, "s.*")
+    per_span = rows.groupBy(key, "type", "start", "end").agg(
+        F.max("p").alias("p"), F.max("r").alias("r"), F.sum("same").alias("same"), F.sum("total").alias("total"))
+    counts = per_span.rollup("type").agg(
+        F.sum("p").alias("n_pred"), F.sum("r").alias("n_ref"), F.sum(F.col("p") * F.col("r")).alias("tp"),
+        F.sum("same").alias("same"), F.sum("total").alias("total"), F.grouping("type").alias("_all"))
+    counts = counts.where((F.col("_all") == 1) | (F.col("type") != marker))
+    out = counts.select(F.when(F.col("_all") == 1, F.lit("overall")).otherwise(F.col("type")).alias("type"),
+                        F.col("n_pred").cast("long").alias("n_pred"), F.col("n_ref").cast("long").alias("n_ref"),
+                        F.col("tp").cast("long").alias("tp"),
+                        F.when(F.col("_all") == 1, F.round(F.col("same") / F.col("total"), 6)).alias("accuracy"))
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0)
     rec = F.when(F.col("n_ref") > 0, F.col("tp") / F.col("n_ref")).otherwise(0.0)
     return out.withColumn("precision", F.round(prec, 6)).withColumn("recall", F.round(rec, 6)) \

@@ -77,30 +77,40 @@ def metric_delta_rules(spark, sf_dir):
 NER_TAGS = ["O", "B-PER", "I-PER", "B-ORG", "I-ORG", "B-LOC", "I-LOC", "B-MISC", "I-MISC"]
 
 
+def _hex_uniform(h, i: int) -> F.Column:
+    """The i-th 8-hex-digit slice of an md5 hex string as a uniform number in [0, 1)."""
+    return F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
 def _tags_frame(spark, sf_dir):
     """Reference tags per word chosen by md5 (70% O), predictions = reference with 10% redrawn;
     words starting with an upper-case letter carry the ignore label -100 on the reference side.
-    Three draws per word, each computed once and zipped."""
+    One md5 per word gives the three draws (hex digits 1-8, 9-16, 17-24)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", words("text").alias("w"))
-    draws = lambda kind: F.transform("w", lambda x, i: seeded_uniform(F.lit(7), F.lit(kind), F.col("doc_id"), i))
+    hashes = F.transform("w", lambda x, i: F.md5(F.concat_ws(":", F.lit("7"), F.lit("t"), F.col("doc_id").cast("string"),
+                                                              i.cast("string"))))
     tag = lambda u: F.when(u < 0.7, F.lit(0)).otherwise((F.floor((u - 0.7) / 0.3 * 8) + 1).cast("int"))
-    z = F.arrays_zip(F.col("w").alias("x"), draws("r").alias("r"), draws("s").alias("s"), draws("p").alias("p"))
-    ref = F.transform("_z", lambda e: F.when(F.substring(e["x"], 1, 1).rlike("^[A-Z]$"), F.lit(-100)).otherwise(tag(e["r"])))
-    pred = F.transform("_z", lambda e: F.when(e["s"] < 0.1, tag(e["p"])).otherwise(tag(e["r"])))
+    z = F.arrays_zip(F.col("w").alias("x"), hashes.alias("h"))
+    ref = F.transform("_z", lambda e: F.when(F.substring(e["x"], 1, 1).rlike("^[A-Z]$"), F.lit(-100))
+                      .otherwise(tag(_hex_uniform(e["h"], 0))))
+    pred = F.transform("_z", lambda e: F.when(_hex_uniform(e["h"], 1) < 0.1, tag(_hex_uniform(e["h"], 2)))
+                       .otherwise(tag(_hex_uniform(e["h"], 0))))
     return docs.select("doc_id", z.alias("_z")).select("doc_id", ref.alias("ref"), pred.alias("pred"))
 
 
-def _tag_sql(kind: str) -> str:
-    u = f"(('0x' || substr(md5(concat_ws(':', '7', '{kind}', CAST(doc_id AS VARCHAR), CAST(i - 1 AS VARCHAR))), 1, 8))::UBIGINT / 4294967296.0)"
+def _tag_sql(slot: int) -> str:
+    u = f"(('0x' || substr(h, {8 * slot + 1}, 8))::UBIGINT / 4294967296.0)"
     return f"CASE WHEN {u} < 0.7 THEN 0 ELSE CAST(floor(({u} - 0.7) / 0.3 * 8) + 1 AS INTEGER) END"
 
 
 TAGS_SQL = f"""
 w AS (SELECT doc_id, {WORDS_SQL.format(c='text')} AS w FROM documents),
+wh AS (SELECT doc_id, w, list_transform(w, lambda x, i: md5(concat_ws(':', '7', 't', CAST(doc_id AS VARCHAR), CAST(i - 1 AS VARCHAR)))) AS hs FROM w),
 tg AS (SELECT doc_id,
-         list_transform(w, lambda x, i: CASE WHEN regexp_matches(substr(x, 1, 1), '^[A-Z]$') THEN -100 ELSE {_tag_sql('r')} END) AS ref,
-         list_transform(w, lambda x, i: CASE WHEN (('0x' || substr(md5(concat_ws(':', '7', 's', CAST(doc_id AS VARCHAR), CAST(i - 1 AS VARCHAR))), 1, 8))::UBIGINT / 4294967296.0) < 0.1
-                                            THEN {_tag_sql('p')} ELSE {_tag_sql('r')} END) AS pred FROM w),
+         list_transform(list_zip(w, hs), lambda e: CASE WHEN regexp_matches(substr(e[1], 1, 1), '^[A-Z]$') THEN -100
+                                                        ELSE {_tag_sql(0).replace('(h,', '(e[2],')} END) AS ref,
+         list_transform(hs, lambda h: CASE WHEN (('0x' || substr(h, 9, 8))::UBIGINT / 4294967296.0) < 0.1
+                                         THEN {_tag_sql(2)} ELSE {_tag_sql(0)} END) AS pred FROM wh),
 names AS (SELECT ['O', 'B-PER', 'I-PER', 'B-ORG', 'I-ORG', 'B-LOC', 'I-LOC', 'B-MISC', 'I-MISC'] AS nm),
 kept AS (SELECT doc_id, list_transform(list_filter(list_zip(pred, ref), lambda e: e[2] <> -100), lambda e: nm[e[1] + 1]) AS p,
                 list_transform(list_filter(list_zip(pred, ref), lambda e: e[2] <> -100), lambda e: nm[e[2] + 1]) AS r FROM tg, names)"""
