@@ -59,7 +59,10 @@ def conversation_rendered(spark, sf_dir):
     return r.join(n, "conv_id").select("conv_id", F.md5("rendered").alias("rendered_md5"), "messages")
 
 
-@register("conversation_tail")
+@register("conversation_tail", """
+WITH j AS (SELECT conv_id, to_json(list({'role': role, 'content': text} ORDER BY turn)) AS js FROM conversations GROUP BY conv_id)
+SELECT conv_id, CAST(length(right(js, 80000)) AS INTEGER) AS tail_chars, CAST(length(js) AS INTEGER) AS full_chars,
+       md5(right(js, 80000)) AS tail_md5 FROM j""")
 def conversation_tail(spark, sf_dir):
     """Last 80000 characters of every serialised conversation."""
     t = cv.transcript_tail(table(spark, sf_dir, "conversations"))

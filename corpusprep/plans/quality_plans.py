@@ -112,7 +112,9 @@ def masked_customer_json(spark, sf_dir):
     return j.select("c_custkey", F.md5("json").alias("json_md5"))
 
 
-@register("unknown_field_policy")
+@register("unknown_field_policy", """
+SELECT event_id, CAST(len(list_filter(json_keys(props), lambda k: k NOT IN ('user'))) AS INTEGER) AS errors,
+       CAST(len(list_filter(json_keys(props), lambda k: k NOT IN ('user'))) AS INTEGER) AS extra_keys FROM events""")
 def unknown_field_policy(spark, sf_dir):
     """D7 policies on the events' JSON properties: forbid lists errors, allow keeps the extras."""
     schema = T.StructType([T.StructField("user", T.StringType())])
