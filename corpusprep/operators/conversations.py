@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.text import THINK_END, after_marker
 from corpusprep.operators.joins import attach_tool_name
+from corpusprep.operators.ranking import neighbor_values, running_total
 
 # Compaction settings and chat-template markers of the reference.
 TOKEN_LIMIT = 50000
@@ -40,34 +41,46 @@ def compact_tool_results(parts: DataFrame, key: str = "conv_id", pos: str = "pos
                          min_chars: int = MIN_RESULT_CHARS, preserve=PRESERVE_TOOLS) -> DataFrame:
     """C2 (+J6): every tool result but the last ``keep`` of its conversation becomes
     '[Previous: used <tool>]' when its content is longer than ``min_chars`` and the tool (found
-    through the call id, else 'unknown') is not preserved."""
+    through the call id, else 'unknown') is not preserved.  The position from the end is the
+    conversation's result total minus a range-bucketed running count, so a huge conversation is
+    never sorted in one task."""
     named = attach_tool_name(parts, conv=key)
-    is_result = F.col("type") == "tool_result"
-    w = Window.partitionBy(key).orderBy(F.col(pos).desc())
-    ranked = named.withColumn("_from_end", F.when(is_result, F.count_if(is_result).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    clear = is_result & (F.col("_from_end") > keep) & (F.length("content") > min_chars) & \
+    is_result = (F.col("type") == "tool_result").cast("long")
+    totals = named.groupBy(key).agg(F.sum(is_result).alias("_total"))
+    ranked = running_total(named, key, pos, is_result, "_upto").join(totals, key)
+    from_end = F.col("_total") - F.col("_upto") + 1
+    clear = (F.col("type") == "tool_result") & (from_end > keep) & (F.length("content") > min_chars) & \
         ~F.coalesce(F.col("tool_name"), F.lit("unknown")).isin(*preserve)
     flagged = ranked.withColumn("compacted", clear)
     return flagged.withColumn("content", F.when(F.col("compacted"), F.concat(F.lit("[Previous: used "), F.col("tool_name"), F.lit("]")))
-                              .otherwise(F.col("content"))).drop("_from_end")
+                              .otherwise(F.col("content"))).drop("_total", "_upto")
 
 
 def number_turns(df: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role") -> DataFrame:
-    """A user message starts a turn; every assistant step inside it is a sub-turn from 1."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df.withColumn("turn_no", F.sum((F.col(role) == "user").cast("int")).over(w))
-    w2 = Window.partitionBy(key, "turn_no").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return out.withColumn("sub_turn", F.when(F.col(role) == "assistant", F.sum((F.col(role) == "assistant").cast("int")).over(w2)))
+    """A user message starts a turn; every assistant step inside it is a sub-turn from 1.
+    Both counters are range-bucketed running sums; the assistant count at the turn's user message
+    comes back through an equi-join on (conversation, turn number)."""
+    is_user = (F.col(role) == "user").cast("long")
+    is_asst = (F.col(role) == "assistant").cast("long")
+    out = running_total(df, key, order, is_user, "turn_no")
+    out = running_total(out, key, order, is_asst, "_asst")
+    at_user = out.where(F.col(role) == "user").select(key, "turn_no", F.col("_asst").alias("_asst_at_user"))
+    out = out.join(at_user, [key, "turn_no"], "left")
+    sub = F.col("_asst") - F.coalesce(F.col("_asst_at_user"), F.lit(0))
+    return out.withColumn("sub_turn", F.when(F.col(role) == "assistant", sub)).drop("_asst", "_asst_at_user")
 
 
 def render_chat(df: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """C4: the chat template: BOS, system parts joined by a blank line, then every message with its
     role marker; assistant text after the last reasoning marker, closed by the end-of-sentence
-    token; tool outputs wrapped (the first one of the conversation opens the outputs block)."""
-    w = Window.partitionBy(key).orderBy(order)
-    prev = F.lag(role).over(w)
-    first_tool = F.sum((F.col(role) == "tool").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) == 1
+    token; tool outputs wrapped (the first one of the conversation opens the outputs block).
+    Neighbour, running-count and last-role lookups are joins and bucketed sums; only the final
+    string of a conversation is assembled in one place, as the output requires."""
+    nb = neighbor_values(df, key, order, [role], -1, "_p_")
+    nb = running_total(nb, key, order, (F.col(role) == "tool").cast("long"), "_tools")
+    last = df.groupBy(key).agg(F.max_by(role, order).alias("_last_role"))
+    prev = F.col(f"_p_{role}")
+    first_tool = F.col("_tools") == 1
     content = F.coalesce(F.col(text), F.lit(""))
     piece = (F.when(F.col(role) == "user", F.concat(F.lit(USER_MARK), content))
              .when((F.col(role) == "assistant") & (prev == "tool"), F.concat(F.lit(TOOL_OUTPUTS_END), content, F.lit(EOS)))
@@ -75,24 +88,32 @@ def render_chat(df: DataFrame, key: str = "conv_id", order: str = "turn", role:
              .when((F.col(role) == "tool") & first_tool,
                    F.concat(F.lit(TOOL_OUTPUTS_BEGIN + TOOL_OUTPUT_BEGIN), content, F.lit(TOOL_OUTPUT_END)))
              .when(F.col(role) == "tool", F.concat(F.lit(TOOL_OUTPUT_BEGIN), content, F.lit(TOOL_OUTPUT_END))))
-    rows = df.select(key, order, role, text, piece.alias("_piece"),
-                     F.last(role).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_last_role"))
+    rows = nb.select(key, order, role, text, piece.alias("_piece"))
     agg = rows.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct(order, "_piece"))).alias("_ps"),
-        F.sort_array(F.collect_list(F.when(F.col(role) == "system", F.struct(order, text)))).alias("_sys"),
-        F.first("_last_role").alias("_last_role"))
-    system = F.array_join(F.transform("_sys", lambda s: s[text]), "\n\n")
-    body = F.array_join(F.transform("_ps", lambda s: s["_piece"]), "")
+        F.sort_array(F.collect_list(F.when(F.col(role) == "system", F.struct(order, text)))).alias("_sys")).join(last, key)
+    system = F.array_join(F.transform("_sys", lambda s_: s_[text]), "\n\n")
+    body = F.array_join(F.transform("_ps", lambda s_: s_["_piece"]), "")
     tail = F.when(F.col("_last_role") == "tool", F.lit(TOOL_OUTPUTS_END)).otherwise(F.lit(""))
     return agg.select(key, F.concat(F.lit(BOS), system, body, tail).alias("rendered"))
 
 
 def transcript_tail(df: DataFrame, key: str = "conv_id", order: str = "turn", n: int = TAIL_CHARS) -> DataFrame:
-    """The last n characters of the conversation serialised as a JSON list of messages."""
-    msgs = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("_o"), F.col("role"),
-                                                                     F.col("text").alias("content")))).alias("_m"))
-    js = F.to_json(F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))))
-    return msgs.select(key, F.right(js, F.lit(n)).alias("tail"), F.length(js).alias("full_chars"))
+    """The last n characters of the conversation serialised as a JSON list of messages.
+    Every message is serialised on its own; a bucketed running length from the end keeps only the
+    messages that reach into the last n characters, so at most n characters (plus one message)
+    per conversation are gathered, however long the conversation is."""
+    msg = df.select(key, order, F.to_json(F.struct(F.col("role"), F.col("text").alias("content"))).alias("_j"))
+    msg = msg.withColumn("_len", F.length("_j").cast("long") + 1)          # the message and its comma or bracket
+    totals = msg.groupBy(key).agg(F.sum("_len").alias("_total"), F.min(order).alias("_first"))
+    upto = running_total(msg, key, order, F.col("_len"), "_upto").join(totals, key)
+    after = F.col("_total") - F.col("_upto")                                # characters after this message
+    kept = upto.where(after + 1 < n)                                        # some of it lies in the tail
+    agg = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, "_j"))).alias("_m"),
+                                F.first("_total").alias("_total"), F.min(order).alias("_kfirst"), F.first("_first").alias("_first"))
+    body = F.array_join(F.transform("_m", lambda m: m["_j"]), ",")
+    js = F.concat(F.when(F.col("_kfirst") == F.col("_first"), F.lit("[")).otherwise(F.lit(",")), body, F.lit("]"))
+    return agg.select(key, F.right(js, F.lit(n)).alias("tail"), (F.col("_total") + 1).cast("int").alias("full_chars"))
 
 
 def tool_usage(parts: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -117,18 +138,16 @@ def replace_with_summary(df: DataFrame, summaries: DataFrame, key: str = "conv_i
 
 def tool_parts_from_turns(df: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
     """Message parts view of a plain conversation log: each user turn is a tool call named by its
-    first word (lower-cased), the following assistant turn is that call's result."""
-    w = Window.partitionBy(key).orderBy(order)
-    prev_role = F.lag("role").over(w)
-    prev_turn = F.lag(order).over(w)
+    first word (lower-cased), the following assistant turn is that call's result.  The previous
+    message comes from a hot-key-safe neighbour join, not a conversation-wide window."""
+    nb = neighbor_values(df, key, order, ["role", order], -1, "_p_")
     name = F.lower(F.regexp_extract("text", r"^\s*(\S+)", 1))
     use_id = F.concat_ws(":", F.col(key).cast("string"), F.col(order).cast("string"))
-    parts = df.select(key, order, "role", "text", prev_role.alias("_pr"), prev_turn.alias("_pt"), name.alias("_name"), use_id.alias("_id"))
-    return parts.select(
+    prev_id = F.concat_ws(":", F.col(key).cast("string"), F.col(f"_p_{order}").cast("string"))
+    return nb.select(
         key, F.col(order).alias("pos"),
-        F.when(F.col("role") == "user", F.lit("tool_use")).when((F.col("role") == "assistant") & (F.col("_pr") == "user"),
+        F.when(F.col("role") == "user", F.lit("tool_use")).when((F.col("role") == "assistant") & (F.col("_p_role") == "user"),
                                                                  F.lit("tool_result")).otherwise(F.lit("text")).alias("type"),
-        F.when(F.col("role") == "user", F.col("_id")).when(F.col("_pr") == "user",
-                                                           F.concat_ws(":", F.col(key).cast("string"), F.col("_pt").cast("string"))).alias("tool_use_id"),
-        F.when(F.col("role") == "user", F.col("_name")).alias("tool_name"),
+        F.when(F.col("role") == "user", use_id).when(F.col("_p_role") == "user", prev_id).alias("tool_use_id"),
+        F.when(F.col("role") == "user", name).alias("tool_name"),
         F.col("text").alias("content"))

@@ -199,3 +199,32 @@ def columnar_slice(df: DataFrame, order_by, n: int, cols: list[str] | None = Non
     head = df.orderBy(*order).limit(n).withColumn("_o", F.struct(*order))
     packed = head.agg(F.sort_array(F.collect_list(F.struct(F.col("_o"), *[F.col(c) for c in cols]))).alias("_rows"))
     return packed.select(*[F.col("_rows").getField(c).alias(c) for c in cols])
+
+
+def running_total(df: DataFrame, group: str | list[str], order: str, value, out: str, width: int = 4096) -> DataFrame:
+    """Inclusive running sum of ``value`` per group in ``order`` (numeric, unique inside a group),
+    safe for a hot group.  Rows are cut into order ranges of ``width``; one aggregation gives every
+    (group, range) its total, a window over those few range rows gives its offset, and the running
+    sum inside a range is a window over at most ``width`` rows.  A group holding a third of the
+    data is therefore spread over ranges instead of being sorted in one task."""
+    groups = [group] if isinstance(group, str) else list(group)
+    v = F.col(value) if isinstance(value, str) else value
+    t = df.withColumn("_rb", F.floor(F.col(order) / width)).withColumn("_rv", v)
+    totals = t.groupBy(*groups, "_rb").agg(F.sum("_rv").alias("_rt"))
+    before = Window.partitionBy(*groups).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, "_rb", F.coalesce(F.sum("_rt").over(before), F.lit(0)).alias("_ro"))
+    inside = Window.partitionBy(*groups, "_rb").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return t.join(offsets, [*groups, "_rb"]).withColumn(out, F.col("_ro") + F.sum("_rv").over(inside)) \
+        .drop("_rb", "_rv", "_ro")
+
+
+def neighbor_values(df: DataFrame, group: str | list[str], order: str, cols: list[str], offset: int = -1,
+                    prefix: str = "prev_") -> DataFrame:
+    """Values of the row ``offset`` places away inside its group (lag: -1, lead: +1), safe for a
+    hot group: the dense position comes from ``running_total`` and the neighbour is found by an
+    equi-join on (group, position), which spreads a huge group over many tasks instead of sorting
+    it in one window partition."""
+    groups = [group] if isinstance(group, str) else list(group)
+    pos = running_total(df, groups, order, F.lit(1), "_npos")
+    other = pos.select(*groups, (F.col("_npos") - offset).alias("_npos"), *[F.col(c).alias(prefix + c) for c in cols])
+    return pos.join(other, [*groups, "_npos"], "left").drop("_npos")

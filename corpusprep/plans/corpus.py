@@ -198,22 +198,21 @@ def keyword_keep_ratio(spark, sf_dir):
 
 
 def conversation_issues_frame(spark, sf_dir):
-    """Issue-style shaping on conversations (P10, P11, J1, P2, J11, T1/P7): first turn = title,
-    second = body, later turns = comments; conversations with a system turn play pull requests.
-    One row per kept comment (more than 15 words) with its turn."""
+    """Issue-style shaping on conversations (P10, P2, J2, T1/P7): first turn = title, second = body,
+    later turns = comments; conversations with a system turn play pull requests.  One row per kept
+    comment (more than 15 words).  Comments are never gathered into a list per conversation: the
+    per-conversation fields (a hash aggregate with map-side partials) are joined onto the comment
+    rows, so a huge conversation is spread over many tasks."""
     conv = table(spark, sf_dir, "conversations")
     issues = conv.groupBy("conv_id").agg(
         F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("title"),
         F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("body"),
         F.max(F.when(F.col("role") == "system", F.col("conv_id"))).alias("pull_request"),
-    )
-    comments = conv.where(F.col("turn") >= 2).groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("comments"))
-    issues = joins.lookup_list(issues, comments, "conv_id", "comments", "struct<turn:bigint,text:string>")
-    issues = issues.where(shape.has_items("pull_request", "comments"))
-    issues = shape.keep_only(issues, ["conv_id", "title", "body", "comments"])
-    ex = joins.explode_list(issues, "comments")
-    ex = ex.select("conv_id", "title", "body", F.col("comments.turn").alias("turn"), F.col("comments.text").alias("comment"))
+        F.count_if(F.col("turn") >= 2).alias("n_comments"))
+    issues = issues.where(~shape.flag_present("pull_request") & (F.col("n_comments") > 0))
+    issues = shape.keep_only(issues, ["conv_id", "title", "body"])
+    comments = conv.where(F.col("turn") >= 2).select("conv_id", "turn", F.col("text").alias("comment"))
+    ex = joins.replicate_source(comments, issues, "conv_id")
     ex = ex.withColumn("comment_length", word_count("comment").cast("long"))
     return ex.where(F.col("comment_length") > 15)
 
@@ -234,7 +233,7 @@ SELECT conv_id, {NWORDS_SQL.format(c='comment')} AS comment_length,
        md5(coalesce(title, '') || ' \n ' || coalesce(body, '') || ' \n ' || coalesce(comment, '')) AS text_md5
 FROM exploded WHERE {NWORDS_SQL.format(c='comment')} > 15""")
 def conversation_issues(spark, sf_dir):
-    """P13 on the issue rows: title, body and comment joined null-safely."""
+    """P13 on the issue rows: title, body and comment joined null-safely (247 -> 851 -> 616 style)."""
     ex = conversation_issues_frame(spark, sf_dir)
     return ex.select("conv_id", "comment_length",
                      F.md5(shape.join_text(["title", "body", "comment"])).alias("text_md5"))
@@ -337,3 +336,21 @@ def conversation_answer_audit(spark, sf_dir):
     return g.select("conv_id", shape.flag_present("pull_request").alias("is_pull_request"),
                     F.size("answer_turns").alias("answers"), shape.size_not("answer_turns", 1).alias("not_single_answer"),
                     shape.id_to_label(least_id, names).alias("least_role_name"), least_id.alias("least_role_id"))
+
+
+@register("doc_label_lists", """
+WITH l AS (SELECT doc_id, [quality, toxic] AS labels, CASE WHEN toxic = 1 THEN doc_id END AS toxic_flag FROM labels),
+d AS (SELECT d.doc_id, coalesce(l.labels, CAST([] AS INTEGER[])) AS labels, l.toxic_flag FROM documents d LEFT JOIN l ON d.doc_id = l.doc_id),
+k AS (SELECT * FROM d WHERE toxic_flag IS NULL AND len(labels) > 0)
+SELECT doc_id, CAST(generate_subscripts(labels, 1) - 1 AS INTEGER) AS position, unnest(labels) AS label FROM k""")
+def doc_label_lists(spark, sf_dir):
+    """J1 + P11 + J11 on naturally bounded lists: each document looks up its label list (quality,
+    toxic; empty when unlabelled), keeps the non-toxic labelled ones, one row per list element."""
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", F.array("quality", "toxic").alias("labels"), F.when(F.col("toxic") == 1, F.col("doc_id")).alias("toxic_flag"))
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    df = joins.lookup_list(docs, labels.select("doc_id", "labels"), "doc_id", "labels", "int") \
+        .join(labels.select("doc_id", "toxic_flag"), "doc_id", "left")
+    kept = df.where(shape.has_items("toxic_flag", "labels"))
+    return joins.explode_list(kept.select("doc_id", "labels"), "labels", pos_col="position") \
+        .select("doc_id", F.col("position").cast("int").alias("position"), F.col("labels").alias("label"))

@@ -184,9 +184,10 @@ def squad_scores_docs(spark, sf_dir):
 @register("bleu_doc_pairs")
 def bleu_doc_pairs(spark, sf_dir):
     """Corpus BLEU of every document against the previous and next document of its source."""
+    from corpusprep.operators.ranking import neighbor_values
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    w = Window.partitionBy("source").orderBy("doc_id")
-    pairs = docs.select("doc_id", "text", F.array_compact(F.array(F.lag("text").over(w), F.lead("text").over(w))).alias("refs"))
+    nb = neighbor_values(neighbor_values(docs, "source", "doc_id", ["text"], -1, "prev_"), "source", "doc_id", ["text"], 1, "next_")
+    pairs = nb.select("doc_id", "text", F.array_compact(F.array("prev_text", "next_text")).alias("refs"))
     return mt.corpus_bleu(pairs.where(F.size("refs") > 0), "doc_id", "text", "refs")
 
 

@@ -89,12 +89,12 @@ def ready_tasks(spark, sf_dir):
     """Orders as tasks (F = completed, O = pending, else in progress; urgent and high ones
     owned), each blocked by the customer's previous order; the pending unowned tasks whose blocker
     is finished are ready."""
-    o = table(spark, sf_dir, "orders")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    from corpusprep.operators.ranking import neighbor_values
+    o = neighbor_values(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", ["o_orderkey"], -1, "prev_")
     tasks = o.select(
         F.col("o_orderkey").alias("id"),
         F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "pending")
         .otherwise("in_progress").alias("status"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.concat(F.lit("agent-"), F.col("o_custkey").cast("string"))).alias("owner"),
-        F.array_compact(F.array(F.lag("o_orderkey").over(w))).alias("blockedBy"))
+        F.array_compact(F.array("prev_o_orderkey")).alias("blockedBy"))
     return joins.ready_rows(tasks).select("id")

@@ -203,8 +203,8 @@ def hierarchical_search(spark, sf_dir):
        AND """ + NWORDS_SQL.format(c="text") + " > 15", 5) + """
 SELECT query_id AS item_id, doc_id AS comment_key, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM top""")
 def issue_comment_search(spark, sf_dir):
-    """Issue shaping (compound filter, explode, length filter, text build) then top-5 lexical
-    search of the kept comments for every benchmark item."""
+    """Issue shaping (compound filter, comment rows, length filter) then top-5 lexical search
+    of the kept comments for every benchmark item."""
     comments = conversation_issues_frame(spark, sf_dir).select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), F.col("comment").alias("text"))
     q = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))

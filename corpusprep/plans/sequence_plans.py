@@ -176,9 +176,9 @@ SELECT doc_id, CAST(len(a) + len(b) + 3 AS INTEGER) AS n_ids, CAST(len(b) + 1 AS
        {IDS_MD5.format(c='[101] || a || [102] || b || [102]')} AS ids_md5 FROM pr WHERE b IS NOT NULL""")
 def pair_template_docs(spark, sf_dir):
     """Q2 + Q8: each document paired with the next one of its language (ids cut at 20 each)."""
+    from corpusprep.operators.ranking import neighbor_values
     enc = encoded_docs_frame(spark, sf_dir).select("doc_id", "lang", F.slice("ids", 1, 20).alias("a"))
-    w = Window.partitionBy("lang").orderBy("doc_id")
-    pr = enc.withColumn("b", F.lead("a").over(w)).where(F.col("b").isNotNull())
+    pr = neighbor_values(enc, "lang", "doc_id", ["a"], 1, "next_").withColumnRenamed("next_a", "b").where(F.col("b").isNotNull())
     t = pr.withColumn("t", sq.pair_template("a", "b"))
     return t.select("doc_id", F.size("t.input_ids").alias("n_ids"),
                     F.aggregate("t.token_type_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("type_ones"),
@@ -208,10 +208,10 @@ def summarization_pairs(spark, sf_dir):
     translation-style struct, fields picked into columns, task prefix added, short targets dropped."""
     from corpusprep.operators import shape
     from corpusprep.functions.text import word_count
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    w = Window.partitionBy("lang").orderBy("doc_id")
-    pairs = docs.select("doc_id", F.struct(F.col("text").alias("source"),
-                                           F.lead(F.split("text", "\n").getItem(0)).over(w).alias("target")).alias("translation"))
+    from corpusprep.operators.ranking import neighbor_values
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", F.split("text", "\n").getItem(0).alias("line"))
+    nb = neighbor_values(docs, "lang", "doc_id", ["line"], 1, "next_")
+    pairs = nb.select("doc_id", F.struct(F.col("text").alias("source"), F.col("next_line").alias("target")).alias("translation"))
     pairs = shape.pick_pair(pairs, "translation", "source", "target").where(F.col("target").isNotNull())
     pairs = shape.min_target_words(pairs, "target", 5)
     return pairs.select("doc_id", F.md5(shape.task_prefix("source")).alias("input_md5"), "target",
@@ -228,8 +228,9 @@ def parallel_pairs_encoded(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     freqs = vb.word_frequencies(docs, "text", pretok=words)
     vocab = vb.word_vocab(freqs, VOCAB_SIZE)
-    w = Window.partitionBy("lang").orderBy("doc_id")
-    pairs = docs.select("doc_id", F.col("text").alias("src"), F.lead("text").over(w).alias("tgt")).where(F.col("tgt").isNotNull())
+    from corpusprep.operators.ranking import neighbor_values
+    pairs = neighbor_values(docs, "lang", "doc_id", ["text"], 1, "next_") \
+        .select("doc_id", F.col("text").alias("src"), F.col("next_text").alias("tgt")).where(F.col("tgt").isNotNull())
 
     def encode(df, col):
         return vb.to_ids(df.select("doc_id", words(col).alias("tokens")), vocab, "tokens", "input_ids")

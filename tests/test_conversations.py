@@ -39,3 +39,15 @@ def test_budget_and_summary(spark):
     s = spark.createDataFrame([(1, "")], "conv_id long, summary string")
     out = {r["conv_id"]: r["text"] for r in cv.replace_with_summary(df, s, limit=5).collect()}
     assert out[1].endswith(cv.NO_SUMMARY) and out[2] == "y" * 8
+
+
+def test_transcript_tail_cut(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"message number {t} " * (t + 1)) for t in range(12)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    from pyspark.sql import functions as F
+    full = df.groupBy("conv_id").agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))),
+                                                           lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content")))).alias("j")) \
+        .first()["j"]
+    for n in (10, 257, 1000, len(full) - 1, len(full), len(full) + 50):
+        r = cv.transcript_tail(df, n=n).first()
+        assert r["tail"] == full[-n:] and r["full_chars"] == len(full)

@@ -102,3 +102,20 @@ def test_split_counts_larger_than_table(spark):
     s = ranking.split_counts(df, "k", 40, 30, seed=1)
     counts = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
     assert counts == {"train": 40, "test": 10}
+
+
+def test_running_total_matches_window(spark):
+    rows = [(g, t, (t * 7 + g) % 5) for g in range(3) for t in range(0, 3000, 3)]
+    df = spark.createDataFrame(rows, "g long, t long, v long")
+    got = {(r["g"], r["t"]): r["c"] for r in ranking.running_total(df, "g", "t", "v", "c", width=64).collect()}
+    w = Window.partitionBy("g").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    exp = {(r["g"], r["t"]): r["c"] for r in df.withColumn("c", F.sum("v").over(w)).collect()}
+    assert got == exp
+
+
+def test_neighbor_values(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 5, "y"), ("a", 9, "z"), ("b", 2, "q")], "g string, t long, v string")
+    prev = {(r["g"], r["t"]): r["prev_v"] for r in ranking.neighbor_values(df, "g", "t", ["v"]).collect()}
+    assert prev == {("a", 1): None, ("a", 5): "x", ("a", 9): "y", ("b", 2): None}
+    nxt = {(r["g"], r["t"]): r["next_v"] for r in ranking.neighbor_values(df, "g", "t", ["v"], 1, "next_").collect()}
+    assert nxt == {("a", 1): "y", ("a", 5): "z", ("a", 9): None, ("b", 2): None}
