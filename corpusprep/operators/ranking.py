@@ -76,8 +76,8 @@ def global_rank(df: DataFrame, order_by, rank_col: str = "rank", partitions: int
 
 # Rows ranked exactly around each cut point, and the bound beyond which the band
 # falls back to a full distributed rank.
-BAND_TARGET = 1_000_000
-BAND_MAX = 4_000_000
+BAND_TARGET = 200_000
+BAND_MAX = 1_000_000
 
 
 def seeded_cut_labels(df: DataFrame, key: str, seed: int, cuts: list[int], labels: list[str],

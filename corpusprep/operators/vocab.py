@@ -28,7 +28,7 @@ from corpusprep.session import cut_lineage
 PAD, UNK, CLS, SEP, MASK = "[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"
 SPECIAL_IDS = {PAD: 0, UNK: 100, CLS: 101, SEP: 102, MASK: 103}
 CONTINUATION = "##"
-MAX_MODEL_ENTRIES = 2_000_000
+MAX_MODEL_ENTRIES = 1_000_000
 CHECKPOINT_EVERY = 5
 WORD_CACHE = 200_000
 
