@@ -164,10 +164,28 @@ def _ngrams(df: DataFrame, key: str, toks: str, n: int, extra: list[str] | None
         .groupBy(key, *(extra or []), "gram").agg(F.count(F.lit(1)).alias("c"))
 
 
+def _all_ngrams(toks: Column, max_n: int) -> Column:
+    """(n, gram) for every order 1..max_n in one array, so one explode covers all orders."""
+    def gram_at(n):
+        return lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(toks, i, n), "\u0001").alias("gram"))
+
+    parts = []
+    for n in range(1, max_n + 1):
+        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - n + 1, F.lit(1))), gram_at(n))
+        parts.append(F.when(F.size(toks) >= n, grams).otherwise(F.array().cast("array<struct<n:int,gram:string>>")))
+    return F.concat(*parts)
+
+
 def corpus_bleu(df: DataFrame, key: str, pred: str, refs: str, tokenize=pretokenize, max_n: int = 4) -> DataFrame:
     """Corpus BLEU with clipped n-gram precisions 1..4, brevity penalty against the closest
-    reference length (ties: shorter) and exponential smoothing of zero counts; x100."""
-    toks = df.select(key, tokenize(_c(pred)).alias("h"), F.transform(_c(refs), lambda r: tokenize(r)).alias("rs"))
+    reference length (ties: shorter) and exponential smoothing of zero counts; x100.
+
+    Tokens are computed once (reliable checkpoint); all n-gram orders of the hypotheses and of the
+    references come out of one explode each, meet in one join on (key, n, gram), and one
+    aggregation per order gives the clipped counts."""
+    from corpusprep.session import cut_lineage
+    toks = cut_lineage(df.select(key, tokenize(_c(pred)).alias("h"),
+                                 F.transform(_c(refs), lambda r: tokenize(r)).alias("rs")))
     hyp_len = F.size("h")
     ref_lens = F.transform("rs", lambda r: F.size(r))
     closest = F.aggregate(ref_lens, F.lit(None).cast("int"),
@@ -175,18 +193,16 @@ def corpus_bleu(df: DataFrame, key: str, pred: str, refs: str, tokenize=pretoken
                           .when(F.abs(L - hyp_len) < F.abs(acc - hyp_len), L)
                           .when((F.abs(L - hyp_len) == F.abs(acc - hyp_len)) & (L < acc), L).otherwise(acc))
     lens = toks.agg(F.sum(hyp_len).alias("c"), F.sum(closest).alias("r"))
-    stats = []
-    refs_ex = toks.select(key, F.posexplode("rs").alias("ri", "r"))
-    for n in range(1, max_n + 1):
-        h = _ngrams(toks, key, "h", n)
-        r = _ngrams(refs_ex, key, "r", n, ["ri"]).groupBy(key, "gram").agg(F.max("c").alias("rc"))
-        clipped = h.join(r, [key, "gram"], "left").select(F.least("c", F.coalesce("rc", F.lit(0))).alias("m"), "c")
-        s = clipped.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("match"), F.coalesce(F.sum("c"), F.lit(0)).alias("total"))
-        stats.append(s.select(F.lit(n).alias("n"), "match", "total"))
-    allstats = stats[0]
-    for s in stats[1:]:
-        allstats = allstats.unionByName(s)
-    rows = allstats.orderBy("n").collect()
+    h = toks.select(key, F.explode(_all_ngrams(F.col("h"), max_n)).alias("g")).select(key, "g.n", "g.gram") \
+        .groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("c"))
+    r = toks.select(key, F.posexplode("rs").alias("ri", "r")) \
+        .select(key, "ri", F.explode(_all_ngrams(F.col("r"), max_n)).alias("g")).select(key, "ri", "g.n", "g.gram") \
+        .groupBy(key, "ri", "n", "gram").agg(F.count(F.lit(1)).alias("c")) \
+        .groupBy(key, "n", "gram").agg(F.max("c").alias("rc"))
+    clipped = h.join(r, [key, "n", "gram"], "left").select("n", F.least("c", F.coalesce("rc", F.lit(0))).alias("m"), "c")
+    stats = clipped.groupBy("n").agg(F.sum("m").alias("match"), F.sum("c").alias("total"))
+    got = {int(x["n"]): (int(x["match"]), int(x["total"])) for x in stats.collect()}
+    rows = [{"n": n, "match": got.get(n, (0, 0))[0], "total": got.get(n, (0, 0))[1]} for n in range(1, max_n + 1)]
     c, r = lens.first()
     c, r = int(c or 0), int(r or 0)
     logs, k = [], 1

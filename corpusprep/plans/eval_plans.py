@@ -181,7 +181,41 @@ def squad_scores_docs(spark, sf_dir):
     return mt.squad_scores(pred, ref, "id")
 
 
-@register("bleu_doc_pairs")
+TOK_SQL = "regexp_extract_all({c}, '[\\p{{L}}\\p{{N}}_\\p{{M}}]+|[^\\p{{L}}\\p{{N}}_\\p{{M}}\\s]')"
+
+
+def _bleu_sql() -> str:
+    """DuckDB twin of ``metrics.corpus_bleu`` over the previous / next document of each source."""
+    ctes = [f"""nb AS (SELECT doc_id, text, lag(text) OVER (PARTITION BY source ORDER BY doc_id) AS pv,
+                   lead(text) OVER (PARTITION BY source ORDER BY doc_id) AS nx FROM documents),
+p AS (SELECT doc_id, {TOK_SQL.format(c='text')} AS h, list_filter([pv, nx], lambda x: x IS NOT NULL) AS refs FROM nb),
+lens AS (SELECT doc_id, h, list_transform(refs, lambda r: {TOK_SQL.format(c='r')}) AS rs FROM p WHERE len(refs) > 0),
+refs_ex AS (SELECT doc_id, unnest(rs) AS r, generate_subscripts(rs, 1) AS ri FROM lens),
+closest AS (SELECT doc_id, arg_min(rl, (abs(rl - hl), rl)) AS cl FROM (
+              SELECT l.doc_id, len(l.h) AS hl, len(e.r) AS rl FROM lens l JOIN refs_ex e ON l.doc_id = e.doc_id) GROUP BY doc_id),
+tot AS (SELECT CAST((SELECT sum(len(h)) FROM lens) AS BIGINT) AS c, CAST((SELECT sum(cl) FROM closest) AS BIGINT) AS r)"""]
+    for n in range(1, 5):
+        ctes.append(f"""hg{n} AS (SELECT doc_id, g, count(*) AS c FROM (
+    SELECT doc_id, array_to_string(h[i:i + {n - 1}], chr(1)) AS g FROM (SELECT doc_id, h, unnest(range(1, len(h) - {n - 2})) AS i FROM lens))
+  GROUP BY doc_id, g),
+rg{n} AS (SELECT doc_id, g, max(c) AS rc FROM (SELECT doc_id, ri, g, count(*) AS c FROM (
+    SELECT doc_id, ri, array_to_string(r[i:i + {n - 1}], chr(1)) AS g FROM (SELECT doc_id, ri, r, unnest(range(1, len(r) - {n - 2})) AS i FROM refs_ex))
+  GROUP BY doc_id, ri, g) GROUP BY doc_id, g),
+st{n} AS (SELECT CAST(coalesce(sum(least(h.c, coalesce(r.rc, 0))), 0) AS DOUBLE) AS m, CAST(coalesce(sum(h.c), 0) AS DOUBLE) AS t
+          FROM hg{n} h LEFT JOIN rg{n} r ON h.doc_id = r.doc_id AND h.g = r.g)""")
+    k = []
+    logs = []
+    for n in range(1, 5):
+        k.append(" * ".join(f"(CASE WHEN st{j}.m = 0 THEN 2 ELSE 1 END)" for j in range(1, n + 1)))
+        logs.append(f"CASE WHEN st{n}.m = 0 THEN ln(1.0 / (({k[-1]}) * st{n}.t)) ELSE ln(st{n}.m / st{n}.t) END")
+    bleu = (f"CASE WHEN tot.c = 0 OR st1.t = 0 OR st2.t = 0 OR st3.t = 0 OR st4.t = 0 THEN 0.0 ELSE 100 * "
+            f"(CASE WHEN tot.c >= tot.r THEN 1.0 ELSE exp(1 - tot.r / tot.c) END) * exp(({' + '.join(logs)}) / 4) END")
+    prec = ", ".join(f"round(CASE WHEN st{n}.t > 0 THEN 100.0 * st{n}.m / st{n}.t ELSE 0.0 END, 4) AS p{n}" for n in range(1, 5))
+    return ("WITH " + ",\n".join(ctes) + f"""
+SELECT round({bleu}, 4) AS bleu, {prec}, tot.c AS sys_len, tot.r AS ref_len FROM tot, st1, st2, st3, st4""")
+
+
+@register("bleu_doc_pairs", _bleu_sql())
 def bleu_doc_pairs(spark, sf_dir):
     """Corpus BLEU of every document against the previous and next document of its source."""
     from corpusprep.operators.ranking import neighbor_values
