@@ -161,8 +161,7 @@ def learn_wordpiece(freqs: DataFrame, vocab_size: int, specials: tuple[str, ...]
     spark = freqs.sparkSession
     words = cut_lineage(_wp_initial(freqs))
     alpha_df = words.select(F.explode("symbols").alias("t")).distinct()
-    _check_size(alpha_df.count(), "alphabet")
-    alphabet = [r[0] for r in alpha_df.orderBy("t").collect()]
+    alphabet = sorted(r[0] for r in bounded_collect(alpha_df, "alphabet"))
     vocab = list(specials) + alphabet
     step = 0
     while len(vocab) < vocab_size and (max_merges is None or step < max_merges):
@@ -221,6 +220,13 @@ def _check_size(n: int, what: str):
         raise ValueError(f"{what} has {n} entries, over the broadcast bound {MAX_MODEL_ENTRIES}")
 
 
+def bounded_collect(df: DataFrame, what: str):
+    """Collect a model table in one job, never more than the bound plus one row (the check)."""
+    rows = df.limit(MAX_MODEL_ENTRIES + 1).collect()
+    _check_size(len(rows), what)
+    return rows
+
+
 def unigram_seed(freqs: DataFrame, size: int, max_len: int = 12) -> DataFrame:
     """Initial unigram units: every character plus the ``size`` most frequent substrings of length
     >= 2 (frequency = sum of word counts over occurrences); -log p from those frequencies."""
@@ -244,11 +250,11 @@ def prune_unigram(freqs: DataFrame, size: int, seed_size: int | None = None, sha
     words = cut_lineage(freqs.select("word", "count"))
     out_schema = T.StructType([T.StructField("unit", T.StringType()), T.StructField("loss", T.DoubleType())])
     while True:
-        n_units = units.count()
-        _check_size(n_units, "unigram model")
+        rows = bounded_collect(units.select("unit", "score"), "unigram model")
+        n_units = len(rows)
         if n_units <= size:
             break
-        model = {r["unit"]: float(r["score"]) for r in units.select("unit", "score").collect()}
+        model = {r["unit"]: float(r["score"]) for r in rows}
         bc = spark.sparkContext.broadcast(model)
 
         def losses(it, bc=bc):
@@ -363,22 +369,19 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretok
 
 def encode_bpe(df: DataFrame, c, key: str, merges: DataFrame, byte_level: bool = False) -> DataFrame:
     """Replay the merge list (lowest rank first) on every word; (key, tokens, word_ids)."""
-    _check_size(merges.count(), "merge list")
-    ranks = {(r["left"], r["right"]): int(r["rank"]) for r in merges.collect()}
+    ranks = {(r["left"], r["right"]): int(r["rank"]) for r in bounded_collect(merges, "merge list")}
     return _encode_partitions(df, key, c, ranks, lambda w, m: _bpe_segment(w, m, byte_level))
 
 
 def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame) -> DataFrame:
     """Longest match from the left, '##' for continuation pieces, whole word [UNK] on failure."""
-    _check_size(vocab.count(), "vocabulary")
-    tokens = {r["token"] for r in vocab.select("token").collect()}
+    tokens = {r["token"] for r in bounded_collect(vocab.select("token"), "vocabulary")}
     return _encode_partitions(df, key, c, tokens, _wordpiece_segment)
 
 
 def encode_unigram(df: DataFrame, c, key: str, units: DataFrame) -> DataFrame:
     """Viterbi best path (largest product of unit probabilities); unknown word -> [UNK]."""
-    _check_size(units.count(), "unigram model")
-    model = {r["unit"]: float(r["score"]) for r in units.select("unit", "score").collect()}
+    model = {r["unit"]: float(r["score"]) for r in bounded_collect(units.select("unit", "score"), "unigram model")}
     return _encode_partitions(df, key, c, model, lambda w, m: _viterbi(w, m)[0] or [UNK])
 
 
@@ -389,9 +392,7 @@ def to_ids(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", out: str = "
     is broadcast as two Arrow arrays and every batch is looked up with one hash lookup in C++."""
     import pyarrow as pa
     import pyarrow.compute as pc
-    n = vocab.count()
-    _check_size(n, "vocabulary")
-    rows = vocab.select("token", "id").collect()
+    rows = bounded_collect(vocab.select("token", "id"), "vocabulary")
     bc = df.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [int(r[1]) for r in rows]))
     schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.ArrayType(T.IntegerType()))])
 
@@ -416,8 +417,7 @@ def to_ids(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", out: str = "
 def to_tokens(df: DataFrame, vocab: DataFrame, ids: str = "input_ids", out: str = "tokens") -> DataFrame:
     """B9 reverse: id array -> token array (unknown id -> [UNK])."""
     inverse = vocab.select(F.col("id"), F.col("token"))
-    _check_size(inverse.count(), "vocabulary")
-    mapping = {int(r["id"]): r["token"] for r in inverse.collect()}
+    mapping = {int(r["id"]): r["token"] for r in bounded_collect(inverse, "vocabulary")}
     bc = df.sparkSession.sparkContext.broadcast(mapping)
     schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.ArrayType(T.StringType()))])
 
