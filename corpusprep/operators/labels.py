@@ -19,7 +19,8 @@ def _prev(word_ids, i):
 
 def align_continue(labels, word_ids) -> Column:
     """Specials -> -100; the first piece of a word keeps its label; later pieces turn B- (odd)
-    into I- (odd + 1)."""
+    into I- (odd + 1).  ``labels`` should be a stored column (from a scan, join or Python stage):
+    it is indexed per token inside the lambda, so an expression would be re-evaluated per token."""
     def f(w, i):
         prev = _prev(word_ids, i)
         lab = F.element_at(_c(labels), w + 1)

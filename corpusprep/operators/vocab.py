@@ -331,9 +331,26 @@ def _wordpiece_segment(word: str, vocab: set, max_chars: int = 100) -> list[str]
     return pieces
 
 
-def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretokenize) -> DataFrame:
+def _piece_offsets(word: str, start: int, pieces: list[str]) -> list[dict]:
+    """[start, end) character span of every piece of a word: continuation markers do not count,
+    an unknown word maps to the whole word."""
+    out, pos = [], start
+    for p in pieces:
+        if p == UNK:
+            out.append({"start": start, "end": start + len(word)})
+            continue
+        n = len(p[len(CONTINUATION):]) if p.startswith(CONTINUATION) else len(p)
+        out.append({"start": pos, "end": pos + n})
+        pos += n
+    return out
+
+
+OFFSETS_T = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+
+
+def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretokenize, char_offsets: bool = True) -> DataFrame:
     """Pre-tokenise in Spark, segment every word in the task (per-task cache), keep token, word index
-    and character offsets of every piece."""
+    and (Q6) the character span of every piece, found by locating each pre-token in the text in order."""
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(model)
     pieces_t = T.ArrayType(T.StringType())
@@ -341,16 +358,17 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretok
         T.StructField(key, df.schema[key].dataType),
         T.StructField("tokens", pieces_t),
         T.StructField("word_ids", T.ArrayType(T.IntegerType())),
+        T.StructField("offsets", OFFSETS_T),
     ])
-    src = df.select(key, pretok(_c(c)).alias("_words"))
+    src = df.select(key, _c(c).alias("_text"), pretok(_c(c)).alias("_words"))
 
     def run(it):
         m = bc.value
         cache: dict = {}
         for pdf in it:
-            toks, wids = [], []
-            for ws in pdf["_words"]:
-                t_row, w_row = [], []
+            toks, wids, offs = [], [], []
+            for text, ws in zip(pdf["_text"], pdf["_words"]):
+                t_row, w_row, o_row, cursor = [], [], [], 0
                 for wi, w in enumerate(ws):
                     seg = cache.get(w)
                     if seg is None:
@@ -360,9 +378,15 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretok
                         cache[w] = seg
                     t_row.extend(seg)
                     w_row.extend([wi] * len(seg))
+                    if char_offsets:
+                        start = text.find(w, cursor) if text is not None else -1
+                        start = cursor if start < 0 else start
+                        o_row.extend(_piece_offsets(w, start, seg))
+                        cursor = start + len(w)
                 toks.append(t_row)
                 wids.append(w_row)
-            yield pd.DataFrame({key: pdf[key], "tokens": toks, "word_ids": wids})
+                offs.append(o_row if char_offsets else None)
+            yield pd.DataFrame({key: pdf[key], "tokens": toks, "word_ids": wids, "offsets": offs})
 
     return src.mapInPandas(run, schema)
 
@@ -370,7 +394,7 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretok
 def encode_bpe(df: DataFrame, c, key: str, merges: DataFrame, byte_level: bool = False) -> DataFrame:
     """Replay the merge list (lowest rank first) on every word; (key, tokens, word_ids)."""
     ranks = {(r["left"], r["right"]): int(r["rank"]) for r in bounded_collect(merges, "merge list")}
-    return _encode_partitions(df, key, c, ranks, lambda w, m: _bpe_segment(w, m, byte_level))
+    return _encode_partitions(df, key, c, ranks, lambda w, m: _bpe_segment(w, m, byte_level), char_offsets=not byte_level)
 
 
 def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame) -> DataFrame:

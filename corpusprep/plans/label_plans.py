@@ -65,18 +65,23 @@ def ner_aligned_docs(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     v = wordpiece_vocab(spark, sf_dir)
     enc = vb.encode_wordpiece(docs, "text", "doc_id", v)
-    pre = docs.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"(?U)(\w+|[^\w\s])"), 1)).alias("n_words"))
-    j = enc.join(pre, "doc_id")
-    # word-level tags for the pre-tokenised words (md5 per word position)
-    wtags = F.transform(F.sequence(F.lit(0), F.greatest(F.col("n_words") - 1, F.lit(0))),
+    n_words = F.size(F.regexp_extract_all("text", F.lit(r"(?U)(\w+|[^\w\s])"), 1))
+    # word-level tags (md5 per word position) are computed below the join, so the alignment lambdas
+    # above it see a plain column and never re-evaluate the tag expression per token
+    wtags = F.transform(F.sequence(F.lit(0), F.greatest(n_words - 1, F.lit(0))),
                         lambda i: F.when(seeded_uniform(F.lit(3), F.col("doc_id"), i) < 0.7, F.lit(0))
                         .otherwise((F.floor(seeded_uniform(F.lit(4), F.col("doc_id"), i) * 8) + 1).cast("int")))
-    j = j.withColumn("word_tags", wtags).withColumn("wids", lb.with_special_word_ids("word_ids"))
+    pre = docs.select("doc_id", "text", wtags.alias("word_tags"))
+    j = enc.join(pre, "doc_id").withColumn("wids", lb.with_special_word_ids("word_ids"))
     j = j.withColumn("labels_cont", lb.align_continue("word_tags", "wids")).withColumn("labels_first", lb.align_first("word_tags", "wids"))
     names = F.array(*[F.lit(n) for n in NER_TAGS])
     side = lb.side_by_side(F.slice("tokens", 1, 1 << 20), F.transform(F.slice("labels_cont", 2, F.size("tokens")),
                                                                       lambda x: F.coalesce(F.element_at(names, x + 1), F.lit("-"))))
-    return j.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("labels_cont").alias("n_labels"),
+    # Q6 / Q9: every piece's character span holds the piece itself (continuation marker removed)
+    offsets_ok = F.forall(F.arrays_zip(F.col("tokens").alias("t"), F.col("offsets").alias("o")),
+                          lambda e: (e["t"] == "[UNK]") | (F.substring("text", e["o"]["start"] + 1, e["o"]["end"] - e["o"]["start"])
+                                                            == F.regexp_replace(e["t"], "^##", "")))
+    return j.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("labels_cont").alias("n_labels"), offsets_ok.alias("offsets_ok"),
                     F.size(F.filter("labels_first", lambda x: x == -100)).alias("ignored_first"),
                     F.size(F.filter("labels_cont", lambda x: x == -100)).alias("ignored_cont"),
                     F.md5(side).alias("side_md5"))

@@ -60,3 +60,12 @@ def test_single_token(spark):
     enc = spark.createDataFrame([("x", ["x"]), ("yy", ["y", "##y"])], "word string, tokens array<string>")
     out = {r["word"]: r["single"] for r in vb.single_token_ids(enc).collect()}
     assert out == {"x": True, "yy": False}
+
+
+def test_offsets(spark):
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(["[UNK]", "hug", "##s", "b", "##u", "##n"])], "token string, id int")
+    docs = spark.createDataFrame([(1, "hugs,  bun xyz")], "k long, t string")
+    r = vb.encode_wordpiece(docs, "t", "k", vocab).first()
+    spans = [(o["start"], o["end"]) for o in r["offsets"]]
+    assert r["tokens"] == ["hug", "##s", "[UNK]", "b", "##u", "##n", "[UNK]"]
+    assert spans == [(0, 3), (3, 4), (4, 5), (7, 8), (8, 9), (9, 10), (11, 14)]
