@@ -102,13 +102,14 @@ def seeded_cut_labels(df: DataFrame, key: str, seed: int, cuts: list[int], label
         probs += [float(max(0.0, p - 2 * eps)), float(min(1.0, p + 2 * eps))]
     qs = base.approxQuantile("_v", probs, eps)
     bands = [(qs[2 * i], qs[2 * i + 1]) for i in range(len(cuts))]
-    below = base.agg(*[F.count_if(F.col("_v") < lo).alias(f"b{i}") for i, (lo, hi) in enumerate(bands)]).first()
     in_any = None
     for lo, hi in bands:
         cond = (F.col("_v") >= lo) & (F.col("_v") <= hi)
         in_any = cond if in_any is None else (in_any | cond)
+    below = base.agg(*[F.count_if(F.col("_v") < lo).alias(f"b{i}") for i, (lo, hi) in enumerate(bands)],
+                     F.count_if(in_any).alias("band")).first()
     band = base.where(in_any).select(key, "_h", "_v")
-    band_n = band.count()
+    band_n = below["band"]
     if band_n > BAND_MAX:
         ranked, _ = global_rank(base, ["_h", key], "_r", with_total=True)
         slot = F.lit(len(cuts))
