@@ -166,13 +166,16 @@ def rows_per_split(df: DataFrame, split_col: str = "split") -> DataFrame:
 
 
 def expansion_ratio(src: DataFrame, out: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
-    """A5: source rows, produced rows and produced per source row (per group when ``by``)."""
+    """A5: source rows, produced rows and produced per source row (per group when ``by``).
+    Both sides go through one union and one aggregation, so no join (and no cross join) is needed."""
     by = by or []
-    s = src.withColumn("_g", F.lit(0)).groupBy("_g", *by).agg(F.count(F.lit(1)).alias("source_rows"))
-    o = out.withColumn("_g", F.lit(0)).groupBy("_g", *by).agg(
-        F.count(F.lit(1)).alias("output_rows"), F.count_distinct(key).alias("sources_used"))
-    return s.join(o, ["_g", *by], "full").drop("_g") \
-        .withColumn("ratio", F.round(F.col("output_rows") / F.col("source_rows"), 4))
+    key_type = out.schema[key].dataType
+    a = src.select(*by, F.lit(1).alias("_s"), F.lit(0).alias("_o"), F.lit(None).cast(key_type).alias("_k"))
+    b = out.select(*by, F.lit(0).alias("_s"), F.lit(1).alias("_o"), F.col(key).alias("_k"))
+    agg = a.unionByName(b).groupBy(*by).agg(
+        F.sum("_s").cast("long").alias("source_rows"), F.sum("_o").cast("long").alias("output_rows"),
+        F.count_distinct("_k").alias("sources_used"))
+    return agg.withColumn("ratio", F.round(F.col("output_rows") / F.col("source_rows"), 4))
 
 
 def length_stats(df: DataFrame, length, by: list[str] | None = None, approx_median: bool = False) -> DataFrame:
