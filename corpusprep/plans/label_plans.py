@@ -19,7 +19,7 @@ from corpusprep.operators import sequences as sq
 from corpusprep.operators import vocab as vb
 from corpusprep.operators.ranking import seeded_uniform
 from corpusprep.plans.eval_plans import NER_TAGS, _tags_frame
-from corpusprep.plans.sequence_plans import encoded_docs_frame
+from corpusprep.plans.sequence_plans import ENC_SQL, encoded_docs_frame
 from corpusprep.sources.tables import table
 
 QUERIES = {}
@@ -158,7 +158,11 @@ def entity_groups_docs(spark, sf_dir):
                                             F.sum(F.col("char_end") - F.col("char_start")).alias("chars"))
 
 
-@register("qa_windows_udtf")
+@register("qa_windows_udtf", f"""WITH {ENC_SQL},
+w AS (SELECT doc_id, len(ids) AS n, unnest(range(0, CASE WHEN len(ids) <= 53 THEN 1 ELSE 1 + CAST(ceil((len(ids) - 53) / 37) AS BIGINT) END)) AS window_id
+      FROM e WHERE len(ids) > 0)
+SELECT doc_id, CAST(window_id AS INTEGER) AS window_id, CAST(window_id * 37 AS INTEGER) AS start,
+       CAST(least(53, n - window_id * 37) AS INTEGER) AS n_ids FROM w""")
 def qa_windows_udtf(spark, sf_dir):
     """The window generation of Q5 as a Python table function called from SQL."""
     from corpusprep.operators.tablefuncs import register_qa_windows
