@@ -27,7 +27,8 @@ def requests_frame(spark, sf_dir):
     """events as requests: method = event type, elapsed = value, bytes sent = props.k, bytes
     received = size of the props text, start = seconds since the epoch (wall clock as UTC)."""
     ev = table(spark, sf_dir, "events")
-    start = F.unix_micros(F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())) / 1e6
+    from corpusprep.streaming.streams import ntz_to_instant
+    start = F.unix_micros(ntz_to_instant("ts")) / 1e6  # wall clock read as UTC, whatever the session zone
     return ev.select("event_id", "user_id", F.col("event_type").alias("method"), F.col("value").alias("elapsed"),
                      F.get_json_object("props", "$.k").cast("long").alias("send_bytes"),
                      F.length("props").cast("long").alias("recv_bytes"), start.alias("start"))
