@@ -230,3 +230,15 @@ def two_stage_vectors(spark, sf_dir):
     q = rv.centroids(emb, "label", "embedding", "query_vec")
     top = rv.two_stage(q, emb, coarse=50, k=5, q_id="label")
     return top.select("label", "vec_id", F.round("score", 6).alias("score"), "rank")
+
+
+@register("bm25_indexed_search", SQL["bm25_benchmark_docs"])
+def bm25_indexed_search(spark, sf_dir):
+    """V5 with the index built once and persisted (postings bucketed by term hash) in the shared
+    checkpoint area, then searched: only the query terms' buckets are read."""
+    from corpusprep.streaming.streams import checkpoint_path
+    path = checkpoint_path(spark, "bm25-index")
+    rv.save_bm25_index(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    q = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    top = rv.bm25_from_index(q, path, k=3)
+    return top.select(F.col("query_id").alias("item_id"), "doc_id", F.round("score", 6).alias("score"), "rank")
