@@ -109,7 +109,18 @@ def _windows(spark, sf_dir, n=64, stride=16):
     return w.withColumn("offset_mapping", lb.validation_offsets(off, "sequence_ids"))
 
 
-@register("qa_windows_docs")
+@register("qa_windows_docs", f"""WITH {ENC_SQL},
+qa AS (SELECT doc_id, ids, len(ids[1:8]) AS nq, len(ids) AS nt,
+              CAST(floor((('0x' || substr(md5('11:' || CAST(doc_id AS VARCHAR)), 1, 8))::UBIGINT / 4294967296.0) * (len(ids) - 3)) AS BIGINT) AS k
+       FROM e WHERE len(ids) >= 4),
+p AS (SELECT *, 61 - nq AS payload, 61 - nq - 16 AS step FROM qa),
+w AS (SELECT *, unnest(range(0, CASE WHEN nt <= payload THEN 1 ELSE 1 + CAST(ceil((nt - payload) / step) AS BIGINT) END)) AS window_id FROM p),
+s AS (SELECT *, window_id * step AS cs, len(ids[window_id * step + 1:window_id * step + payload]) AS L FROM w)
+SELECT doc_id, CAST(window_id AS INTEGER) AS window_id, CAST(nq + 3 + L AS INTEGER) AS n_ids,
+       CAST(CASE WHEN k >= cs AND k + 2 <= cs + L - 1 THEN k - cs + nq + 2 ELSE 0 END AS INTEGER) AS start_position,
+       CAST(CASE WHEN k >= cs AND k + 2 <= cs + L - 1 THEN k + 2 - cs + nq + 2 ELSE 0 END AS INTEGER) AS end_position,
+       CAST(CASE WHEN k >= cs AND k <= cs + L - 1 THEN k - cs + nq + 2 END AS INTEGER) AS answer_token
+FROM s""")
 def qa_windows_docs(spark, sf_dir):
     """Q5 + Q6 + Q8 + N4 + N5: windows of 64 ids (stride 16) with the question repeated, context
     offsets, and the answer's token span ((0, 0) when outside the window)."""
