@@ -18,7 +18,7 @@ from corpusprep.operators import labels as lb
 from corpusprep.operators import sequences as sq
 from corpusprep.operators import vocab as vb
 from corpusprep.operators.ranking import seeded_uniform
-from corpusprep.plans.eval_plans import NER_TAGS, _tags_frame
+from corpusprep.plans.eval_plans import NER_TAGS, TAGS_SQL, _tags_frame
 from corpusprep.plans.sequence_plans import ENC_SQL, encoded_docs_frame
 from corpusprep.sources.tables import table
 
@@ -153,7 +153,28 @@ def whole_word_masked_docs(spark, sf_dir):
                     F.md5(F.array_join("m.input_ids", ",")).alias("ids_md5"))
 
 
-@register("entity_groups_docs")
+def _entity_groups_sql() -> str:
+    uni = "(('0x' || substr(md5('9:' || CAST(sp.doc_id AS VARCHAR) || ':' || CAST(i AS VARCHAR)), 1, 8))::UBIGINT / 4294967296.0)"
+    return f"""WITH {TAGS_SQL},
+d AS (SELECT tg.doc_id, list_transform(tg.pred, lambda x: nm[x + 1]) AS tags, w.w AS ws,
+             string_split_regex(doc.text, '\\S+') AS seps
+      FROM tg JOIN w ON tg.doc_id = w.doc_id JOIN documents doc ON doc.doc_id = tg.doc_id, names),
+tk AS (SELECT doc_id, unnest(tags) AS tag, generate_subscripts(tags, 1) - 1 AS pos FROM d),
+ty AS (SELECT *, CASE WHEN starts_with(tag, 'B-') OR starts_with(tag, 'I-') THEN substr(tag, 3) END AS typ FROM tk),
+pv AS (SELECT *, lag(typ) OVER (PARTITION BY doc_id ORDER BY pos) AS ptyp FROM ty),
+en AS (SELECT *, sum(CASE WHEN typ IS NOT NULL AND (starts_with(tag, 'B-') OR ptyp IS NULL OR ptyp <> typ) THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ent FROM pv),
+sp AS (SELECT doc_id, typ, min(pos) AS st, max(pos) AS en FROM en WHERE typ IS NOT NULL GROUP BY doc_id, typ, ent),
+x AS (SELECT sp.doc_id, sp.typ,
+             (SELECT avg({uni}) FROM range(sp.st, sp.en + 1) r(i)) AS score,
+             coalesce(list_sum(list_transform(d.ws[sp.st + 1:sp.en + 1], lambda t: length(t))), 0)
+             + coalesce(list_sum(list_transform(d.seps[sp.st + 2:sp.en + 1], lambda g: length(g))), 0) AS chars
+      FROM sp JOIN d ON sp.doc_id = d.doc_id)
+SELECT typ AS entity_group, count(*) AS entities, round(avg(score), 6) AS mean_score, CAST(sum(chars) AS BIGINT) AS chars
+FROM x GROUP BY typ"""
+
+
+@register("entity_groups_docs", _entity_groups_sql())
 def entity_groups_docs(spark, sf_dir):
     """Predicted tags (md5) over the words of every document grouped into entities with mean
     score and character span; counted per type."""
