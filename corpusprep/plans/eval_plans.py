@@ -300,7 +300,41 @@ def embedding_topk_softmax(spark, sf_dir):
     return top.select("vec_id", F.col("token_id").cast("int").alias("token_id"), F.round("prob", 6).alias("prob"), "rank")
 
 
-@register("qa_best_answers")
+def _best_answers_sql() -> str:
+    """DuckDB twin of ``qa_best_answers`` (windows of label_plans._windows, md5 logits)."""
+    from corpusprep.plans.sequence_plans import ENC_SQL
+    u = lambda kind: (f"(('0x' || substr(md5(concat_ws(':', '{kind}', CAST(doc_id AS VARCHAR), CAST(window_id AS VARCHAR), "
+                      f"CAST(t AS VARCHAR))), 1, 8))::UBIGINT / 4294967296.0) * 10")
+    return f"""WITH {ENC_SQL},
+qa AS (SELECT doc_id, len(ids[1:8]) AS nq, len(ids) AS nt FROM e WHERE len(ids) >= 4),
+p AS (SELECT *, 61 - nq AS payload, 61 - nq - 16 AS step FROM qa),
+w AS (SELECT *, unnest(range(0, CASE WHEN nt <= payload THEN 1 ELSE 1 + CAST(ceil((nt - payload) / step) AS BIGINT) END)) AS window_id FROM p),
+s AS (SELECT *, window_id * step AS cs, least(payload, nt - window_id * step) AS L FROM w),
+tok AS (SELECT doc_id, window_id, nq, cs, L, unnest(range(0, nq + 3 + L)) AS t FROM s),
+lg AS (SELECT *, {u('s')} AS sl, {u('e')} AS el,
+              CASE WHEN t >= nq + 2 AND t < nq + 2 + L THEN cs + t - nq - 2 END AS word FROM tok),
+st AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, window_id ORDER BY sl DESC, t) AS r FROM lg)
+       WHERE r <= 20 AND word IS NOT NULL),
+en AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, window_id ORDER BY el DESC, t) AS r FROM lg)
+       WHERE r <= 20 AND word IS NOT NULL),
+pr AS (SELECT st.doc_id, st.word AS sw, en.word AS ew, st.sl + en.el AS score FROM st JOIN en
+       ON st.doc_id = en.doc_id AND st.window_id = en.window_id AND en.t >= st.t AND en.t - st.t <= 29),
+wd AS (SELECT doc_id, text, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS ws,
+              string_split_regex(text, '\\S+') AS seps FROM documents),
+ch AS (SELECT pr.doc_id, pr.score,
+              coalesce(list_sum(list_transform(wd.ws[1:pr.sw], lambda x: length(x))), 0)
+              + coalesce(list_sum(list_transform(wd.seps[1:pr.sw + 1], lambda x: length(x))), 0) AS s_char,
+              coalesce(list_sum(list_transform(wd.ws[1:pr.ew + 1], lambda x: length(x))), 0)
+              + coalesce(list_sum(list_transform(wd.seps[1:pr.ew + 1], lambda x: length(x))), 0) AS e_char
+       FROM pr JOIN wd ON pr.doc_id = wd.doc_id),
+best AS (SELECT doc_id, arg_max(s_char, (score, -s_char, -e_char)) AS bs, arg_max(e_char, (score, -s_char, -e_char)) AS be,
+                max(score) AS score FROM ch GROUP BY doc_id)
+SELECT d.doc_id AS example_id, CASE WHEN best.doc_id IS NULL THEN '' ELSE substr(d.text, CAST(bs + 1 AS BIGINT), CAST(be - bs AS BIGINT)) END AS prediction_text,
+       best.score AS score
+FROM documents d LEFT JOIN best ON d.doc_id = best.doc_id"""
+
+
+@register("qa_best_answers", _best_answers_sql())
 def qa_best_answers(spark, sf_dir):
     """E5 (+J4, J5): windows of 48 words with stride 16 over every document, md5-made start/end
     logits per word, the best valid span (<= 30 words) over all windows of the document."""
