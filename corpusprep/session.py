@@ -1,14 +1,16 @@
 """Session helpers: building a local session for tests and bench, and lineage cuts.
 
 Lineage is cut with reliable ``checkpoint()`` into the shared folder the cluster names
-in ``spark.checkpoint.dir``.  A folder of our own is only set when the session has none
-(tests, local runs); ``localCheckpoint`` is never used because an executor loss would
+in ``spark.checkpoint.dir``.  A folder of our own is only set for a single-machine master without
+one (tests, local runs); a cluster without the setting is an error, since a local folder is not
+visible to its executors.  ``localCheckpoint`` is never used because an executor loss would
 lose the checkpointed blocks.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,16 +43,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a temporary one only when none is configured."""
+    """The session's checkpoint folder.  When none is configured, a local master gets a temporary
+    one (driver and executors share the machine); any other master must name a shared folder."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="corpusprep-ckpt-")
     sc.setCheckpointDir(configured)
-    return configured
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
