@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import byte_texts, components, map_batches, ranges, saved
+from corpusprep.llm.common import KEY_HASH, KEY_ID, byte_texts, components, map_batches, ranges, saved, with_row_key
 
 SEED = 42
 NODE_LIMIT = 4096
@@ -237,5 +237,26 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = hamming_links(fps.select("fp").distinct(), distance)
     label = connected(links).withColumnRenamed("node", "fp")
     rooted = fps.join(label, "fp", "left").select("doc_id", "fp", F.coalesce("label", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # written first, so that the join below is free to split a root that holds many rows
+    smallest = saved(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "components")
     return rooted.join(smallest, "root").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (nulls last), and of rows that share
+    it the one with the smallest text hash.  All columns are kept; texts are not shuffled for rows that go,
+    only keys and fingerprints are."""
+    keyed = with_row_key(docs, id_col, text_col)
+    rows = keyed.select(KEY_ID, KEY_HASH, F.col(id_col).isNull().alias("unnamed"), F.col(text_col).alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fp = np.fromiter((fingerprint_of(t, shingle) for t in byte_texts(batch.column(3))), dtype=np.uint64, count=batch.num_rows)
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fp.view(np.int64))], names=[KEY_ID, KEY_HASH, "unnamed", "fp"])
+
+    fps = saved(map_batches(rows, run, f"{KEY_ID} long, {KEY_HASH} long, unnamed boolean, fp long"), "fingerprints")
+    label = connected(hamming_links(fps.select("fp").distinct(), distance)).withColumnRenamed("node", "fp")
+    rooted = fps.join(label, "fp", "left").withColumn("root", F.coalesce("label", "fp"))
+    best = rooted.groupBy("root").agg(F.min(F.struct("unnamed", KEY_ID, KEY_HASH)).alias("k"))
+    chosen = saved(best.select(f"k.{KEY_ID}", f"k.{KEY_HASH}"), "kept-keys")
+    # rows that repeat both id and text share a key; one of each key is taken
+    return keyed.join(chosen, [KEY_ID, KEY_HASH], "left_semi").dropDuplicates([KEY_ID, KEY_HASH]).drop(KEY_ID, KEY_HASH)

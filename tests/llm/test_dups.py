@@ -142,3 +142,82 @@ def test_drop_frequent_lines(spark):
         assert sorted(map(repr, have)) == sorted(map(repr, slow_lines(rows, min_docs, min_chars)))
         assert got.where("doc_id = 900 and text is null").count() == 1
     assert drop_frequent_lines(docs_of(spark, [])).count() == 0
+
+
+# --- repeated byte strings ---------------------------------------------------------------------------
+
+
+def slow_cut(texts, span):
+    seen = defaultdict(int)
+    data = [(t or "").encode() for t in texts]
+    for t in data:
+        for i in range(len(t) - span + 1):
+            seen[t[i:i + span]] += 1
+    out = []
+    for t in data:
+        gone = bytearray(len(t))
+        for i in range(len(t) - span + 1):
+            if seen[t[i:i + span]] > 1:
+                gone[i:i + span] = b"\1" * span
+        spans = sum(1 for i, g in enumerate(gone) if g and (not i or not gone[i - 1]))
+        out.append((len(t), sum(gone), spans, bytes(b for b, g in zip(t, gone) if not g)))
+    return out
+
+
+def planted_texts():
+    rng = random.Random(7)
+
+    def fresh(n):
+        return "".join(rng.choice("abcdefgh é\n") for _ in range(n))
+    passage, other = fresh(90), fresh(40)
+    texts = [fresh(rng.randint(0, 200)) for _ in range(20)]
+    texts += [fresh(30) + passage + fresh(30) for _ in range(6)] + [fresh(10) + passage[20:70] + other for _ in range(4)]
+    texts += [texts[0]] * 3 + [other + fresh(15) + other, "a" * 300, "ab" * 80, None, "", "x", passage[:39], passage[:40]]
+    for _ in range(25):  # many variants of one passage, so that its anchors fill several shards
+        at = rng.randrange(80)
+        texts.append(passage[:at] + rng.choice("XYZ") + passage[at + 1:] + fresh(5))
+    return texts
+
+
+def test_cut_repeats(spark):
+    from corpusprep.llm.suffix import cut_repeats
+    texts = planted_texts()
+    rows = list(enumerate(texts)) + [(None, "null id " * 9), (3, texts[3]), (3, texts[3])]
+    for span, gram, shard in ((40, 10, 1 << 20), (40, 10, 200), (24, 24, 1 << 20), (300, 5, 1 << 20)):
+        got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+               for r in cut_repeats(docs_of(spark, rows), span=span, gram=gram, block_bytes=2000, shard_bytes=shard).collect()]
+        want = [(i, *w) for (i, _), w in zip(rows, slow_cut([t for _, t in rows], span))]
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert cut_repeats(docs_of(spark, [])).count() == 0
+
+
+def test_suffix_array_and_prefixes():
+    from corpusprep.llm.suffix import Shard, eight_bytes, neighbour_prefixes, suffix_array
+    rng = np.random.default_rng(4)
+    for data in (rng.integers(97, 99, 500).astype(np.uint8), np.frombuffer(b"a" * 200, np.uint8), np.frombuffer(b"abc" * 60, np.uint8)):
+        raw = data.tobytes()
+        order = suffix_array(data, 64).tolist()
+        assert sorted(order) == list(range(len(raw)))
+        heads = [raw[i:i + 64] for i in order if i + 64 <= len(raw)]
+        assert heads == sorted(heads)
+        shard = Shard([raw], 64)
+        before = np.full(len(shard.starts), -1)
+        before[shard.sorted[1:]] = shard.sorted[:-1]
+        lcp = neighbour_prefixes(shard.eight, shard.starts, before, 64, stride=8)
+        for i, b, n in zip(shard.starts.tolist(), before.tolist(), lcp.tolist()):
+            if b >= 0:
+                a, c = raw[i:i + 64], raw[b:b + 64]
+                assert n == next((k for k in range(64) if a[k] != c[k]), 64)
+    assert eight_bytes(np.zeros(0, np.uint8)).tolist() == []
+
+
+def test_shards_merge_by_search():
+    from corpusprep.llm.suffix import Shard
+    rng = random.Random(8)
+    a = ["".join(rng.choice("ab") for _ in range(30)).encode() for _ in range(20)]
+    b = ["".join(rng.choice("ab") for _ in range(30)).encode() for _ in range(20)]
+    left, right = Shard(a, 9), Shard(b, 9)
+    left.mark_across(right)
+    there = {t[i:i + 9] for t in b for i in range(22)}
+    want = [t[i:i + 9] in there for t in a for i in range(22)]
+    assert left.marked.tolist() == want
