@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.llm.common import (BLOCK, KEY_HASH, KEY_ID, ordered_blocks, running_starts, saved, str_texts,
                                    with_row_key)
-from corpusprep.llm.wordbpe import CachedEncoder, WordSplitter
+from corpusprep.llm.wordbpe import STEP_ROWS, CachedEncoder, WordSplitter
 
 MAGIC = b"RPG1"
 SHARD_IDS = 1 << 20
@@ -198,7 +198,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", t
                  pa.array([names], pa.list_(pa.int64())), pa.array([grammar.dump()], pa.binary())],
                 names=["block", "shard", "n_ids", "doc_ids", "payload"])
 
-        for batch in batches:
+        for batch in (whole.slice(a, STEP_ROWS) for whole in batches for a in range(0, whole.num_rows, STEP_ROWS)):
             texts, blocks = str_texts(batch.column("text")), batch.column("block").to_pylist()
             doc_ids, at = batch.column("doc_id").to_pylist(), 0
             for flat, counts in encoder.steps(texts):

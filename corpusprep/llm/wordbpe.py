@@ -32,9 +32,11 @@ from pyspark.sql import functions as F
 from corpusprep.llm.common import ranges, str_texts
 
 #: Chunks and words kept by a task before its cache is emptied.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 200_000
 #: Characters encoded at a time.
-STEP_CHARS = 4 << 20
+STEP_CHARS = 1 << 20
+#: Documents taken from a batch at a time.
+STEP_ROWS = 500
 _BIG = np.int64(1) << 62
 
 # Latin text (U+0021 to U+024F without spaces) whose classes and case are the same in every Unicode version.
@@ -264,27 +266,31 @@ class CachedEncoder:
 
 
 @functools.lru_cache(maxsize=2)
-def merge_encoder(path: str) -> tuple[WordBpe, CachedEncoder]:
-    """The vocabulary of ``path`` and its encoder, once per Python worker."""
-    splitter = WordSplitter(path)
-    bpe = WordBpe(splitter.spec)
-    return bpe, CachedEncoder(splitter, bpe.encode_words)
+def vocabulary(path: str) -> WordBpe:
+    """The vocabulary of ``path``, once per Python worker."""
+    with open(path, encoding="utf-8") as f:
+        return WordBpe(json.load(f))
+
+
+@functools.lru_cache(maxsize=2)
+def merge_encoder(path: str) -> CachedEncoder:
+    """The encoder of ``path``, once per Python worker."""
+    return CachedEncoder(WordSplitter(path), vocabulary(path).encode_words)
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) for every row."""
     def run(batches):
+        encoder = merge_encoder(path)
         for batch in batches:
-            ids, counts = [], []
-            for flat, sizes in merge_encoder(path)[1].steps(str_texts(batch.column(1))):
-                ids.append(flat)
-                counts.append(sizes)
-            at = 0
-            for flat, sizes in zip(ids, counts):  # a step's ids are one batch: list offsets stay small
-                offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sizes)), lists], names=["doc_id", "ids"])
-                at += len(sizes)
+            for a in range(0, batch.num_rows, STEP_ROWS):
+                part = batch.slice(a, STEP_ROWS)
+                at = 0
+                for flat, sizes in encoder.steps(str_texts(part.column(1))):
+                    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+                    lists = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([part.column(0).slice(at, len(sizes)), lists], names=["doc_id", "ids"])
+                    at += len(sizes)
 
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return d.mapInArrow(run, "doc_id long, ids array<int>")
@@ -294,19 +300,18 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_
     """(doc_id, n_tokens, ids_sha256, text): the decoded text and the digest of the ids as little-endian
     unsigned 32-bit integers.  Null ids count as none."""
     def run(batches):
-        bpe = merge_encoder(path)[0]
+        bpe = vocabulary(path)
         for batch in batches:
-            column = batch.column(1)
-            sizes = np.diff(column.offsets.to_numpy())
-            ends = np.concatenate(([0], np.cumsum(sizes)))
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            texts, digests = [], []
-            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                digests.append(hashlib.sha256(flat[a:b].tobytes()).hexdigest())
-                texts.append(bpe.decode(flat[a:b].tolist()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes.astype(np.int64)), pa.array(digests, pa.string()), pa.array(texts, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "text"])
+            for a in range(0, batch.num_rows, STEP_ROWS):
+                doc_ids, sizes, digests, texts = batch.column(0).slice(a, STEP_ROWS), [], [], []
+                for found in batch.column(1).slice(a, STEP_ROWS):
+                    ids = found.values.to_numpy().astype("<u4")
+                    sizes.append(len(ids))
+                    digests.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                    texts.append(bpe.decode(ids.tolist()))
+                yield pa.RecordBatch.from_arrays(
+                    [doc_ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())],
+                    names=["doc_id", "n_tokens", "ids_sha256", "text"])
 
     d = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
     return d.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, text string")
@@ -318,16 +323,17 @@ def encode_checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     encoded = encode_documents(docs, path, id_col, text_col)
 
     def run(batches):
-        bpe = merge_encoder(path)[0]
+        bpe = vocabulary(path)
         for batch in batches:
-            column = batch.column(1)
-            ids, decoded = [], []
-            for found in column:
-                x = found.values.to_numpy().astype("<u4")
-                ids.append(hashlib.sha256(x.tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(bpe.decode(x.tolist()).encode()).hexdigest())
-            sizes = pa.array(np.diff(column.offsets.to_numpy()).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, column, pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                                             names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+            for a in range(0, batch.num_rows, STEP_ROWS):
+                column, sizes, ids, decoded = batch.column(1).slice(a, STEP_ROWS), [], [], []
+                for found in column:
+                    x = found.values.to_numpy().astype("<u4")
+                    sizes.append(len(x))
+                    ids.append(hashlib.sha256(x.tobytes()).hexdigest())
+                    decoded.append(hashlib.sha256(bpe.decode(x.tolist()).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, STEP_ROWS), pa.array(sizes, pa.int64()), column, pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                    names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
 
     return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from corpusprep.llm.minhash import edited_text, fingerprints_of, likeness, neighbour_fingerprints, pack, unpack
 from corpusprep.llm.tokenfile import Grammar, compress, read_documents, write_ids
-from corpusprep.llm.wordbpe import decode_documents, encode_documents, merge_encoder
+from corpusprep.llm.wordbpe import decode_documents, encode_documents, merge_encoder, vocabulary
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, ids string, n_tokens string, start string"
@@ -54,7 +54,7 @@ def test_bpe_equals_library(spark, library):
 
 
 def test_every_code_point(library):
-    encoder = merge_encoder(PATH)[1]
+    encoder = merge_encoder(PATH)
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     texts = [" ".join(f"a{c}1 {c}" for c in points[i:i + 2000]) for i in range(0, len(points), 2000)]
     for t in texts[:12] + texts[20:40:4]:
@@ -64,8 +64,7 @@ def test_every_code_point(library):
 
 def test_cache_is_emptied(library):
     from corpusprep.llm.wordbpe import CachedEncoder
-    bpe, shared = merge_encoder(PATH)
-    small = CachedEncoder(shared.splitter, bpe.encode_words, entries=10)
+    small = CachedEncoder(merge_encoder(PATH).splitter, vocabulary(PATH).encode_words, entries=10)
     texts = [f"word{i} thing{i} <|endoftext|>" for i in range(60)]
     for t in texts:
         assert small.encode([t, t])[0].tolist() == 2 * library.encode(t, add_special_tokens=False).ids
