@@ -1,23 +1,28 @@
 """Language-model scores: online logistic context mixing over the words of a text.
 
 The scored text is the sequence of tokens: words with A-Z lower-cased, each followed by one space, and an
-end mark.  Every token is coded byte by byte and bit by bit.  A bit is predicted from six contexts inside
-the token (none, the last one to four bytes, the whole prefix), each a table of zero and one counts
-addressed by a hash of the context and the bits of the byte so far.  The six log-odds are added with
-weights; the weight set is gated by the bit's place, by how many of the long contexts were ever seen and by
-how often the longest was.  The weights are learned online, batch after batch, by the gradient of the coding
-cost, where a token predicts itself from the counts without its own occurrence.  A second table, also
-adapted online, refines the mixed probability given the bits so far.  The sum of the bits' costs is the
-text's code length.
-
-All contexts lie inside a token, so a token costs the same wherever it stands.  The corpus is therefore
-reduced to distinct words and their counts first (all documents that may be learned from count), the count
-tables are summed over the cluster, and each distinct word is scored once.  Scored words go back to the
-documents in blocks of bounded size; no word list is sent to the driver.
+end mark.  Every token is coded byte by byte and bit by bit.  A bit is predicted from eight contexts (the
+text's class, the last one to four bytes, the whole prefix of the token, and two of them together with the
+class), each a table of zero and one counts addressed by a hash of the context and the bits of the byte so
+far.  The log-odds are added with weights; the weight set is gated by the bit's place, by how many of the long
+contexts were ever seen and by how often the longest was.  The weights are learned online, batch after batch,
+by the gradient of the coding cost, where a token predicts itself from the counts without its own occurrence.
+A second table, also adapted online, refines the mixed probability given the bits so far.  The sum of the
+bits' costs is the text's code length.
+
+The class adapts to the text while it is read: the most frequent words of the corpus are put into groups that
+occur in the same documents (in mixed corpora: languages), and a token's class is the group that most of the
+frequent words before it in the text belong to.
+
+All other contexts lie inside a token, so a token costs the same wherever it stands in texts of a class.  The
+corpus is therefore reduced to distinct (class, word) pairs and their counts (all documents that may be
+learned from count), the count tables are summed over the cluster, and each distinct pair is scored once.
+Scored pairs go back to the documents in blocks of bounded size; no word list is sent to the driver.
 
 The base score is the add-one unigram model over the same tokens.
 
-The model has a fixed size (``TABLE_BITS``): 16-bit counts in at most 2^21 slots per context.
+The model has a fixed size (``TABLE_BITS``): 16-bit counts in at most 2^21 slots per context, and
+``FREQUENT`` words in ``GROUPS`` groups.
 
 Defined results: a null or empty text has only the end token; repeated rows count and are scored each; a
 null id counts as the empty string where ids decide what is held out; with nothing to learn from every bit
@@ -37,12 +42,14 @@ from pyspark.sql import functions as F
 from corpusprep.llm.common import (BLOCK, BLOCK_BYTES, block_count, block_of, byte_texts, mix64, saved, with_row_key)
 
 END_TOKEN = b"\n"
-#: log2 of the slots of each context's table: no byte, one byte, two, three, four bytes, whole prefix.
-TABLE_BITS = (8, 16, 21, 21, 21, 21)
+#: log2 of the slots of each context's table: class; one byte; two with class; two, three, four; prefix; prefix with class.
+TABLE_BITS = (12, 16, 20, 20, 21, 21, 21, 21)
 CHUNK = 1 << 16
-DELTA = 0.15
-STEP = 0.02
+DELTA = 0.05
+STEP = 0.1
 BATCH_WORDS = 2048
+FREQUENT = 256
+GROUPS = 8
 GATES = 8 * 5 * 4
 BUCKETS = 33
 SPREAD = 12.0
@@ -54,27 +61,31 @@ _INPUTS = len(TABLE_BITS) + 1
 class Contexts:
     """Bytes of a list of tokens with the context hashes of each, and the table slots of each bit."""
 
-    def __init__(self, words: list[bytes]):
+    def __init__(self, words: list[bytes], classes: np.ndarray):
         coded = [w if w == END_TOKEN else w + b" " for w in words]
         self.sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
         self.bytes = np.frombuffer(b"".join(coded), dtype=np.uint8).astype(np.uint64)
         first = np.cumsum(self.sizes) - self.sizes
         place = np.arange(len(self.bytes)) - np.repeat(first, self.sizes)
         self.token = np.repeat(np.arange(len(coded)), self.sizes)
+        kind = np.asarray(classes).astype(np.uint64)[self.token]
         last = np.zeros(len(self.bytes), dtype=np.uint64)
-        self.hashes = [last]
+        lasts = []
         for k in range(1, 5):
             back = np.full(len(self.bytes), 0x20, dtype=np.uint64)
             back[place >= k] = self.bytes[np.flatnonzero(place >= k) - k]
             last = last | back << np.uint64(8 * (k - 1))
-            self.hashes.append(last if k == 1 else mix64(last + np.uint64(k << 40)))
+            lasts.append(last)
         power = np.cumprod(np.full(int(self.sizes.max(initial=1)) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
         total = np.cumsum((self.bytes + np.uint64(1)) * power[place])
         before = np.concatenate((np.zeros(1, dtype=np.uint64), total[:-1]))
-        self.hashes.append(mix64((before - np.repeat(before[first], self.sizes)) + place.astype(np.uint64)))
+        prefix = mix64((before - np.repeat(before[first], self.sizes)) + place.astype(np.uint64))
+        of_class = (kind + np.uint64(1)) * np.uint64(0xA24BAED4963EE407)
+        self.hashes = [kind, lasts[0], mix64(lasts[1] + of_class), *(mix64(lasts[k] + np.uint64(k << 40)) for k in (1, 2, 3)),
+                       prefix, mix64(prefix + of_class)]
 
     def bits(self):
-        """For each of the eight bits: (place, bit, bits so far, slots of the six contexts)."""
+        """For each of the eight bits: (place, bit, bits so far, slots of the contexts)."""
         for k in range(8):
             node = (np.uint64(1) << np.uint64(k)) | self.bytes >> np.uint64(8 - k)
             bit = (self.bytes >> np.uint64(7 - k) & np.uint64(1)).astype(np.int64)
@@ -88,15 +99,14 @@ class Contexts:
             yield k, bit, node.astype(np.int64), slots
 
 
-def count_bits(words: list[bytes], counts: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> None:
+def count_bits(words: list[bytes], classes: np.ndarray, counts: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> None:
     """Adds the tokens' bits to the tables."""
-    ctx = Contexts(words)
+    ctx = Contexts(words, classes)
     weight = counts.astype(np.float64)[ctx.token]
     for _, bit, _, slots in ctx.bits():
         for at in slots:
             for table, side in ((ones, bit == 1), (zeros, bit == 0)):
-                hit, inverse = np.unique(at[side], return_inverse=True)
-                table[hit] += np.bincount(inverse, weights=weight[side], minlength=len(hit))
+                np.add.at(table, at[side], weight[side])
 
 
 class Mixer:
@@ -104,7 +114,7 @@ class Mixer:
 
     def __init__(self, table: np.ndarray, weights: np.ndarray | None = None, refine: np.ndarray | None = None):
         self.table = table
-        self.weights = np.full((GATES, _INPUTS), 0.3) if weights is None else weights
+        self.weights = np.full((GATES, _INPUTS), 0.2) if weights is None else weights
         self.squares = np.full((GATES, _INPUTS), 1e-4)
         centre = 1 / (1 + np.exp(-np.linspace(-SPREAD, SPREAD, BUCKETS)))
         prior = np.stack([1 - centre, centre], axis=-1) * 4.0
@@ -122,7 +132,7 @@ class Mixer:
                 n0, n1 = np.maximum(n0 - own * (bit == 0), 0), np.maximum(n1 - own * (bit == 1), 0)
             x[c] = np.log((n1 + np.float32(DELTA)) / (n0 + np.float32(DELTA)))
             total = n0 + n1
-            if c >= 2:
+            if c >= 4:
                 seen += total > 0
         bucket = np.searchsorted(np.array([0.5, 2.5, 15.5], dtype=np.float32), total)
         return x, (k * 5 + seen) * 4 + bucket
@@ -140,9 +150,9 @@ class Mixer:
         mixed = 1 / (1 + np.exp(-logit))
         return 0.5 * mixed + 0.5 * (p[node, low] * (1 - share) + p[node, low + 1] * share), low, share, mixed
 
-    def learn(self, words: list[bytes], counts: np.ndarray) -> None:
+    def learn(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray) -> None:
         """One online step over a batch of tokens, each weighing as much as its count."""
-        ctx = Contexts(words)
+        ctx = Contexts(words, classes)
         weight = counts.astype(np.float64)[ctx.token]
         for k, bit, node, slots in ctx.bits():
             x, gate = self.inputs(k, bit, slots, np.float32(1))
@@ -159,11 +169,11 @@ class Mixer:
                 cell = (node * BUCKETS + side) * 2 + bit
                 self.refine += np.bincount(cell, weights=weight * part, minlength=self.refine.size).reshape(self.refine.shape)
 
-    def bits_of(self, words: list[bytes]) -> np.ndarray:
+    def bits_of(self, words: list[bytes], classes: np.ndarray) -> np.ndarray:
         """Code length of each token in bits."""
         if not words:
             return np.zeros(0)
-        ctx = Contexts(words)
+        ctx = Contexts(words, classes)
         cost = np.zeros(len(ctx.bytes))
         for k, bit, node, slots in ctx.bits():
             x, gate = self.inputs(k, bit, slots, None)
@@ -172,34 +182,98 @@ class Mixer:
         return np.bincount(ctx.token, weights=cost, minlength=len(words))
 
 
-def word_counts(docs: DataFrame, id_col: str, text_col: str, usable: Column) -> DataFrame:
-    """(word, n): occurrences of every token in the documents that may be learned from, end marks included."""
+def counted(docs: DataFrame, text_col: str, usable: Column, tokens) -> DataFrame:
+    """(token, n): how often ``tokens(text)`` gives each token over the usable documents."""
     def run(batches):
         for b in batches:
             n: Counter = Counter()
             for t in byte_texts(b.column(0)):
-                n.update(t.lower().split())
-            n[END_TOKEN] += b.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
+                n.update(tokens(t))
+            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], names=["token", "n"])
 
     d = docs.where(usable).select(F.col(text_col).alias("text"))
-    return d.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return d.mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def plain_tokens(text: bytes) -> list[bytes]:
+    return [*text.lower().split(), END_TOKEN]
+
+
+def classed_tokens(text: bytes, groups: dict[bytes, int]) -> list[bytes]:
+    """The tokens, each with its class as a first byte: the group most often met before it in the text (0
+    before the first frequent word; ties go to the smaller group)."""
+    words = plain_tokens(text)
+    met = np.fromiter((groups.get(w, 0) for w in words), dtype=np.int64, count=len(words))
+    at = np.flatnonzero(met)
+    if not len(at):
+        return [b"\0" + w for w in words]
+    votes = np.zeros((len(at), GROUPS + 1), dtype=np.int32)
+    votes[np.arange(len(at)), met[at]] = 1
+    leader = np.cumsum(votes, axis=0).argmax(axis=1)
+    kind = np.repeat(np.append(0, leader), np.diff(np.concatenate(([0], at + 1, [len(words)])))).tolist()
+    return [_KINDS[k] + w for k, w in zip(kind, words)]
+
+
+_KINDS = [bytes([k]) for k in range(GROUPS + 1)]
+
+
+def word_groups(docs: DataFrame, text_col: str, usable: Column, vocabulary: DataFrame) -> dict[bytes, int]:
+    """Groups 1 to ``GROUPS`` of the most frequent words, by the documents they share: at most ``FREQUENT`` words
+    and the square of that in co-occurrence counts reach the driver."""
+    top = vocabulary.where(F.col("token") != F.lit(END_TOKEN)).orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
+    words = [bytes(r["token"]) for r in top]
+    if not words:
+        return {}
+    number = {w: i for i, w in enumerate(words)}
+    size = len(words)
+
+    def together(batches):
+        total = np.zeros((size, size))
+        for b in batches:
+            rows, cols = [], []
+            for i, t in enumerate(byte_texts(b.column(0))):
+                found = {number[w] for w in t.lower().split() if w in number}
+                rows += [i] * len(found)
+                cols += found
+            here = np.zeros((b.num_rows, size), dtype=np.float32)
+            here[rows, cols] = 1
+            total += here.T @ here
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total.reshape(-1)[cell].astype(np.int64))], names=["cell", "n"])
+
+    pairs = np.zeros(size * size)
+    for r in docs.where(usable).select(F.col(text_col).alias("text")).mapInArrow(together, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        pairs[r["cell"]] = r["n"]
+    pairs = pairs.reshape(size, size)
+    alone = np.sqrt(np.maximum(np.diag(pairs), 1))
+    row = pairs / alone[:, None] / alone[None, :]
+    row /= np.maximum(np.linalg.norm(row, axis=1, keepdims=True), 1e-12)
+    centre = row[:1]
+    while len(centre) < min(GROUPS, size):  # the word least like the centres so far
+        centre = np.concatenate([centre, row[[int((row @ centre.T).max(axis=1).argmin())]]])
+    for _ in range(20):
+        near = (row @ centre.T).argmax(axis=1)
+        centre = np.stack([row[near == k].sum(axis=0) if (near == k).any() else centre[k] for k in range(len(centre))])
+        centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-12)
+    return {w: int(k) + 1 for w, k in zip(words, near)}
 
 
 def _in_batches(batch: pa.RecordBatch, size: int):
-    words, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-    for a in range(0, len(words), size):
-        yield words[a:a + size], counts[a:a + size]
+    """(words, classes, counts) of runs of classed tokens."""
+    tokens, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+    for a in range(0, len(tokens), size):
+        part = tokens[a:a + size]
+        yield [t[1:] for t in part], np.array([t[0] for t in part]), counts[a:a + size]
 
 
-def train_table(vocabulary: DataFrame) -> np.ndarray:
-    """The contexts' counts over the whole vocabulary, summed by table chunks: (SLOTS, 2) uint16, 35 MB
+def train_table(pairs: DataFrame) -> np.ndarray:
+    """The contexts' counts over all (class, word) pairs, summed by table chunks: (SLOTS, 2) uint16, 42 MB
     whatever the data."""
     def count(batches):
         zeros, ones = np.zeros(SLOTS), np.zeros(SLOTS)
         for b in batches:
-            for words, counts in _in_batches(b, 1 << 16):
-                count_bits(words, counts, zeros, ones)
+            for words, classes, counts in _in_batches(b, 1 << 15):
+                count_bits(words, classes, counts, zeros, ones)
         for c in range(0, SLOTS, CHUNK):
             part = np.stack([zeros[c:c + CHUNK], ones[c:c + CHUNK]], axis=1)
             if part.any():
@@ -215,7 +289,7 @@ def train_table(vocabulary: DataFrame) -> np.ndarray:
         scale = np.minimum(1.0, 65000 / np.maximum(pair.max(axis=1), 1))[:, None]
         return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([np.ceil(pair * scale).astype("<u2").tobytes()], pa.binary())})
 
-    summed = vocabulary.select("word", "n").mapInArrow(count, "chunk int, part binary") \
+    summed = pairs.select("token", "n").mapInArrow(count, "chunk int, part binary") \
         .groupBy("chunk").applyInArrow(add, "chunk int, part binary")
     table = np.zeros((SLOTS, 2), dtype=np.uint16)
     for row in summed.toLocalIterator():
@@ -224,15 +298,15 @@ def train_table(vocabulary: DataFrame) -> np.ndarray:
     return table
 
 
-def train_mixer(vocabulary: DataFrame, shared_table) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, refining table): each partition of the vocabulary learns online; weights are averaged by the
+def train_mixer(pairs: DataFrame, shared_table) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, refining table): each partition of the pairs learns online; weights are averaged by the
     tokens seen and the refining counts added up."""
     def learn(batches):
         mixer, tokens = Mixer(shared_table.value), 0
         prior = mixer.refine.copy()
         for b in batches:
-            for words, counts in _in_batches(b, BATCH_WORDS):
-                mixer.learn(words, counts)
+            for words, classes, counts in _in_batches(b, BATCH_WORDS):
+                mixer.learn(words, classes, counts)
                 tokens += int(counts.sum())
         if tokens:
             yield pa.RecordBatch.from_arrays(
@@ -240,7 +314,7 @@ def train_mixer(vocabulary: DataFrame, shared_table) -> tuple[np.ndarray, np.nda
                 names=["tokens", "weights", "refine"])
 
     weights, tokens, mixer = np.zeros((GATES, _INPUTS)), 0.0, Mixer(np.zeros((1, 2), dtype=np.uint16))
-    for row in vocabulary.select("word", "n").mapInArrow(learn, "tokens double, weights binary, refine binary").toLocalIterator():
+    for row in pairs.select("token", "n").mapInArrow(learn, "tokens double, weights binary, refine binary").toLocalIterator():
         weights += row["tokens"] * np.frombuffer(row["weights"]).reshape(GATES, _INPUTS)
         mixer.refine += np.frombuffer(row["refine"]).reshape(mixer.refine.shape)
         tokens += row["tokens"]
@@ -255,46 +329,50 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Scores every text with the model learned from the documents that are not held out."""
     spark = docs.sparkSession
-    vocabulary = saved(word_counts(docs, id_col, text_col, ~held_out), "lm-vocabulary")
+    usable = ~held_out
+    vocabulary = saved(counted(docs, text_col, usable, plain_tokens), "lm-vocabulary")
     size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).collect()[0]
     n_train, v_train = int(size["n"]), int(size["v"])
-    table = spark.sparkContext.broadcast(train_table(vocabulary))
-    weights, refine = train_mixer(vocabulary, table)
+    groups = word_groups(docs, text_col, usable, vocabulary)
+    pairs = saved(counted(docs, text_col, usable, lambda t: classed_tokens(t, groups)), "lm-pairs")
+    table = spark.sparkContext.broadcast(train_table(pairs))
+    weights, refine = train_mixer(pairs, table)
 
     n_blocks = block_count(docs, text_col, block_bytes)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
     dealt = with_row_key(rows, "doc_id", "text").select("doc_id", "text", "held_out", block_of(n_blocks).alias(BLOCK))
 
-    def distinct_words(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
-        found = {END_TOKEN}
+    def distinct_tokens(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
+        found = set()
         for t in byte_texts(block.column("text")):
-            found.update(t.lower().split())
-        return pa.table({"word": pa.array(list(found), pa.binary()), BLOCK: pa.array(np.full(len(found), key[0].as_py(), dtype=np.int32))})
+            found.update(classed_tokens(t, groups))
+        return pa.table({"pair": pa.array(list(found), pa.binary()), BLOCK: pa.array(np.full(len(found), key[0].as_py(), dtype=np.int32))})
 
     def cost(batches):
         mixer = Mixer(table.value, weights, refine)
         for b in batches:
             for a in range(0, b.num_rows, 1 << 15):
                 part = b.slice(a, 1 << 15)
-                bits = mixer.bits_of(part.column("word").to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column("word"), part.column("blocks"), part.column("n"), pa.array(bits)],
-                                                 names=["word", "blocks", "n", "bits"])
-
-    # a word's blocks are listed in runs of bounded length
-    words = dealt.groupBy(BLOCK).applyInArrow(distinct_words, f"word binary, {BLOCK} int") \
-        .groupBy("word", F.floor(F.col(BLOCK) / 1024).alias("run")).agg(F.collect_list(BLOCK).alias("blocks"))
-    known = words.join(vocabulary, "word", "left").select("word", "blocks", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
-    scored = known.mapInArrow(cost, "word binary, blocks array<int>, n long, bits double") \
-        .select(F.explode("blocks").alias(BLOCK), "word", "n", "bits")
+                coded = part.column("pair").to_pylist()
+                bits = mixer.bits_of([t[1:] for t in coded], np.array([t[0] for t in coded]))
+                yield pa.RecordBatch.from_arrays([part.column("pair"), part.column("blocks"), part.column("n"), pa.array(bits)],
+                                                 names=["pair", "blocks", "n", "bits"])
+
+    # a pair's blocks are listed in runs of bounded length
+    found = dealt.groupBy(BLOCK).applyInArrow(distinct_tokens, f"pair binary, {BLOCK} int") \
+        .groupBy("pair", F.floor(F.col(BLOCK) / 1024).alias("run")).agg(F.collect_list(BLOCK).alias("blocks")) \
+        .withColumn("token", F.expr("substring(pair, 2)"))
+    known = found.join(vocabulary, "token", "left").select("pair", "blocks", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+    scored = known.mapInArrow(cost, "pair binary, blocks array<int>, n long, bits double") \
+        .select(F.explode("blocks").alias(BLOCK), "pair", "n", "bits")
 
     def add(block: pa.Table, facts: pa.Table) -> pa.Table:
-        number = {w: i for i, w in enumerate(facts.column("word").to_pylist())}
+        number = {w: i for i, w in enumerate(facts.column("pair").to_pylist())}
         n, bits = facts.column("n").to_numpy(), facts.column("bits").to_numpy()
         base = np.log10((n + 1) / (n_train + v_train + 1))
-        end = number.get(END_TOKEN)
         tokens, known_, bases, scores, per_byte = [], [], [], [], []
         for t in byte_texts(block.column("text")):
-            at = np.array([*map(number.__getitem__, t.lower().split()), end], dtype=np.int64)
+            at = np.array(list(map(number.__getitem__, classed_tokens(t, groups))), dtype=np.int64)
             total = float(bits[at].sum())
             tokens.append(len(at))
             known_.append(int((n[at] > 0).sum()))

@@ -104,16 +104,25 @@ def test_lm_learns_only_from_its_documents_and_beats_the_base(spark):
 
 
 def test_bit_costs_are_a_distribution():
-    words = [w.encode() for w in ["ab", "abc", "b", "xyz", "ab cd".split()[1]]] + [lm.END_TOKEN]
+    words = [b"ab", b"abc", b"b", b"xyz", b"cd", lm.END_TOKEN]
+    classes, counts = np.array([0, 1, 0, 2, 0, 1]), np.array([5, 3, 2, 1, 1, 4])
     zeros, ones = np.zeros(lm.SLOTS), np.zeros(lm.SLOTS)
-    lm.count_bits(words, np.array([5, 3, 2, 1, 1, 4]), zeros, ones)
+    lm.count_bits(words, classes, counts, zeros, ones)
     mixer = lm.Mixer(np.minimum(np.stack([zeros, ones], axis=1), 65000).astype(np.uint16))
     for _ in range(20):
-        mixer.learn(words, np.array([5, 3, 2, 1, 1, 4]))
-    # all first bytes, each followed by its space, and the end mark: shares of one whole
-    every = [bytes([b]) for b in range(256) if b not in (0x20, 0x0A)]
-    assert sum(2.0 ** -mixer.bits_of(every)) + 2.0 ** -mixer.bits_of([lm.END_TOKEN])[0] <= 1.0
-    assert mixer.bits_of([b"ab"])[0] < mixer.bits_of([b"zz"])[0]
+        mixer.learn(words, classes, counts)
+    # all words of one byte, each followed by its space, and the end mark: shares of one whole
+    every = [bytes([b]) for b in range(256) if b not in (0x20, 0x0A)] + [lm.END_TOKEN]
+    assert sum(2.0 ** -mixer.bits_of(every, np.zeros(len(every), dtype=int))) <= 1.0
+    cost = mixer.bits_of([b"ab", b"zz"], np.zeros(2, dtype=int))
+    assert cost[0] < cost[1]
+
+
+def test_classes_follow_the_text():
+    groups = {b"the": 1, b"of": 1, b"der": 2, b"und": 2}
+    got = lm.classed_tokens(b"x The der UND of y und z", groups)
+    assert [t[0] for t in got] == [0, 0, 1, 1, 2, 1, 1, 2, 2] and [t[1:] for t in got] == lm.plain_tokens(b"x The der UND of y und z")
+    assert lm.classed_tokens(b"", groups) == [b"\0\n"] and lm.classed_tokens(b"a", {}) == [b"\0a", b"\0\n"]
 
 
 # --- decontamination ---------------------------------------------------------------------------------
