@@ -53,24 +53,28 @@ PARSED_T = T.StructType([
     T.StructField("links", T.ArrayType(LINK_T)), T.StructField("n_images", T.IntegerType()),
     T.StructField("has_body", T.BooleanType()), T.StructField("body_text", T.StringType()),
     T.StructField("n_divs", T.IntegerType()), T.StructField("n_empty_divs", T.IntegerType()),
-    T.StructField("n_password_inputs", T.IntegerType()),
+    T.StructField("n_password_inputs", T.IntegerType()), T.StructField("error", T.StringType()),
 ])
 
 
 class _PageParser(HTMLParser):
-    """Collects the text of every open element of interest until its end tag (an end tag closes
-    the inner elements still open, as a tree builder would); script/style text is not text."""
+    """Text, links and counts of a page in document order.
+
+    All visible text pieces go to one list; an open element keeps the place where its text begins,
+    so a piece is stored once however deep it stands.  An element takes its slot in the result when
+    it starts and fills it when it ends (an end tag closes the inner elements still open, as a tree
+    builder would).  Script, style and template text is not text."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[list] = []  # [tag, text parts, attrs]
+        self.pieces: list[str] = []
+        self.filled = [0]  # filled[i]: non-blank pieces among the first i
+        self.stack: list[tuple] = []  # (tag, first piece, result list, slot, link target)
         self.hidden = 0
         self.title = self.h1 = self.og = self.meta_desc = None
-        self.headings, self.paragraphs, self.links = [], [], []
+        self.headings, self.paragraphs, self.links, self.divs = [], [], [], []
         self.images = self.passwords = 0
-        self.has_body = False
-        self.body_parts: list[str] = []
-        self.div_texts: list[list[str]] = []
+        self.body = None
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
@@ -83,16 +87,22 @@ class _PageParser(HTMLParser):
                 self.og = a.get("content")
             if a.get("name") == "description" and self.meta_desc is None:
                 self.meta_desc = a.get("content")
-        if tag == "body":
-            self.has_body = True
         if tag in HIDDEN:
             self.hidden += 1
         if tag in VOID:
             return
-        entry = [tag, [], a]
-        if tag == "div":
-            self.div_texts.append(entry[1])
-        self.stack.append(entry)
+        into = None
+        if tag in HEADINGS:
+            into = self.headings
+        elif tag == "p":
+            into = self.paragraphs
+        elif tag == "div":
+            into = self.divs
+        elif tag == "a" and "href" in a:
+            into = self.links
+        if into is not None:
+            into.append(None)
+        self.stack.append((tag, len(self.pieces), into, len(into) - 1 if into is not None else -1, a.get("href") or ""))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -105,56 +115,60 @@ class _PageParser(HTMLParser):
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 while len(self.stack) > i:
-                    self._close(self.stack.pop())
+                    self._close(*self.stack.pop())
                 return
 
     def handle_data(self, data):
-        if self.hidden:
+        if not self.hidden:
+            self.pieces.append(data)
+            self.filled.append(self.filled[-1] + bool(data.strip()))
+
+    def _close(self, tag, first, into, slot, href):
+        if tag == "div":
+            into[slot] = self.filled[-1] > self.filled[first]
             return
-        for entry in self.stack:
-            entry[1].append(data)
-        if any(e[0] == "body" for e in self.stack):
-            self.body_parts.append(data)
-
-    def _close(self, entry):
-        tag, parts, attrs = entry
-        text = "".join(parts)
-        if tag == "title" and self.title is None:
-            self.title = text
-        elif tag in HEADINGS:
+        if into is None and tag not in ("title", "body"):
+            return
+        if tag == "body":
+            if self.body is None:
+                self.body = "".join(piece.strip() for piece in self.pieces[first:])
+            return
+        text = "".join(self.pieces[first:])
+        if tag == "title":
+            if self.title is None:
+                self.title = text
+        elif tag == "p":
+            into[slot] = text.strip()
+        elif tag == "a":
+            into[slot] = {"text": text.strip(), "href": href}
+        else:
+            into[slot] = {"level": tag, "text": text.strip()}
             if tag == "h1" and self.h1 is None:
                 self.h1 = text
-            if text.strip():
-                self.headings.append({"level": tag, "text": text.strip()})
-        elif tag == "p":
-            if text.strip():
-                self.paragraphs.append(text.strip())
-        elif tag == "a" and attrs.get("href") is not None:
-            self.links.append({"text": text.strip(), "href": attrs.get("href")})
 
-    def result(self):
+    def result(self, error: str | None = None):
         while self.stack:
-            self._close(self.stack.pop())
-        empty = sum(1 for parts in self.div_texts if not "".join(parts).strip())
+            self._close(*self.stack.pop())
         return {
             "title": self.title, "h1": self.h1, "og_title": self.og, "meta_description": self.meta_desc,
-            "headings": self.headings, "paragraphs": self.paragraphs, "links": self.links,
-            "n_images": self.images, "has_body": self.has_body,
-            "body_text": "".join(self.body_parts).strip() if self.has_body else None,
-            "n_divs": len(self.div_texts), "n_empty_divs": empty, "n_password_inputs": self.passwords,
+            "headings": [h for h in self.headings if h and h["text"]], "paragraphs": [p for p in self.paragraphs if p],
+            "links": [link for link in self.links if link], "n_images": self.images, "has_body": self.body is not None,
+            "body_text": self.body, "n_divs": len(self.divs), "n_empty_divs": sum(not d for d in self.divs),
+            "n_password_inputs": self.passwords, "error": error,
         }
 
 
 def parse_html(html: str | None) -> dict | None:
+    """The parts of one page; ``error`` names the parser's exception when only the start could be read."""
     if html is None:
         return None
-    p = _PageParser()
+    p, error = _PageParser(), None
     try:
         p.feed(html)
         p.close()
-    except Exception:  # noqa: BLE001 - a broken page still yields what was parsed
-        pass
-    return p.result()
+    except Exception as e:  # noqa: BLE001 - a broken page yields what was parsed, and says so
+        error = f"{type(e).__name__}: {e}"
+    return p.result(error)
 
 
 def parse_pages(df: DataFrame, html: str = "html", out: str = "parsed") -> DataFrame:
@@ -261,7 +275,7 @@ def login_check(html: str = "html", parsed: str | None = "parsed") -> Column:
 
 
 def body_text(parsed: str = "parsed") -> Column:
-    """Visible body text, stripped."""
+    """Visible body text, every piece stripped, joined without a gap."""
     return F.col(parsed)["body_text"]
 
 

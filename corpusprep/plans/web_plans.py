@@ -20,6 +20,18 @@ def register(name, sql=None):
     return wrap
 
 
+# Markup of the given pages that regular expressions can read: text outside scripts, styles and comments, headings
+# and links closed by their own end tag, and the four character references that occur.
+_CLEAN = r"""regexp_replace(regexp_replace(html, '<(script|style)>.*?</(script|style)>', '', 'gs'), '<!--.*?-->', '', 'gs')"""
+
+
+def _text_sql(c: str) -> str:
+    bare = f"regexp_replace({c}, '<[^>]*>', '', 'g')"
+    for ref, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&nbsp;", chr(0xA0)), ("&amp;", "&")):
+        bare = f"replace({bare}, '{ref}', '{char}')"
+    return f"trim({bare}, chr(32) || chr(9) || chr(10) || chr(13) || chr(160))"
+
+
 def _parsed(spark, sf_dir):
     return web.parse_pages(table(spark, sf_dir, "pages"))
 
@@ -36,13 +48,22 @@ def page_outline(spark, sf_dir):
                     web.meta_description().alias("description"), F.length(web.body_text()).alias("body_chars"))
 
 
-@register("page_headings")
+@register("page_headings", rf"""
+WITH m AS (SELECT page_id, regexp_extract_all({_CLEAN}, '(?s)<h[1-6][^>]*>.*?</h[1-6]>') AS ms FROM pages),
+e AS (SELECT page_id, unnest(ms) AS m, generate_subscripts(ms, 1) AS n FROM m),
+t AS (SELECT page_id, n, 'h' || m[3:3] AS level, {_text_sql("m")} AS text FROM e)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS INTEGER) AS position, level, text FROM t WHERE text <> ''""")
 def page_headings(spark, sf_dir):
     """One row per non-empty heading in document order."""
     return web.headings(_parsed(spark, sf_dir), "page_id")
 
 
-@register("page_links")
+@register("page_links", rf"""
+WITH m AS (SELECT page_id, regexp_extract_all({_CLEAN}, '(?s)<a [^>]*href="[^"]*"[^>]*>.*?</a>') AS ms FROM pages),
+e AS (SELECT page_id, unnest(ms) AS m, generate_subscripts(ms, 1) AS n FROM m),
+t AS (SELECT page_id, n, regexp_extract(m, 'href="([^"]*)"', 1) AS href, {_text_sql("m")} AS text FROM e)
+SELECT page_id, CAST(n - 1 AS INTEGER) AS position, CASE WHEN text = '' THEN '{web.NO_LINK_TEXT}' ELSE text END AS text,
+       replace(href, '&amp;', '&') AS href FROM t""")
 def page_links(spark, sf_dir):
     """Link table (text or placeholder, href), only links with an href."""
     return web.links(_parsed(spark, sf_dir), "page_id")

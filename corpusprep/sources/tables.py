@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Tables whose rows carry text that operators tokenise or parse row by row.
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark", "embeddings")
+TABLES = ("documents", "pages", "conversations", "benchmark", "embeddings")
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -13,21 +12,12 @@ TABLES = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One table as a lazy parquet scan; projections and filters reach the scan.
-
-    When the files give the scan fewer splits than the cluster has cores (one large row group,
-    as in small test folders), the rows are spread round-robin over the cores so per-row text
-    work is parallel.  On large inputs the scan already has more splits than cores and nothing
-    is added."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table as a lazy parquet scan; projections and filters reach the scan.  Scan splits follow
+    ``spark.sql.files.maxPartitionBytes`` and ``spark.sql.files.minPartitionNum``."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread and name in TEXT_TABLES:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

@@ -58,3 +58,21 @@ def test_route():
     spark = SparkSession.getActiveSession()
     df = spark.createDataFrame([(True, False), (False, True), (False, False)], "d boolean, l boolean")
     assert [r[0] for r in df.select(web.page_route(F.col("d"), F.col("l"))).collect()] == ["dynamic", "dynamic", "static"]
+
+
+def test_document_order_and_stripped_pieces(spark):
+    p = parsed(spark, "<html><body>\n   <p>one<p>two<p>three\n  <h2>a<h3>b</h3></h2><a href>x</a></body></html>").first()["parsed"]
+    assert [x.replace("\n", "").strip()[:3] for x in p["paragraphs"]] == ["one", "two", "thr"]
+    assert [h["level"] for h in p["headings"]] == ["h2", "h3"] and [(x["text"], x["href"]) for x in p["links"]] == [("x", "")]
+    thin = "<html><body>\n" + "  <div>\n        <b>thin page</b>\n   </div>\n" * 1 + " " * 200 + "</body></html>"
+    r = parsed(spark, thin).select(web.dynamic_score().alias("d"), web.body_text().alias("b")).first()
+    assert r["b"] == "thin page" and r["d"]["confidence"] == 0.8 and r["d"]["is_dynamic"]
+
+
+def test_deep_nesting_is_linear(spark):
+    import time
+    html = "<body>" + "<b>x" * 20000
+    t0 = time.time()
+    p = web.parse_html(html)
+    assert p["body_text"] == "x" * 20000 and p["error"] is None and time.time() - t0 < 20
+    assert web.parse_html(None) is None and web.parse_html("")["has_body"] is False
