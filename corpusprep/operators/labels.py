@@ -77,7 +77,7 @@ def side_by_side(words, label_names) -> Column:
 
 
 def tag_type(tag: Column) -> Column:
-    return F.when(tag.startswith("B-") | tag.startswith("I-"), F.substring(tag, 3, 1 << 20))
+    return F.when(tag.startswith("B-") | tag.startswith("I-"), F.substr(tag, F.lit(3)))
 
 
 def span_array(tags) -> Column:

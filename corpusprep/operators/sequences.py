@@ -172,42 +172,34 @@ def mask_tokens(ids, key, seed: int, p: float = 0.15, vocab_size: int = 30522, f
     Returns struct(input_ids, labels) with labels -100 where not picked."""
     spec = F.array(*[F.lit(s) for s in specials])
 
-    def draw(kind, i):
-        return seeded_uniform(F.lit(seed), F.lit(kind), key, i)
+    def draw(h, at):
+        return F.conv(F.substring(h, at, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
-    def new_id(x, i):
-        pick = (~F.array_contains(spec, x)) & (draw("p", i) < p)
-        v = draw("v", i)
-        rnd = (F.floor(draw("r", i) * (vocab_size - first_random)) + first_random).cast("int")
-        return F.when(~pick, x).when(v < 0.8, F.lit(MASK_ID)).when(v < 0.9, rnd).otherwise(x)
+    # one md5 per token; three runs of its digits are the three draws
+    hashed = F.transform(_c(ids), lambda x, i: F.struct(
+        x.alias("x"), F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), i.cast("string"))).alias("h")))
+    drawn = F.transform(hashed, lambda e: F.struct(
+        e["x"].alias("x"), ((~F.array_contains(spec, e["x"])) & (draw(e["h"], 1) < p)).alias("pick"), draw(e["h"], 9).alias("v"),
+        (F.floor(draw(e["h"], 17) * (vocab_size - first_random)) + first_random).cast("int").alias("r")))
+    both = F.transform(drawn, lambda e: F.struct(
+        F.when(~e["pick"], e["x"]).when(e["v"] < 0.8, F.lit(MASK_ID)).when(e["v"] < 0.9, e["r"]).otherwise(e["x"]).alias("input_ids"),
+        F.when(e["pick"], e["x"]).otherwise(F.lit(IGNORE)).alias("labels")))
+    return F.struct(both["input_ids"].alias("input_ids"), both["labels"].alias("labels"))
 
-    def label(x, i):
-        pick = (~F.array_contains(spec, x)) & (draw("p", i) < p)
-        return F.when(pick, x).otherwise(F.lit(IGNORE))
 
-    return F.struct(F.transform(_c(ids), new_id).alias("input_ids"), F.transform(_c(ids), label).alias("labels"))
+def word_runs(word_ids) -> Column:
+    """Run number per token: a run ends when the word id changes; null ids get null and do not
+    end a run (equal ids around a special count as one word).  One fold per row."""
+    return _runs(_c(word_ids))
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _runs(word_ids: pd.Series) -> pd.Series:
-    def one(ws):
-        out, prev, run = [], None, -1
-        for w in ws:
-            if w is None or (isinstance(w, float) and w != w):
-                out.append(None)
-                continue
-            if prev is None or w != prev:
-                run += 1
-                prev = w
-            out.append(run)
-        return out
-    return word_ids.map(one)
-
-
-def word_runs(word_ids) -> Column:
-    """Run number per token: a run ends when the word id changes; null ids get null and do not
-    end a run (equal ids around a special count as one word).  One linear pass per row."""
-    return _runs(_c(word_ids))
+    def numbered(ids) -> list:
+        w = pd.Series(ids, dtype="Int64")
+        known = w.dropna()
+        return list(known.ne(known.shift()).fillna(True).astype(int).cumsum().sub(1).reindex(w.index).astype("Int64").astype(object).where(w.notna(), None))
+    return word_ids.map(numbered)
 
 
 def mask_words(ids, word_ids, key, seed: int, p: float = 0.2) -> Column:

@@ -1,9 +1,9 @@
 """Vocabulary learning and corpus encoding (B1-B12) as Spark jobs.
 
-Learning works on the distinct-word frequency table (B1), never on the raw corpus: every
-BPE / WordPiece step is one weighted pair count (explode + groupBy, partial aggregation on the
-map side), the best pair is a one-row TopK, and the merge is applied to the word table by an
-Arrow-batched pandas UDF.  Lineage is cut with a reliable checkpoint every few steps.  Unigram
+Learning works on the distinct-word frequency table (B1), never on the raw corpus: a BPE round
+is one weighted pair count (explode + groupBy, partial aggregation on the map side) that yields
+all the merges sure to come next, applied to the word table in one native fold.  Lineage is cut
+with a reliable checkpoint every round.  Unigram
 pruning runs per-word Viterbi in ``mapInPandas`` and sums the loss per unit with ``groupBy``.
 
 Encoding is partition-local: the learned model (bounded by the vocabulary size, checked before
@@ -64,28 +64,6 @@ def word_vocab(freqs: DataFrame, size: int, first_id: int = 1000) -> DataFrame:
 
 # --- BPE learning (B2) ----------------------------------------------------------------------------
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _merge_pair(symbols: pd.Series, left: pd.Series, right: pd.Series) -> pd.Series:
-    a, b = left.iloc[0], right.iloc[0]
-    joined = a + b
-
-    def one(sym):
-        sym = list(sym)
-        if len(sym) < 2:
-            return sym
-        out, i = [], 0
-        while i < len(sym):
-            if i + 1 < len(sym) and sym[i] == a and sym[i + 1] == b:
-                out.append(joined)
-                i += 2
-            else:
-                out.append(sym[i])
-                i += 1
-        return out
-
-    return symbols.map(one)
-
-
 def _pair_counts(words: DataFrame) -> DataFrame:
     pairs = words.select("count", F.explode(F.arrays_zip(
         F.slice("symbols", 1, F.greatest(F.size("symbols") - 1, F.lit(0))),
@@ -98,22 +76,92 @@ def _initial_symbols(freqs: DataFrame, byte_level: bool) -> DataFrame:
     return freqs.select("word", "count", sym.alias("symbols"))
 
 
-def learn_bpe(freqs: DataFrame, merges: int, byte_level: bool = False) -> tuple[DataFrame, DataFrame]:
+def _merge_pairs(symbols: Column, joined: dict[tuple[str, str], str]) -> Column:
+    """Merges every place of the given pairs, left to right, in one fold.  No symbol ends one pair and begins
+    another, so the places of different pairs cannot overlap."""
+    sep = chr(0)  # never inside a symbol pair's key twice: it only parts the two symbols
+    table = F.create_map(*[F.lit(x) for (a, b), t in joined.items() for x in (a + sep + b, t)])
+    key = lambda acc, x: F.concat(F.element_at(acc, -1), F.lit(sep), x)
+    empty = F.array().cast("array<string>")
+    return F.aggregate(symbols, empty, lambda acc, x: F.when(
+        (F.size(acc) > 0) & F.map_contains_key(table, F.coalesce(F.when(F.size(acc) > 0, key(acc, x)), F.lit(""))),
+        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.try_element_at(table, key(acc, x)))))
+        .otherwise(F.concat(acc, F.array(x))))
+
+
+def _join_pair(a: str, b: str, continuation: str = "") -> str:
+    return a + (b[len(continuation):] if continuation and b.startswith(continuation) else b)
+
+
+def apart(candidates: list[tuple]) -> list[tuple]:
+    """The leading candidates (left, right, ...) up to the first one that could overlap an earlier one."""
+    lefts, rights, out = set(), set(), []
+    for c in candidates:
+        a, b = c[0], c[1]
+        if a in rights or b in lefts or (a == b and out):
+            break
+        out.append(c)
+        if a == b:
+            break
+        lefts.add(a)
+        rights.add(b)
+    return out
+
+
+def _new_pair_bounds(words: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
+    """For each pair the largest count that a pair with its merged symbol would have: from the symbols next
+    to its places, before and after."""
+    z = words.select("count", F.explode(F.arrays_zip(
+        F.slice("symbols", 1, F.greatest(F.size("symbols") - 1, F.lit(0))).alias("a"),
+        F.slice("symbols", 2, F.greatest(F.size("symbols") - 1, F.lit(0))).alias("b"),
+        F.concat(F.array(F.lit(None).cast("string")), F.slice("symbols", 1, F.greatest(F.size("symbols") - 2, F.lit(0)))).alias("before"),
+        F.concat(F.slice("symbols", 3, F.greatest(F.size("symbols") - 2, F.lit(0))), F.array(F.lit(None).cast("string"))).alias("after"))).alias("p")) \
+        .select("count", "p.*")
+    wanted = words.sparkSession.createDataFrame(pairs, "a string, b string")
+    near = z.join(F.broadcast(wanted), ["a", "b"])  # as many rows as candidates: a few hundred
+    sides = near.select("a", "b", "count", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("s")),
+                                                               F.struct(F.lit(1).alias("side"), F.col("after").alias("s")))).alias("n"))
+    counts = sides.where("n.s is not null").groupBy("a", "b", "n.side", "n.s").agg(F.sum("count").alias("c"))
+    got = counts.groupBy("a", "b").agg(F.max("c").alias("c")).collect()
+    return {(r["a"], r["b"]): int(r["c"]) for r in got}
+
+
+def _batch(words: DataFrame, room: int, width: int) -> list[tuple[str, str, int]]:
+    """The next merges, as many as are sure to come next one after the other.
+
+    Pairs that cannot overlap keep their counts while the others are merged.  A merge can only bring up pairs
+    with its new symbol, none more frequent than the pair's neighbours allow; as long as the next candidate is
+    more frequent than all of those, it is the next merge."""
+    top = _pair_counts(words).orderBy(F.col("freq").desc(), "left", "right").limit(width).collect()
+    ranked = apart([(r["left"], r["right"], int(r["freq"])) for r in top])[:room]
+    if len(ranked) < 2:
+        return ranked
+    bounds = _new_pair_bounds(words, [(a, b) for a, b, _ in ranked])
+    out, above = [], -1
+    for a, b, f in ranked:
+        if out and f <= above:
+            break
+        out.append((a, b, f))
+        above = max(above, bounds.get((a, b), 0))
+    return out
+
+
+def learn_bpe(freqs: DataFrame, merges: int, byte_level: bool = False, width: int = 256) -> tuple[DataFrame, DataFrame]:
     """B2: start from characters (or bytes), merge the most frequent adjacent pair (ties: left,
-    right) ``merges`` times.  Returns (merges: rank, left, right, freq) and the base alphabet."""
+    right) ``merges`` times.  Returns (merges: rank, left, right, freq) and the base alphabet.
+
+    A round counts the pairs of the distinct words once and takes all leading merges that cannot change each
+    other's rank (at most ``width``), so the result equals merging one pair at a time."""
     spark = freqs.sparkSession
     words = cut_lineage(_initial_symbols(freqs, byte_level))
     alphabet = words.select(F.explode("symbols").alias("token")).distinct()
-    learned = []
-    for step in range(merges):
-        best = _pair_counts(words).orderBy(F.col("freq").desc(), "left", "right").limit(1).collect()
-        if not best:
+    learned: list[tuple] = []
+    while len(learned) < merges:
+        batch = _batch(words, merges - len(learned), width)
+        if not batch:
             break
-        a, b, f = best[0]["left"], best[0]["right"], int(best[0]["freq"])
-        learned.append((step, a, b, f))
-        words = words.withColumn("symbols", _merge_pair(F.col("symbols"), F.lit(a), F.lit(b)))
-        if (step + 1) % CHECKPOINT_EVERY == 0:
-            words = cut_lineage(words)
+        learned += [(len(learned) + i, a, b, f) for i, (a, b, f) in enumerate(batch)]
+        words = cut_lineage(words.withColumn("symbols", _merge_pairs(F.col("symbols"), {(a, b): a + b for a, b, _ in batch})))
     merges_df = spark.createDataFrame(learned, "rank int, left string, right string, freq long")
     return merges_df, alphabet
 
@@ -133,26 +181,6 @@ def _wp_initial(freqs: DataFrame) -> DataFrame:
     return freqs.select("word", "count", sym.alias("symbols"))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _merge_wp(symbols: pd.Series, left: pd.Series, right: pd.Series) -> pd.Series:
-    a, b = left.iloc[0], right.iloc[0]
-    joined = a + (b[len(CONTINUATION):] if b.startswith(CONTINUATION) else b)
-
-    def one(sym):
-        sym = list(sym)
-        out, i = [], 0
-        while i < len(sym):
-            if i + 1 < len(sym) and sym[i] == a and sym[i + 1] == b:
-                out.append(joined)
-                i += 2
-            else:
-                out.append(sym[i])
-                i += 1
-        return out
-
-    return symbols.map(one)
-
-
 def learn_wordpiece(freqs: DataFrame, vocab_size: int, specials: tuple[str, ...] = (PAD, UNK, CLS, SEP, MASK),
                     max_merges: int | None = None):
     """Merge the pair with the best score freq(ab) / (freq(a) * freq(b)) (ties: left, right)
@@ -174,9 +202,9 @@ def learn_wordpiece(freqs: DataFrame, vocab_size: int, specials: tuple[str, ...]
         if not best:
             break
         a, b = best[0]["left"], best[0]["right"]
-        token = a + (b[len(CONTINUATION):] if b.startswith(CONTINUATION) else b)
+        token = _join_pair(a, b, CONTINUATION)
         vocab.append(token)
-        words = words.withColumn("symbols", _merge_wp(F.col("symbols"), F.lit(a), F.lit(b)))
+        words = words.withColumn("symbols", _merge_pairs(F.col("symbols"), {(a, b): token}))
         step += 1
         if step % CHECKPOINT_EVERY == 0:
             words = cut_lineage(words)
@@ -190,12 +218,17 @@ def learn_wordpiece(freqs: DataFrame, vocab_size: int, specials: tuple[str, ...]
 
 # --- Unigram (B4, B8) -----------------------------------------------------------------------------
 
-def _viterbi(word: str, model: dict, banned: str | None = None):
-    """Best segmentation by summed -log p (lower is better); None when impossible."""
+def _longest(model: dict) -> int:
+    return max(map(len, model), default=0)
+
+
+def _viterbi(word: str, model: dict, longest: int, banned: str | None = None):
+    """Best segmentation by summed -log p (lower is better); None when impossible.  ``longest`` is the
+    length of the model's longest unit."""
     n = len(word)
     best = [(0.0, -1)] + [(math.inf, -1)] * n
     for end in range(1, n + 1):
-        for start in range(max(0, end - 24), end):
+        for start in range(max(0, end - longest), end):
             piece = word[start:end]
             if piece == banned:
                 continue
@@ -227,12 +260,13 @@ def bounded_collect(df: DataFrame, what: str):
     return rows
 
 
-def unigram_seed(freqs: DataFrame, size: int, max_len: int = 12) -> DataFrame:
+def unigram_seed(freqs: DataFrame, size: int, max_len: int | None = None) -> DataFrame:
     """Initial unigram units: every character plus the ``size`` most frequent substrings of length
-    >= 2 (frequency = sum of word counts over occurrences); -log p from those frequencies."""
+    >= 2 (frequency = sum of word counts over occurrences); -log p from those frequencies.  All lengths
+    are counted unless ``max_len`` bounds them."""
     n = F.length("word")
     subs = freqs.select("count", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"), n.alias("n"), "word") \
-        .select("count", "word", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_len), F.col("n") - F.col("s")))).alias("l")) \
+        .select("count", "word", "s", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("s") if max_len is None else F.least(F.lit(max_len), F.col("n") - F.col("s")))).alias("l")) \
         .select(F.substring("word", F.col("s") + 1, F.col("l")).alias("unit"), "count", "l")
     counts = subs.groupBy("unit", "l").agg(F.sum("count").alias("freq"))
     singles = counts.where(F.col("l") == 1)
@@ -259,16 +293,17 @@ def prune_unigram(freqs: DataFrame, size: int, seed_size: int | None = None, sha
 
         def losses(it, bc=bc):
             m = bc.value
+            longest = _longest(m)
             for pdf in it:
                 acc: dict = {}
                 for w, cnt in zip(pdf["word"], pdf["count"]):
-                    pieces, base = _viterbi(w, m)
+                    pieces, base = _viterbi(w, m, longest)
                     if pieces is None:
                         continue
                     for p in set(pieces):
                         if len(p) < 2:
                             continue
-                        _, without = _viterbi(w, m, banned=p)
+                        _, without = _viterbi(w, m, longest, banned=p)
                         acc[p] = acc.get(p, 0.0) + cnt * (without - base)
                 if acc:
                     yield pd.DataFrame({"unit": list(acc.keys()), "loss": list(acc.values())})
@@ -312,12 +347,11 @@ def _bpe_segment(word: str, ranks: dict, byte_level: bool) -> list[str]:
     return sym
 
 
-def _wordpiece_segment(word: str, vocab: set, max_chars: int = 100) -> list[str]:
-    if len(word) > max_chars:
-        return [UNK]
+def _wordpiece_segment(word: str, vocab: set, longest: int) -> list[str]:
+    """Longest match from the left; ``longest`` is the length of the vocabulary's longest token."""
     pieces, start = [], 0
     while start < len(word):
-        end, found = len(word), None
+        end, found = min(len(word), start + longest), None
         while start < end:
             piece = word[start:end] if start == 0 else CONTINUATION + word[start:end]
             if piece in vocab:
@@ -400,13 +434,15 @@ def encode_bpe(df: DataFrame, c, key: str, merges: DataFrame, byte_level: bool =
 def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame) -> DataFrame:
     """Longest match from the left, '##' for continuation pieces, whole word [UNK] on failure."""
     tokens = {r["token"] for r in bounded_collect(vocab.select("token"), "vocabulary")}
-    return _encode_partitions(df, key, c, tokens, _wordpiece_segment)
+    longest = _longest(tokens)
+    return _encode_partitions(df, key, c, tokens, lambda w, m: _wordpiece_segment(w, m, longest))
 
 
 def encode_unigram(df: DataFrame, c, key: str, units: DataFrame) -> DataFrame:
     """Viterbi best path (largest product of unit probabilities); unknown word -> [UNK]."""
     model = {r["unit"]: float(r["score"]) for r in bounded_collect(units.select("unit", "score"), "unigram model")}
-    return _encode_partitions(df, key, c, model, lambda w, m: _viterbi(w, m)[0] or [UNK])
+    longest = _longest(model)
+    return _encode_partitions(df, key, c, model, lambda w, m: _viterbi(w, m, longest)[0] or [UNK])
 
 
 # --- ids, decoding, reports (B9-B12) --------------------------------------------------------------

@@ -75,7 +75,7 @@ def ner_aligned_docs(spark, sf_dir):
     j = enc.join(pre, "doc_id").withColumn("wids", lb.with_special_word_ids("word_ids"))
     j = j.withColumn("labels_cont", lb.align_continue("word_tags", "wids")).withColumn("labels_first", lb.align_first("word_tags", "wids"))
     names = F.array(*[F.lit(n) for n in NER_TAGS])
-    side = lb.side_by_side(F.slice("tokens", 1, 1 << 20), F.transform(F.slice("labels_cont", 2, F.size("tokens")),
+    side = lb.side_by_side(F.col("tokens"), F.transform(F.slice("labels_cont", 2, F.size("tokens")),
                                                                       lambda x: F.coalesce(F.element_at(names, x + 1), F.lit("-"))))
     # Q6 / Q9: every piece's character span holds the piece itself (continuation marker removed)
     offsets_ok = F.forall(F.arrays_zip(F.col("tokens").alias("t"), F.col("offsets").alias("o")),

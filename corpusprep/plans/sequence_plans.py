@@ -112,7 +112,7 @@ def packed_docs(spark, sf_dir):
 
 
 @register("padded_batches", f"""WITH {ENC_SQL},
-b AS (SELECT doc_id, ids[1:32] AS ids, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / 8) AS BIGINT) AS batch_id FROM e),
+b AS (SELECT doc_id, ids, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / 8) AS BIGINT) AS batch_id FROM e),
 m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS ml FROM b)
 SELECT doc_id, batch_id, CAST(ml AS INTEGER) AS padded_len,
        {IDS_MD5.format(c='ids || list_transform(range(ml - len(ids)), lambda x: 0)')} AS ids_md5,
@@ -120,10 +120,10 @@ SELECT doc_id, batch_id, CAST(ml AS INTEGER) AS padded_len,
        CAST(len(ids) AS INTEGER) AS mask_ones
 FROM m""")
 def padded_batches(spark, sf_dir):
-    """Q13 + Q14 + Q15: batches of 8 (L8), ids cut at 32, padded to the longest row of the batch;
+    """Q13 + Q14 + Q15: batches of 8 (L8), padded to the longest row of the batch;
     labels padded with -100; attention mask marks real ids."""
     from corpusprep.operators.ranking import assign_batches
-    enc = encoded_docs_frame(spark, sf_dir).select("doc_id", F.slice("ids", 1, 32).alias("ids"))
+    enc = encoded_docs_frame(spark, sf_dir).select("doc_id", "ids")
     b = assign_batches(enc, "doc_id", 8).withColumn("labels", F.col("ids"))
     w = Window.partitionBy("batch_id")
     b = b.withColumn("_ml", F.max(F.size("ids")).over(w)).withColumn("labels", sq.pad_labels("labels", F.col("_ml")))
@@ -134,7 +134,8 @@ def padded_batches(spark, sf_dir):
 
 
 def _u(kind: str) -> str:
-    return (f"(('0x' || substr(md5(concat_ws(':', '42', '{kind}', CAST(doc_id AS VARCHAR), CAST(i - 1 AS VARCHAR))), 1, 8))"
+    at = {"p": 1, "v": 9, "r": 17}[kind]
+    return (f"(('0x' || substr(md5(concat_ws(':', '42', CAST(doc_id AS VARCHAR), CAST(i - 1 AS VARCHAR))), {at}, 8))"
             f"::UBIGINT / 4294967296.0)")
 
 
@@ -142,7 +143,7 @@ PICK = f"(NOT list_contains([0, 100, 101, 102, 103], x) AND {_u('p')} < 0.15)"
 
 
 @register("masked_docs", f"""WITH {ENC_SQL},
-tp AS (SELECT doc_id, [101] || ids[1:126] || [102] AS ids FROM e),
+tp AS (SELECT doc_id, [101] || ids || [102] AS ids FROM e),
 m AS (SELECT doc_id,
         list_transform(ids, lambda x, i: CASE WHEN NOT {PICK} THEN x WHEN {_u('v')} < 0.8 THEN 103
              WHEN {_u('v')} < 0.9 THEN CAST(floor({_u('r')} * 29522) + 1000 AS INTEGER) ELSE x END) AS input_ids,
@@ -150,34 +151,34 @@ m AS (SELECT doc_id,
 SELECT doc_id, {IDS_MD5.format(c='input_ids')} AS ids_md5, {IDS_MD5.format(c='labels')} AS labels_md5,
        CAST(len(list_filter(labels, lambda x: x <> -100)) AS INTEGER) AS n_masked FROM m""")
 def masked_docs(spark, sf_dir):
-    """Q16: seeded 15% token masking (80/10/10) over the templated ids."""
+    """Q16: seeded 15% token masking (80/10/10) over all templated ids of every document."""
     enc = encoded_docs_frame(spark, sf_dir)
-    t = enc.withColumn("ids", sq.single_template("ids", 128)["input_ids"])
+    t = enc.withColumn("ids", sq.single_template("ids")["input_ids"])
     m = t.withColumn("m", sq.mask_tokens("ids", F.col("doc_id"), seed=42, p=0.15))
     return m.select("doc_id", _md5(F.col("m.input_ids")).alias("ids_md5"), _md5(F.col("m.labels")).alias("labels_md5"),
                     F.size(F.filter("m.labels", lambda x: x != -100)).alias("n_masked"))
 
 
 @register("next_token_docs", f"""WITH {ENC_SQL},
-tp AS (SELECT doc_id, ids[1:64] AS ids FROM e)
+tp AS (SELECT doc_id, ids FROM e)
 SELECT doc_id, {IDS_MD5.format(c='ids[1:len(ids) - 1]')} AS inputs_md5, {IDS_MD5.format(c='ids[2:len(ids)]')} AS labels_md5,
        {IDS_MD5.format(c='[0] || ids[1:len(ids) - 1]')} AS decoder_md5 FROM tp""")
 def next_token_docs(spark, sf_dir):
     """Q19 + Q20: next-token inputs/labels and right-shifted decoder inputs (start id 0)."""
-    enc = encoded_docs_frame(spark, sf_dir).select("doc_id", F.slice("ids", 1, 64).alias("ids"))
+    enc = encoded_docs_frame(spark, sf_dir).select("doc_id", "ids")
     nt = enc.withColumn("nt", sq.next_token_labels("ids"))
     return nt.select("doc_id", _md5(F.col("nt.input_ids")).alias("inputs_md5"), _md5(F.col("nt.labels")).alias("labels_md5"),
                      _md5(sq.decoder_inputs("ids", 0)).alias("decoder_md5"))
 
 
 @register("pair_template_docs", f"""WITH {ENC_SQL},
-pr AS (SELECT doc_id, ids[1:20] AS a, lead(ids[1:20]) OVER (PARTITION BY lang ORDER BY doc_id) AS b FROM e)
+pr AS (SELECT doc_id, ids AS a, lead(ids) OVER (PARTITION BY lang ORDER BY doc_id) AS b FROM e)
 SELECT doc_id, CAST(len(a) + len(b) + 3 AS INTEGER) AS n_ids, CAST(len(b) + 1 AS BIGINT) AS type_ones,
        {IDS_MD5.format(c='[101] || a || [102] || b || [102]')} AS ids_md5 FROM pr WHERE b IS NOT NULL""")
 def pair_template_docs(spark, sf_dir):
-    """Q2 + Q8: each document paired with the next one of its language (ids cut at 20 each)."""
+    """Q2 + Q8: each document paired with the next one of its language, all ids of both."""
     from corpusprep.operators.ranking import neighbor_values
-    enc = encoded_docs_frame(spark, sf_dir).select("doc_id", "lang", F.slice("ids", 1, 20).alias("a"))
+    enc = encoded_docs_frame(spark, sf_dir).select("doc_id", "lang", F.col("ids").alias("a"))
     pr = neighbor_values(enc, "lang", "doc_id", ["a"], 1, "next_").withColumnRenamed("next_a", "b").where(F.col("b").isNotNull())
     t = pr.withColumn("t", sq.pair_template("a", "b"))
     return t.select("doc_id", F.size("t.input_ids").alias("n_ids"),
@@ -246,7 +247,7 @@ def frozen_masks_docs(spark, sf_dir):
     with the masked columns renamed to the model's names (same values as the live masking)."""
     from corpusprep.streaming.streams import checkpoint_path
     enc = encoded_docs_frame(spark, sf_dir)
-    t = enc.select("doc_id", sq.single_template("ids", 128)["input_ids"].alias("ids"))
+    t = enc.select("doc_id", sq.single_template("ids")["input_ids"].alias("ids"))
     back = sq.freeze_masks(t, "doc_id", "ids", 42, checkpoint_path(spark, "frozen-masks"))
     return back.select("doc_id", _md5(F.col("input_ids")).alias("ids_md5"), _md5(F.col("labels")).alias("labels_md5"),
                        F.size(F.filter("labels", lambda x: x != -100)).alias("n_masked"))

@@ -13,6 +13,9 @@ from corpusprep.sources.tables import table
 QUERIES = {}
 SQL = {}
 
+# Merges learned by the registered queries; the operators take any number.
+MERGES = 64
+
 
 def register(name, sql=None):
     def wrap(fn):
@@ -50,17 +53,17 @@ def _freqs(spark, sf_dir):
 
 @register("bpe_learned_merges")
 def bpe_learned_merges(spark, sf_dir):
-    """B2: the first 8 BPE merges learned from the whole corpus's word frequencies."""
-    merges, _ = vb.learn_bpe(_freqs(spark, sf_dir), 8)
+    """B2: the first MERGES BPE merges learned from the whole corpus's word frequencies."""
+    merges, _ = vb.learn_bpe(_freqs(spark, sf_dir), MERGES)
     return merges
 
 
 @register("bpe_encoded_docs")
 def bpe_encoded_docs(spark, sf_dir):
-    """B2 + B6 + B11: 8 merges learned, every document encoded; tokens per document under the
+    """B2 + B6 + B11: MERGES merges learned, every document encoded; tokens per document under the
     character alphabet and under the merges."""
     freqs = _freqs(spark, sf_dir)
-    merges, _ = vb.learn_bpe(freqs, 8)
+    merges, _ = vb.learn_bpe(freqs, MERGES)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     enc = vb.encode_bpe(docs, "text", "doc_id", merges)
     base = docs.select("doc_id", F.aggregate(F.transform(pretokenize("text"), lambda w: F.length(w)), F.lit(0),
@@ -70,8 +73,8 @@ def bpe_encoded_docs(spark, sf_dir):
 
 @register("byte_bpe_encoded_docs")
 def byte_bpe_encoded_docs(spark, sf_dir):
-    """B5 + B2 + B6: byte-level BPE (256 base units, no unknown), 6 merges, every document."""
-    merges, _ = vb.learn_bpe(_freqs(spark, sf_dir), 6, byte_level=True)
+    """B5 + B2 + B6: byte-level BPE (256 base units, no unknown), MERGES merges, every document."""
+    merges, _ = vb.learn_bpe(_freqs(spark, sf_dir), MERGES, byte_level=True)
     enc = vb.encode_bpe(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id", merges, byte_level=True)
     return enc.select("doc_id", F.size("tokens").alias("tokens"), F.size(F.filter("tokens", lambda t: F.length(t) > 2)).alias("merged"))
 

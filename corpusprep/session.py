@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Sends this package to the executors as a zip file, for clusters where it is not installed; the functions
+    that run in Python workers are pickled by module name and need it there.  Returns the file's path."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="corpusprep-ship-"), "corpusprep")
+    path = shutil.make_archive(base, "zip", os.path.dirname(root), "corpusprep")
+    spark.sparkContext.addPyFile(path)
+    return path
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder.  When none is configured, a local master gets a temporary
     one (driver and executors share the machine); any other master must name a shared folder."""

@@ -59,24 +59,39 @@ def stream_request_stats(sdf: DataFrame, ts: str, window: str = "1 day", latenes
                          recv: str = "recv_bytes") -> DataFrame:
     """Request statistics per tumbling event-time window; rows later than the watermark are
     dropped, a window is emitted once the watermark passes its end (append mode)."""
-    w = sdf.withWatermark(ts, lateness).groupBy(F.window(ts, window).alias("w"), *(by or []))
+    marked = sdf.withWatermark(ts, lateness) if sdf.isStreaming else sdf
+    w = marked.groupBy(F.window(ts, window).alias("w"), *(by or []))
     return w.agg(F.count(F.lit(1)).alias("requests"), F.sum(sent).alias("bytes_sent"), F.sum(recv).alias("bytes_received"),
                  F.sum(elapsed).alias("total_elapsed")) \
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *(by or []),
                 "requests", "bytes_sent", "bytes_received", "total_elapsed")
 
 
-def stream_validate(sdf: DataFrame, rules: list[tuple[str, Column]], good_path: str, bad_path: str,
-                    checkpoint: str, trigger: dict | None = None):
-    """Continuous validation; every micro-batch is split once into accepted rows and
-    quarantined rows (with their errors), written to two folders.  Returns the running query."""
+def validated_batch(rules: list[tuple[str, Column]], good_path: str, bad_path: str):
+    """The sink of X5: (batch, epoch) -> both parts written under the epoch's own folder."""
     def split(batch: DataFrame, epoch: int):
         checked = batch.withColumn("errors", errors(rules)).persist()
-        checked.where(F.size("errors") == 0).drop("errors").write.mode("append").parquet(good_path)
-        checked.where(F.size("errors") > 0).write.mode("append").parquet(bad_path)
+        checked.where(F.size("errors") == 0).drop("errors").write.mode("overwrite").parquet(f"{good_path}/epoch={epoch}")
+        checked.where(F.size("errors") > 0).write.mode("overwrite").parquet(f"{bad_path}/epoch={epoch}")
         checked.unpersist()
+    return split
+
+
+def open_windows(rows: DataFrame, emitted: DataFrame, ts: str, window: str, **columns) -> DataFrame:
+    """X4 at the end of the input: statistics of the windows the watermark has not closed, from the rows at or
+    after the last emitted window's end."""
+    last = emitted.agg(F.max("window_end")).scalar()
+    tail = rows.where(F.coalesce(F.col(ts) >= last, F.lit(True)))
+    return stream_request_stats(tail, ts, window, **columns)
 
-    w = sdf.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
+
+def stream_validate(sdf: DataFrame, rules: list[tuple[str, Column]], good_path: str, bad_path: str,
+                    checkpoint: str, trigger: dict | None = None):
+    """Continuous validation; every micro-batch is split once into accepted rows and
+    quarantined rows (with their errors), written to two folders.  Each batch overwrites its own
+    ``epoch=<id>`` subfolder, so a batch replayed after a failure is still delivered once.  Returns
+    the running query."""
+    w = sdf.writeStream.foreachBatch(validated_batch(rules, good_path, bad_path)).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 

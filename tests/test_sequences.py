@@ -95,3 +95,20 @@ def test_char_token_lookup(spark):
     r = df.select(sq.char_to_token("o", F.lit(5)).alias("t"), sq.char_to_word("o", "w", F.lit(7)).alias("cw"),
                   sq.word_to_chars("o", "w", F.lit(1)).alias("wc")).first()
     assert r["t"] == 1 and r["cw"] == 1 and (r["wc"]["start"], r["wc"]["end"]) == (4, 9)
+
+
+def test_word_runs_skip_nulls(spark):
+    from corpusprep.operators import sequences as sq
+    df = spark.createDataFrame([([None, 0, 0, None, 0, 1, 1, 0, None],), ([],), ([None],)], "w array<int>")
+    assert [r[0] for r in df.select(sq.word_runs("w")).collect()] == [[None, 0, 0, None, 0, 1, 1, 2, None], [], [None]]
+
+
+def test_masking_reaches_every_id(spark):
+    from pyspark.sql import functions as F
+
+    from corpusprep.operators import sequences as sq
+    df = spark.createDataFrame([(1, list(range(1000, 3000)))], "k long, ids array<int>")
+    m = df.select("ids", sq.mask_tokens("ids", F.col("k"), 42).alias("m")).first()
+    assert len(m["m"]["input_ids"]) == len(m["m"]["labels"]) == 2000
+    picked = [i for i, x in enumerate(m["m"]["labels"]) if x != -100]
+    assert 200 < len(picked) < 400 and max(picked) > 1900 and all(m["m"]["labels"][i] == m["ids"][i] for i in picked)

@@ -93,3 +93,35 @@ def test_export_pages_and_records(spark, tmpdir_path):
     assert "[h1] H" in r["text_file"] and "X -> /x" in r["text_file"]
     files.write_records(spark.createDataFrame([(1, "a")], "id long, t string"), os.path.join(tmpdir_path, "rec"))
     assert spark.read.json(os.path.join(tmpdir_path, "rec")).count() == 1
+
+
+def test_replayed_batch_is_delivered_once(spark, tmpdir_path):
+    from corpusprep.streaming import streams as st
+    good, bad = tmpdir_path + "/good", tmpdir_path + "/bad"
+    sink = st.validated_batch([("x", F.col("v") > 0)], good, bad)
+    batch = spark.createDataFrame([(1,), (-1,), (2,)], "v int")
+    sink(batch, 0)
+    sink(batch, 0)
+    sink(batch, 1)
+    assert spark.read.parquet(good).count() + spark.read.parquet(bad).count() == 6
+
+
+def test_package_runs_from_another_folder(tmpdir_path):
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+from corpusprep.session import ship_package
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+ship_package(spark)
+sys.path.remove({repo!r})
+from corpusprep.operators import web
+print("pages", web.parse_pages(spark.createDataFrame([(1, "<p>x</p>")], "page_id int, html string")).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmpdir_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "pages 1" in got.stdout, got.stderr[-2000:]

@@ -69,3 +69,45 @@ def test_offsets(spark):
     spans = [(o["start"], o["end"]) for o in r["offsets"]]
     assert r["tokens"] == ["hug", "##s", "[UNK]", "b", "##u", "##n", "[UNK]"]
     assert spans == [(0, 3), (3, 4), (4, 5), (7, 8), (8, 9), (9, 10), (11, 14)]
+
+
+def one_at_a_time(counts, merges):
+    """BPE learning by one merge per step over a plain dictionary."""
+    words = [(list(w), c) for w, c in counts.items()]
+    out = []
+    for _ in range(merges):
+        pairs = {}
+        for sym, c in words:
+            for p in zip(sym, sym[1:]):
+                pairs[p] = pairs.get(p, 0) + c
+        if not pairs:
+            break
+        (a, b), f = min(pairs.items(), key=lambda x: (-x[1], x[0]))
+        out.append((a, b, f))
+        for sym, _ in words:
+            i = 0
+            while i < len(sym) - 1:
+                if sym[i] == a and sym[i + 1] == b:
+                    sym[i:i + 2] = [a + b]
+                i += 1
+    return out
+
+
+def test_batched_bpe_equals_one_merge_at_a_time(spark):
+    import random
+    rng = random.Random(1)
+    syllables = ["an", "the", "re", "ou", "tion", "ll", "aa", "st", "é", "ü"]
+    counts = {}
+    for _ in range(400):
+        w = "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+        counts[w] = counts.get(w, 0) + rng.randint(1, 50)
+    counts["aaaaaaa"], counts["ababab"] = 37, 41
+    f = spark.createDataFrame(list(counts.items()), "word string, count long")
+    got = [(r["left"], r["right"], r["freq"]) for r in vb.learn_bpe(f, 80)[0].orderBy("rank").collect()]
+    assert got == one_at_a_time(counts, 80)
+
+
+def test_long_units_and_words(spark):
+    unit = "abcdefghijklmnopqrstuvwxyzabcd"
+    assert vb._viterbi(unit, {unit: 1.0, **{c: 5.0 for c in unit}}, 30)[0] == [unit]
+    assert vb._wordpiece_segment("x" * 150, {"x", "##x"}, 3) == ["x"] + ["##x"] * 149
