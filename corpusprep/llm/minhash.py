@@ -19,6 +19,7 @@ text columns are read.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 
 import numpy as np
@@ -109,13 +110,13 @@ def fingerprints_of(texts: list[bytes]) -> np.ndarray:
 
 
 def pack(values: np.ndarray) -> list[str]:
-    """Two bins to a byte, as lowercase hex."""
+    """Two bins to a byte, as base64."""
     packed = (values[:, ::2] << 4 | values[:, 1::2]).astype(np.uint8)
-    return [row.tobytes().hex() for row in packed]
+    return [base64.b64encode(row.tobytes()).decode() for row in packed]
 
 
 def unpack(fingerprint: str) -> np.ndarray:
-    packed = np.frombuffer(bytes.fromhex(fingerprint), dtype=np.uint8)
+    packed = np.frombuffer(base64.b64decode(fingerprint), dtype=np.uint8)
     return np.stack([packed >> 4, packed & 15], axis=1).reshape(-1)
 
 
