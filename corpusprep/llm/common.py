@@ -59,9 +59,10 @@ def block_of(n_blocks: int) -> Column:
 
 def ordered_blocks(df: DataFrame, text_col: str, block_bytes: int = 2 * BLOCK_BYTES) -> DataFrame:
     """``df`` (with a row key) and the number of the id range each row falls into.  Ranges are meant to
-    be sorted and streamed, not held; their cuts are approximate quantiles, ``ORDERED_BLOCKS`` numbers
-    at most.  Equal ids share a range."""
-    n = min(ORDERED_BLOCKS, block_count(df, text_col, block_bytes))
+    be sorted and streamed, not held, and there are at least as many as shuffle partitions; their cuts are
+    approximate quantiles, ``ORDERED_BLOCKS`` numbers at most.  Equal ids share a range."""
+    n = max(block_count(df, text_col, block_bytes), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = min(ORDERED_BLOCKS, n)
     cuts: list[int] = []
     if n > 1:
         share = [i / n for i in range(1, n)]
