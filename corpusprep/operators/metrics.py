@@ -7,6 +7,7 @@ the reference's gather-to-one-process step; batch-wise accumulation (E2) gives t
 from __future__ import annotations
 
 import math
+from collections import Counter
 import re
 import string
 
@@ -69,22 +70,25 @@ def entity_scores(df: DataFrame, key: str, pred: str, ref: str) -> DataFrame:
     """Entity-level precision / recall / F1 (span and type must match), per type and overall
     (type 'overall', which also carries the token accuracy).  ``pred``/``ref`` are tag-name arrays.
 
-    One pass over the rows emits the spans of both sides plus one token-count record per row; one
-    shuffle on (key, type, start, end) pairs predicted and reference spans; one rollup gives the
-    per-type rows and the overall row."""
+    Both tag arrays stand in one row, so spans are matched inside it (``array_intersect``); only counts per type
+    leave the task, in one rollup that gives the per-type rows and the overall row."""
     from corpusprep.operators.labels import span_array
     marker = "\u0000tokens"
-    side = lambda arr, p, r: F.transform(span_array(F.col(arr)), lambda s_: F.struct(
-        s_["type"].alias("type"), s_["start"].alias("start"), s_["end"].alias("end"),
-        F.lit(p).alias("p"), F.lit(r).alias("r"), F.lit(0).alias("same"), F.lit(0).alias("total")))
+    zero = ("p", "r", "tp", "same", "total")
+
+    def record(kind: Column, **given) -> Column:
+        return F.struct(kind.alias("type"), *[given.get(z, F.lit(0)).cast("long").alias(z) for z in zero])
+
     same = F.size(F.filter(F.arrays_zip(F.col(pred).alias("p"), F.col(ref).alias("r")), lambda e: e["p"] == e["r"]))
-    tokens = F.array(F.struct(F.lit(marker).alias("type"), F.lit(-1).alias("start"), F.lit(-1).alias("end"),
-                              F.lit(0).alias("p"), F.lit(0).alias("r"), same.alias("same"), F.size(ref).alias("total")))
-    rows = df.select(key, F.explode(F.concat(side(pred, 1, 0), side(ref, 0, 1), tokens)).alias("s")).select(key, "s.*")
-    per_span = rows.groupBy(key, "type", "start", "end").agg(
-        F.max("p").alias("p"), F.max("r").alias("r"), F.sum("same").alias("same"), F.sum("total").alias("total"))
-    counts = per_span.rollup("type").agg(
-        F.sum("p").alias("n_pred"), F.sum("r").alias("n_ref"), F.sum(F.col("p") * F.col("r")).alias("tp"),
+    spans = df.select(span_array(pred).alias("_p"), span_array(ref).alias("_r"), same.alias("_same"), F.size(ref).alias("_total"))
+    spans = spans.withColumn("_tp", F.array_intersect("_p", "_r"))
+    rows = spans.select(F.explode(F.concat(
+        F.transform("_p", lambda s_: record(s_["type"], p=F.lit(1))),
+        F.transform("_r", lambda s_: record(s_["type"], r=F.lit(1))),
+        F.transform("_tp", lambda s_: record(s_["type"], tp=F.lit(1))),
+        F.array(record(F.lit(marker), same=F.col("_same"), total=F.col("_total"))))).alias("s")).select("s.*")
+    counts = rows.rollup("type").agg(
+        F.sum("p").alias("n_pred"), F.sum("r").alias("n_ref"), F.sum("tp").alias("tp"),
         F.sum("same").alias("same"), F.sum("total").alias("total"), F.grouping("type").alias("_all"))
     counts = counts.where((F.col("_all") == 1) | (F.col("type") != marker))
     out = counts.select(F.when(F.col("_all") == 1, F.lit("overall")).otherwise(F.col("type")).alias("type"),
@@ -102,19 +106,18 @@ def best_answers(features: DataFrame, examples: DataFrame, n_best: int = 20, max
     """E5: per window the n_best start and end positions by logit; valid pairs (both offsets in the
     context, start <= end, length <= max_len) scored by the logit sum; best over all windows of the
     example; the answer is the context slice, empty when no pair is valid."""
-    from corpusprep.operators.joins import bounded_pairs
-    def top(col, name):
-        ex = features.select(example, feature, "offset_mapping", F.posexplode(col).alias(name, f"{name}_logit"))
-        w = Window.partitionBy(example, feature).orderBy(F.col(f"{name}_logit").desc(), F.col(name))
-        ex = ex.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n_best).drop("_r")
-        return ex.where(F.element_at("offset_mapping", F.col(name) + 1).isNotNull())
-    starts = top("start_logits", "start_index")
-    ends = top("end_logits", "end_index").drop("offset_mapping")
-    pairs = bounded_pairs(starts, ends, [example, feature], max_len)
-    scored = pairs.select(example, (F.col("start_index_logit") + F.col("end_index_logit")).alias("score"),
-                          F.element_at("offset_mapping", F.col("start_index") + 1)["start"].alias("s"),
-                          F.element_at("offset_mapping", F.col("end_index") + 1)["end"].alias("e"))
-    best = scored.groupBy(example).agg(F.max_by(F.struct("s", "e", "score"), F.struct("score", -F.col("s"), -F.col("e"))).alias("b"))
+    def top(col):
+        ranked = F.array_sort(F.transform(F.col(col), lambda x, i: F.struct((-x).alias("o"), i.alias("i"), x.alias("logit"))))
+        return F.filter(F.slice(ranked, 1, n_best), lambda e: F.get("offset_mapping", e["i"]).isNotNull())
+
+    # candidates and their pairs stay inside the feature's row: at most n_best of each side
+    cand = features.select(example, "offset_mapping", top("start_logits").alias("_s"), top("end_logits").alias("_e"))
+    pairs = F.flatten(F.transform("_s", lambda s_: F.transform(
+        F.filter("_e", lambda e_: (e_["i"] >= s_["i"]) & (e_["i"] < s_["i"] + max_len)),
+        lambda e_: F.struct((s_["logit"] + e_["logit"]).alias("score"),
+                            (-F.get("offset_mapping", s_["i"])["start"]).alias("ns"), (-F.get("offset_mapping", e_["i"])["end"]).alias("ne")))))
+    best = cand.select(example, F.array_max(pairs).alias("m")).groupBy(example).agg(F.max("m").alias("m")).where("m is not null") \
+        .select(example, F.struct((-F.col("m.ns")).alias("s"), (-F.col("m.ne")).alias("e"), F.col("m.score").alias("score")).alias("b"))
     j = examples.select(example, context).join(best, example, "left")
     answer = F.when(F.col("b").isNull(), F.lit("")).otherwise(
         F.substring(context, F.col("b.s") + 1, F.col("b.e") - F.col("b.s")))
@@ -135,6 +138,12 @@ def squad_normalize(c) -> Column:
     return F.array_join(kept, " ")
 
 
+@F.pandas_udf(T.LongType())
+def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Size of the multiset intersection of two arrays of the row."""
+    return pd.Series([sum((Counter(x) & Counter(y)).values()) for x, y in zip(a, b)], dtype="int64")
+
+
 def squad_scores(pred: DataFrame, ref: DataFrame, key: str = "id", prediction: str = "prediction_text",
                  answers: str = "answers") -> DataFrame:
     """Exact match and token F1 (x100), each the best over the references, averaged over examples.
@@ -142,12 +151,8 @@ def squad_scores(pred: DataFrame, ref: DataFrame, key: str = "id", prediction: s
     p = pred.select(key, squad_normalize(prediction).alias("p"))
     r = ref.select(key, F.posexplode(answers).alias("ref_id", "a")).select(key, "ref_id", squad_normalize("a").alias("r"))
     pr = p.join(r, key)
-    pt = pr.select(key, "ref_id", F.explode(words("p")).alias("tok")).groupBy(key, "ref_id", "tok").agg(F.count(F.lit(1)).alias("cp"))
-    rt = pr.select(key, "ref_id", F.explode(words("r")).alias("tok")).groupBy(key, "ref_id", "tok").agg(F.count(F.lit(1)).alias("cr"))
-    common = pt.join(rt, [key, "ref_id", "tok"]).groupBy(key, "ref_id").agg(F.sum(F.least("cp", "cr")).alias("same"))
-    per = pr.join(common, [key, "ref_id"], "left").select(
-        key, "ref_id", (F.col("p") == F.col("r")).cast("double").alias("em"),
-        F.size(words("p")).alias("np"), F.size(words("r")).alias("nr"), F.coalesce("same", F.lit(0)).alias("same"))
+    per = pr.select(key, (F.col("p") == F.col("r")).cast("double").alias("em"), words("p").alias("pt"), words("r").alias("rt")) \
+        .select(key, "em", F.size("pt").alias("np"), F.size("rt").alias("nr"), overlap("pt", "rt").alias("same"))
     prec = F.col("same") / F.col("np")
     rec = F.col("same") / F.col("nr")
     f1 = F.when((F.col("np") == 0) | (F.col("nr") == 0), (F.col("np") == F.col("nr")).cast("double")) \
@@ -156,14 +161,6 @@ def squad_scores(pred: DataFrame, ref: DataFrame, key: str = "id", prediction: s
     return best.agg(F.round(100 * F.avg("em"), 4).alias("exact_match"), F.round(100 * F.avg("f1"), 4).alias("f1"))
 
 
-def _ngrams(df: DataFrame, key: str, toks: str, n: int, extra: list[str] | None = None) -> DataFrame:
-    grams = F.transform(F.sequence(F.lit(1), F.size(toks) - n + 1),
-                        lambda i: F.array_join(F.slice(toks, i, n), "\u0001"))
-    src = df.where(F.size(toks) >= n)
-    return src.select(key, *(extra or []), F.explode(grams).alias("gram")) \
-        .groupBy(key, *(extra or []), "gram").agg(F.count(F.lit(1)).alias("c"))
-
-
 def _all_ngrams(toks: Column, max_n: int) -> Column:
     """(n, gram) for every order 1..max_n in one array, so one explode covers all orders."""
     def gram_at(n):
@@ -232,34 +229,37 @@ def rouge_tokens(c) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(_c(c)), "[^a-z0-9]+", " "), " "), lambda x: x != "")
 
 
+def lcs_length(x, y) -> int:
+    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer."""
+    places: dict = {}
+    for i, t in enumerate(x):
+        places[t] = places.get(t, 0) | 1 << i
+    every = (1 << len(x)) - 1
+    row = every
+    for t in y:
+        hit = row & places.get(t, 0)
+        row = ((row + hit) | (row - hit)) & every
+    return len(x) - row.bit_count()
+
+
 @F.pandas_udf(T.LongType())
 def _lcs(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x, y):
-        x, y = list(x), list(y)
-        if not x or not y:
-            return 0
-        prev = [0] * (len(y) + 1)
-        for xi in x:
-            cur = [0]
-            for j, yj in enumerate(y):
-                cur.append(prev[j] + 1 if xi == yj else max(prev[j + 1], cur[j]))
-            prev = cur
-        return prev[-1]
-    return pd.Series([one(x, y) for x, y in zip(a, b)])
+    return pd.Series([lcs_length(x, y) for x, y in zip(a, b)], dtype="int64")
+
+
+def _bigrams(toks: str) -> Column:
+    n = F.size(toks)
+    pairs = F.zip_with(F.slice(toks, 1, F.greatest(n - 1, F.lit(0))), F.slice(toks, 2, F.greatest(n - 1, F.lit(0))),
+                       lambda x, y: F.concat(x, F.lit("\u0001"), y))
+    return F.when(n > 1, pairs).otherwise(F.array().cast("array<string>"))
 
 
 def rouge(df: DataFrame, key: str, pred: str, ref: str) -> DataFrame:
     """ROUGE-1, ROUGE-2 (n-gram overlap) and ROUGE-L (longest common subsequence) F-measures,
-    mean over pairs; recall and precision kept too."""
+    mean over pairs; recall and precision kept too.  All counts are made inside the row."""
     toks = df.select(key, rouge_tokens(pred).alias("h"), rouge_tokens(ref).alias("r"))
-    out = toks.select(key, F.size("h").alias("nh"), F.size("r").alias("nr"))
-    for n in (1, 2):
-        h = _ngrams(toks, key, "h", n)
-        r = _ngrams(toks, key, "r", n).withColumnRenamed("c", "rc")
-        ov = h.join(r, [key, "gram"]).groupBy(key).agg(F.sum(F.least("c", "rc")).alias(f"o{n}"))
-        out = out.join(ov, key, "left")
-    lcs = toks.select(key, _lcs("h", "r").alias("lcs"))
-    out = out.join(lcs, key, "left").na.fill(0)
+    out = toks.select(key, F.size("h").alias("nh"), F.size("r").alias("nr"), overlap("h", "r").alias("o1"),
+                      overlap(_bigrams("h"), _bigrams("r")).alias("o2"), _lcs("h", "r").alias("lcs"))
 
     def fm(o, hn, rn):
         p = F.when(hn > 0, o / hn).otherwise(0.0)
@@ -294,9 +294,9 @@ def top_candidates(df: DataFrame, key: str, logits: str, k: int = 5) -> DataFram
     m = F.array_max(logits)
     probs = F.transform(logits, lambda x: F.exp(x - m))
     total = F.aggregate(probs, F.lit(0.0), lambda a, x: a + x)
-    ex = df.select(key, F.posexplode(F.transform(probs, lambda p: p / total)).alias("token_id", "prob"))
-    w = Window.partitionBy(key).orderBy(F.col("prob").desc(), "token_id")
-    return ex.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = F.array_sort(F.transform(probs, lambda p, i: F.struct((-(p / total)).alias("o"), i.alias("i"))))
+    return df.select(key, F.posexplode(F.slice(ranked, 1, k)).alias("r", "e")) \
+        .select(key, F.col("e.i").alias("token_id"), (-F.col("e.o")).alias("prob"), (F.col("r") + 1).alias("rank"))
 
 
 def clean_labels(labels, pad: int = PAD_ID) -> Column:

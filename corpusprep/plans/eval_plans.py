@@ -151,6 +151,19 @@ def entity_scores_docs(spark, sf_dir):
 PUNCT_SQL = mt.PUNCTUATION.replace("'", "''")
 
 
+# a text without its first line, and without its last
+REST_SQL = "CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END"
+HEAD_SQL = "regexp_replace(text, chr(10) || '[^' || chr(10) || ']*$', '')"
+
+
+def without_first_line(c: str = "text"):
+    return F.when(F.instr(c, "\n") > 0, F.substr(c, F.instr(c, "\n") + 1)).otherwise("")
+
+
+def without_last_line(c: str = "text"):
+    return F.regexp_replace(c, r"\n[^\n]*\z", "")
+
+
 def _norm_sql(c: str) -> str:
     """DuckDB twin of ``metrics.squad_normalize`` (tokens a / an / the dropped)."""
     return ("list_filter(" + WORDS_SQL.format(c=f"translate(lower({c}), '{PUNCT_SQL}', '')")
@@ -158,9 +171,9 @@ def _norm_sql(c: str) -> str:
 
 
 @register("squad_scores_docs", f"""
-WITH p AS (SELECT doc_id, array_to_string({_norm_sql("split_part(text, '.', 1)")}, ' ') AS p FROM documents),
-r AS (SELECT doc_id, 0 AS ref_id, array_to_string({_norm_sql(f"array_to_string(({WORDS_SQL.format(c='text')})[1:12], ' ')")}, ' ') AS r FROM documents
-      UNION ALL SELECT doc_id, 1, array_to_string({_norm_sql("split_part(text, chr(10), 1)")}, ' ') FROM documents),
+WITH p AS (SELECT doc_id, array_to_string({_norm_sql("text")}, ' ') AS p FROM documents),
+r AS (SELECT doc_id, 0 AS ref_id, array_to_string({_norm_sql(REST_SQL)}, ' ') AS r FROM documents
+      UNION ALL SELECT doc_id, 1, array_to_string({_norm_sql(HEAD_SQL)}, ' ') FROM documents),
 pr AS (SELECT p.doc_id, r.ref_id, p.p, r.r FROM p JOIN r ON p.doc_id = r.doc_id),
 pt AS (SELECT doc_id, ref_id, tok, count(*) AS cp FROM (SELECT doc_id, ref_id, unnest({WORDS_SQL.format(c='p')}) AS tok FROM pr) GROUP BY ALL),
 rt AS (SELECT doc_id, ref_id, tok, count(*) AS cr FROM (SELECT doc_id, ref_id, unnest({WORDS_SQL.format(c='r')}) AS tok FROM pr) GROUP BY ALL),
@@ -172,12 +185,11 @@ f AS (SELECT doc_id, em, CASE WHEN np = 0 OR nr = 0 THEN CASE WHEN np = nr THEN
 b AS (SELECT doc_id, max(em) AS em, max(f1) AS f1 FROM f GROUP BY doc_id)
 SELECT round(100 * avg(em), 4) AS exact_match, round(100 * avg(f1), 4) AS f1 FROM b""")
 def squad_scores_docs(spark, sf_dir):
-    """First sentence of every document as the prediction against two references (its first 12
-    words and its first line): exact match and token F1 after SQuAD normalisation, x100."""
+    """Every whole document as the prediction against two references (the document without its first
+    line and without its last): exact match and token F1 after SQuAD normalisation, x100."""
     docs = table(spark, sf_dir, "documents")
-    pred = docs.select(F.col("doc_id").alias("id"), F.split("text", r"\.").getItem(0).alias("prediction_text"))
-    ref = docs.select(F.col("doc_id").alias("id"), F.array(F.array_join(F.slice(words("text"), 1, 12), " "),
-                                                          F.split("text", "\n").getItem(0)).alias("answers"))
+    pred = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("prediction_text"))
+    ref = docs.select(F.col("doc_id").alias("id"), F.array(without_first_line(), without_last_line()).alias("answers"))
     return mt.squad_scores(pred, ref, "id")
 
 
@@ -234,8 +246,7 @@ def _ngram_sql(n: int, src: str, col: str) -> str:
 
 
 @register("rouge_n_pairs", f"""
-WITH t AS (SELECT doc_id, {ROUGE_TOK.format(c="split_part(text, chr(10), 1)")} AS h,
-                  {ROUGE_TOK.format(c="coalesce(split_part(text, chr(10), 2), '')")} AS r FROM documents),
+WITH t AS (SELECT doc_id, {ROUGE_TOK.format(c=REST_SQL)} AS h, {ROUGE_TOK.format(c="text")} AS r FROM documents),
 o1 AS (SELECT h.doc_id, sum(least(h.c, r.c)) AS o FROM ({_ngram_sql(1, 't', 'h')}) h JOIN ({_ngram_sql(1, 't', 'r')}) r USING (doc_id, g) GROUP BY h.doc_id),
 o2 AS (SELECT h.doc_id, sum(least(h.c, r.c)) AS o FROM ({_ngram_sql(2, 't', 'h')}) h JOIN ({_ngram_sql(2, 't', 'r')}) r USING (doc_id, g) GROUP BY h.doc_id),
 s AS (SELECT t.doc_id, len(h) AS nh, len(r) AS nr, coalesce(o1.o, 0) AS a1, coalesce(o2.o, 0) AS a2 FROM t
@@ -246,21 +257,20 @@ SELECT round(avg(CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0 END),
        round(avg(CASE WHEN p2 + r2 > 0 THEN 2 * p2 * r2 / (p2 + r2) ELSE 0 END), 6) AS rouge2,
        round(avg(r1), 6) AS rouge1_recall, round(avg(r2), 6) AS rouge2_recall FROM m""")
 def rouge_n_pairs(spark, sf_dir):
-    """E8 (n-gram part): ROUGE-1/2 of every document's first line against its second line."""
+    """E8 (n-gram part): ROUGE-1/2 of every document without its first line against the whole document."""
     r = _rouge_frame(spark, sf_dir)
     return r.select("rouge1", "rouge2", "rouge1_recall", "rouge2_recall")
 
 
 def _rouge_frame(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    pairs = docs.select("doc_id", F.split("text", "\n").getItem(0).alias("pred"),
-                        F.coalesce(F.get(F.split("text", "\n"), 1), F.lit("")).alias("ref"))
+    pairs = docs.select("doc_id", without_first_line().alias("pred"), F.col("text").alias("ref"))
     return mt.rouge(pairs, "doc_id", "pred", "ref")
 
 
 @register("rouge_l_pairs")
 def rouge_l_pairs(spark, sf_dir):
-    """E8 (LCS part): ROUGE-L of every document's first line against its second line."""
+    """E8 (LCS part): ROUGE-L of every document without its first line against the whole document."""
     return _rouge_frame(spark, sf_dir).select("rougeL", "rougeL_recall")
 
 

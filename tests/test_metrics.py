@@ -83,3 +83,18 @@ def test_best_answer(spark):
 def test_clean_labels(spark):
     df = spark.createDataFrame([([5, -100],)], "l array<int>")
     assert df.select(mt.clean_labels("l").alias("c")).first()["c"] == [5, 0]
+
+
+def test_lcs_against_the_table():
+    import random
+    rng = random.Random(1)
+    for _ in range(50):
+        x = [rng.choice("abc") for _ in range(rng.randint(0, 30))]
+        y = [rng.choice("abcd") for _ in range(rng.randint(0, 30))]
+        row = [0] * (len(y) + 1)
+        for a in x:
+            new = [0]
+            for j, b in enumerate(y):
+                new.append(row[j] + 1 if a == b else max(row[j + 1], new[j]))
+            row = new
+        assert mt.lcs_length(x, y) == row[-1]
