@@ -98,10 +98,10 @@ FROM k LEFT JOIN f ON k.key = f.key GROUP BY k.doc_id
 """,
     "op7_decontamination": rf"""
 WITH dw AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_ASCII}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_ASCII}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM documents),
 iw AS (
-  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_ASCII}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_ASCII}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM benchmark),
 win AS (
   SELECT item_id, w[i:i + 12] AS p
