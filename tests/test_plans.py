@@ -6,7 +6,7 @@ import contextlib
 
 import pytest
 
-from __spark_entry__ import queries
+from corpusprep.plans import all_queries as queries
 from tests.conftest import SF0001
 
 # Streaming queries finish inside the call and return a re-read of their sink.
