@@ -170,16 +170,16 @@ def benchmark_context(spark, sf_dir):
 
 
 HIER_TITLES = "SELECT doc_id, split_part(text, chr(10), 1) AS text FROM documents"
-HIER_CHUNKS = f"""SELECT doc_id * 100000 + CAST(st / 64 AS BIGINT) AS doc_id, array_to_string(ws[st + 1:st + 64], ' ') AS text
+HIER_CHUNKS = f"""SELECT struct_pack(doc_id := doc_id, chunk_id := CAST(st / 64 AS BIGINT)) AS doc_id, array_to_string(ws[st + 1:st + 64], ' ') AS text
   FROM (SELECT doc_id, ws, unnest(range(0, len(ws), 64)) AS st FROM
         (SELECT doc_id, {WORDS_SQL.format(c='text')} AS ws FROM documents) WHERE len(ws) > 0)"""
 
 
 @register("hierarchical_search", "WITH " + bm25_sql("SELECT item_id AS query_id, text AS query FROM benchmark", HIER_TITLES, 3, "t_")
           + ", " + bm25_sql("SELECT item_id AS query_id, text AS query FROM benchmark", HIER_CHUNKS, 1 << 40, "c_") + """
-SELECT t.query_id AS item_id, t.doc_id AS chunk_key, round(t.score, 6) AS score,
+SELECT t.query_id AS item_id, t.doc_id.doc_id AS doc_id, t.doc_id.chunk_id AS chunk_id, round(t.score, 6) AS score,
        CAST(row_number() OVER (PARTITION BY t.query_id ORDER BY t.score DESC, t.doc_id) AS INTEGER) AS rank
-FROM c_sc t JOIN t_top h ON t.query_id = h.query_id AND CAST(floor(t.doc_id / 100000) AS BIGINT) = h.doc_id
+FROM c_sc t JOIN t_top h ON t.query_id = h.query_id AND t.doc_id.doc_id = h.doc_id
 QUALIFY row_number() OVER (PARTITION BY t.query_id ORDER BY t.score DESC, t.doc_id) <= 2""")
 def hierarchical_search(spark, sf_dir):
     """BM25 over document titles (first line) picks 3 documents per query; then BM25 over the
@@ -189,27 +189,27 @@ def hierarchical_search(spark, sf_dir):
     titles = docs.select("doc_id", F.split("text", "\n").getItem(0).alias("text"))
     picked = rv.bm25(q, titles, k=3).select("query_id", F.col("doc_id").alias("parent"))
     chunks = rv.fixed_chunks(docs, "doc_id", "text", 64).select(
-        (F.col("doc_id") * 100000 + F.col("chunk_id")).alias("doc_id"), F.col("doc_id").alias("parent"),
+        F.struct("doc_id", F.col("chunk_id").cast("long").alias("chunk_id")).alias("doc_id"), F.col("doc_id").alias("parent"),
         F.col("chunk").alias("text"))
     top = rv.hierarchical(q, picked, chunks, k=2)
-    return top.select(F.col("query_id").alias("item_id"), F.col("doc_id").alias("chunk_key"),
+    return top.select(F.col("query_id").alias("item_id"), "doc_id.doc_id", "doc_id.chunk_id",
                       F.round("score", 6).alias("score"), "rank")
 
 
 @register("issue_comment_search", "WITH " + bm25_sql(
     "SELECT item_id AS query_id, text AS query FROM benchmark",
-    """SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations
+    """SELECT struct_pack(conv_id := conv_id, turn := turn) AS doc_id, text FROM conversations
        WHERE turn >= 2 AND conv_id NOT IN (SELECT conv_id FROM conversations WHERE role = 'system')
        AND """ + NWORDS_SQL.format(c="text") + " > 15", 5) + """
-SELECT query_id AS item_id, doc_id AS comment_key, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM top""")
+SELECT query_id AS item_id, doc_id.conv_id AS conv_id, doc_id.turn AS turn, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM top""")
 def issue_comment_search(spark, sf_dir):
     """Issue shaping (compound filter, comment rows, length filter) then top-5 lexical search
     of the kept comments for every benchmark item."""
     comments = conversation_issues_frame(spark, sf_dir).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), F.col("comment").alias("text"))
+        F.struct("conv_id", "turn").alias("doc_id"), F.col("comment").alias("text"))
     q = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
     top = rv.bm25(q, comments, k=5)
-    return top.select(F.col("query_id").alias("item_id"), F.col("doc_id").alias("comment_key"),
+    return top.select(F.col("query_id").alias("item_id"), "doc_id.conv_id", "doc_id.turn",
                       F.round("score", 6).alias("score"), "rank")
 
 
