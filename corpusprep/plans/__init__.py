@@ -7,7 +7,7 @@ import importlib
 
 MODULES = (
     "corpus", "textops", "retrieval_plans", "sequence_plans", "eval_plans", "web_plans",
-    "conversation_plans", "quality_plans", "log_plans", "vocab_plans", "label_plans", "streaming_plans",
+    "conversation_plans", "quality_plans", "log_plans", "vocab_plans", "label_plans", "streaming_plans", "source_plans",
 )
 
 

@@ -16,17 +16,24 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def read_delimited(spark: SparkSession, paths: dict[str, str | list[str]], sep: str = "\t",
-                   schema: T.StructType | str | None = None, header: bool = True) -> DataFrame:
-    """Delimited files per split; quoted fields may span lines."""
+                   schema: T.StructType | str | None = None, header: bool = True, multi_line: bool = False) -> DataFrame:
+    """Delimited files per split.  ``multi_line`` is for data whose quoted fields span lines; such files
+    cannot be split, so each is one task."""
     frames = []
     for split, path in paths.items():
-        reader = spark.read.option("sep", sep).option("header", header).option("multiLine", True) \
-            .option("quote", '"').option("escape", '"')
+        reader = spark.read.option("sep", sep).option("header", header).option("multiLine", multi_line) \
+            .option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
         frames.append(reader.csv(path).withColumn(SPLIT, F.lit(split)))
     return _union(frames)
 
 
+def write_delimited(df: DataFrame, path: str, sep: str = "\t", mode: str = "overwrite") -> None:
+    """S1 reverse: delimited files with a header, fields quoted where needed."""
+    df.write.mode(mode).option("sep", sep).option("header", True).option("quote", '"').option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
 def read_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row per line, column ``text``."""
     return spark.read.text(paths).withColumnRenamed("value", "text")
@@ -110,10 +117,10 @@ def export_pages(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def archive_transcripts(df: DataFrame, path: str, key: str = "conv_id", order_by: str = "turn",
                         mode: str = "overwrite") -> None:
-    """Every message as one JSON line (key included), grouped by conversation and in turn
-    order inside each file; no folder per conversation, so millions of conversations stay cheap."""
+    """Every message as one JSON line (key included), in ranges of (conversation, turn) sorted inside each
+    file; a conversation that holds much of the table is spread over several files in order."""
     msg = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
-    df.repartition(key).sortWithinPartitions(key, order_by).select(msg.alias("value")) \
+    df.repartitionByRange(key, order_by).sortWithinPartitions(key, order_by).select(msg.alias("value")) \
         .write.mode(mode).text(path)
 
 

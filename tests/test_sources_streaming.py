@@ -37,7 +37,7 @@ def test_splits_round_trip(spark, tmpdir_path):
 
 def test_delimited_and_json_field(spark, tmpdir_path):
     write(os.path.join(tmpdir_path, "tsv"), "train.tsv", 'id\ttext\n1\t"multi\nline"\n2\tplain\n')
-    df = files.read_delimited(spark, {"train": os.path.join(tmpdir_path, "tsv")}, "\t", "id long, text string")
+    df = files.read_delimited(spark, {"train": os.path.join(tmpdir_path, "tsv")}, "\t", "id long, text string", multi_line=True)
     assert sorted((r["id"], r["text"]) for r in df.collect()) == [(1, "multi\nline"), (2, "plain")]
     write(os.path.join(tmpdir_path, "js"), "d.json", '{"version": 1, "data": [{"a": 1}, {"a": 2}]}')
     rows = files.read_json_field(spark, os.path.join(tmpdir_path, "js"), "data", T.StructType([T.StructField("a", T.LongType())]))
