@@ -48,6 +48,8 @@ CHUNK = 1 << 16
 DELTA = 0.05
 STEP = 0.1
 BATCH_WORDS = 2048
+#: Pairs that one training task should have at least.
+TRAIN_PAIRS = 400_000
 FREQUENT = 256
 GROUPS = 8
 GATES = 8 * 5 * 4
@@ -335,8 +337,10 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     n_train, v_train = int(size["n"]), int(size["v"])
     groups = word_groups(docs, text_col, usable, vocabulary)
     pairs = saved(counted(docs, text_col, usable, lambda t: classed_tokens(t, groups)), "lm-pairs")
-    table = spark.sparkContext.broadcast(train_table(pairs))
-    weights, refine = train_mixer(pairs, table)
+    # every training task has tables of its own to send, so it gets enough pairs to be worth them
+    trained = pairs.coalesce(max(1, -(-pairs.count() // TRAIN_PAIRS)))
+    table = spark.sparkContext.broadcast(train_table(trained))
+    weights, refine = train_mixer(trained, table)
 
     n_blocks = block_count(docs, text_col, block_bytes)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
