@@ -31,11 +31,11 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their frequent lines; a document that loses all its text goes."""
+    """Every document, without its frequent lines; one that loses all of them stays with an empty text, and the next
+    stage keeps one of those."""
     out = lines.drop_frequent_lines(docs, min_docs=10, min_chars=1)
-    left = out.where((F.col("n_dropped") == 0) | (F.trim("text") != ""))
-    return left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)) \
-        .select(*docs.columns)
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
