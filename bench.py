@@ -34,6 +34,10 @@ HEADLINE = [
     "customer_validation",
     "request_stats_by_method",
     "latest_event_per_user",
+    "hierarchical_search",
+    "compacted_tool_results",
+    "qa_best_answers",
+    "bleu_doc_pairs",
 ]
 
 
