@@ -35,10 +35,17 @@ KEY = [KEY_ID, KEY_HASH]
 
 def words(text: Column) -> Column:
     """Runs of letters, digits and everything beyond ASCII, A-Z lower-cased."""
-    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    given = F.coalesce(text, F.lit(""))
+    # lower() is the faster one, but also changes capitals beyond ASCII
+    low = F.when(F.octet_length(given) == F.length(given), F.lower(given)).otherwise(F.translate(given, UPPER, LOWER))
     return F.array_remove(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
+def count_words(text: Column) -> Column:
+    """The number of ``words``, without building them."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
+
+
 def small(df: DataFrame, n_bytes: int) -> DataFrame:
     """``df`` with a broadcast hint if it is known to be small."""
     return F.broadcast(df) if n_bytes <= BROADCAST_BYTES else df
@@ -137,7 +144,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """(doc_id, key, n_words, n_hit, items, contaminated) for every row: a document is contaminated if at least one
     in ``share`` of its words is hit."""
     hits = document_hits(docs, items, id_col, text_col, item_col, item_text_col, width)
-    sizes = keyed_words(docs, id_col, text_col).select("doc_id", *KEY, F.size("w").cast("long").alias("n_words"))
+    keyed = with_row_key(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
+    sizes = keyed.select("doc_id", *KEY, count_words(F.col("text")).alias("n_words"))
     out = sizes.join(hits, KEY, "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select("doc_id", *KEY, "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
