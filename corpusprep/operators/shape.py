@@ -84,6 +84,11 @@ def size_not(c, n: int) -> Column:
     return F.size(_c(c)) != n
 
 
+def count_not(c, n: int) -> Column:
+    """P12 on a count made by the aggregate itself, so that no list of a group is collected."""
+    return _c(c) != n
+
+
 def join_text(cols, sep: str = " \n ") -> Column:
     """Null-safe concatenation, null -> empty string."""
     return F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols])

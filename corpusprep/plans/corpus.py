@@ -330,11 +330,11 @@ def conversation_answer_audit(spark, sf_dir):
                               F.lit("system"), F.lit("instruction"))
     g = conv.groupBy("conv_id").agg(
         F.max(F.when(F.col("role") == "system", F.col("conv_id"))).alias("pull_request"),
-        F.collect_list(F.when(F.col("role") == "assistant", F.col("turn"))).alias("answer_turns"),
+        F.count_if(F.col("role") == "assistant").cast("int").alias("answers"),
         F.min("role").alias("least_role"))
     least_id = shape.label_to_id(F.element_at(role_names, F.col("least_role")), names)
     return g.select("conv_id", shape.flag_present("pull_request").alias("is_pull_request"),
-                    F.size("answer_turns").alias("answers"), shape.size_not("answer_turns", 1).alias("not_single_answer"),
+                    "answers", shape.count_not("answers", 1).alias("not_single_answer"),
                     shape.id_to_label(least_id, names).alias("least_role_name"), least_id.alias("least_role_id"))
 
 

@@ -43,8 +43,10 @@ u AS (SELECT lang, count(DISTINCT u) AS distinct_units FROM (
 SELECT t.lang, byte_units, distinct_units FROM t JOIN u ON t.lang = u.lang""")
 def byte_unit_stats(spark, sf_dir):
     """UTF-8 byte units (hex pairs) per language: total and distinct (at most 256)."""
-    d = table(spark, sf_dir, "documents").select("lang", F.explode(vb.byte_units("text")).alias("u"))
-    return d.groupBy("lang").agg(F.count(F.lit(1)).alias("byte_units"), F.count_distinct("u").alias("distinct_units"))
+    d = table(spark, sf_dir, "documents").select("lang", F.octet_length("text").cast("long").alias("n"), F.array_distinct(vb.byte_units("text")).alias("us"))
+    totals = d.groupBy("lang").agg(F.sum("n").alias("byte_units"))
+    distinct = d.select("lang", F.explode("us").alias("u")).groupBy("lang").agg(F.count_distinct("u").alias("distinct_units"))
+    return totals.join(distinct, "lang")
 
 
 def _freqs(spark, sf_dir):
