@@ -47,7 +47,7 @@ TABLE_BITS = (12, 16, 20, 20, 21, 21, 21, 21)
 CHUNK = 1 << 16
 DELTA = 0.05
 STEP = 0.1
-BATCH_WORDS = 2048
+BATCH_WORDS = 8192
 #: Pairs that one training task should have at least.
 TRAIN_PAIRS = 400_000
 FREQUENT = 256
@@ -101,18 +101,17 @@ class Contexts:
             yield k, bit, node.astype(np.int64), slots
 
 
-def count_bits(words: list[bytes], classes: np.ndarray, counts: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> None:
-    """Adds the tokens' bits to the tables."""
+def count_bits(words: list[bytes], classes: np.ndarray, counts: np.ndarray, table: np.ndarray) -> None:
+    """Adds the tokens' bits to the table of (zeros, ones) per slot, flat."""
     ctx = Contexts(words, classes)
-    weight = counts.astype(np.float64)[ctx.token]
+    weight = counts.astype(table.dtype)[ctx.token]
     for _, bit, _, slots in ctx.bits():
         for at in slots:
-            for table, side in ((ones, bit == 1), (zeros, bit == 0)):
-                np.add.at(table, at[side], weight[side])
+            np.add.at(table, 2 * at + bit, weight)
 
 
 class Mixer:
-    """Counts (uint16 zeros and ones per slot), gated weights and the refining table."""
+    """Counts (uint32 per slot: zeros in its low half, ones in its high half), gated weights and the refining table."""
 
     def __init__(self, table: np.ndarray, weights: np.ndarray | None = None, refine: np.ndarray | None = None):
         self.table = table
@@ -122,42 +121,52 @@ class Mixer:
         prior = np.stack([1 - centre, centre], axis=-1) * 4.0
         self.refine = np.broadcast_to(prior, (256, BUCKETS, 2)).copy() if refine is None else refine
 
-    def inputs(self, k: int, bit: np.ndarray, slots: list[np.ndarray], own: np.ndarray | None):
-        """(log-odds of the contexts and a bias, gate); ``own`` occurrences are left out of the counts."""
+    def inputs(self, k: int, bit: np.ndarray, slots: list[np.ndarray], own: bool):
+        """(log-odds of the contexts and a bias, gate); with ``own`` one occurrence is left out of the counts."""
         x = np.empty((_INPUTS, len(bit)), dtype=np.float32)
         x[-1] = 0.3
         seen = np.zeros(len(bit), dtype=np.int64)
         for c, at in enumerate(slots):
-            n = self.table[at].astype(np.float32)
-            n0, n1 = n[:, 0], n[:, 1]
-            if own is not None:
-                n0, n1 = np.maximum(n0 - own * (bit == 0), 0), np.maximum(n1 - own * (bit == 1), 0)
-            x[c] = np.log((n1 + np.float32(DELTA)) / (n0 + np.float32(DELTA)))
+            both = self.table[at]  # zeros and ones in one number: one look-up per context
+            n0, n1 = (both & np.uint32(0xFFFF)).astype(np.float32), (both >> np.uint32(16)).astype(np.float32)
+            if own:
+                n1 -= bit
+                n0 -= 1 - bit
+                np.maximum(n0, 0, out=n0)
+                np.maximum(n1, 0, out=n1)
+            n0 += np.float32(DELTA)
+            n1 += np.float32(DELTA)
             total = n0 + n1
-            if c >= 4:
-                seen += total > 0
-        bucket = np.searchsorted(np.array([0.5, 2.5, 15.5], dtype=np.float32), total)
+            np.divide(n1, n0, out=n1)
+            np.log(n1, out=x[c])
+            if c >= len(slots) - 4:
+                seen += total > 2.5 * DELTA
+        bucket = (total > 0.5 + 2 * DELTA).astype(np.int64) + (total > 2.5 + 2 * DELTA) + (total > 15.5 + 2 * DELTA)
         return x, (k * 5 + seen) * 4 + bucket
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        w = self.weights.astype(np.float32)[gate]
-        return np.clip(np.einsum("ij,ji->i", w, x), -SPREAD, SPREAD).astype(np.float64)
+        w = self.weights.astype(np.float32)
+        total = np.zeros(x.shape[1], dtype=np.float32)
+        for j, row in enumerate(x):
+            total += w[:, j][gate] * row
+        return np.clip(total, -SPREAD, SPREAD)
 
     def refined(self, logit: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(probability of a one, buckets below, share of the bucket above, mixed probability)."""
         at = (logit + SPREAD) * ((BUCKETS - 1) / (2 * SPREAD))
         low = np.minimum(at.astype(np.int64), BUCKETS - 2)
         share = at - low
-        p = self.refine[..., 1] / self.refine.sum(axis=-1)
+        p = (self.refine[..., 1] / self.refine.sum(axis=-1)).astype(np.float32).reshape(-1)
         mixed = 1 / (1 + np.exp(-logit))
-        return 0.5 * mixed + 0.5 * (p[node, low] * (1 - share) + p[node, low + 1] * share), low, share, mixed
+        cell = node * BUCKETS + low
+        return 0.5 * mixed + 0.5 * (p[cell] * (1 - share) + p[cell + 1] * share), low, share, mixed
 
     def learn(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray) -> None:
         """One online step over a batch of tokens, each weighing as much as its count."""
         ctx = Contexts(words, classes)
         weight = counts.astype(np.float64)[ctx.token]
         for k, bit, node, slots in ctx.bits():
-            x, gate = self.inputs(k, bit, slots, np.float32(1))
+            x, gate = self.inputs(k, bit, slots, True)
             logit = self.mixed(x, gate)
             _, low, share, mixed = self.refined(logit, node)
             error = weight * (bit - mixed)
@@ -178,9 +187,9 @@ class Mixer:
         ctx = Contexts(words, classes)
         cost = np.zeros(len(ctx.bytes))
         for k, bit, node, slots in ctx.bits():
-            x, gate = self.inputs(k, bit, slots, None)
+            x, gate = self.inputs(k, bit, slots, False)
             p = self.refined(self.mixed(x, gate), node)[0]
-            cost -= np.log2(np.where(bit == 1, p, 1 - p))
+            cost -= np.log2(np.clip(np.where(bit == 1, p, 1 - p), 1e-7, 1.0))
         return np.bincount(ctx.token, weights=cost, minlength=len(words))
 
 
@@ -269,15 +278,15 @@ def _in_batches(batch: pa.RecordBatch, size: int):
 
 
 def train_table(pairs: DataFrame) -> np.ndarray:
-    """The contexts' counts over all (class, word) pairs, summed by table chunks: (SLOTS, 2) uint16, 42 MB
+    """The contexts' counts over all (class, word) pairs, summed by table chunks: one uint32 per slot, 42 MB
     whatever the data."""
     def count(batches):
-        zeros, ones = np.zeros(SLOTS), np.zeros(SLOTS)
+        table = np.zeros(2 * SLOTS, dtype=np.float32)
         for b in batches:
             for words, classes, counts in _in_batches(b, 1 << 15):
-                count_bits(words, classes, counts, zeros, ones)
+                count_bits(words, classes, counts, table)
         for c in range(0, SLOTS, CHUNK):
-            part = np.stack([zeros[c:c + CHUNK], ones[c:c + CHUNK]], axis=1)
+            part = table[2 * c:2 * (c + CHUNK)]
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([c // CHUNK], pa.int32()), pa.array([part.astype("<f4").tobytes()], pa.binary())],
                                                  names=["chunk", "part"])
@@ -293,9 +302,9 @@ def train_table(pairs: DataFrame) -> np.ndarray:
 
     summed = pairs.select("token", "n").mapInArrow(count, "chunk int, part binary") \
         .groupBy("chunk").applyInArrow(add, "chunk int, part binary")
-    table = np.zeros((SLOTS, 2), dtype=np.uint16)
+    table = np.zeros(SLOTS, dtype="<u4")
     for row in summed.toLocalIterator():
-        part = np.frombuffer(row["part"], "<u2").reshape(-1, 2)
+        part = np.frombuffer(row["part"], "<u4")  # two 16-bit counts
         table[row["chunk"] * CHUNK:row["chunk"] * CHUNK + len(part)] = part
     return table
 
@@ -315,7 +324,7 @@ def train_mixer(pairs: DataFrame, shared_table) -> tuple[np.ndarray, np.ndarray]
                 [pa.array([float(tokens)]), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([(mixer.refine - prior).tobytes()], pa.binary())],
                 names=["tokens", "weights", "refine"])
 
-    weights, tokens, mixer = np.zeros((GATES, _INPUTS)), 0.0, Mixer(np.zeros((1, 2), dtype=np.uint16))
+    weights, tokens, mixer = np.zeros((GATES, _INPUTS)), 0.0, Mixer(np.zeros(1, dtype=np.uint32))
     for row in pairs.select("token", "n").mapInArrow(learn, "tokens double, weights binary, refine binary").toLocalIterator():
         weights += row["tokens"] * np.frombuffer(row["weights"]).reshape(GATES, _INPUTS)
         mixer.refine += np.frombuffer(row["refine"]).reshape(mixer.refine.shape)
