@@ -3,6 +3,8 @@ to the cluster's shared folder, and small numpy routines used inside tasks."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Callable
 
@@ -100,13 +102,28 @@ def str_texts(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
+def slices(batches, rows: int = 500):
+    """The batches cut into runs of ``rows`` rows, so that a task holds the Python objects of one run only."""
+    for b in batches:
+        for a in range(0, b.num_rows, rows):
+            yield b.slice(a, rows)
+
+
+def release_memory() -> None:
+    """Gives freed memory back to the system; Python workers outlive their task and wait for the next one."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``f`` on each Arrow batch of ``df``."""
+    """``f`` on each slice of an Arrow batch of ``df``."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out = f(b)
             if out is not None and out.num_rows:
                 yield out
+        release_memory()
     return df.mapInArrow(run, schema)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import BLOCK, BLOCK_BYTES, block_count, block_of, byte_texts, mix64, with_row_key
+from corpusprep.llm.common import BLOCK, BLOCK_BYTES, block_count, block_of, byte_texts, mix64, release_memory, with_row_key
 
 GAMMA = 1.6
 
@@ -168,6 +168,7 @@ def drop_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             texts.append(None if is_null else t.decode("utf-8", "replace"))
         out = block.set_column(text_at, text_col, pa.array(texts, pa.string()))
         out = out.select([i for i in range(len(names)) if i not in inner])
+        release_memory()
         return out.append_column("n_lines", pa.array(lines, pa.int64())).append_column("n_dropped", pa.array(dropped, pa.int64()))
 
     inner = {i for i, n in enumerate(names) if n.startswith("__cp_")}

@@ -25,14 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import byte_texts, mix64
+from corpusprep.llm.common import byte_texts, mix64, release_memory, slices
 
 DIMENSIONS = 1 << 20
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.01, 0.05, 3
 #: Words kept by a task before its cache is emptied.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 _CLASSES = bytes(
     ord("X") if 0x41 <= b <= 0x5A else ord("x") if 0x61 <= b <= 0x7A or b >= 0x80 else ord("9") if 0x30 <= b <= 0x39 else b
@@ -105,11 +105,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def featured(batches):
-        for b in batches:
+        for b in slices(batches):
             rows_ = [features(t) for t in byte_texts(b.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [b.column("turn"), b.column("id"), b.column("label"), pa.array([s for s, _ in rows_], pa.list_(pa.int32())),
                  pa.array([v for _, v in rows_], pa.list_(pa.float32()))], names=["turn", "id", "label", "slots", "vals"])
+        _WORDS.clear()
+        release_memory()
 
     # at most ``rows`` ids and labels: 16 bytes each
     sample = texts.join(F.broadcast(picked), "id").select("turn", "id", "label", "text") \
@@ -126,7 +128,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
         for _ in range(EPOCHS):
             for s, v, y in held:
                 model.update(s, v, y)
-        yield pa.RecordBatch.from_arrays([pa.array([model.weights().astype("<f4").tobytes()], pa.binary())], names=["w"])
+        weights = model.weights().astype("<f4").tobytes()
+        del held, model
+        release_memory()
+        yield pa.RecordBatch.from_arrays([pa.array([weights], pa.binary())], names=["w"])
 
     got = sample.mapInArrow(learn, "w binary").collect()
     return bytes(got[0]["w"]) if got else np.zeros(DIMENSIONS, dtype="<f4").tobytes()
@@ -140,7 +145,7 @@ def score(docs: DataFrame, weights: bytes, text_col: str = "text", threshold: fl
 
     def run(batches):
         w = np.frombuffer(shared.value, dtype="<f4")
-        for b in batches:
+        for b in slices(batches):
             out = np.empty(b.num_rows)
             for i, t in enumerate(byte_texts(b.column(text_at))):
                 slots, values = features(t)
@@ -148,6 +153,8 @@ def score(docs: DataFrame, weights: bytes, text_col: str = "text", threshold: fl
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(out, pa.float64()), pa.array((out >= threshold).astype(np.int32))],
                 names=[*b.schema.names, "score", "predicted"])
+        _WORDS.clear()
+        release_memory()
 
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return kept.mapInArrow(run, schema)

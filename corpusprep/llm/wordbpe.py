@@ -29,10 +29,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import ranges, str_texts
+from corpusprep.llm.common import ranges, release_memory, slices, str_texts
 
 #: Chunks and words kept by a task before its cache is emptied.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
 #: Characters encoded at a time.
 STEP_CHARS = 1 << 20
 #: Documents taken from a batch at a time.
@@ -319,21 +319,24 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_
 
 def encode_checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) for every row: its ids and digests of the ids and of
-    the text they decode to."""
-    encoded = encode_documents(docs, path, id_col, text_col)
-
+    the text they decode to.  One pass, so that a task needs one Python worker."""
     def run(batches):
-        bpe = vocabulary(path)
-        for batch in batches:
-            for a in range(0, batch.num_rows, STEP_ROWS):
-                column, sizes, ids, decoded = batch.column(1).slice(a, STEP_ROWS), [], [], []
-                for found in column:
-                    x = found.values.to_numpy().astype("<u4")
-                    sizes.append(len(x))
-                    ids.append(hashlib.sha256(x.tobytes()).hexdigest())
-                    decoded.append(hashlib.sha256(bpe.decode(x.tolist()).encode()).hexdigest())
+        encoder, bpe = merge_encoder(path), vocabulary(path)
+        for part in slices(batches, STEP_ROWS):
+            at = 0
+            for flat, sizes in encoder.steps(str_texts(part.column(1))):
+                ends = np.concatenate(([0], np.cumsum(sizes)))
+                ids, decoded = [], []
+                for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                    own = flat[a:b]
+                    ids.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
+                    decoded.append(hashlib.sha256(bpe.decode(own.tolist()).encode()).hexdigest())
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, STEP_ROWS), pa.array(sizes, pa.int64()), column, pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                    [part.column(0).slice(at, len(sizes)), pa.array(sizes.astype(np.int64)), lists, pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                     names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+                at += len(sizes)
+        release_memory()
 
-    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return d.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
