@@ -3,8 +3,8 @@
 The scored text is the sequence of tokens: words with A-Z lower-cased, each followed by one space, and an
 end mark.  Every token is coded byte by byte and bit by bit.  A bit is predicted from eight contexts (the
 text's class, the last one to four bytes, the whole prefix of the token, and two of them together with the
-class), each a table of zero and one counts addressed by a hash of the context and the bits of the byte so
-far.  The log-odds are added with weights; the weight set is gated by the bit's place, by how many of the long
+class), each with exact counts of the zeros and ones that followed it and the bits of the byte so far.  The
+log-odds are added with weights; the weight set is gated by the bit's place, by how many of the long
 contexts were ever seen and by how often the longest was.  The weights are learned online, batch after batch,
 by the gradient of the coding cost, where a token predicts itself from the counts without its own occurrence.
 A second table, also adapted online, refines the mixed probability given the bits so far.  The sum of the
@@ -16,13 +16,17 @@ frequent words before it in the text belong to.
 
 All other contexts lie inside a token, so a token costs the same wherever it stands in texts of a class.  The
 corpus is therefore reduced to distinct (class, word) pairs and their counts (all documents that may be
-learned from count), the count tables are summed over the cluster, and each distinct pair is scored once.
-Scored pairs go back to the documents in blocks of bounded size; no word list is sent to the driver.
+learned from count), and each distinct pair is scored once.  Scored pairs go back to the documents in blocks of
+bounded size; no word list is sent to the driver.
+
+The counts grow with the corpus.  Pairs are dealt into blocks; a block sends each of its distinct (context,
+byte) keys, 64 bits of context and byte, once to the key's shard.  A shard adds up the counts of all blocks and
+answers each block with the sums of its keys: nothing is shared between contexts, capped or held in one place.
 
 The base score is the add-one unigram model over the same tokens.
 
-The model has a fixed size (``TABLE_BITS``): 16-bit counts in at most 2^21 slots per context, and
-``FREQUENT`` words in ``GROUPS`` groups.
+Of fixed size are the mixing weights, the refining table and the classes (``FREQUENT`` words in ``GROUPS``
+groups).  The hashed table of ``count_bits`` and ``Mixer(table)`` is a form for small data in one process.
 
 Defined results: a null or empty text has only the end token; repeated rows count and are scored each; a
 null id counts as the empty string where ids decide what is held out; with nothing to learn from every bit
@@ -32,6 +36,7 @@ costs one bit; an empty table gives no rows; only the id and text columns are re
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -39,16 +44,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import (BLOCK, BLOCK_BYTES, block_count, block_of, byte_texts, mix64, saved, with_row_key)
+from corpusprep.llm.common import (BLOCK, BLOCK_BYTES, KEY_HASH, KEY_ID, block_count, block_of, byte_texts, mix64,
+                                   release_memory, saved, with_row_key)
 
 END_TOKEN = b"\n"
 #: log2 of the slots of each context's table: class; one byte; two with class; two, three, four; prefix; prefix with class.
 TABLE_BITS = (12, 16, 20, 20, 21, 21, 21, 21)
-CHUNK = 1 << 16
 DELTA = 0.05
 STEP = 0.1
 BATCH_WORDS = 8192
-#: Pairs that one training task should have at least.
+#: Bytes of the pairs of one block, and keys (before repeats in a block are dropped) of one shard.
+PAIR_BYTES = 1 << 17
+SHARD_KEYS = 1 << 22
+#: Pairs that one training task should have.
 TRAIN_PAIRS = 400_000
 FREQUENT = 256
 GROUPS = 8
@@ -161,12 +169,18 @@ class Mixer:
         cell = node * BUCKETS + low
         return 0.5 * mixed + 0.5 * (p[cell] * (1 - share) + p[cell + 1] * share), low, share, mixed
 
+    def looked_up(self, ctx: Contexts, own: bool):
+        for k, bit, node, slots in ctx.bits():
+            yield bit, node, *self.inputs(k, bit, slots, own)
+
     def learn(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray) -> None:
         """One online step over a batch of tokens, each weighing as much as its count."""
         ctx = Contexts(words, classes)
-        weight = counts.astype(np.float64)[ctx.token]
-        for k, bit, node, slots in ctx.bits():
-            x, gate = self.inputs(k, bit, slots, True)
+        self.adapt(self.looked_up(ctx, True), counts.astype(np.float64)[ctx.token])
+
+    def adapt(self, steps, weight: np.ndarray) -> None:
+        """One online step over the eight bits (bit, bits so far, inputs, gate) of weighted bytes."""
+        for bit, node, x, gate in steps:
             logit = self.mixed(x, gate)
             _, low, share, mixed = self.refined(logit, node)
             error = weight * (bit - mixed)
@@ -185,12 +199,65 @@ class Mixer:
         if not words:
             return np.zeros(0)
         ctx = Contexts(words, classes)
-        cost = np.zeros(len(ctx.bytes))
-        for k, bit, node, slots in ctx.bits():
-            x, gate = self.inputs(k, bit, slots, False)
+        return np.bincount(ctx.token, weights=self.costs(self.looked_up(ctx, False)), minlength=len(words))
+
+    def costs(self, steps) -> np.ndarray:
+        """Code length of each byte in bits."""
+        cost = 0.0
+        for bit, node, x, gate in steps:
             p = self.refined(self.mixed(x, gate), node)[0]
-            cost -= np.log2(np.clip(np.where(bit == 1, p, 1 - p), 1e-7, 1.0))
-        return np.bincount(ctx.token, weights=cost, minlength=len(words))
+            cost = cost - np.log2(np.clip(np.where(bit == 1, p, 1 - p), 1e-7, 1.0))
+        return cost
+
+
+class Counted:
+    """The contexts of a block's tokens with their exact counts.
+
+    A key is 56 bits of a context's hash and the byte that follows; keys are sorted, so the bytes of a context
+    that share their first bits lie side by side.  ``sums[k]`` holds, for each key, how often its context was
+    followed by a byte with the same first k bits."""
+
+    def __init__(self, words: list[bytes], classes: np.ndarray, sums: np.ndarray | None = None):
+        self.ctx = ctx = Contexts(words, classes)
+        self.ends = np.cumsum(ctx.sizes)
+        salts = np.arange(1, len(ctx.hashes) + 1, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+        raw = np.concatenate([mix64(h + salt) & ~np.uint64(0xFF) | ctx.bytes for h, salt in zip(ctx.hashes, salts)])
+        self.keys, at = np.unique(raw, return_inverse=True)
+        self.at = at.reshape(len(ctx.hashes), -1)
+        self.sums = sums
+
+    def own(self, counts: np.ndarray) -> np.ndarray:
+        """How often each key occurs in these tokens."""
+        weight = np.tile(counts.astype(np.float64)[self.ctx.token], len(self.at))
+        return np.bincount(self.at.reshape(-1), weights=weight, minlength=len(self.keys)).astype(np.int64)
+
+    def evidence(self, own: bool):
+        """For each bit and key: (log-odds of the bit that comes, whether the context was seen, how often by steps);
+        with ``own`` one occurrence is left out."""
+        out = []
+        for k in range(8):
+            hit, miss = self.sums[k + 1], self.sums[k] - self.sums[k + 1]
+            if own:
+                hit = np.maximum(hit - 1, 0)
+            seen = hit + miss
+            odds = np.log((hit + DELTA) / (miss + DELTA)).astype(np.float32)
+            out.append((odds, (seen > 0).astype(np.int64), (seen > 0).astype(np.int64) + (seen > 2) + (seen > 15)))
+        return out
+
+    def steps(self, evidence, first: int, last: int):
+        """(bit, bits so far, inputs, gate) of the bytes of tokens ``first`` to ``last``."""
+        part = self.part(first, last)
+        byte, at = self.ctx.bytes[part].astype(np.int64), self.at[:, part]
+        for k, (odds, seen, often) in enumerate(evidence):
+            bit = byte >> (7 - k) & 1
+            x = np.empty((_INPUTS, len(byte)), dtype=np.float32)
+            x[-1] = 0.3
+            x[:-1] = odds[at] * (2 * bit - 1).astype(np.float32)
+            gate = (k * 5 + seen[at[-4:]].sum(axis=0)) * 4 + often[at[-1]]
+            yield bit, 1 << k | byte >> (8 - k), x, gate
+
+    def part(self, first: int, last: int) -> slice:
+        return slice(int(self.ends[first - 1]) if first else 0, int(self.ends[last - 1]))
 
 
 def counted(docs: DataFrame, text_col: str, usable: Column, tokens) -> DataFrame:
@@ -269,63 +336,117 @@ def word_groups(docs: DataFrame, text_col: str, usable: Column, vocabulary: Data
     return {w: int(k) + 1 for w, k in zip(words, near)}
 
 
-def _in_batches(batch: pa.RecordBatch, size: int):
-    """(words, classes, counts) of runs of classed tokens."""
-    tokens, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-    for a in range(0, len(tokens), size):
-        part = tokens[a:a + size]
-        yield [t[1:] for t in part], np.array([t[0] for t in part]), counts[a:a + size]
+def packed(x: np.ndarray) -> bytes:
+    """64-bit numbers, compressed by byte planes; those of small numbers are nearly empty."""
+    planes = np.ascontiguousarray(x.reshape(-1).view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def train_table(pairs: DataFrame) -> np.ndarray:
-    """The contexts' counts over all (class, word) pairs, summed by table chunks: one uint32 per slot, 42 MB
-    whatever the data."""
-    def count(batches):
-        table = np.zeros(2 * SLOTS, dtype=np.float32)
-        for b in batches:
-            for words, classes, counts in _in_batches(b, 1 << 15):
-                count_bits(words, classes, counts, table)
-        for c in range(0, SLOTS, CHUNK):
-            part = table[2 * c:2 * (c + CHUNK)]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([c // CHUNK], pa.int32()), pa.array([part.astype("<f4").tobytes()], pa.binary())],
-                                                 names=["chunk", "part"])
-
-    def add(key: tuple[pa.Scalar, ...], parts: pa.Table) -> pa.Table:
-        total = 0
-        for x in parts.column("part").to_pylist():
-            total = total + np.frombuffer(x, "<f4").astype(np.float64)
-        pair = total.reshape(-1, 2)
-        # counts above 16 bits are scaled down together; what occurs stays at one at least
-        scale = np.minimum(1.0, 65000 / np.maximum(pair.max(axis=1), 1))[:, None]
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([np.ceil(pair * scale).astype("<u2").tobytes()], pa.binary())})
-
-    summed = pairs.select("token", "n").mapInArrow(count, "chunk int, part binary") \
-        .groupBy("chunk").applyInArrow(add, "chunk int, part binary")
-    table = np.zeros(SLOTS, dtype="<u4")
-    for row in summed.toLocalIterator():
-        part = np.frombuffer(row["part"], "<u4")  # two 16-bit counts
-        table[row["chunk"] * CHUNK:row["chunk"] * CHUNK + len(part)] = part
-    return table
-
-
-def train_mixer(pairs: DataFrame, shared_table) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, refining table): each partition of the pairs learns online; weights are averaged by the
+def unpacked(x: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(x, decompressed_size=size * 8, codec="zstd"), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(np.int64)
+
+
+def packed_sums(sums: np.ndarray) -> bytes:
+    """Of each row only what it has over the next: mostly nothing."""
+    return packed(np.concatenate((sums[:-1] - sums[1:], sums[-1:])))
+
+
+def unpacked_sums(x: bytes, size: int) -> np.ndarray:
+    return np.cumsum(unpacked(x, 9 * size).reshape(9, -1)[::-1], axis=0)[::-1]
+
+
+def _tokens_of(pairs: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    return [t[1:] for t in pairs], np.array([t[0] for t in pairs], dtype=np.int64)
+
+
+def prefix_sums(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For sorted distinct keys: the counts of all keys that share context and first k bits of the byte, k from 0 to 8."""
+    out = np.empty((9, len(keys)), dtype=np.int64)
+    for k in range(9):
+        group = keys >> np.uint64(8 - k)
+        first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        out[k] = np.repeat(np.add.reduceat(counts, first), np.diff(np.append(first, len(keys))))
+    return out
+
+
+def counted_blocks(pairs: DataFrame, n_shards: int) -> DataFrame:
+    """One row per block of (block, pair, n, known): its pairs in an order of their own with the counts of
+    their contexts over all blocks: (block, pairs, n, known, size, sums)."""
+    def in_order(table: pa.Table) -> tuple[list[bytes], list[int], list[int]]:
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("pair", "n", "known"))), key=lambda r: (zlib.crc32(r[0]), r[0]))
+        return [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
+
+    def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        coded, n, _ = in_order(table)
+        block = Counted(*_tokens_of(coded))
+        count = block.own(np.array(n))
+        shard = ((block.keys >> np.uint64(32)) * np.uint64(n_shards) >> np.uint64(32)).astype(np.int64)  # rises with the key
+        names, first = np.unique(shard, return_index=True)
+        cuts = np.append(first, len(shard)).tolist()
+        parts = list(zip(cuts[:-1], cuts[1:]))
+        return pa.table({
+            "shard": pa.array(names.astype(np.int32)), "block": pa.array(np.full(len(names), key[0].as_py(), dtype=np.int32)),
+            "size": pa.array([b - a for a, b in parts], pa.int32()),
+            "keys": pa.array([packed(np.diff(block.keys[a:b], prepend=np.uint64(0))) for a, b in parts], pa.binary()),
+            "counts": pa.array([packed(count[a:b]) for a, b in parts], pa.binary())})
+
+    def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        sizes = table.column("size").to_pylist()
+        asked = np.concatenate([np.cumsum(unpacked(x, n).view(np.uint64)) for x, n in zip(table.column("keys").to_pylist(), sizes)])
+        count = np.concatenate([unpacked(x, n) for x, n in zip(table.column("counts").to_pylist(), sizes)])
+        order = np.argsort(asked, kind="stable")
+        first = np.flatnonzero(np.append(True, asked[order[1:]] != asked[order[:-1]]))
+        sums = prefix_sums(asked[order[first]], np.add.reduceat(count[order], first))
+        at = np.empty(len(asked), dtype=np.int64)
+        at[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(asked))))
+        ends = np.cumsum(sizes).tolist()
+        return pa.table({
+            "shard": table.column("shard"), "block": table.column("block"), "size": table.column("size"),
+            "sums": pa.array([packed_sums(sums[:, at[b - n:b]]) for b, n in zip(ends, sizes)], pa.binary())})
+
+    def join(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        coded, n, known = in_order(rows)
+        parts = sorted(zip(*(answers.column(c).to_pylist() for c in ("shard", "size", "sums"))))
+        sums = np.concatenate([unpacked_sums(x, m) for _, m, x in parts], axis=1)
+        return pa.table({
+            "block": rows.column("block")[:1], "pairs": pa.array([coded], pa.list_(pa.binary())), "n": pa.array([n], pa.list_(pa.int64())),
+            "known": pa.array([known], pa.list_(pa.int64())), "size": pa.array([sums.shape[1]], pa.int32()),
+            "sums": pa.array([packed_sums(sums)], pa.binary())})
+
+    answers = pairs.groupBy("block").applyInArrow(ask, "shard int, block int, size int, keys binary, counts binary") \
+        .groupBy("shard").applyInArrow(answer, "shard int, block int, size int, sums binary")
+    return pairs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        join, "block int, pairs array<binary>, n array<bigint>, known array<bigint>, size int, sums binary")
+
+
+def _blocks_of(table):
+    """(pairs, counts, word counts, counted contexts) of each row."""
+    for i in range(table.num_rows):
+        row = {c: table.column(c)[i].as_py() for c in ("pairs", "n", "known", "size", "sums")}
+        sums = unpacked_sums(row["sums"], row["size"])
+        yield row["pairs"], np.array(row["n"]), row["known"], Counted(*_tokens_of(row["pairs"]), sums)
+
+
+def train_mixer(blocks: DataFrame, n_tasks: int) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, refining table): each task learns online from its blocks; weights are averaged by the
     tokens seen and the refining counts added up."""
-    def learn(batches):
-        mixer, tokens = Mixer(shared_table.value), 0
+    def learn(table: pa.Table) -> pa.Table:
+        mixer, tokens = Mixer(np.zeros(1, dtype=np.uint32)), 0
         prior = mixer.refine.copy()
-        for b in batches:
-            for words, classes, counts in _in_batches(b, BATCH_WORDS):
-                mixer.learn(words, classes, counts)
-                tokens += int(counts.sum())
-        if tokens:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([float(tokens)]), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([(mixer.refine - prior).tobytes()], pa.binary())],
-                names=["tokens", "weights", "refine"])
+        for _, counts, _, block in _blocks_of(table.sort_by("block")):
+            evidence = block.evidence(True)
+            for a in range(0, len(counts), BATCH_WORDS):
+                b = min(a + BATCH_WORDS, len(counts))
+                mixer.adapt(block.steps(evidence, a, b), counts.astype(np.float64)[block.ctx.token[block.part(a, b)]])
+            tokens += int(counts.sum())
+        return pa.table({"task": table.column("task")[:1], "tokens": pa.array([float(tokens)]),
+                         "weights": pa.array([mixer.weights.tobytes()], pa.binary()), "refine": pa.array([(mixer.refine - prior).tobytes()], pa.binary())})
 
     weights, tokens, mixer = np.zeros((GATES, _INPUTS)), 0.0, Mixer(np.zeros(1, dtype=np.uint32))
-    for row in pairs.select("token", "n").mapInArrow(learn, "tokens double, weights binary, refine binary").toLocalIterator():
+    dealt = blocks.withColumn("task", F.pmod("block", F.lit(n_tasks)))
+    learned = saved(dealt.groupBy("task").applyInArrow(learn, "task int, tokens double, weights binary, refine binary"), "lm-weights")
+    for row in learned.orderBy("task").toLocalIterator():
         weights += row["tokens"] * np.frombuffer(row["weights"]).reshape(GATES, _INPUTS)
         mixer.refine += np.frombuffer(row["refine"]).reshape(mixer.refine.shape)
         tokens += row["tokens"]
@@ -345,39 +466,52 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).collect()[0]
     n_train, v_train = int(size["n"]), int(size["v"])
     groups = word_groups(docs, text_col, usable, vocabulary)
-    pairs = saved(counted(docs, text_col, usable, lambda t: classed_tokens(t, groups)), "lm-pairs")
-    # every training task has tables of its own to send, so it gets enough pairs to be worth them
-    trained = pairs.coalesce(max(1, -(-pairs.count() // TRAIN_PAIRS)))
-    table = spark.sparkContext.broadcast(train_table(trained))
-    weights, refine = train_mixer(trained, table)
 
     n_blocks = block_count(docs, text_col, block_bytes)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
-    dealt = with_row_key(rows, "doc_id", "text").select("doc_id", "text", "held_out", block_of(n_blocks).alias(BLOCK))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"),
+                       F.coalesce(usable, F.lit(False)).alias("usable"))
+    dealt = with_row_key(rows, "doc_id", "text").withColumn(BLOCK, block_of(n_blocks)).drop(KEY_ID, KEY_HASH)
 
     def distinct_tokens(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
-        found = set()
-        for t in byte_texts(block.column("text")):
-            found.update(classed_tokens(t, groups))
-        return pa.table({"pair": pa.array(list(found), pa.binary()), BLOCK: pa.array(np.full(len(found), key[0].as_py(), dtype=np.int32))})
+        n: Counter = Counter()
+        for t, use in zip(byte_texts(block.column("text")), block.column("usable").to_pylist()):
+            found = classed_tokens(t, groups)
+            n.update(found if use else dict.fromkeys(found, 0))
+        return pa.table({"pair": pa.array(list(n), pa.binary()), BLOCK: pa.array(np.full(len(n), key[0].as_py(), dtype=np.int32)),
+                         "n": pa.array(list(n.values()), pa.int64())})
+
+    found = saved(dealt.groupBy(BLOCK).applyInArrow(distinct_tokens, f"pair binary, {BLOCK} int, n long"), "lm-found")
+    pairs = saved(found.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("token", F.expr("substring(pair, 2)"))
+                  .join(vocabulary.withColumnRenamed("n", "known"), "token", "left")
+                  .select("pair", "token", "n", F.coalesce("known", F.lit(0).cast("long")).alias("known")), "lm-pairs")
+    learned = F.col("n") > 0
+    room = F.octet_length("pair").cast("long") + 1
+    facts = pairs.agg(F.coalesce(F.sum(F.when(learned, room)), F.lit(0)).alias("a"), F.coalesce(F.sum(F.when(~learned, room)), F.lit(0)).alias("b"),
+                      F.count_if(learned).alias("n")).collect()[0]
+    n_learn, n_other = (max(1, -(-int(facts[c]) // PAIR_BYTES)) for c in ("a", "b"))
+    # pairs that are only scored lie in blocks of their own, so that they change nothing in the order of learning
+    word = F.xxhash64("token")
+    numbered = pairs.select(F.when(learned, F.pmod(word, F.lit(n_learn))).otherwise(F.pmod(word, F.lit(n_other)) + n_learn).cast("int").alias("block"),
+                            "pair", "n", "known")
+    n_shards = max(1, -(-(int(facts["a"]) + int(facts["b"])) * len(TABLE_BITS) // SHARD_KEYS))
+    blocks = saved(counted_blocks(numbered, n_shards), "lm-blocks")
+    weights, refine = train_mixer(blocks.where(F.col("block") < n_learn), max(1, -(-int(facts["n"]) // TRAIN_PAIRS)))
 
     def cost(batches):
-        mixer = Mixer(table.value, weights, refine)
+        mixer = Mixer(np.zeros(1, dtype=np.uint32), weights, refine)
         for b in batches:
-            for a in range(0, b.num_rows, 1 << 15):
-                part = b.slice(a, 1 << 15)
-                coded = part.column("pair").to_pylist()
-                bits = mixer.bits_of([t[1:] for t in coded], np.array([t[0] for t in coded]))
-                yield pa.RecordBatch.from_arrays([part.column("pair"), part.column("blocks"), part.column("n"), pa.array(bits)],
-                                                 names=["pair", "blocks", "n", "bits"])
-
-    # a pair's blocks are listed in runs of bounded length
-    found = dealt.groupBy(BLOCK).applyInArrow(distinct_tokens, f"pair binary, {BLOCK} int") \
-        .groupBy("pair", F.floor(F.col(BLOCK) / 1024).alias("run")).agg(F.collect_list(BLOCK).alias("blocks")) \
-        .withColumn("token", F.expr("substring(pair, 2)"))
-    known = found.join(vocabulary, "token", "left").select("pair", "blocks", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
-    scored = known.mapInArrow(cost, "pair binary, blocks array<int>, n long, bits double") \
-        .select(F.explode("blocks").alias(BLOCK), "pair", "n", "bits")
+            for coded, _, known, block in _blocks_of(b):
+                evidence, bits = block.evidence(False), []
+                for a in range(0, len(coded), BATCH_WORDS):
+                    e = min(a + BATCH_WORDS, len(coded))
+                    token = block.ctx.token[block.part(a, e)] - a
+                    bits.append(np.bincount(token, weights=mixer.costs(block.steps(evidence, a, e)), minlength=e - a))
+                yield pa.RecordBatch.from_arrays([pa.array(coded, pa.binary()), pa.array(known, pa.int64()), pa.array(np.concatenate(bits))],
+                                                 names=["pair", "known", "bits"])
+        release_memory()
+
+    costs = blocks.select("pairs", "n", "known", "size", "sums").mapInArrow(cost, "pair binary, known long, bits double")
+    scored = found.select("pair", BLOCK).join(costs, "pair").select(BLOCK, "pair", F.col("known").alias("n"), "bits")
 
     def add(block: pa.Table, facts: pa.Table) -> pa.Table:
         number = {w: i for i, w in enumerate(facts.column("pair").to_pylist())}

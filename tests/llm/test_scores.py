@@ -103,6 +103,32 @@ def test_lm_learns_only_from_its_documents_and_beats_the_base(spark):
     assert max(abs(a[i].score - b[i].score) / (1 + abs(a[i].score)) for i in same) < 1e-6
 
 
+def test_lm_counts_are_exact_and_grow_with_the_words(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_KEYS", 1 << 12)
+    rng = random.Random(4)
+    pairs = sorted({bytes([rng.randint(0, 2)]) + "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 9))).encode() for _ in range(900)})
+    counts = [0 if i % 5 == 0 else 2 ** 40 + i if i % 7 == 0 else i for i in range(len(pairs))]
+    rows = spark.createDataFrame([(zlib.crc32(p[1:]) % 3, bytearray(p), n, n) for p, n in zip(pairs, counts)], "block int, pair binary, n long, known long")
+    blocks = {r["block"]: r for r in lm.counted_blocks(rows, 5).collect()}
+    assert sorted(bytes(p) for r in blocks.values() for p in r["pairs"]) == pairs
+    whole = lm.Counted(*lm._tokens_of(pairs))
+    want = dict(zip(whole.keys.tolist(), lm.prefix_sums(whole.keys, whole.own(np.array(counts))).T.tolist()))
+    for r in blocks.values():
+        got = lm.Counted(*lm._tokens_of([bytes(p) for p in r["pairs"]]), lm.unpacked_sums(r["sums"], r["size"]))
+        assert [want[k] for k in got.keys.tolist()] == got.sums.T.tolist()
+    # by hand: what follows the whole token's first bytes, whatever the class
+    after = Counter()
+    for p, n in zip(pairs, counts):
+        for i, byte in enumerate(p[1:] + b" "):
+            for k in range(9):
+                after[p[1:][:i], k, byte >> (8 - k)] += n
+    at, c = 0, 6
+    for p in pairs:
+        for i, byte in enumerate(p[1:] + b" "):
+            assert want[int(whole.keys[whole.at[c, at]])] == [after[p[1:][:i], k, byte >> (8 - k)] for k in range(9)]
+            at += 1
+
+
 def test_bit_costs_are_a_distribution():
     words = [b"ab", b"abc", b"b", b"xyz", b"cd", lm.END_TOKEN]
     classes, counts = np.array([0, 1, 0, 2, 0, 1]), np.array([5, 3, 2, 1, 1, 4])
