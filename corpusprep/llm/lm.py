@@ -52,7 +52,7 @@ END_TOKEN = b"\n"
 TABLE_BITS = (12, 16, 20, 20, 21, 21, 21, 21)
 DELTA = 0.05
 STEP = 0.1
-BATCH_WORDS = 8192
+BATCH_WORDS = 2048
 #: Bytes of the pairs of one block, and keys (before repeats in a block are dropped) of one shard.
 PAIR_BYTES = 1 << 17
 SHARD_KEYS = 1 << 22
