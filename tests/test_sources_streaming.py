@@ -3,6 +3,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.plans import source_plans
 from corpusprep.sources import files
 from corpusprep.streaming import streams as st
 
@@ -125,3 +126,16 @@ print("pages", web.parse_pages(spark.createDataFrame([(1, "<p>x</p>")], "page_id
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     got = subprocess.run([sys.executable, "-c", code], cwd=tmpdir_path, env=env, capture_output=True, text=True, timeout=300)
     assert "pages 1" in got.stdout, got.stderr[-2000:]
+
+
+def test_json_documents_hold_a_bounded_share_of_a_group(spark, tmpdir_path):
+    import json
+    rows = [(i, f"c{i}", 0.5 * i, 7 if i % 10 else 3) for i in range(2000)] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "c_custkey long, c_name string, c_acctbal double, c_nationkey int")
+    columns = ["c_custkey", "c_name", "c_acctbal"]
+    sizes = [len(json.loads(r["value"])["data"]) for r in source_plans.json_documents(df, "c_nationkey", "c_custkey", columns, rows=100).collect()]
+    assert sum(sizes) == 2001 and max(sizes) <= 200
+    path = os.path.join(tmpdir_path, "documents")
+    source_plans.write_json_documents(df, "c_nationkey", "c_custkey", columns, path, rows=100)
+    back = files.read_json_field(spark, path, "data", df.select(*columns).schema)
+    assert sorted(map(repr, (tuple(r) for r in back.collect()))) == sorted(repr(r[:3]) for r in rows)
