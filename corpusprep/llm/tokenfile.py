@@ -43,7 +43,6 @@ from corpusprep.llm.wordbpe import STEP_ROWS, CachedEncoder, WordSplitter
 MAGIC = b"RPG1"
 SHARD_IDS = 1 << 20
 MIN_COUNT = 16
-ROUNDS = 8
 PAIRS_PER_ROUND = 4096
 
 
@@ -130,11 +129,11 @@ def frequent_pairs(symbols: np.ndarray, min_count: int, room: int) -> np.ndarray
     return np.array(out, dtype=np.int64).reshape(-1, 2)
 
 
-def compress(ids: np.ndarray, sizes: np.ndarray, terminals: int, min_count: int = MIN_COUNT, rounds: int = ROUNDS) -> Grammar:
+def compress(ids: np.ndarray, sizes: np.ndarray, terminals: int, min_count: int = MIN_COUNT) -> Grammar:
     """The grammar of one shard; ``terminals`` is one above the largest id and at most 65536."""
     symbols = ids.astype(np.uint16)
     rules = np.zeros((0, 2), dtype=np.int64)
-    for _ in range(rounds):
+    while True:  # every round but the last shortens the symbols
         room = 65536 - terminals - len(rules)
         if len(symbols) < 2 or room <= 0:
             break

@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from corpusprep.llm.minhash import edited_text, fingerprints_of, likeness, neighbour_fingerprints, pack, unpack
-from corpusprep.llm.tokenfile import Grammar, compress, read_documents, write_ids
+from corpusprep.llm.tokenfile import MIN_COUNT, Grammar, compress, frequent_pairs, read_documents, write_ids
 from corpusprep.llm.wordbpe import decode_documents, encode_documents, merge_encoder, vocabulary
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -164,3 +164,12 @@ def test_minhash_over_many_ranges(spark, monkeypatch):
         if 2 in range((a or -99) + 1, (b or -99)):
             continue
         assert have[a] == hashlib.sha256(edited_text(texts[a], texts[b]).encode()).hexdigest()
+
+
+def test_grammar_folds_until_no_pair_is_frequent():
+    rng = np.random.default_rng(6)
+    ids = np.tile(rng.integers(0, 5000, 1500), 600)
+    grammar = compress(ids, np.full(600, 1500), 5000)
+    assert np.array_equal(grammar.expand(grammar.symbols), ids)
+    assert not len(frequent_pairs(grammar.symbols, MIN_COUNT, 1)) and grammar.lengths.max() > 1500
+    assert np.array_equal(Grammar.load(grammar.dump()).document(599), ids[-1500:])
