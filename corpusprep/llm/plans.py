@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import chat, decontam, lines, lm, minhash, quality, simhash, suffix, tokenfile, wordbpe
+from corpusprep.llm import align, chat, decontam, lines, lm, minhash, partenum, quality, simhash, suffix, tokenfile, whiten, wordbpe
 from corpusprep.llm.common import source
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
+BYTE_VOCABULARY, PIECE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +80,21 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.neighbour_fingerprints(source(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_documents(source(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_VOCABULARY).drop("groups")
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_components(source(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(source(spark, sf_dir, "embeddings"), "vec_id", "embedding", count=32)
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_word_bpe, op3_lm_score, op4_quality, op5_line_dedup, op6_suffix_dedup,
-                                   op7_decontamination, op8_chat_format, op9_token_files, op10_minhash)}
+                                   op7_decontamination, op8_chat_format, op9_token_files, op10_minhash, op11_token_alignment,
+                                   op12_jaccard_join, op13_whitening)}
 
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
