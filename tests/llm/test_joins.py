@@ -295,3 +295,11 @@ def test_whitening_of_small_and_constant_tables(spark):
 def test_whitening_query(spark):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(SF0001 + "/embeddings.parquet").select("vec_id", "embedding").collect()]
     check_whitening(QUERIES["op13_whitening"](spark, SF0001).collect(), rows, 32)
+
+
+def test_ranked_vocabulary_equals_the_library():
+    tok, rng = align.two_tokenizers(BYTE_VOCABULARY, PIECE_VOCABULARY), random.Random(9)
+    assert tok.ranked is not None
+    letters = "etaoin shrdlu'ES 019.,-_\n\té🙂京"
+    texts = [" " + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 40))) for _ in range(5000)]
+    assert [tok.ranked.encode_ordinary(t) for t in texts] == [e.ids for e in tok.a.encode_batch_fast(texts, add_special_tokens=False)]
