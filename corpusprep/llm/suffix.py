@@ -13,8 +13,8 @@
 4. Marked starts go back to their documents, in blocks of bounded size, which cut the covered bytes.
 
 Runs are compared by the 64-bit hash of their bytes beside the 64-bit anchor hash; bytes travel only for
-anchors of step 3, picked in a second scan by a Bloom filter of fixed size (which may let others through;
-an exact join follows).
+anchors of step 3, picked in a second scan by a Bloom filter sized by their number (which may let others through;
+an exact join follows).  Runs of a key that holds a large share of all rows are not shuffled by it.
 
 Defined results: a null or empty text has no bytes; texts shorter than ``span`` never match; repeated rows
 are separate places, so all of a long repeated text goes; an empty table gives no rows.  Only the id and
@@ -39,7 +39,10 @@ SPAN = 400
 SHARD_BYTES = 1 << 20
 #: Texts are scanned for anchors in pieces of so many starts.
 PIECE = 1 << 22
-FILTER_BITS = 26
+#: The filter has 16 bits for each mixed anchor, and 2^20 (128 kB) to 2^28 (32 MB) in all.
+FILTER_BITS = (20, 28)
+#: A key of more than one in so many rows is heavy; there are fewer than so many of them.
+HEAVY_SHARE = 1000
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -158,19 +161,18 @@ def _common(eight: np.ndarray, other: np.ndarray, a: np.ndarray, b: np.ndarray,
 def neighbour_prefixes(eight: np.ndarray, starts: np.ndarray, before: np.ndarray, depth: int, stride: int = 32) -> np.ndarray:
     """Common prefix of each start (in text order) with its predecessor in suffix order (-1: none).
 
-    Kasai's rule: moving on by one byte, the common prefix shrinks by one at most, if both strings stay
-    starts.  Every ``stride``-th start is compared from its first byte; the others follow in ``stride``
-    rounds, each over all strides at once."""
+    Kasai's rule: moving on by one byte, the common prefix shrinks by one at most, if the predecessor moves on
+    too.  Starts that agree in more bytes than were sorted stand in any order, so the next start often has another
+    predecessor; it is then compared from its first byte, as every ``stride``-th start is.  The others follow
+    in ``stride`` rounds, each over all strides at once."""
     n = len(starts)
-    is_start = np.zeros(int(starts[-1]) + 2 if n else 1, dtype=bool)
-    is_start[starts] = True
     out = np.zeros(n, dtype=np.int64)
     for r in range(stride):
         at = np.arange(r, n, stride)
         known = np.zeros(len(at), dtype=np.int64)
         if r:
             prev = at - 1
-            follows = (starts[at] == starts[prev] + 1) & (before[prev] >= 0) & is_start[np.minimum(before[prev] + 1, len(is_start) - 1)]
+            follows = (starts[at] == starts[prev] + 1) & (before[prev] >= 0) & (before[at] == before[prev] + 1)
             known = np.where(follows, np.maximum(out[prev] - 1, 0), 0)
         has = before[at] >= 0
         at, known = at[has], known[has]
@@ -279,8 +281,12 @@ def document_runs(keyed: DataFrame, span: int, gram: int) -> DataFrame:
     return keyed.select(KEY_ID, KEY_HASH, BLOCK, "text").mapInArrow(run, RUN_SCHEMA)
 
 
-def filter_of(anchors: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bit array of 2^bits bits (8 MB) with the bit of every anchor set; its words are put together on the
+def filter_bits(n: int) -> int:
+    return min(max((16 * n).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+
+
+def filter_of(anchors: DataFrame, bits: int) -> np.ndarray:
+    """A bit array of 2^bits bits with the bit of every anchor set; its words are put together on the
     executors."""
     place = F.col("anchor").bitwiseAND(F.lit((1 << bits) - 1))
     words = anchors.select(F.shiftright(place, 6).alias("w"), F.expr("shiftleft(1L, cast(anchor & 63 as int))").alias("b")) \
@@ -291,7 +297,7 @@ def filter_of(anchors: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return out
 
 
-def run_texts(keyed: DataFrame, shared, span: int, gram: int, bits: int = FILTER_BITS) -> DataFrame:
+def run_texts(keyed: DataFrame, shared, span: int, gram: int, bits: int) -> DataFrame:
     """(anchor, bytes_hash, body): the bytes of runs whose anchor passes the filter, each once per batch."""
     def run(batches):
         wanted = shared.value
@@ -372,6 +378,20 @@ def marked_starts(texts: DataFrame, span: int, shard_bytes: int = SHARD_BYTES) -
     return placed.mapInArrow(run, MARK_SCHEMA)
 
 
+def heavy_keys(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that hold more than one in ``HEAVY_SHARE`` of all rows, from the number ``n`` of rows of each key."""
+    total = counts.agg(F.sum("n").alias("t")).collect()[0]["t"] or 0
+    return saved(counts.where(F.col("n") * HEAVY_SHARE > total).select(*keys), "heavy-keys")
+
+
+def heavy_join(left: DataFrame, right: DataFrame, keys: list[str], heavy: DataFrame, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``.  Rows of heavy keys (fewer than ``HEAVY_SHARE``, so their part of ``right`` is small)
+    stay where they are and meet a broadcast; all others are shuffled."""
+    hot = F.broadcast(heavy)
+    few = left.join(hot, keys, "left_semi").join(F.broadcast(right.join(hot, keys, "left_semi")), keys, how)
+    return few.unionByName(left.join(hot, keys, "left_anti").join(right.join(hot, keys, "left_anti"), keys, how))
+
+
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int | None = None,
                 block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept binary) for every row: its bytes without those covered by a
@@ -382,19 +402,22 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = with_row_key(rows, "doc_id", "text").withColumn(BLOCK, block_of(n_blocks))
     runs = saved(document_runs(keyed, span, gram), "runs")
     anchors = saved(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("bytes_hash").alias("low"), F.max("bytes_hash").alias("high"))
-                    .where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("alike")), "anchors")
-    met = runs.join(anchors, "anchor")
+                    .where("n > 1").select("anchor", "n", (F.col("low") == F.col("high")).alias("alike")), "anchors")
+    met = heavy_join(runs, anchors.drop("n"), ["anchor"], heavy_keys(anchors, ["anchor"]))
     copies = met.where("alike")
     mixed = saved(met.where("not alike").drop("alike"), "mixed-runs")
-    distinct = mixed.groupBy("anchor", "bytes_hash").agg(F.count(F.lit(1)).alias("n"))
-    shared = docs.sparkSession.sparkContext.broadcast(filter_of(mixed.select("anchor")))  # 8 MB
-    texts = run_texts(keyed, shared, span, gram).join(distinct.select("anchor", "bytes_hash"), ["anchor", "bytes_hash"], "left_semi") \
-        .groupBy("anchor", "bytes_hash").agg(F.first("body").alias("body"))
-    marks = marked_starts(saved(texts, "run-texts"), span, shard_bytes)
-    twice = distinct.where("n > 1").select("anchor", "bytes_hash")
-    repeated = mixed.join(twice, ["anchor", "bytes_hash"], "left_semi")
-    partly = mixed.select(KEY_ID, KEY_HASH, BLOCK, "first", "anchor", "bytes_hash") \
-        .join(marks, ["anchor", "bytes_hash"]).select(KEY_ID, KEY_HASH, BLOCK, (F.col("first") + F.col("offset")).alias("first"), "size")
+    named = ["anchor", "bytes_hash"]
+    distinct = saved(mixed.groupBy(*named).agg(F.count(F.lit(1)).alias("n")), "distinct-runs")
+    heavy = heavy_keys(distinct, named)
+    bits = filter_bits(anchors.where("not alike").count())
+    shared = docs.sparkSession.sparkContext.broadcast(filter_of(mixed.select("anchor"), bits))  # 32 MB at most
+    texts = run_texts(keyed, shared, span, gram, bits).join(distinct.select(*named), named, "left_semi") \
+        .groupBy(*named).agg(F.first("body").alias("body"))
+    marks = saved(marked_starts(saved(texts, "run-texts"), span, shard_bytes), "marked-starts")
+    twice = distinct.where("n > 1").select(*named)
+    repeated = heavy_join(mixed, twice, named, heavy, "left_semi")
+    partly = heavy_join(mixed.select(KEY_ID, KEY_HASH, BLOCK, "first", *named), marks, named, heavy) \
+        .select(KEY_ID, KEY_HASH, BLOCK, (F.col("first") + F.col("offset")).alias("first"), "size")
     spans = copies.select(KEY_ID, KEY_HASH, BLOCK, "first", "size") \
         .unionByName(repeated.select(KEY_ID, KEY_HASH, BLOCK, "first", "size")).unionByName(partly)
 

@@ -221,3 +221,45 @@ def test_shards_merge_by_search():
     there = {t[i:i + 9] for t in b for i in range(22)}
     want = [t[i:i + 9] in there for t in a for i in range(22)]
     assert left.marked.tolist() == want
+
+
+def test_marks_inside_a_shard_of_overlapping_slices():
+    """Slices of one text, with many starts that agree in more bytes than are sorted, against all substrings."""
+    from corpusprep.llm.suffix import Shard
+    rng = random.Random(12)
+    for _ in range(240):
+        span = rng.choice([5, 9, 16, 40])
+        base = bytes(rng.choice(b"ab") if rng.random() < 0.5 else rng.choice(b"abcdefgh") for _ in range(rng.randrange(60, 400)))
+        texts = []
+        for _ in range(rng.randrange(2, 9)):
+            at = rng.randrange(len(base) - span)
+            t = bytearray(base[at:at + rng.randrange(span, 300)])
+            if rng.random() < 0.5 and len(t) > span:
+                t[rng.randrange(len(t))] = ord("z")
+            if len(t) >= span:
+                texts.append(bytes(t))
+        places = defaultdict(list)
+        for i, t in enumerate(texts):
+            for k in range(len(t) - span + 1):
+                places[t[k:k + span]].append((i, k))
+        want = sorted(p for v in places.values() if len(v) > 1 for p in v)
+        shard = Shard(texts, span)
+        shard.mark_inside()
+        text, first, sizes = shard.runs()
+        assert sorted((i, k) for i, f, n in zip(text.tolist(), first.tolist(), sizes.tolist()) for k in range(f, f + n)) == want
+
+
+def test_repeats_with_heavy_keys(spark):
+    """One passage in most texts, alone and beside others, so that its anchors are heavy."""
+    from corpusprep.llm.suffix import cut_repeats
+    rng = random.Random(13)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    texts = [passage if i % 3 else f"{i} " + passage[:rng.randrange(20, 90)] + "".join(rng.choice("xyz") for _ in range(30)) for i in range(120)]
+    got = {r["doc_id"]: (r["n_removed"], bytes(r["kept"]).decode()) for r in cut_repeats(docs_of(spark, list(enumerate(texts))), span=16).collect()}
+    seen = defaultdict(int)
+    for t in texts:
+        for k in range(len(t) - 15):
+            seen[t[k:k + 16]] += 1
+    for i, t in enumerate(texts):
+        gone = {p for k in range(len(t) - 15) if seen[t[k:k + 16]] > 1 for p in range(k, k + 16)}
+        assert got[i] == (len(gone), "".join(c for p, c in enumerate(t) if p not in gone))
