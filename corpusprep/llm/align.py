@@ -44,7 +44,7 @@ CHUNK_CHARS, CHUNK_ROWS = 6 << 20, 5000
 #: Characters aligned at a time.
 STEP_CHARS = 1 << 20
 #: Distinct stretches, and characters of them, that a task keeps.
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 8 << 20
+CACHE_ENTRIES, CACHE_CHARS = 150_000, 4 << 20
 #: Groups with more links than this count their distinct ids first.
 WIDE_LINKS = 4096
 
@@ -141,23 +141,25 @@ class TwoTokenizers:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        library = Tokenizer.from_file(path_a)
+        library.encode_special_tokens = True
+        library.no_truncation()
+        library.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte_of = {c: i for i, c in enumerate(byte_symbols())}
         with open(path_a, encoding="utf-8") as f:
             file_a = json.load(f)
         added = {t["id"]: t["content"] for t in file_a.get("added_tokens", ())}
-        self.bytes_a = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
+        self.bytes_a = [b""] * library.get_vocab_size()
+        for token, i in library.get_vocab().items():
             self.bytes_a[i] = added[i].encode() if i in added else bytes(byte_of[c] for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.ranked = _ranked(file_a, self.bytes_a, added)
+        self.a = library if self.ranked is None else None
         self.size_a = np.fromiter(map(len, self.bytes_a), dtype=np.int64, count=len(self.bytes_a))
         self.size_b = np.fromiter(map(len, self.bytes_b), dtype=np.int64, count=len(self.bytes_b))
+        self.types = tuple("<u2" if len(t) <= 1 << 16 else "<u4" for t in (self.bytes_a, self.bytes_b))
         self.clear()
 
     def clear(self) -> None:
@@ -308,8 +310,8 @@ def _steps(chars: list[int], limit: int, rows: int):
 
 
 def encode_both(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(chunk, doc_id, n_chars, a, b): ids of both tokenizers as little-endian unsigned 32-bit integers, written
-    to the shared folder.  Chunk numbers are drawn at random and kept by the written table."""
+    """(chunk, doc_id, n_chars, a, b): ids of both tokenizers as little-endian unsigned integers, of 16 bits if the
+    vocabulary allows it, written to the shared folder.  Chunk numbers are drawn at random and kept by the written table."""
     def run(batches):
         tok = two_tokenizers(path_a, path_b)
         chunk, rows, chars = _draw(), 0, 0
@@ -323,9 +325,9 @@ def encode_both(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id
                 rows, chars = rows + y - x, chars + total
                 a, b, n_a, n_b = tok.encode(str_texts(part.column(1)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(y - x, chunk)), part.column(0), part.column(2), _packed(a, n_a), _packed(b, n_b)],
+                    [pa.array(np.full(y - x, chunk)), part.column(0), part.column(2), _packed(a, n_a, tok.types[0]), _packed(b, n_b, tok.types[1])],
                     names=["chunk", "doc_id", "n_chars", "a", "b"])
-        release_memory()
+            release_memory()
 
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"))
@@ -336,21 +338,22 @@ def _draw() -> int:
     return int.from_bytes(os.urandom(8), "little") >> 1
 
 
-def _packed(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    ends = np.concatenate([[0], np.cumsum(sizes)]) * 4
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.astype("<u4").tobytes())])
+def _packed(ids: np.ndarray, sizes: np.ndarray, kind: str) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(sizes)]) * np.dtype(kind).itemsize
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.astype(kind).tobytes())])
 
 
-def _unpacked(column) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(column, kind: str) -> tuple[np.ndarray, np.ndarray]:
     parts = column.to_pylist()
-    return np.frombuffer(b"".join(parts), dtype="<u4").astype(np.int64), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+    sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(parts), dtype=kind).astype(np.int64), sizes
 
 
 def _runs(batch, tok: TwoTokenizers, piece: int):
     """(first row, row behind the last, alignment) of runs of rows of a batch with the columns of ``encode_both``."""
     for x, y in _steps(batch.column("n_chars").to_pylist(), STEP_CHARS, 1000):
         part = batch.slice(x, y - x)
-        (a, n_a), (b, n_b) = _unpacked(part.column("a")), _unpacked(part.column("b"))
+        (a, n_a), (b, n_b) = _unpacked(part.column("a"), tok.types[0]), _unpacked(part.column("b"), tok.types[1])
         yield x, y, Aligned(tok, a, b, n_a, n_b, piece)
 
 
@@ -370,7 +373,7 @@ def chunk_pairs(encoded: DataFrame, path_a: str, path_b: str, piece: int = PIECE
                 if len(pair):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), chunk[x])), pa.array(pair), pa.array(n.astype(np.int64))],
                                                      names=["chunk", "pair", "n"])
-        release_memory()
+            release_memory()
 
     return saved(encoded.select("chunk", "n_chars", "a", "b").mapInArrow(run, PAIRS_SCHEMA), "chunk-pairs")
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from corpusprep.llm import align, partenum, whiten
 from corpusprep.llm.plans import BYTE_VOCABULARY, PIECE_VOCABULARY, QUERIES
@@ -34,12 +35,19 @@ def test_merge_path_finds_all_shared_ends():
             assert (a[cut_a] == np.intersect1d(a, b)).all() and (b[cut_b] == np.intersect1d(a, b)).all()
 
 
+def library_a():
+    out = Tokenizer.from_file(BYTE_VOCABULARY)
+    out.encode_special_tokens = True
+    return out
+
+
 def slow_alignment(rows):
+    library = library_a()
     tok = align.two_tokenizers(BYTE_VOCABULARY, PIECE_VOCABULARY)
     docs = []
     for i, t in rows:
         whole = (" " + (t or "")).encode()
-        a = tok.a.encode(" " + t, add_special_tokens=False).ids if t else []
+        a = library.encode(" " + t, add_special_tokens=False).ids if t else []
         b = tok.b.encode(t) if t else []
         if b"".join(tok.bytes_a[x] for x in a) != whole or b"".join(tok.bytes_b[x] for x in b) != whole:
             a, b = [], []
@@ -106,6 +114,9 @@ def test_alignment_cache_is_emptied(monkeypatch):
     first = [x.tolist() for x in tok.encode(["one two", "three"])]
     monkeypatch.setattr(align, "CACHE_ENTRIES", 0)
     assert [x.tolist() for x in tok.encode(["one two", "three"])] == first
+    tok.a, tok.ranked = library_a(), None  # a file that is no plain byte-level BPE goes through the library
+    tok.clear()
+    assert [x.tolist() for x in tok.encode(["one two", "three"])] == first
 
 
 # --- Jaccard join --------------------------------------------------------------------------------
@@ -302,4 +313,4 @@ def test_ranked_vocabulary_equals_the_library():
     assert tok.ranked is not None
     letters = "etaoin shrdlu'ES 019.,-_\n\té🙂京"
     texts = [" " + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 40))) for _ in range(5000)]
-    assert [tok.ranked.encode_ordinary(t) for t in texts] == [e.ids for e in tok.a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [tok.ranked.encode_ordinary(t) for t in texts] == [e.ids for e in library_a().encode_batch_fast(texts, add_special_tokens=False)]
