@@ -294,7 +294,7 @@ class Aligned:
 # --- over the cluster ----------------------------------------------------------------------------
 
 
-IDS_SCHEMA = "chunk long, doc_id long, n_chars long, a binary, b binary"
+IDS_SCHEMA = "chunk long, doc_ids array<long>, n_a binary, n_b binary, a binary, b binary"
 
 
 def _steps(chars: list[int], limit: int, rows: int):
@@ -310,8 +310,9 @@ def _steps(chars: list[int], limit: int, rows: int):
 
 
 def encode_both(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(chunk, doc_id, n_chars, a, b): ids of both tokenizers as little-endian unsigned integers, of 16 bits if the
-    vocabulary allows it, written to the shared folder.  Chunk numbers are drawn at random and kept by the written table."""
+    """(chunk, doc_ids, n_a, n_b, a, b): a row for a run of texts, with the ids of both tokenizers as compressed
+    little-endian unsigned integers and how many each text has, written to the shared folder.  Chunk numbers are
+    drawn at random and kept by the written table."""
     def run(batches):
         tok = two_tokenizers(path_a, path_b)
         chunk, rows, chars = _draw(), 0, 0
@@ -325,8 +326,9 @@ def encode_both(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id
                 rows, chars = rows + y - x, chars + total
                 a, b, n_a, n_b = tok.encode(str_texts(part.column(1)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(y - x, chunk)), part.column(0), part.column(2), _packed(a, n_a, tok.types[0]), _packed(b, n_b, tok.types[1])],
-                    names=["chunk", "doc_id", "n_chars", "a", "b"])
+                    [pa.array([chunk]), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
+                     *(pa.array([_packed(v, kind)], pa.binary()) for v, kind in zip((n_a, n_b, a, b), ("<u4", "<u4", *tok.types)))],
+                    names=["chunk", "doc_ids", "n_a", "n_b", "a", "b"])
             release_memory()
 
     text = F.col(text_col)
@@ -338,44 +340,42 @@ def _draw() -> int:
     return int.from_bytes(os.urandom(8), "little") >> 1
 
 
-def _packed(ids: np.ndarray, sizes: np.ndarray, kind: str) -> pa.Array:
-    ends = np.concatenate([[0], np.cumsum(sizes)]) * np.dtype(kind).itemsize
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.astype(kind).tobytes())])
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    raw = values.astype(kind).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _unpacked(column, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    parts = column.to_pylist()
-    sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // np.dtype(kind).itemsize
-    return np.frombuffer(b"".join(parts), dtype=kind).astype(np.int64), sizes
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    raw = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.frombuffer(raw, dtype=kind).astype(np.int64)
 
 
-def _runs(batch, tok: TwoTokenizers, piece: int):
-    """(first row, row behind the last, alignment) of runs of rows of a batch with the columns of ``encode_both``."""
-    for x, y in _steps(batch.column("n_chars").to_pylist(), STEP_CHARS, 1000):
-        part = batch.slice(x, y - x)
-        (a, n_a), (b, n_b) = _unpacked(part.column("a"), tok.types[0]), _unpacked(part.column("b"), tok.types[1])
-        yield x, y, Aligned(tok, a, b, n_a, n_b, piece)
+def _alignments(rows, tok: TwoTokenizers, piece: int):
+    """The alignment of each row of ``encode_both``."""
+    for k in range(rows.num_rows):
+        n_a, n_b, a, b = (_unpacked(rows.column(c)[k].as_py(), kind) for c, kind in zip(("n_a", "n_b", "a", "b"), ("<u4", "<u4", *tok.types)))
+        yield Aligned(tok, a, b, n_a, n_b, piece)
 
 
 PAIRS_SCHEMA = "chunk long, pair long, n long"
 
 
 def chunk_pairs(encoded: DataFrame, path_a: str, path_b: str, piece: int = PIECE) -> DataFrame:
-    """(chunk, pair, n): the documents of a chunk that hold an id pair linked, summed over the rows of a batch."""
+    """(chunk, pair, n): the documents of a chunk that hold an id pair linked, summed over its rows in a batch."""
     def run(batches):
         tok = two_tokenizers(path_a, path_b)
         for batch in batches:
             chunk = batch.column("chunk").to_numpy()
             cuts = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])).tolist() + [len(chunk)]
             for x, y in zip(cuts[:-1], cuts[1:]):
-                found = [al.linked_pairs()[1] for _, _, al in _runs(batch.slice(x, y - x), tok, piece)]
+                found = [al.linked_pairs()[1] for al in _alignments(batch.slice(x, y - x), tok, piece)]
                 pair, n = np.unique(np.concatenate(found), return_counts=True)
                 if len(pair):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), chunk[x])), pa.array(pair), pa.array(n.astype(np.int64))],
                                                      names=["chunk", "pair", "n"])
-            release_memory()
+                release_memory()
 
-    return saved(encoded.select("chunk", "n_chars", "a", "b").mapInArrow(run, PAIRS_SCHEMA), "chunk-pairs")
+    return saved(encoded.select("chunk", "n_a", "n_b", "a", "b").mapInArrow(run, PAIRS_SCHEMA), "chunk-pairs")
 
 
 OUT_SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string, "
@@ -403,20 +403,19 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
         pair, count = pair[order], found.column("count").to_numpy()[order]
         is_best = found.column("best").to_numpy(zero_copy_only=False)[order]
         out = []
-        for batch in rows.combine_chunks().to_batches():
-            for x, y, al in _runs(batch, tok, piece):
-                n = y - x
-                text, key, links = al.linked_pairs()
-                at = np.searchsorted(pair, key)
-                sums, bests = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-                np.add.at(sums, text, links * count[at])
-                np.add.at(bests, text, links * is_best[at])
-                groups = al.texts(tok)
-                digest = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
-                out.append(pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(x, n), *(pa.array(v.astype(np.int64)) for v in (al.n_a, al.n_b, al.n_groups, al.n_links, bests, sums)),
-                     pa.array(groups, pa.binary()).cast(pa.string()), pa.array(digest, pa.string())],
-                    names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups", "groups_sha256"]))
+        for ids, al in zip(rows.column("doc_ids"), _alignments(rows, tok, piece)):
+            n = len(ids)
+            text, key, links = al.linked_pairs()
+            at = np.searchsorted(pair, key)
+            sums, bests = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+            np.add.at(sums, text, links * count[at])
+            np.add.at(bests, text, links * is_best[at])
+            groups = al.texts(tok)
+            digest = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
+            out.append(pa.RecordBatch.from_arrays(
+                [ids.values, *(pa.array(v.astype(np.int64)) for v in (al.n_a, al.n_b, al.n_groups, al.n_links, bests, sums)),
+                 pa.array(groups, pa.binary()).cast(pa.string()), pa.array(digest, pa.string())],
+                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups", "groups_sha256"]))
         release_memory()
         return pa.Table.from_batches(out)
 
