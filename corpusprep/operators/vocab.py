@@ -13,6 +13,7 @@ shuffled and a hot word cannot skew a task.
 
 from __future__ import annotations
 
+import heapq
 import math
 
 import numpy as np
@@ -108,15 +109,20 @@ def apart(candidates: list[tuple]) -> list[tuple]:
     return out
 
 
-def _new_pair_bounds(words: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
-    """For each pair the largest count that a pair with its merged symbol would have: from the symbols next
-    to its places, before and after."""
-    z = words.select("count", F.explode(F.arrays_zip(
+def _places(words: DataFrame) -> DataFrame:
+    """(count, a, b, before, after): every place of a pair with the symbols beside it."""
+    return words.select("count", F.explode(F.arrays_zip(
         F.slice("symbols", 1, F.greatest(F.size("symbols") - 1, F.lit(0))).alias("a"),
         F.slice("symbols", 2, F.greatest(F.size("symbols") - 1, F.lit(0))).alias("b"),
         F.concat(F.array(F.lit(None).cast("string")), F.slice("symbols", 1, F.greatest(F.size("symbols") - 2, F.lit(0)))).alias("before"),
         F.concat(F.slice("symbols", 3, F.greatest(F.size("symbols") - 2, F.lit(0))), F.array(F.lit(None).cast("string"))).alias("after"))).alias("p")) \
         .select("count", "p.*")
+
+
+def _new_pair_bounds(words: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
+    """For each pair the largest count that a pair with its merged symbol would have: from the symbols next
+    to its places, before and after."""
+    z = _places(words)
     wanted = words.sparkSession.createDataFrame(pairs, "a string, b string")
     near = z.join(F.broadcast(wanted), ["a", "b"])  # as many rows as candidates: a few hundred
     sides = near.select("a", "b", "count", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("s")),
@@ -181,33 +187,164 @@ def _wp_initial(freqs: DataFrame) -> DataFrame:
     return freqs.select("word", "count", sym.alias("symbols"))
 
 
+#: Best pairs, and words that hold them, that one round of WordPiece merges works with.
+WP_PAIRS, WP_WORDS = 1024, 50_000
+
+
+class _PairIndex:
+    """Counts of units and pairs as merges are taken one after the other, between two looks at all words.
+
+    Held are the best pairs with every word they occur in, and the counts of all pairs that touch a symbol of
+    theirs.  A merge changes counts in words that hold its pair only, so the index stays exact; a pair with a new
+    symbol lies in held words too.  ``next`` gives the best pair of all, as long as its words are held and no pair
+    outside the index (none is better than the last of the best) could precede it."""
+
+    def __init__(self, best: list, touching: list, held: list):
+        self.units: dict = {}
+        self.count: dict = {}
+        for r in touching:
+            self.count[r["left"], r["right"]] = int(r["freq"])
+            self.units[r["left"]], self.units[r["right"]] = int(r["lf"]), int(r["rf"])
+        self.symbols = [list(r["symbols"]) for r in held]
+        self.weight = [int(r["count"]) for r in held]
+        self.covered = {p: set() for p in best}
+        for i, s in enumerate(self.symbols):
+            for p in zip(s, s[1:]):
+                if p in self.covered:
+                    self.covered[p].add(i)
+        self.changed: set = set()
+        self.floor = self._rank(best[-1])
+        self.heap = [self._rank(p) for p in self.count]
+        heapq.heapify(self.heap)
+        self.with_symbol: dict = {}
+        for p in self.count:
+            for x in p:
+                self.with_symbol.setdefault(x, set()).add(p)
+
+    def _rank(self, p: tuple[str, str]) -> tuple[float, str, str]:
+        return (-self.count[p] / (float(self.units[p[0]]) * self.units[p[1]]), *p)
+
+    def next(self) -> tuple[str, str] | None:
+        while self.heap:
+            top = self.heap[0]
+            pair = top[1:]
+            if not self.count.get(pair) or top != self._rank(pair):
+                heapq.heappop(self.heap)  # of an earlier state; the present one is entered too
+                continue
+            return pair if pair in self.covered and top <= self.floor else None
+        return None
+
+    def take(self, a: str, b: str, token: str) -> None:
+        """Merges every place of the pair, left to right in each word."""
+        delta: dict = {}
+        for i in self.covered[a, b]:
+            old, new, k = self.symbols[i], [], 0
+            while k < len(old):
+                two = k + 1 < len(old) and old[k] == a and old[k + 1] == b
+                new.append(token if two else old[k])
+                k += 1 + two
+            if len(new) == len(old):
+                continue
+            w = self.weight[i]
+            for seq, sign in ((old, -w), (new, w)):
+                for p in zip(seq, seq[1:]):
+                    delta[p] = delta.get(p, 0) + sign
+            merged = len(old) - len(new)
+            for x, n in ((a, -merged), (b, -merged), (token, merged)):
+                self.units[x] = self.units.get(x, 0) + n * w
+            for p in zip(new, new[1:]):
+                if token in p:
+                    self.covered.setdefault(p, set()).add(i)
+                elif p in self.covered:
+                    self.covered[p].add(i)
+            self.symbols[i] = new
+            self.changed.add(i)
+        for p, n in delta.items():
+            if n:
+                self.count[p] = self.count.get(p, 0) + n
+                for x in p:
+                    self.with_symbol.setdefault(x, set()).add(p)
+        for p in set().union(*(self.with_symbol.get(x, ()) for x in (a, b, token))):
+            if self.count.get(p):
+                heapq.heappush(self.heap, self._rank(p))
+
+
+def _wordpiece_round(words: DataFrame) -> tuple[_PairIndex | None, list]:
+    """The pair index over the words' present symbols, and the words held by it."""
+    units = words.select("count", F.explode("symbols").alias("u")).groupBy("u").agg(F.sum("count").alias("uf"))
+    places = words.select("count", F.explode(F.arrays_zip(_lefts("symbols").alias("a"), _rights("symbols").alias("b"))).alias("p"))
+    pairs = places.groupBy(F.col("p.a").alias("left"), F.col("p.b").alias("right")).agg(F.sum("count").alias("freq"), F.count(F.lit(1)).alias("places"))
+    scored = cut_lineage(pairs.join(units.select(F.col("u").alias("left"), F.col("uf").alias("lf")), "left")
+                         .join(units.select(F.col("u").alias("right"), F.col("uf").alias("rf")), "right"))
+    score = F.col("freq") / (F.col("lf").cast("double") * F.col("rf"))
+    best, held_places = [], 0
+    for r in scored.orderBy(score.desc(), "left", "right").limit(WP_PAIRS).collect():
+        held_places += int(r["places"])
+        if best and held_places > WP_WORDS:
+            break
+        best.append((r["left"], r["right"]))
+    if not best:
+        return None, []
+    spark = words.sparkSession
+    named = F.broadcast(spark.createDataFrame([(x,) for x in sorted({x for p in best for x in p})], "s string"))  # twice WP_PAIRS at most
+    near = scored.join(named.withColumnRenamed("s", "left"), "left", "left_semi") \
+        .unionByName(scored.join(named.withColumnRenamed("s", "right"), "right", "left_semi")).distinct()
+    touching = bounded_collect(near, "pairs beside candidates")
+    sep = chr(0)
+    inside = F.zip_with(_lefts("symbols"), _rights("symbols"), lambda x, y: F.concat(x, F.lit(sep), y))
+    wanted = F.broadcast(spark.createDataFrame([(a + sep + b,) for a, b in best], "pair string"))
+    rows = words.select("word", F.explode(F.array_distinct(inside)).alias("pair")).join(wanted, "pair", "left_semi").select("word").distinct()
+    held = bounded_collect(words.join(rows, "word", "left_semi"), "words of candidates")
+    return _PairIndex(best, touching, held), held
+
+
+def _lefts(c: str) -> Column:
+    return F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0)))
+
+
+def _rights(c: str) -> Column:
+    return F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))
+
+
 def learn_wordpiece(freqs: DataFrame, vocab_size: int, specials: tuple[str, ...] = (PAD, UNK, CLS, SEP, MASK),
                     max_merges: int | None = None):
     """Merge the pair with the best score freq(ab) / (freq(a) * freq(b)) (ties: left, right)
     until the vocabulary (specials + alphabet + merges) reaches ``vocab_size`` or ``max_merges``
-    merges are done; returns (token, id)."""
+    merges are done; returns (token, id).
+
+    A round looks at all words once, for the best pairs, everything that touches their symbols and the words that
+    hold them (bounded by ``WP_PAIRS`` and ``WP_WORDS``; a pair in more words comes alone).  Merges are taken from
+    that index as long as the next one is certain, so the order equals merging one pair at a time; words
+    that hold a merged pair are replaced."""
     spark = freqs.sparkSession
     words = cut_lineage(_wp_initial(freqs))
     alpha_df = words.select(F.explode("symbols").alias("t")).distinct()
     alphabet = sorted(r[0] for r in bounded_collect(alpha_df, "alphabet"))
-    vocab = list(specials) + alphabet
-    step = 0
-    while len(vocab) < vocab_size and (max_merges is None or step < max_merges):
-        units = words.select("count", F.explode("symbols").alias("u")).groupBy("u").agg(F.sum("count").alias("uf"))
-        pairs = _pair_counts(words)
-        scored = pairs.join(units.withColumnRenamed("u", "left").withColumnRenamed("uf", "lf"), "left") \
-            .join(units.withColumnRenamed("u", "right").withColumnRenamed("uf", "rf"), "right") \
-            .withColumn("score", F.col("freq") / (F.col("lf") * F.col("rf")))
-        best = scored.orderBy(F.col("score").desc(), "left", "right").limit(1).collect()
-        if not best:
+    vocab, known = list(specials) + alphabet, set(alphabet)
+    taken = 0
+    while len(vocab) < vocab_size and (max_merges is None or taken < max_merges):
+        index, held = _wordpiece_round(words)
+        if index is None:
             break
-        a, b = best[0]["left"], best[0]["right"]
-        token = _join_pair(a, b, CONTINUATION)
-        vocab.append(token)
-        words = words.withColumn("symbols", _merge_pairs(F.col("symbols"), {(a, b): token}))
-        step += 1
-        if step % CHECKPOINT_EVERY == 0:
-            words = cut_lineage(words)
+        made: list = []
+        while len(vocab) < vocab_size and (max_merges is None or taken < max_merges):
+            pair = index.next()
+            if pair is None:
+                break
+            token = _join_pair(*pair, CONTINUATION)
+            if made and token in known:  # the symbol has places in words that are not held
+                break
+            index.take(*pair, token)
+            made.append(token)
+            vocab.append(token)
+            taken += 1
+            if token in known:
+                break
+        if not made:
+            raise RuntimeError("no certain merge")  # the best pair of a round is always certain
+        known.update(made)
+        new = spark.createDataFrame([(held[i]["word"], index.symbols[i]) for i in sorted(index.changed)], "word string, merged array<string>")
+        words = cut_lineage(words.join(F.broadcast(new), "word", "left").select("word", "count", F.coalesce("merged", "symbols").alias("symbols")))
     seen, out = set(), []
     for t in vocab:
         if t not in seen:
@@ -260,66 +397,155 @@ def bounded_collect(df: DataFrame, what: str):
     return rows
 
 
+def _repeated_prefixes(frames):
+    """(unit, freq) of the nodes of the suffix tree of sorted suffixes, from their common prefixes: a stack holds
+    the open nodes, so memory is bounded by the longest suffix."""
+    open_: list = []  # [length, freq, text]
+    last = ""
+
+    def close(length: int, out: list) -> int:
+        below = 0
+        while open_ and open_[-1][0] > length:
+            n, freq, text = open_.pop()
+            below += freq
+            out.append((text, below))
+            if open_ and open_[-1][0] >= length:
+                open_[-1][1] += below
+                below = 0
+        return below
+
+    def frame(out: list) -> pd.DataFrame:
+        return pd.DataFrame([r for r in out if r[1] > 1], columns=["unit", "freq"])
+
+    for pdf in frames:
+        out: list = []
+        for suffix, freq in zip(pdf["suffix"], pdf["freq"]):
+            shared = 0
+            for x, y in zip(last, suffix):
+                if x != y:
+                    break
+                shared += 1
+            below = close(max(shared, 1), out)
+            if shared > 1 and below:
+                open_.append([shared, below, suffix[:shared]])
+            open_.append([len(suffix), int(freq), suffix])
+            last = suffix
+        yield frame(out)
+    out = []
+    close(1, out)
+    yield frame(out)
+
+
 def unigram_seed(freqs: DataFrame, size: int, max_len: int | None = None) -> DataFrame:
-    """Initial unigram units: every character plus the ``size`` most frequent substrings of length
-    >= 2 (frequency = sum of word counts over occurrences); -log p from those frequencies.  All lengths
-    are counted unless ``max_len`` bounds them."""
+    """Initial unigram units: every character plus the ``size`` substrings of length >= 2 with the largest
+    freq * length (freq = sum of word counts over occurrences; ties: unit), of those found twice or more that no
+    single character always follows.  ``max_len`` bounds their length.
+
+    Suffixes of the distinct words are dealt by their first two characters, which all occurrences of a substring share,
+    and sorted; one pass over the common prefixes of neighbours gives the nodes of their suffix tree."""
     n = F.length("word")
-    subs = freqs.select("count", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"), n.alias("n"), "word") \
-        .select("count", "word", "s", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("s") if max_len is None else F.least(F.lit(max_len), F.col("n") - F.col("s")))).alias("l")) \
-        .select(F.substring("word", F.col("s") + 1, F.col("l")).alias("unit"), "count", "l")
-    counts = subs.groupBy("unit", "l").agg(F.sum("count").alias("freq"))
-    singles = counts.where(F.col("l") == 1)
-    multi = counts.where(F.col("l") > 1).orderBy(F.col("freq").desc(), "unit").limit(size)
-    units = singles.unionByName(multi).select("unit", "freq")
-    total = units.agg(F.sum("freq")).first()[0]
+    rest = F.expr("substring(word, s)") if max_len is None else F.expr(f"substring(word, s, {int(max_len)})")
+    starts = freqs.where(n > 1).select("word", "count", F.explode(F.sequence(F.lit(1), n - 1)).alias("s"))
+    suffixes = starts.select(rest.alias("suffix"), "count").groupBy("suffix").agg(F.sum("count").alias("freq"))
+    dealt = suffixes.repartition(F.substring("suffix", 1, 2)).sortWithinPartitions("suffix")
+    multi = dealt.mapInPandas(_repeated_prefixes, "unit string, freq long") \
+        .orderBy((F.col("freq") * F.length("unit")).desc(), "unit").limit(size)
+    singles = freqs.select(F.explode(F.filter(F.split("word", ""), lambda x: x != "")).alias("unit"), "count") \
+        .groupBy("unit").agg(F.sum("count").alias("freq"))
+    return _scored(singles.unionByName(multi).select("unit", F.col("freq").cast("double").alias("freq")))
+
+
+def _scored(units: DataFrame) -> DataFrame:
+    """(unit, freq, score): units with -log of their share of all counts."""
+    units = cut_lineage(units.select("unit", "freq"))
+    total = units.agg(F.sum("freq")).first()[0] or 1.0
     return units.withColumn("score", -F.log(F.col("freq") / F.lit(float(total))))
 
 
-def prune_unigram(freqs: DataFrame, size: int, seed_size: int | None = None, share: float = 0.1) -> DataFrame:
-    """From a large seed, repeatedly drop ``share`` of the multi-character units whose removal
-    raises the corpus loss least, until ``size`` units remain; returns (unit, freq, score)."""
-    spark = freqs.sparkSession
-    units = cut_lineage(unigram_seed(freqs, seed_size or size * 4))
+#: Expected counts below this are raised to it, so that no unit of the model becomes impossible.
+LEAST_COUNT = 1e-3
+
+
+def _log_sum(values: list[float]) -> float:
+    top = max(values)
+    return top + math.log(sum(math.exp(v - top) for v in values))
+
+
+def _expected_counts(word: str, model: dict, longest: int) -> dict:
+    """How often each unit is expected in the word, over all its segmentations (forward-backward, in logs)."""
+    n = len(word)
+    arcs = [[(start, word[start:end]) for start in range(max(0, end - longest), end) if word[start:end] in model] for end in range(n + 1)]
+    ahead = [0.0] + [-math.inf] * n
+    for end in range(1, n + 1):
+        found = [ahead[start] - model[piece] for start, piece in arcs[end] if ahead[start] > -math.inf]
+        if found:
+            ahead[end] = _log_sum(found)
+    if ahead[n] == -math.inf:
+        return {}
+    back: list = [[] for _ in range(n)] + [[0.0]]
+    out: dict = {}
+    for end in range(n, 0, -1):
+        if not back[end] or ahead[end] == -math.inf:
+            continue
+        behind = _log_sum(back[end])
+        for start, piece in arcs[end]:
+            if ahead[start] > -math.inf:
+                here = behind - model[piece]
+                back[start].append(here)
+                out[piece] = out.get(piece, 0.0) + math.exp(ahead[start] + here - ahead[n])
+    return out
+
+
+def _removal_losses(word: str, model: dict, longest: int) -> dict:
+    """How much dearer the best segmentation of the word gets without each multi-character unit of it."""
+    pieces, base = _viterbi(word, model, longest)
+    return {p: _viterbi(word, model, longest, banned=p)[1] - base for p in set(pieces or ()) if len(p) > 1}
+
+
+def _per_unit(words: DataFrame, units: DataFrame, per_word, out: str) -> DataFrame:
+    """(unit, out): ``per_word``'s figures times the word's count, summed over all distinct words."""
+    bc = words.sparkSession.sparkContext.broadcast({r["unit"]: float(r["score"]) for r in bounded_collect(units.select("unit", "score"), "unigram model")})
+
+    def run(frames):
+        model = bc.value
+        longest = _longest(model)
+        total: dict = {}
+        for pdf in frames:
+            for word, count in zip(pdf["word"], pdf["count"]):
+                for unit, x in per_word(word, model, longest).items():
+                    total[unit] = total.get(unit, 0.0) + count * x
+        yield pd.DataFrame({"unit": pd.Series(list(total), dtype=object), out: pd.Series(list(total.values()), dtype=float)})
+
+    return words.mapInPandas(run, f"unit string, {out} double").groupBy("unit").agg(F.sum(out).alias(out))
+
+
+def _reestimated(words: DataFrame, units: DataFrame) -> DataFrame:
+    """One step of expectation and maximisation: counts expected under the present scores become the new ones."""
+    counted = units.select("unit").join(_per_unit(words, units, _expected_counts, "freq"), "unit", "left")
+    return _scored(counted.select("unit", F.greatest(F.coalesce("freq", F.lit(0.0)), F.lit(LEAST_COUNT)).alias("freq")))
+
+
+def prune_unigram(freqs: DataFrame, size: int, seed_size: int | None = None, share: float = 0.1, em_steps: int = 1,
+                  words_per_task: int = 4000) -> DataFrame:
+    """From a seed of four times the size, re-estimate the units by ``em_steps`` steps, drop the ``share`` of the
+    multi-character units whose removal raises the corpus loss least, and repeat until ``size`` units remain, which
+    are re-estimated once more; returns (unit, freq, score)."""
+    units = unigram_seed(freqs, seed_size or size * 4)
     words = cut_lineage(freqs.select("word", "count"))
-    out_schema = T.StructType([T.StructField("unit", T.StringType()), T.StructField("loss", T.DoubleType())])
+    words = words.repartition(max(1, -(-words.count() // words_per_task)))
+    n_units = units.count()
     while True:
-        rows = bounded_collect(units.select("unit", "score"), "unigram model")
-        n_units = len(rows)
+        for _ in range(em_steps):
+            units = _reestimated(words, units)
         if n_units <= size:
-            break
-        model = {r["unit"]: float(r["score"]) for r in rows}
-        bc = spark.sparkContext.broadcast(model)
-
-        def losses(it, bc=bc):
-            m = bc.value
-            longest = _longest(m)
-            for pdf in it:
-                acc: dict = {}
-                for w, cnt in zip(pdf["word"], pdf["count"]):
-                    pieces, base = _viterbi(w, m, longest)
-                    if pieces is None:
-                        continue
-                    for p in set(pieces):
-                        if len(p) < 2:
-                            continue
-                        _, without = _viterbi(w, m, longest, banned=p)
-                        acc[p] = acc.get(p, 0.0) + cnt * (without - base)
-                if acc:
-                    yield pd.DataFrame({"unit": list(acc.keys()), "loss": list(acc.values())})
-
-        loss = words.mapInPandas(losses, out_schema).groupBy("unit").agg(F.sum("loss").alias("loss"))
-        scored = units.join(loss, "unit", "left").withColumn("loss", F.coalesce("loss", F.lit(0.0)))
-        multi = scored.where(F.length("unit") > 1).count()
-        drop_n = min(max(1, int(n_units * share)), n_units - size, multi)
+            return units
+        loss = _per_unit(words, units, _removal_losses, "loss")
+        scored = cut_lineage(units.where(F.length("unit") > 1).join(loss, "unit", "left").select("unit", F.round(F.coalesce("loss", F.lit(0.0)), 6).alias("loss")))
+        drop_n = min(max(1, int(n_units * share)), n_units - size, scored.count())
         if drop_n <= 0:
-            break
-        dropped = scored.where(F.length("unit") > 1).orderBy("loss", "unit").limit(drop_n).select("unit")
-        kept = units.join(dropped, "unit", "left_anti")
-        total = kept.agg(F.sum("freq")).first()[0]
-        units = cut_lineage(kept.withColumn("score", -F.log(F.col("freq") / F.lit(float(total)))))
-        bc.unpersist()
-    return units
+            return units
+        units = _scored(units.join(scored.orderBy("loss", "unit").limit(drop_n), "unit", "left_anti"))
+        n_units -= drop_n
 
 
 # --- encoders (B6, B7, B8) ------------------------------------------------------------------------

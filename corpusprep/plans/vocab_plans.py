@@ -13,8 +13,8 @@ from corpusprep.sources.tables import table
 QUERIES = {}
 SQL = {}
 
-# Merges learned by the registered queries; the operators take any number.
-MERGES = 64
+# Merges and units learned by the registered queries; the operators take any number.
+MERGES, PIECE_MERGES, UNITS = 2000, 2000, 4000
 
 
 def register(name, sql=None):
@@ -83,20 +83,18 @@ def byte_bpe_encoded_docs(spark, sf_dir):
 
 @register("wordpiece_learned_docs")
 def wordpiece_learned_docs(spark, sf_dir):
-    """B3 + B7: WordPiece learned to alphabet + 8 merges, every document encoded."""
+    """B3 + B7: WordPiece learned to alphabet + PIECE_MERGES merges, every document encoded."""
     freqs = _freqs(spark, sf_dir)
-    v = vb.learn_wordpiece(freqs, 1 << 30, max_merges=8)
+    v = vb.learn_wordpiece(freqs, 1 << 30, max_merges=PIECE_MERGES)
     enc = vb.encode_wordpiece(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id", v)
     return enc.select("doc_id", F.size("tokens").alias("tokens"), F.size(F.filter("tokens", lambda t: t == "[UNK]")).alias("unknown"))
 
 
 @register("unigram_pruned_docs")
 def unigram_pruned_docs(spark, sf_dir):
-    """B4 + B8: unigram units seeded with the 120 most frequent substrings, pruned by 10% steps
-    to 100 multi-character units plus the alphabet; every document segmented by Viterbi."""
-    freqs = _freqs(spark, sf_dir)
-    n_chars = freqs.select(F.explode(F.split("word", "")).alias("c")).where(F.col("c") != "").distinct().count()
-    units = vb.prune_unigram(freqs, n_chars + 100, seed_size=120)
+    """B4 + B8: unigram units seeded with four times as many repeated substrings, re-estimated and pruned by
+    quarters to UNITS units; every document segmented by Viterbi."""
+    units = vb.prune_unigram(_freqs(spark, sf_dir), UNITS, share=0.25)
     enc = vb.encode_unigram(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id", units)
     return enc.select("doc_id", F.size("tokens").alias("tokens"))
 

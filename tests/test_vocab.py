@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter, defaultdict
+
 from pyspark.sql import functions as F
 
 from corpusprep.operators import vocab as vb
@@ -111,3 +115,114 @@ def test_long_units_and_words(spark):
     unit = "abcdefghijklmnopqrstuvwxyzabcd"
     assert vb._viterbi(unit, {unit: 1.0, **{c: 5.0 for c in unit}}, 30)[0] == [unit]
     assert vb._wordpiece_segment("x" * 150, {"x", "##x"}, 3) == ["x"] + ["##x"] * 149
+
+
+def slow_wordpiece(freqs, merges):
+    words = {w: [c if i == 0 else "##" + c for i, c in enumerate(w)] for w in freqs}
+    out = []
+    for _ in range(merges):
+        units, pairs = Counter(), Counter()
+        for w, n in freqs.items():
+            for s in words[w]:
+                units[s] += n
+            for p in zip(words[w], words[w][1:]):
+                pairs[p] += n
+        if not pairs:
+            break
+        a, b = min(pairs, key=lambda p: (-pairs[p] / (units[p[0]] * units[p[1]]), p))
+        token = a + b[2:]
+        out.append(token)
+        for w, s in words.items():
+            k, new = 0, []
+            while k < len(s):
+                if k + 1 < len(s) and (s[k], s[k + 1]) == (a, b):
+                    new.append(token)
+                    k += 2
+                else:
+                    new.append(s[k])
+                    k += 1
+            words[w] = new
+    return out
+
+
+def random_freqs(seed, words, letters, longest=9):
+    rng = random.Random(seed)
+    return {"".join(rng.choice(letters) for _ in range(rng.randrange(1, longest))): rng.choice([1, 1, 1, 2, 3, 7, 40]) for _ in range(words)}
+
+
+def test_wordpiece_rounds_equal_one_merge_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(vb, "WP_PAIRS", 24)
+    monkeypatch.setattr(vb, "WP_WORDS", 40)
+    for seed, letters, merges in ((1, "abcdefg", 60), (2, "ab", 25), (3, "abcdefghijklmnopqrstuvwxyz", 60)):
+        table = random_freqs(seed, 120, letters)
+        v = vb.learn_wordpiece(spark.createDataFrame(list(table.items()), "word string, count long"), 1 << 20, specials=(), max_merges=merges)
+        alphabet = {c if i == 0 else "##" + c for w in table for i, c in enumerate(w)}
+        want = sorted(alphabet) + slow_wordpiece(table, merges)
+        assert [r["token"] for r in v.orderBy("id").collect()] == list(dict.fromkeys(want))
+
+
+def slow_seed(freqs, size):
+    count, follow = Counter(), defaultdict(set)
+    for w, n in freqs.items():
+        for i in range(len(w)):
+            for j in range(i + 1, len(w) + 1):
+                count[w[i:j]] += n
+                follow[w[i:j]].add(w[j:j + 1])
+    multi = [u for u in count if len(u) > 1 and count[u] > 1 and (len(follow[u]) > 1 or "" in follow[u])]
+    multi.sort(key=lambda u: (-count[u] * len(u), u))
+    return {u: float(count[u]) for u in [u for u in count if len(u) == 1] + multi[:size]}
+
+
+def segmentations(word, units):
+    if not word:
+        yield []
+    for k in range(1, len(word) + 1):
+        if word[:k] in units:
+            for rest in segmentations(word[k:], units):
+                yield [word[:k], *rest]
+
+
+def slow_unigram(freqs, size, seed_size, share=0.1):
+    units = slow_seed(freqs, seed_size)
+
+    def probabilities():
+        total = sum(units.values())
+        return {u: f / total for u, f in units.items()}
+
+    def cost(s, p):
+        return -sum(math.log(p[u]) for u in s)
+    while True:
+        p, expected = probabilities(), Counter()
+        for w, n in freqs.items():
+            every = list(segmentations(w, p))
+            weight = [math.exp(-cost(s, p)) for s in every]
+            for s, x in zip(every, weight):
+                for u in s:
+                    expected[u] += n * x / sum(weight)
+        units = {u: max(expected[u], 1e-3) for u in units}
+        if len(units) <= size:
+            return units
+        p, loss = probabilities(), Counter()
+        for w, n in freqs.items():
+            every = list(segmentations(w, p))
+            best = min(every, key=lambda s: cost(s, p))
+            for u in {u for u in best if len(u) > 1}:
+                loss[u] += n * (min(cost(s, p) for s in every if u not in s) - cost(best, p))
+        multi = sorted((u for u in units if len(u) > 1), key=lambda u: (round(loss[u], 6), u))
+        for u in multi[:min(max(1, int(len(units) * share)), len(units) - size)]:
+            del units[u]
+
+
+def test_unigram_seed_is_the_repeated_substrings(spark):
+    for seed, letters in ((5, "ab"), (6, "abcé"), (7, "abcdefgh")):
+        table = random_freqs(seed, 80, letters) | {"abab": 3, "aaaaaa": 2, "é🙂é🙂": 4}
+        for size in (10, 10**6):
+            got = {r["unit"]: r["freq"] for r in vb.unigram_seed(spark.createDataFrame(list(table.items()), "word string, count long"), size).collect()}
+            assert got == slow_seed(table, size)
+
+
+def test_unigram_equals_a_slow_loop(spark):
+    table = random_freqs(8, 60, "abcd", 7)
+    got = {r["unit"]: r["freq"] for r in vb.prune_unigram(spark.createDataFrame(list(table.items()), "word string, count long"), 20, words_per_task=10).collect()}
+    want = slow_unigram(table, 20, 80)
+    assert set(got) == set(want) and all(abs(got[u] - want[u]) < 1e-6 * max(1, want[u]) for u in want)
