@@ -30,7 +30,6 @@ PAD, UNK, CLS, SEP, MASK = "[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"
 SPECIAL_IDS = {PAD: 0, UNK: 100, CLS: 101, SEP: 102, MASK: 103}
 CONTINUATION = "##"
 MAX_MODEL_ENTRIES = 1_000_000
-CHECKPOINT_EVERY = 5
 WORD_CACHE = 200_000
 
 
@@ -77,17 +76,25 @@ def _initial_symbols(freqs: DataFrame, byte_level: bool) -> DataFrame:
     return freqs.select("word", "count", sym.alias("symbols"))
 
 
-def _merge_pairs(symbols: Column, joined: dict[tuple[str, str], str]) -> Column:
-    """Merges every place of the given pairs, left to right, in one fold.  No symbol ends one pair and begins
+def _merge_pairs(words: DataFrame, joined: dict[tuple[str, str], str]) -> DataFrame:
+    """Words after merging every place of the given pairs, left to right.  No symbol ends one pair and begins
     another, so the places of different pairs cannot overlap."""
-    sep = chr(0)  # never inside a symbol pair's key twice: it only parts the two symbols
-    table = F.create_map(*[F.lit(x) for (a, b), t in joined.items() for x in (a + sep + b, t)])
-    key = lambda acc, x: F.concat(F.element_at(acc, -1), F.lit(sep), x)
-    empty = F.array().cast("array<string>")
-    return F.aggregate(symbols, empty, lambda acc, x: F.when(
-        (F.size(acc) > 0) & F.map_contains_key(table, F.coalesce(F.when(F.size(acc) > 0, key(acc, x)), F.lit(""))),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.try_element_at(table, key(acc, x)))))
-        .otherwise(F.concat(acc, F.array(x))))
+    def run(frames):
+        for pdf in frames:
+            merged = []
+            for symbols in pdf["symbols"]:
+                out: list = []
+                for x in symbols:
+                    token = joined.get((out[-1], x)) if out else None
+                    if token is None:
+                        out.append(x)
+                    else:
+                        out[-1] = token
+                merged.append(out)
+            pdf["symbols"] = merged
+            yield pdf
+
+    return words.mapInPandas(run, words.schema)
 
 
 def _join_pair(a: str, b: str, continuation: str = "") -> str:
@@ -167,7 +174,7 @@ def learn_bpe(freqs: DataFrame, merges: int, byte_level: bool = False, width: in
         if not batch:
             break
         learned += [(len(learned) + i, a, b, f) for i, (a, b, f) in enumerate(batch)]
-        words = cut_lineage(words.withColumn("symbols", _merge_pairs(F.col("symbols"), {(a, b): a + b for a, b, _ in batch})))
+        words = cut_lineage(_merge_pairs(words, {(a, b): a + b for a, b, _ in batch}))
     merges_df = spark.createDataFrame(learned, "rank int, left string, right string, freq long")
     return merges_df, alphabet
 

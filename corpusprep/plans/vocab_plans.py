@@ -14,7 +14,7 @@ QUERIES = {}
 SQL = {}
 
 # Merges and units learned by the registered queries; the operators take any number.
-MERGES, PIECE_MERGES, UNITS = 2000, 2000, 4000
+MERGES, PIECE_MERGES, UNITS = 200, 2000, 4000
 
 
 def register(name, sql=None):
