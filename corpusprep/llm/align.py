@@ -42,7 +42,7 @@ PIECE = 1 << 14
 #: Characters and documents of one chunk.
 CHUNK_CHARS, CHUNK_ROWS = 6 << 20, 5000
 #: Characters aligned at a time.
-STEP_CHARS = 1 << 20
+STEP_CHARS = 1 << 19
 #: Distinct stretches, and characters of them, that a task keeps.
 CACHE_ENTRIES, CACHE_CHARS = 150_000, 4 << 20
 #: Groups with more links than this count their distinct ids first.
