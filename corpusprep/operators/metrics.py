@@ -6,11 +6,11 @@ the reference's gather-to-one-process step; batch-wise accumulation (E2) gives t
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-import re
+import functools
 import string
+from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,26 +66,36 @@ def drop_ignored(pred, ref, names: list[str] | None = None) -> Column:
     return F.struct(p.alias("pred"), r.alias("ref"))
 
 
+def materialized(df: DataFrame, **columns: Column) -> DataFrame:
+    """The given columns, each computed once a row: the optimizer does not pull expressions through a generator, so
+    a lambda that refers to one of them does not compute it anew for every element."""
+    return df.select(F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_m")).select("_m.*")
+
+
 def entity_scores(df: DataFrame, key: str, pred: str, ref: str) -> DataFrame:
     """Entity-level precision / recall / F1 (span and type must match), per type and overall
     (type 'overall', which also carries the token accuracy).  ``pred``/``ref`` are tag-name arrays.
 
-    Both tag arrays stand in one row, so spans are matched inside it (``array_intersect``); only counts per type
-    leave the task, in one rollup that gives the per-type rows and the overall row."""
+    Both tag arrays stand in one row, so spans are matched inside it (as text keys, which ``array_intersect`` hashes);
+    only one row per document and type leaves the task, into one rollup that gives the per-type rows and the
+    overall row."""
     from corpusprep.operators.labels import span_array
-    marker = "\u0000tokens"
+    marker, sep = "\u0000tokens", "\u0001"
     zero = ("p", "r", "tp", "same", "total")
 
     def record(kind: Column, **given) -> Column:
         return F.struct(kind.alias("type"), *[given.get(z, F.lit(0)).cast("long").alias(z) for z in zero])
 
+    def held(array: str, kind: Column) -> Column:
+        return F.size(F.filter(array, lambda x: x == kind))
+
     same = F.size(F.filter(F.arrays_zip(F.col(pred).alias("p"), F.col(ref).alias("r")), lambda e: e["p"] == e["r"]))
-    spans = df.select(span_array(pred).alias("_p"), span_array(ref).alias("_r"), same.alias("_same"), F.size(ref).alias("_total"))
-    spans = spans.withColumn("_tp", F.array_intersect("_p", "_r"))
+    keys = {c: F.transform(span_array(t), lambda s_: F.concat_ws(sep, s_["type"], s_["start"], s_["end"])) for c, t in (("_p", pred), ("_r", ref))}
+    spans = materialized(df, **keys, _same=same, _total=F.size(ref))
+    kinds = {c: F.transform(k, lambda x: F.substring_index(x, sep, 1)) for c, k in (("_p", F.col("_p")), ("_r", F.col("_r")), ("_tp", F.array_intersect("_p", "_r")))}
+    spans = materialized(spans, **kinds, _same=F.col("_same"), _total=F.col("_total"))
     rows = spans.select(F.explode(F.concat(
-        F.transform("_p", lambda s_: record(s_["type"], p=F.lit(1))),
-        F.transform("_r", lambda s_: record(s_["type"], r=F.lit(1))),
-        F.transform("_tp", lambda s_: record(s_["type"], tp=F.lit(1))),
+        F.transform(F.array_distinct(F.concat("_p", "_r")), lambda k: record(k, p=held("_p", k), r=held("_r", k), tp=held("_tp", k))),
         F.array(record(F.lit(marker), same=F.col("_same"), total=F.col("_total"))))).alias("s")).select("s.*")
     counts = rows.rollup("type").agg(
         F.sum("p").alias("n_pred"), F.sum("r").alias("n_ref"), F.sum("tp").alias("tp"),
@@ -107,11 +117,11 @@ def best_answers(features: DataFrame, examples: DataFrame, n_best: int = 20, max
     context, start <= end, length <= max_len) scored by the logit sum; best over all windows of the
     example; the answer is the context slice, empty when no pair is valid."""
     def top(col):
-        ranked = F.array_sort(F.transform(F.col(col), lambda x, i: F.struct((-x).alias("o"), i.alias("i"), x.alias("logit"))))
+        ranked = F.sort_array(F.transform(F.col(col), lambda x, i: F.struct((-x).alias("o"), i.alias("i"), x.alias("logit"))))
         return F.filter(F.slice(ranked, 1, n_best), lambda e: F.get("offset_mapping", e["i"]).isNotNull())
 
     # candidates and their pairs stay inside the feature's row: at most n_best of each side
-    cand = features.select(example, "offset_mapping", top("start_logits").alias("_s"), top("end_logits").alias("_e"))
+    cand = materialized(features, **{example: F.col(example)}, offset_mapping=F.col("offset_mapping"), _s=top("start_logits"), _e=top("end_logits"))
     pairs = F.flatten(F.transform("_s", lambda s_: F.transform(
         F.filter("_e", lambda e_: (e_["i"] >= s_["i"]) & (e_["i"] < s_["i"] + max_len)),
         lambda e_: F.struct((s_["logit"] + e_["logit"]).alias("score"),
@@ -161,67 +171,46 @@ def squad_scores(pred: DataFrame, ref: DataFrame, key: str = "id", prediction: s
     return best.agg(F.round(100 * F.avg("em"), 4).alias("exact_match"), F.round(100 * F.avg("f1"), 4).alias("f1"))
 
 
-def _all_ngrams(toks: Column, max_n: int) -> Column:
-    """(n, gram) for every order 1..max_n in one array, so one explode covers all orders."""
-    def gram_at(n):
-        return lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(toks, i, n), "\u0001").alias("gram"))
-
-    parts = []
-    for n in range(1, max_n + 1):
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - n + 1, F.lit(1))), gram_at(n))
-        parts.append(F.when(F.size(toks) >= n, grams).otherwise(F.array().cast("array<struct<n:int,gram:string>>")))
-    return F.concat(*parts)
-
-
 def corpus_bleu(df: DataFrame, key: str, pred: str, refs: str, tokenize=pretokenize, max_n: int = 4) -> DataFrame:
     """Corpus BLEU with clipped n-gram precisions 1..4, brevity penalty against the closest
     reference length (ties: shorter) and exponential smoothing of zero counts; x100.
 
-    Tokens are computed once (reliable checkpoint); all n-gram orders of the hypotheses and of the
-    references come out of one explode each, meet in one join on (key, n, gram), and one
-    aggregation per order gives the clipped counts."""
-    from corpusprep.session import cut_lineage
-    toks = cut_lineage(df.select(key, tokenize(_c(pred)).alias("h"),
-                                 F.transform(_c(refs), lambda r: tokenize(r)).alias("rs")))
-    hyp_len = F.size("h")
-    ref_lens = F.transform("rs", lambda r: F.size(r))
-    closest = F.aggregate(ref_lens, F.lit(None).cast("int"),
-                          lambda acc, L: F.when(acc.isNull(), L)
-                          .when(F.abs(L - hyp_len) < F.abs(acc - hyp_len), L)
-                          .when((F.abs(L - hyp_len) == F.abs(acc - hyp_len)) & (L < acc), L).otherwise(acc))
-    lens = toks.agg(F.sum(hyp_len).alias("c"), F.sum(closest).alias("r"))
-    h = toks.select(key, F.explode(_all_ngrams(F.col("h"), max_n)).alias("g")).select(key, "g.n", "g.gram") \
-        .groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("c"))
-    r = toks.select(key, F.posexplode("rs").alias("ri", "r")) \
-        .select(key, "ri", F.explode(_all_ngrams(F.col("r"), max_n)).alias("g")).select(key, "ri", "g.n", "g.gram") \
-        .groupBy(key, "ri", "n", "gram").agg(F.count(F.lit(1)).alias("c")) \
-        .groupBy(key, "n", "gram").agg(F.max("c").alias("rc"))
-    clipped = h.join(r, [key, "n", "gram"], "left").select("n", F.least("c", F.coalesce("rc", F.lit(0))).alias("m"), "c")
-    stats = clipped.groupBy("n").agg(F.sum("m").alias("match"), F.sum("c").alias("total"))
-    got = {int(x["n"]): (int(x["match"]), int(x["total"])) for x in stats.collect()}
-    rows = [{"n": n, "match": got.get(n, (0, 0))[0], "total": got.get(n, (0, 0))[1]} for n in range(1, max_n + 1)]
-    c, r = lens.first()
-    c, r = int(c or 0), int(r or 0)
-    logs, k = [], 1
-    for row in rows:
-        m, t = int(row["match"]), int(row["total"])
-        if t == 0:
-            logs.append(None)
-            continue
-        if m == 0:
-            k *= 2
-            logs.append(math.log(1.0 / (k * t)))
-        else:
-            logs.append(math.log(m / t))
-    if c == 0 or any(x is None for x in logs):
-        bleu = 0.0
-    else:
-        bp = 1.0 if c >= r else math.exp(1 - r / c)
-        bleu = 100 * bp * math.exp(sum(logs) / max_n)
-    spark = df.sparkSession
-    prec = [100.0 * int(x["match"]) / int(x["total"]) if int(x["total"]) else 0.0 for x in rows]
-    return spark.createDataFrame([(round(bleu, 4), *[round(p, 4) for p in prec], c, r)],
-                                 "bleu double, p1 double, p2 double, p3 double, p4 double, sys_len long, ref_len long")
+    The n-grams of a row are counted and clipped inside the row; a task adds up its rows, and only sums leave it."""
+    toks = df.select(tokenize(_c(pred)).alias("h"), F.transform(_c(refs), lambda r: tokenize(r)).alias("rs"))
+
+    def run(frames):
+        total = np.zeros(2 * max_n + 2, dtype=np.int64)
+        for pdf in frames:
+            for h, rs in zip(pdf["h"], pdf["rs"]):
+                if h is None or rs is None:
+                    continue
+                total[-2] += len(h)
+                total[-1] += min((abs(len(r) - len(h)), len(r)) for r in rs)[1] if len(rs) else 0
+                for n in range(1, max_n + 1):
+                    grams, most = _ngrams(h, n), Counter()
+                    for r in rs:
+                        most |= _ngrams(r, n)
+                    total[2 * n - 2] += sum(min(c, most[g]) for g, c in grams.items() if g in most)
+                    total[2 * n - 1] += max(0, len(h) - n + 1)
+        yield pd.DataFrame([total.tolist()], columns=names)
+
+    names = [f"{kind}{n}" for n in range(1, max_n + 1) for kind in ("m", "t")] + ["c", "r"]
+    sums = toks.mapInPandas(run, ", ".join(f"{n} long" for n in names)).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
+    logs, k = F.lit(0.0), F.lit(1.0)
+    for n in range(1, max_n + 1):
+        m, t = F.col(f"m{n}"), F.col(f"t{n}")
+        k = F.when((m == 0) & (t > 0), k * 2).otherwise(k)
+        logs = logs + F.when(m == 0, -F.log(k * F.greatest(t, F.lit(1)))).otherwise(F.log(m / F.greatest(t, F.lit(1))))
+    empty = functools.reduce(lambda x, y: x | y, [F.col(f"t{n}") == 0 for n in range(1, max_n + 1)]) | (F.col("c") == 0)
+    brevity = F.when(F.col("c") >= F.col("r"), F.lit(1.0)).otherwise(F.exp(1 - F.col("r") / F.greatest(F.col("c"), F.lit(1))))
+    bleu = F.when(empty, F.lit(0.0)).otherwise(100 * brevity * F.exp(logs / max_n))
+    shares = [F.round(F.when(F.col(f"t{n}") > 0, 100.0 * F.col(f"m{n}") / F.greatest(F.col(f"t{n}"), F.lit(1))).otherwise(0.0), 4).alias(f"p{n}")
+              for n in range(1, max_n + 1)]
+    return sums.select(F.round(bleu, 4).alias("bleu"), *shares, F.col("c").alias("sys_len"), F.col("r").alias("ref_len"))
+
+
+def _ngrams(toks, n: int) -> Counter:
+    return Counter(zip(*(toks[k:] for k in range(n))))
 
 
 def rouge_tokens(c) -> Column:

@@ -232,8 +232,15 @@ def bleu_doc_pairs(spark, sf_dir):
     """Corpus BLEU of every document against the previous and next document of its source."""
     from corpusprep.operators.ranking import neighbor_values
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    nb = neighbor_values(neighbor_values(docs, "source", "doc_id", ["text"], -1, "prev_"), "source", "doc_id", ["text"], 1, "next_")
-    pairs = nb.select("doc_id", "text", F.array_compact(F.array("prev_text", "next_text")).alias("refs"))
+    keys = docs.select("doc_id", "source", F.col("doc_id").alias("id"))
+    nb = neighbor_values(neighbor_values(keys, "source", "doc_id", ["id"], -1, "prev_"), "source", "doc_id", ["id"], 1, "next_")
+    # a text goes to its own row, to the next and to the previous one: one shuffle, only keys in the windows
+    sent = docs.join(nb.select("doc_id", "prev_id", "next_id"), "doc_id").select("text", F.explode(F.array(
+        F.struct(F.col("doc_id").alias("to"), F.lit(0).alias("as")), F.struct(F.col("next_id").alias("to"), F.lit(1).alias("as")),
+        F.struct(F.col("prev_id").alias("to"), F.lit(2).alias("as")))).alias("s")).where("s.to is not null")
+    as_ = lambda k: F.max(F.when(F.col("s.as") == k, F.col("text")))
+    pairs = sent.groupBy(F.col("s.to").alias("doc_id")).agg(as_(0).alias("text"), as_(1).alias("prev_text"), as_(2).alias("next_text")) \
+        .select("doc_id", "text", F.array_compact(F.array("prev_text", "next_text")).alias("refs"))
     return mt.corpus_bleu(pairs.where(F.size("refs") > 0), "doc_id", "text", "refs")
 
 
