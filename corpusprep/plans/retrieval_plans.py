@@ -232,6 +232,25 @@ def two_stage_vectors(spark, sf_dir):
     return top.select("label", "vec_id", F.round("score", 6).alias("score"), "rank")
 
 
+# Share of the inverted lists read for each query.
+PROBED = 0.75
+
+
+@register("vector_index_search")
+def vector_index_search(spark, sf_dir):
+    """V4 + S11: inverted lists around trained centroids, saved once and searched twice: every label centroid
+    against all embeddings, then the rows whose id is divisible by 50 (shown with their label as null)."""
+    from corpusprep.streaming.streams import checkpoint_path
+    emb = table(spark, sf_dir, "embeddings")
+    path = checkpoint_path(spark, "vector-index")
+    rv.save_vector_index(emb, path)
+    labels = rv.centroids(emb, "label", "embedding", "query_vec").select(F.col("label").cast("long").alias("query_id"), "query_vec")
+    rows = emb.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    found = [rv.search_vector_index(q, path, 5, PROBED).select(F.lit(kind).alias("kind"), "query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
+             for kind, q in (("label", labels), ("row", rows))]
+    return found[0].unionByName(found[1])
+
+
 @register("bm25_indexed_search", SQL["bm25_benchmark_docs"])
 def bm25_indexed_search(spark, sf_dir):
     """V5 with the index built once and persisted (postings bucketed by term hash) in the shared
