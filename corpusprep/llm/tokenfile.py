@@ -30,20 +30,25 @@ from __future__ import annotations
 import functools
 import struct
 import zlib
+from itertools import chain, groupby, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import (BLOCK, KEY_HASH, KEY_ID, ordered_blocks, running_starts, saved, str_texts,
+from corpusprep.llm.common import (BLOCK, KEY_HASH, KEY_ID, ordered_blocks, ranges, running_starts, saved, str_texts,
                                    with_row_key)
-from corpusprep.llm.wordbpe import STEP_ROWS, CachedEncoder, WordSplitter
+from corpusprep.llm.wordbpe import _PLAIN, CachedEncoder, WordSplitter
 
 MAGIC = b"RPG1"
 SHARD_IDS = 1 << 20
 MIN_COUNT = 16
 PAIRS_PER_ROUND = 4096
+STEP_ROWS, STEP_CHARS = 2000, 4 << 20  # texts encoded at a time
+CONTROLS = "\x1c\x1d\x1e\x1f"  # whitespace for str.split alone
+KNOWN_CHUNKS = 240_000  # chunks a worker remembers; beyond that the often used half stays
 
 
 class Grammar:
@@ -51,9 +56,10 @@ class Grammar:
 
     def __init__(self, terminals: int, rules: np.ndarray, symbols: np.ndarray, sizes: np.ndarray):
         self.terminals, self.rules, self.symbols, self.sizes = terminals, rules, symbols, sizes
-        self.lengths = np.ones(terminals + len(rules), dtype=np.int64)
-        for r, (a, b) in enumerate(rules.tolist()):
-            self.lengths[terminals + r] = self.lengths[a] + self.lengths[b]
+        lengths = [1] * terminals
+        for a, b in rules.tolist():
+            lengths.append(lengths[a] + lengths[b])
+        self.lengths = np.array(lengths, dtype=np.int64)
         self._ends = None
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
@@ -69,6 +75,24 @@ class Grammar:
             wide[places[rule]], wide[places[rule] + 1] = pair[:, 0], pair[:, 1]
             out = wide
 
+    def ids(self) -> np.ndarray:
+        """All ids of the shard: the rules are expanded once, level by level (a level's rules refer to lower ones),
+        and copied to their places."""
+        n = len(self.rules)
+        starts = np.concatenate(([0], np.cumsum(self.lengths)))
+        flat = np.zeros(int(starts[-1]), dtype=np.uint32)
+        flat[:self.terminals] = np.arange(self.terminals)
+        level = [0] * (self.terminals + n)
+        for r, (a, b) in enumerate(self.rules.tolist(), self.terminals):
+            level[r] = 1 + max(level[a], level[b])
+        level = np.array(level[self.terminals:], dtype=np.int64)
+        for k in range(1, int(level.max(initial=0)) + 1):
+            rule = np.flatnonzero(level == k)
+            parts = self.rules[rule].ravel()
+            target = ranges(starts[self.terminals + rule], self.lengths[self.terminals + rule])
+            flat[target] = flat[ranges(starts[parts], self.lengths[parts])]
+        return flat[ranges(starts[self.symbols], self.lengths[self.symbols])]
+
     def read(self, start: int, end: int) -> np.ndarray:
         """Ids ``start`` to ``end`` of the shard; only the symbols that cover them are expanded."""
         if self._ends is None:
@@ -108,16 +132,28 @@ class Grammar:
         return out
 
 
-def frequent_pairs(symbols: np.ndarray, min_count: int, room: int) -> np.ndarray:
-    """Pairs (left, right) in falling order of their counts, such that no symbol ends one and begins
-    another: none of their places can overlap."""
-    keys = np.sort(symbols[:-1].astype(np.uint64) << np.uint64(16) | symbols[1:].astype(np.uint64))
+def often_pairs(symbols: np.ndarray, min_count: int, watch: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(keys in rising order, counts) of the pairs found at least ``min_count`` times; a key is left << 16 | right.
+    ``watch`` flags symbols as left (1) or right (2) of a pair to count, or as a symbol all of whose pairs count (4)."""
+    keys = symbols[:-1].astype(np.uint32) << np.uint32(16) | symbols[1:]
+    if watch is not None:
+        flag = watch[symbols]
+        keys = keys[((flag[:-1] & 1) & (flag[1:] >> 1) | (flag[:-1] | flag[1:]) & 4) != 0]
+    if not len(keys):
+        return keys, np.zeros(0, dtype=np.int64)
+    keys = np.sort(keys)
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     count = np.diff(np.append(first, len(keys)))
-    often = np.flatnonzero(count >= min_count)
-    order = often[np.lexsort((keys[first[often]], -count[often]))][:4 * PAIRS_PER_ROUND]
+    often = count >= min_count
+    return keys[first[often]], count[often]
+
+
+def apart(keys: np.ndarray, count: np.ndarray, room: int) -> np.ndarray:
+    """Pairs (left, right) in falling order of their counts, such that no symbol ends one and begins
+    another: none of their places can overlap."""
+    order = np.lexsort((keys, -count))[:4 * PAIRS_PER_ROUND]
     lefts, rights, out = set(), set(), []
-    for key in keys[first[order]].tolist():
+    for key in keys[order].tolist():
         a, b = key >> 16, key & 0xFFFF
         if a in rights or b in lefts or (a == b and (a in lefts or a in rights)):
             continue
@@ -129,20 +165,36 @@ def frequent_pairs(symbols: np.ndarray, min_count: int, room: int) -> np.ndarray
     return np.array(out, dtype=np.int64).reshape(-1, 2)
 
 
+def frequent_pairs(symbols: np.ndarray, min_count: int, room: int) -> np.ndarray:
+    """The pairs one round replaces."""
+    return apart(*often_pairs(symbols, min_count), room)
+
+
 def compress(ids: np.ndarray, sizes: np.ndarray, terminals: int, min_count: int = MIN_COUNT) -> Grammar:
-    """The grammar of one shard; ``terminals`` is one above the largest id and at most 65536."""
+    """The grammar of one shard; ``terminals`` is one above the largest id and at most 65536.
+
+    Counts of old pairs only fall, so after the first round only pairs that were frequent and pairs with a new symbol
+    are counted."""
     symbols = ids.astype(np.uint16)
     rules = np.zeros((0, 2), dtype=np.int64)
+    watch = None
     while True:  # every round but the last shortens the symbols
         room = 65536 - terminals - len(rules)
         if len(symbols) < 2 or room <= 0:
             break
-        pairs = frequent_pairs(symbols, min_count, room)
+        keys, count = often_pairs(symbols, min_count, watch)
+        pairs = apart(keys, count, room)
         if not len(pairs):
             break
-        left, right = np.zeros(65536, dtype=bool), np.zeros(65536, dtype=bool)
-        left[pairs[:, 0]], right[pairs[:, 1]] = True, True
-        maybe = np.flatnonzero(left[symbols[:-1]] & right[symbols[1:]])
+        watch = np.zeros(65536, dtype=np.uint8)
+        watch[keys >> 16] |= 1
+        watch[keys & 0xFFFF] |= 2
+        watch[terminals + len(rules):] |= 4
+        side = np.zeros(65536, dtype=np.uint8)
+        side[pairs[:, 0]] |= 1
+        side[pairs[:, 1]] |= 2
+        at_side = side[symbols]
+        maybe = np.flatnonzero(at_side[:-1] & (at_side[1:] >> 1))
         key = symbols[maybe].astype(np.int64) << 16 | symbols[maybe + 1]
         chosen = pairs[:, 0] << 16 | pairs[:, 1]
         order = np.argsort(chosen)
@@ -160,23 +212,110 @@ def compress(ids: np.ndarray, sizes: np.ndarray, terminals: int, min_count: int
     return Grammar(terminals, rules, symbols, sizes)
 
 
-@functools.lru_cache(maxsize=2)
-def library_encoder(path: str) -> tuple[int, CachedEncoder]:
-    """(ids of the vocabulary, encoder): the tokenizers library's model encodes each new word."""
-    splitter = WordSplitter(path)
-    model, symbols = splitter.library.model, splitter.symbols
+class _Letters(dict):
+    """The symbols of a letter's bytes."""
+
+    def __init__(self, symbols: list[str]):
+        super().__init__()
+        self.symbols = symbols
+
+    def __missing__(self, letter: str) -> str:
+        self[letter] = out = "".join(map(self.symbols.__getitem__, letter.encode()))
+        return out
+
+
+class LibraryEncoder(CachedEncoder):
+    """Texts to ids; the tokenizers library's model encodes each new word.  A full memory of chunks keeps those
+    used again since the last time, so a stream of words that occur once does not push out the frequent ones."""
+
+    def __init__(self, splitter: WordSplitter, entries: int = KNOWN_CHUNKS):
+        super().__init__(splitter, self.encode_words, entries)
+        self.letters = _Letters(splitter.symbols)
+
+    def clear(self) -> None:
+        super().clear()
+        self.uses = np.zeros(0, dtype=np.int64)
+
+    def mapped(self, chunk: str) -> list[str]:
+        """The words of a chunk, their bytes as the vocabulary's symbols."""
+        if _PLAIN.fullmatch(chunk):
+            low = chunk.lower()
+            if low.isalpha():
+                return [low if low.isascii() else "".join(map(self.letters.__getitem__, low))]
+            if low[:-1].isalpha() and low[-1] in ".,;:!?":
+                return ["".join(map(self.letters.__getitem__, low[:-1])), low[-1]]
+        symbol = self.splitter.symbols.__getitem__
+        return ["".join(map(symbol, w)) for w in self.splitter.words(chunk)] if chunk else []
+
+    def encode_words(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        tokenize = self.splitter.library.model.tokenize
+        found = [[w[1]] if isinstance(w, tuple) else [t.id for t in tokenize(w)] for w in words]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(sizes.sum())), sizes
+
+    def _learn(self, chunks: list) -> None:
+        known = len(self.word)
+        found = [[c] if isinstance(c, tuple) else self.mapped(c) for c in chunks]
+        words = np.fromiter(map(self.word.__getitem__, chain.from_iterable(found)), dtype=np.int64)
+        per_chunk = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        if len(self.word) > known:
+            self.word_ids.add(*self.encode_words(list(islice(self.word, known, None))))
+        flat, sizes = self.word_ids.get(words)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        self.chunk_ids.add(flat, np.diff(ends[np.concatenate(([0], np.cumsum(per_chunk)))]))
+
+    def _forget(self) -> None:
+        """Keeps the chunks used more than once since the last time, the most used ones up to half the memory."""
+        order = np.argsort(-self.uses, kind="stable")[:self.entries // 2]
+        kept = np.sort(order[self.uses[order] > 1])
+        wanted = np.zeros(len(self.uses), dtype=bool)
+        wanted[kept] = True
+        names = [c for c, w in zip(self.chunk, wanted.tolist()) if w]
+        held = self.chunk_ids.get(kept)
+        self.clear()
+        for c in names:
+            self.chunk[c]
+        self.chunk_ids.add(*held)
+        self.uses = np.zeros(len(names), dtype=np.int64)
+
+    def _numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the chunks of all texts in a row, chunks of each text).  Arrow splits the texts and finds the
+        distinct chunks; texts with special tokens or control characters are split by the general rule."""
+        numbers, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for odd, run in groupby(texts, lambda t: "<|" in t or any(c in t for c in CONTROLS)):
+            if odd:
+                found = [self.splitter.chunks(t) for t in run]
+                counts.append(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
+                numbers.append(np.fromiter(map(self.chunk.__getitem__, chain.from_iterable(found)), dtype=np.int64))
+                continue
+            found = pc.utf8_split_whitespace(pa.array(list(run), pa.string()))
+            coded = found.flatten().dictionary_encode()
+            seen = np.fromiter(map(self.chunk.__getitem__, coded.dictionary.to_numpy(False).tolist()), dtype=np.int64)
+            counts.append(np.diff(found.offsets.to_numpy()).astype(np.int64))
+            numbers.append(seen[coded.indices.to_numpy()])
+        return np.concatenate(numbers), np.concatenate(counts)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids of each text)."""
+        if max(len(self.chunk), len(self.word)) > self.entries:
+            self._forget()
+        known = len(self.chunk)
+        numbers, counts = self._numbers(texts)
+        if len(self.chunk) > known:
+            self._learn(list(islice(self.chunk, known, None)))
+        uses = np.bincount(numbers, minlength=len(self.chunk))
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
+        flat, sizes = self.chunk_ids.get(numbers)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return flat, np.diff(ends[np.concatenate(([0], np.cumsum(counts)))])
 
-    def encode_words(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids: list[int] = []
-        sizes = np.zeros(len(words), dtype=np.int64)
-        for i, w in enumerate(words):
-            mapped = w.decode() if w.isascii() and w.isalnum() else "".join(map(symbols.__getitem__, w))
-            found = [t.id for t in model.tokenize(mapped)]
-            ids += found
-            sizes[i] = len(found)
-        return np.array(ids, dtype=np.int32), sizes
 
-    return splitter.library.get_vocab_size(), CachedEncoder(splitter, encode_words)
+@functools.lru_cache(maxsize=2)
+def library_encoder(path: str) -> tuple[int, LibraryEncoder]:
+    """(ids of the vocabulary, encoder), once per Python worker."""
+    splitter = WordSplitter(path)
+    return splitter.library.get_vocab_size(), LibraryEncoder(splitter)
 
 
 FILE_SCHEMA = "block int, shard int, n_ids long, doc_ids array<long>, payload binary"
@@ -200,7 +339,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", t
         for batch in (whole.slice(a, STEP_ROWS) for whole in batches for a in range(0, whole.num_rows, STEP_ROWS)):
             texts, blocks = str_texts(batch.column("text")), batch.column("block").to_pylist()
             doc_ids, at = batch.column("doc_id").to_pylist(), 0
-            for flat, counts in encoder.steps(texts):
+            for flat, counts in encoder.steps(texts, STEP_CHARS):
                 ends = np.concatenate(([0], np.cumsum(counts))).tolist()
                 for k in range(len(counts)):
                     if sizes and (blocks[at] != block or held >= shard_ids):
@@ -230,7 +369,7 @@ def read_documents(files: DataFrame) -> DataFrame:
         for batch in batches:
             for block, shard, names, payload in zip(*(batch.column(c).to_pylist() for c in ("block", "shard", "doc_ids", "payload"))):
                 grammar = Grammar.load(payload)
-                ids = grammar.expand(grammar.symbols).astype("<u4")
+                ids = grammar.ids().astype("<u4", copy=False)
                 ends = np.concatenate(([0], np.cumsum(grammar.sizes)))
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
                 n = len(names)
