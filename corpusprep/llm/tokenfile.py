@@ -249,20 +249,31 @@ class LibraryEncoder(CachedEncoder):
 
     def encode_words(self, words: list) -> tuple[np.ndarray, np.ndarray]:
         tokenize = self.splitter.library.model.tokenize
-        found = [[w[1]] if isinstance(w, tuple) else [t.id for t in tokenize(w)] for w in words]
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(sizes.sum())), sizes
+        flat: list[int] = []  # flat lists of numbers: a list for each word would keep the garbage collector busy
+        ends = []
+        for w in words:
+            if isinstance(w, tuple):
+                flat.append(w[1])
+            else:
+                flat.extend([t.id for t in tokenize(w)])
+            ends.append(len(flat))
+        return np.array(flat, dtype=np.int32), np.diff(np.array(ends, dtype=np.int64), prepend=0)
 
     def _learn(self, chunks: list) -> None:
-        known = len(self.word)
-        found = [[c] if isinstance(c, tuple) else self.mapped(c) for c in chunks]
-        words = np.fromiter(map(self.word.__getitem__, chain.from_iterable(found)), dtype=np.int64)
-        per_chunk = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        known, number = len(self.word), self.word.__getitem__
+        words: list[int] = []
+        last = [0]
+        for c in chunks:
+            if isinstance(c, tuple):
+                words.append(number(c))
+            else:
+                words.extend(map(number, self.mapped(c)))
+            last.append(len(words))
         if len(self.word) > known:
             self.word_ids.add(*self.encode_words(list(islice(self.word, known, None))))
-        flat, sizes = self.word_ids.get(words)
+        flat, sizes = self.word_ids.get(np.array(words, dtype=np.int64))
         ends = np.concatenate(([0], np.cumsum(sizes)))
-        self.chunk_ids.add(flat, np.diff(ends[np.concatenate(([0], np.cumsum(per_chunk)))]))
+        self.chunk_ids.add(flat, np.diff(ends[last]))
 
     def _forget(self) -> None:
         """Keeps the chunks used more than once since the last time, the most used ones up to half the memory."""
