@@ -74,74 +74,84 @@ def global_rank(df: DataFrame, order_by, rank_col: str = "rank", partitions: int
     return ranked
 
 
-# Rows ranked exactly around each cut point, and the bound beyond which the band
-# falls back to a full distributed rank.
-BAND_TARGET = 200_000
-BAND_MAX = 1_000_000
+#: Hex digits added to the prefix at each step of the search for a cut: a histogram has at most 16^4 rows.
+CUT_DIGITS = 4
+HASH_DIGITS = 32
+
+
+def cut_points(hashes: DataFrame, cuts: list[int], col: str = "_h") -> list[tuple[str, int, int]]:
+    """For each cut the (prefix, taken, held) of the hash order: rows whose hash has a smaller prefix lie before the
+    cut, and so do ``taken`` of the ``held`` rows with this prefix.
+
+    A step counts the rows by prefix and goes on, with a longer prefix, only inside the prefixes that hold a cut, until
+    each cut falls between two prefixes or the whole hash is used up (rows of equal keys)."""
+    found: list[tuple[str, int, int] | None] = [None if c > 0 else ("", 0, 1) for c in cuts]
+    inside = {i: ("", c) for i, c in enumerate(cuts) if c > 0}
+    width = 0
+    while inside:
+        width += CUT_DIGITS
+        starts = sorted({p for p, _ in inside.values()})
+        rows = hashes if starts == [""] else hashes.where(F.substring(col, 1, width - CUT_DIGITS).isin(starts))
+        counts = sorted((r[0], r[1]) for r in rows.groupBy(F.substring(col, 1, width).alias("p")).count().collect())
+        for i, (prefix, need) in list(inside.items()):
+            del inside[i]
+            found[i] = ("", 1, 1)  # the cut lies behind the last row
+            for p, held in counts:
+                if not p.startswith(prefix):
+                    continue
+                if need <= held:
+                    found[i] = (p, need, held)
+                    if need < held and width < HASH_DIGITS:
+                        inside[i] = (p, need)
+                    break
+                need -= held
+    return found
 
 
 def seeded_cut_labels(df: DataFrame, key: str, seed: int, cuts: list[int], labels: list[str],
-                      split_col: str = "split", rest: str | None = None, n: int | None = None) -> DataFrame:
+                      split_col: str = "split", rest: str | None = None) -> DataFrame:
     """Label rows by their position in the seeded md5 order: rows before ``cuts[0]`` get
     ``labels[0]``, before ``cuts[1]`` ``labels[1]`` ... and the rest ``rest`` (dropped if None).
 
-    The full table is only scanned, never shuffled or rewritten: an approximate quantile of the
-    hash brackets every cut with a band of about 4*eps*n rows (eps chosen so a band holds some
-    ``BAND_TARGET`` rows), one aggregation counts the rows below each band, and only band rows are
-    ranked exactly (a bounded window); their verdicts reach the table through a broadcast join of
-    a size-checked frame."""
-    h = seeded_key(key, seed)
-    base = df.withColumn("_h", h).withColumn("_v", F.conv(F.substring(h, 1, 13), 16, 10).cast("double"))
-    n = base.count() if n is None else n
-    if n == 0:
-        return base.withColumn(split_col, F.lit(None).cast("string")).drop("_h", "_v").limit(0)
-    eps = min(0.01, max(1e-6, BAND_TARGET / (4.0 * n)))
-    probs = []
-    for c in cuts:
-        p = min(1.0, max(0.0, c / n))
-        probs += [float(max(0.0, p - 2 * eps)), float(min(1.0, p + 2 * eps))]
-    qs = base.approxQuantile("_v", probs, eps)
-    bands = [(qs[2 * i], qs[2 * i + 1]) for i in range(len(cuts))]
-    in_any = None
-    for lo, hi in bands:
-        cond = (F.col("_v") >= lo) & (F.col("_v") <= hi)
-        in_any = cond if in_any is None else (in_any | cond)
-    below = base.agg(*[F.count_if(F.col("_v") < lo).alias(f"b{i}") for i, (lo, hi) in enumerate(bands)],
-                     F.count_if(in_any).alias("band")).first()
-    band = base.where(in_any).select(key, "_h", "_v")
-    band_n = below["band"]
-    if band_n > BAND_MAX:
-        ranked, _ = global_rank(base, ["_h", key], "_r", with_total=True)
-        slot = F.lit(len(cuts))
-        for i in reversed(range(len(cuts))):
-            slot = F.when(F.col("_r") <= cuts[i], F.lit(i)).otherwise(slot)
-        out = ranked.withColumn("_slot", slot).drop("_r")
-    else:
-        order = Window.orderBy("_v", "_h", key)  # bounded: band_n <= BAND_MAX rows, checked above
-        flags = []
-        for i, (lo, hi) in enumerate(bands):
-            in_i = (F.col("_v") >= lo) & (F.col("_v") <= hi)
-            r = F.sum(in_i.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-            flags.append((in_i & (r <= cuts[i] - below[f"b{i}"])).alias(f"_in{i}"))
-        verdict = band.select(key, *flags)
-        out = base.join(F.broadcast(verdict), key, "left")
+    The table is only scanned, never shuffled: the cuts are found from histograms of hash prefixes and each row
+    compares its hash with them.  Only where a cut falls inside the rows of one repeated key are those rows ranked
+    (``global_rank``), in the order Spark reads them.  Rows without a key come first, as rows of one key."""
+    base = df.withColumn("_h", F.coalesce(seeded_key(key, seed), F.lit("0" * HASH_DIGITS)))
+    points = cut_points(base.select("_h"), cuts)
+    tied = {p: held for p, taken, held in points if 0 < taken < held}
+
+    def slotted(rows: DataFrame, place: Column | None = None) -> DataFrame:
         slot = F.lit(len(cuts))
         for i in reversed(range(len(cuts))):
-            lo, hi = bands[i]
-            before = (F.col("_v") < lo) | F.coalesce(F.col(f"_in{i}"), F.lit(False))
+            prefix, taken, held = points[i]
+            mine = F.substring("_h", 1, len(prefix))
+            before = mine <= prefix if taken == held else mine < prefix
+            if place is not None and prefix in tied and taken < held:
+                before = before | ((F.col("_h") == prefix) & (place <= taken))
             slot = F.when(before, F.lit(i)).otherwise(slot)
-        out = out.withColumn("_slot", slot).drop(*[f"_in{i}" for i in range(len(cuts))])
+        return rows.withColumn("_slot", slot)
+
+    if tied:
+        ranked = global_rank(base.where(F.col("_h").isin(*tied)).withColumn("_m", F.monotonically_increasing_id()),
+                             ["_h", "_m"], "_r")
+        skipped = F.lit(0)
+        for p in tied:
+            skipped = F.when(F.col("_h") == p, F.lit(sum(n for q, n in tied.items() if q < p))).otherwise(skipped)
+        out = slotted(base.where(~F.col("_h").isin(*tied))) \
+            .unionByName(slotted(ranked, F.col("_r") - skipped).drop("_m", "_r"))
+    else:
+        out = slotted(base)
     names = F.array(*[F.lit(x) for x in labels + ([rest] if rest is not None else [])])
     if rest is None:
         out = out.where(F.col("_slot") < len(cuts))
-    return out.withColumn(split_col, F.element_at(names, F.col("_slot") + 1)).drop("_slot", "_h", "_v")
+    return out.withColumn(split_col, F.element_at(names, F.col("_slot") + 1)).drop("_slot", "_h")
 
 
 def split_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42,
                    names: tuple[str, str] = ("train", "test"), split_col: str = "split") -> DataFrame:
     """L4: exact sizes floor(n*f) and the rest, chosen by the seeded md5 order."""
     n = df.count()
-    return seeded_cut_labels(df, key, seed, [int(n * fraction)], [names[0]], split_col, rest=names[1], n=n)
+    return seeded_cut_labels(df, key, seed, [int(n * fraction)], [names[0]], split_col, rest=names[1])
 
 
 def split_counts(df: DataFrame, key: str, train: int, test: int, seed: int = 42,

@@ -1,3 +1,6 @@
+import hashlib
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -79,7 +82,7 @@ def _expected_split(spark, n, seed, cut):
 def test_band_split_exact_on_larger_input(spark, monkeypatch):
     n, seed = 60000, 11
     df = spark.range(n).withColumnRenamed("id", "k")
-    monkeypatch.setattr(ranking, "BAND_TARGET", 200)  # narrow bands: most rows decided by the quantile
+    monkeypatch.setattr(ranking, "CUT_DIGITS", 1)  # several steps to each cut
     s = ranking.split_fraction(df, "k", 0.7, seed=seed)
     got = {r["k"] for r in s.where("split = 'train'").select("k").collect()}
     assert got == _expected_split(spark, n, seed, int(n * 0.7))
@@ -89,7 +92,7 @@ def test_band_split_exact_on_larger_input(spark, monkeypatch):
 def test_band_split_fallback(spark, monkeypatch):
     n, seed = 3000, 5
     df = spark.range(n).withColumnRenamed("id", "k")
-    monkeypatch.setattr(ranking, "BAND_MAX", 0)  # force the full distributed rank
+    monkeypatch.setattr(ranking, "CUT_DIGITS", 2)
     s = ranking.split_counts(df, "k", 1000, 500, seed=seed)
     counts = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
     assert counts == {"train": 1000, "test": 500}
@@ -119,3 +122,25 @@ def test_neighbor_values(spark):
     assert prev == {("a", 1): None, ("a", 5): "x", ("a", 9): "y", ("b", 2): None}
     nxt = {(r["g"], r["t"]): r["next_v"] for r in ranking.neighbor_values(df, "g", "t", ["v"], 1, "next_").collect()}
     assert nxt == {("a", 1): "y", ("a", 5): "z", ("a", 9): None, ("b", 2): None}
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+def test_cuts_in_repeated_keys_keep_every_row(spark, monkeypatch, digits):
+    monkeypatch.setattr(ranking, "CUT_DIGITS", digits)
+    keys = [7] * 300 + [None] * 40 + list(range(60)) + [3] * 100
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, n int").repartition(5)
+    for cut in (0, 1, 57, 250, 499, 500, 900):
+        out = ranking.seeded_cut_labels(df, "k", 42, [cut, cut + 30], ["a", "b"], rest="c").collect()
+        sizes = {x: sum(r["split"] == x for r in out) for x in "abc"}
+        first = min(cut, 500)
+        assert sorted(r["n"] for r in out) == list(range(500))
+        assert (sizes["a"], sizes["b"]) == (first, min(cut + 30, 500) - first)
+        order = {k: hashlib.md5(f"42:{k}".encode()).hexdigest() if k is not None else "0" * 32 for k in set(keys)}
+        ends = [max((order[r["k"]] for r in out if r["split"] == x), default="") for x in "ab"]
+        assert all(order[r["k"]] >= ends[0] for r in out if r["split"] != "a")
+        assert all(order[r["k"]] >= ends[1] for r in out if r["split"] == "c")
+
+
+def test_cuts_of_an_empty_table(spark):
+    out = ranking.split_fraction(spark.createDataFrame([], "k long"), "k", 0.5)
+    assert out.columns == ["k", "split"] and out.count() == 0
