@@ -173,3 +173,24 @@ def test_grammar_folds_until_no_pair_is_frequent():
     assert np.array_equal(grammar.expand(grammar.symbols), ids)
     assert not len(frequent_pairs(grammar.symbols, MIN_COUNT, 1)) and grammar.lengths.max() > 1500
     assert np.array_equal(Grammar.load(grammar.dump()).document(599), ids[-1500:])
+
+
+def test_small_memory_of_chunks_gives_the_library_ids(library):
+    from corpusprep.llm.tokenfile import LibraryEncoder
+    from corpusprep.llm.wordbpe import WordSplitter
+    odd = ["", " ", "\n a  b\n\n", "Ünïcode été.", "x\x1cy\x1f z", "<|endoftext|> <| it's", "ﬁ İ ẞ 漢字 ét\xa0q", "a1b2,c", "..."]
+    texts = [f"{odd[i % len(odd)]} the wörd{i} of w{i % 7} The, the {i}" for i in range(400)] + odd
+    encoder = LibraryEncoder(WordSplitter(PATH), entries=50)
+    got = []
+    for flat, sizes in encoder.steps(texts, 300):
+        got += [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(encoder.chunk) < 150
+
+
+def test_all_ids_of_a_shard_equal_its_expansion():
+    rng = np.random.default_rng(5)
+    block = rng.integers(0, 300, 700)
+    for ids in (np.tile(block, 40), np.zeros(5000, dtype=np.int64), rng.integers(0, 20, 9000), np.zeros(0, dtype=np.int64)):
+        grammar = Grammar.load(compress(ids, np.array([len(ids)]), 300).dump())
+        assert np.array_equal(grammar.ids(), ids) and np.array_equal(grammar.expand(grammar.symbols), ids)
