@@ -199,6 +199,20 @@ def length_stats(df: DataFrame, length, by: list[str] | None = None, approx_medi
     return df.groupBy(*(by or [])).agg(*aggs)
 
 
+def length_percentiles(df: DataFrame, length, shares: dict[str, float], by: list[str] | None = None,
+                       accuracy: int = 10000) -> DataFrame:
+    """The lengths at the given shares of each group's rows, one column per entry of ``shares``.
+
+    Every task keeps one quantile sketch a group, the sketches are merged, and no task holds a group's values.  A
+    returned value is a length of the group whose rank is off by about rows / ``accuracy``, and by one or two ranks
+    even in small groups once sketches are merged.  Null lengths are not counted; a group without any other gives
+    nulls."""
+    names = list(shares)
+    sketch = F.percentile_approx(_c(length), [float(shares[n]) for n in names], accuracy)
+    out = df.groupBy(*(by or [])).agg(F.count(_c(length)).alias("rows"), sketch.alias("_q"))
+    return out.select(*(by or []), "rows", *[F.element_at("_q", i + 1).cast("long").alias(n) for i, n in enumerate(names)])
+
+
 def request_stats(df: DataFrame, by: list[str] | None = None, sent: str = "send_bytes", recv: str = "recv_bytes",
                   elapsed: str = "elapsed") -> DataFrame:
     """Request count, bytes sent/received, total and mean elapsed."""

@@ -78,3 +78,17 @@ def test_shape_helpers(spark):
     assert df.select(shape.id_to_label(F.lit(1), ["O", "B"]).alias("l"), shape.label_to_id(F.lit("B"), ["O", "B"]).alias("i")).first() \
         .asDict() == {"l": "B", "i": 1}
     assert df.select(shape.format_bytes(F.lit(2048)).alias("f")).first()["f"] == "2.00 KB"
+
+
+def test_length_percentiles_stay_within_the_stated_rank_error(spark):
+    from corpusprep.operators.shape import length_percentiles
+    n, accuracy = 40000, 100
+    df = spark.range(n).selectExpr("id % 2 AS g", "(id * 7919) % 40000 AS v") \
+        .unionByName(spark.createDataFrame([(5, None), (5, None)], "g long, v long"))
+    got = {r["g"]: r for r in length_percentiles(df, "v", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, ["g"], accuracy).collect()}
+    values = {g: sorted((i * 7919) % 40000 for i in range(g, n, 2)) for g in (0, 1)}
+    for g, v in values.items():
+        assert got[g]["rows"] == len(v)
+        for name, share in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+            assert abs(v.index(got[g][name]) + 1 - share * len(v)) <= len(v) / accuracy + 1
+    assert got[5]["rows"] == 0 and got[5]["p50"] is None
