@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.sources import records
+
 SPLIT = "split"
 
 
@@ -17,17 +19,31 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def read_delimited(spark: SparkSession, paths: dict[str, str | list[str]], sep: str = "\t",
                    schema: T.StructType | str | None = None, header: bool = True, multi_line: bool = False) -> DataFrame:
-    """Delimited files per split.  ``multi_line`` is for data whose quoted fields span lines; such files
-    cannot be split, so each is one task."""
+    """Delimited files per split.  ``multi_line`` is for data whose quoted fields span lines; large files are
+    split there too (``records.read_records``)."""
     frames = []
     for split, path in paths.items():
-        reader = spark.read.option("sep", sep).option("header", header).option("multiLine", multi_line) \
-            .option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        reader = spark.read.options(header=header, multiLine=multi_line, **_delimited_options(sep))
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
-        frames.append(reader.csv(path).withColumn(SPLIT, F.lit(split)))
+        rows = reader.csv(path)
+        if multi_line:
+            rows = _parse_records(records.read_records(spark, path, sep), rows.schema, sep, header)
+        frames.append(rows.withColumn(SPLIT, F.lit(split)))
     return _union(frames)
 
 
+def _delimited_options(sep: str) -> dict[str, str]:
+    return {"sep": sep, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _parse_records(rows: DataFrame, schema: T.StructType, sep: str, header: bool) -> DataFrame:
+    """Records to columns; the first record of a file is its header."""
+    kept = rows.where(F.col("record") > 0) if header else rows
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv("value", ddl, {**_delimited_options(sep), "multiLine": "true"})
+    return kept.select(parsed.alias("row")).select("row.*")
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", mode: str = "overwrite") -> None:
     """S1 reverse: delimited files with a header, fields quoted where needed."""
     df.write.mode(mode).option("sep", sep).option("header", True).option("quote", '"').option("escape", '"') \
