@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.sources import records
+from corpusprep.sources import documents, records
 
 SPLIT = "split"
 
@@ -63,10 +63,9 @@ def read_jsonl(spark: SparkSession, paths: dict[str, str | list[str]] | str, sch
 
 
 def read_json_field(spark: SparkSession, path: str, field: str, schema: T.StructType) -> DataFrame:
-    """Rows stored as a list under one top-level key of a JSON document (``.gz`` allowed)."""
-    wrapped = T.StructType([T.StructField(field, T.ArrayType(schema))])
-    doc = spark.read.schema(wrapped).option("multiLine", True).json(path)
-    return doc.select(F.explode(F.col(field)).alias("row")).select("row.*")
+    """Rows stored as a list under one top-level key of a JSON document.  Large documents are split
+    (``documents.read_elements``); a compressed one (``.gz`` allowed) is one task."""
+    return documents.read_rows(spark, path, field, schema)
 
 
 def save_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -68,7 +68,7 @@ def bits_before(after_0: np.ndarray, after_1: np.ndarray, bit: bool) -> tuple[np
     return bits[:-1], bool(bits[-1])
 
 
-def _runs(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+def runs(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
     """The stretches of a batch that belong to one range; a task reads its ranges one after the other."""
     path, block = batch["path"], batch["block"]
     cuts = np.flatnonzero(((path != path.shift()) | (block != block.shift())).to_numpy())
@@ -80,7 +80,7 @@ def _summaries(sep: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
-            for part in _runs(batch):
+            for part in runs(batch):
                 key = (part["path"].iat[0], int(part["block"].iat[0]))
                 if held is None or held[:2] != key:
                     if held is not None:
@@ -119,7 +119,7 @@ def _cut(sep: str):
 
         for batch in batches:
             out: list[tuple] = []
-            for part in _runs(batch):
+            for part in runs(batch):
                 here = (part["path"].iat[0], int(part["block"].iat[0]))
                 if here != key:
                     close(out, bit)
@@ -157,13 +157,7 @@ def read_records(spark: SparkSession, path: str | list[str], sep: str = ",", max
                        F.when(value.contains(QUOTE), value).alias("quoted"), value.isin("", "\r").alias("blank"))
     ranges = lines.select("path", "block", "quoted", "blank").mapInPandas(_summaries(sep), SUMMARY)
     ranges = _beginnings(ranges)
-    # A file's last range may be smaller than a task's share, all others fill one.
-    rows = raw.rdd.getNumPartitions() + len(raw.inputFiles())
-    if rows * RANGE_ROW_BYTES <= max_broadcast:
-        known = lines.join(F.broadcast(ranges), ["path", "block"])
-    else:
-        ordered = lines.withColumn("at", F.monotonically_increasing_id())
-        known = ordered.join(ranges.hint("merge"), ["path", "block"]).repartition("path", "block").sortWithinPartitions("path", "block", "at")
+    known = with_ranges(raw, lines, ranges, max_broadcast)
     known = known.select("path", "block", "is_open", "first", "lines", "quoted", "blank", "value")
     pieces = known.mapInPandas(_cut(sep), PIECES)
     # Pieces of a record lie in different ranges of a file, so the range orders them.
@@ -173,6 +167,17 @@ def read_records(spark: SparkSession, path: str | list[str], sep: str = ",", max
     return records.withColumn("value", F.regexp_replace("value", "\r$", ""))
 
 
+def with_ranges(raw: DataFrame, lines: DataFrame, ranges: DataFrame, max_broadcast: int) -> DataFrame:
+    """Every line of the scan with the columns of its range, the lines of a range in order in one task.  The table
+    of ranges is broadcast if its size allows; else lines travel to their range and are sorted there."""
+    # A file's last range may be smaller than a task's share, all others fill one.
+    rows = raw.rdd.getNumPartitions() + len(raw.inputFiles())
+    if rows * RANGE_ROW_BYTES <= max_broadcast:
+        return lines.join(F.broadcast(ranges), ["path", "block"])
+    ordered = lines.withColumn("at", F.monotonically_increasing_id())
+    return ordered.join(ranges.hint("merge"), ["path", "block"]).repartition("path", "block").sortWithinPartitions("path", "block", "at")
+
+
 def _beginnings(ranges: DataFrame) -> DataFrame:
     """Every range with the bit it begins with and the number of its first record.  The bit before a range is what
     the last range that sets it left, turned once by every range since then that turns it."""
