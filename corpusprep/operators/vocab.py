@@ -612,12 +612,26 @@ def _piece_offsets(word: str, start: int, pieces: list[str]) -> list[dict]:
     return out
 
 
+def _byte_offsets(word: str, start: int, pieces: list[str]) -> list[dict]:
+    """[start, end) span of the characters that a byte-level piece holds bytes of; pieces that share a character
+    all carry it."""
+    # The character that each byte lies in.
+    holds = range(len(word)) if word.isascii() else [i for i, c in enumerate(word) for _ in c.encode("utf-8")]
+    out, pos = [], 0
+    for p in pieces:
+        n = len(p) // 2
+        out.append({"start": start + holds[pos], "end": start + holds[pos + n - 1] + 1})
+        pos += n
+    return out
+
+
 OFFSETS_T = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretokenize, char_offsets: bool = True) -> DataFrame:
+def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretokenize, spans=_piece_offsets) -> DataFrame:
     """Pre-tokenise in Spark, segment every word in the task (per-task cache), keep token, word index
-    and (Q6) the character span of every piece, found by locating each pre-token in the text in order."""
+    and (Q6) the character span of every piece, found by locating each pre-token in the text in order.
+    A null text has no pieces."""
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(model)
     pieces_t = T.ArrayType(T.StringType())
@@ -636,7 +650,7 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretok
             toks, wids, offs = [], [], []
             for text, ws in zip(pdf["_text"], pdf["_words"]):
                 t_row, w_row, o_row, cursor = [], [], [], 0
-                for wi, w in enumerate(ws):
+                for wi, w in enumerate(ws if ws is not None else ()):
                     seg = cache.get(w)
                     if seg is None:
                         seg = segment(w, m)
@@ -645,23 +659,23 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretok
                         cache[w] = seg
                     t_row.extend(seg)
                     w_row.extend([wi] * len(seg))
-                    if char_offsets:
-                        start = text.find(w, cursor) if text is not None else -1
-                        start = cursor if start < 0 else start
-                        o_row.extend(_piece_offsets(w, start, seg))
-                        cursor = start + len(w)
+                    start = text.find(w, cursor)
+                    start = cursor if start < 0 else start
+                    o_row.extend(spans(w, start, seg))
+                    cursor = start + len(w)
                 toks.append(t_row)
                 wids.append(w_row)
-                offs.append(o_row if char_offsets else None)
+                offs.append(o_row)
             yield pd.DataFrame({key: pdf[key], "tokens": toks, "word_ids": wids, "offsets": offs})
 
     return src.mapInPandas(run, schema)
 
 
 def encode_bpe(df: DataFrame, c, key: str, merges: DataFrame, byte_level: bool = False) -> DataFrame:
-    """Replay the merge list (lowest rank first) on every word; (key, tokens, word_ids)."""
+    """Replay the merge list (lowest rank first) on every word; (key, tokens, word_ids, offsets)."""
     ranks = {(r["left"], r["right"]): int(r["rank"]) for r in bounded_collect(merges, "merge list")}
-    return _encode_partitions(df, key, c, ranks, lambda w, m: _bpe_segment(w, m, byte_level), char_offsets=not byte_level)
+    return _encode_partitions(df, key, c, ranks, lambda w, m: _bpe_segment(w, m, byte_level),
+                              spans=_byte_offsets if byte_level else _piece_offsets)
 
 
 def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame) -> DataFrame:

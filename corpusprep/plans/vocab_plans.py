@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.text import pretokenize, words
 from corpusprep.operators import metrics as mt
+from corpusprep.operators import sequences as sq
 from corpusprep.operators import vocab as vb
 from corpusprep.plans.sequence_plans import ENC_SQL, VOCAB_SIZE, encoded_docs_frame
 from corpusprep.sources.tables import table
@@ -81,6 +82,28 @@ def byte_bpe_encoded_docs(spark, sf_dir):
     return enc.select("doc_id", F.size("tokens").alias("tokens"), F.size(F.filter("tokens", lambda t: F.length(t) > 2)).alias("merged"))
 
 
+@register("byte_offsets_docs", r"""
+WITH p AS (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}_\p{M}]+|[^\p{L}\p{N}_\p{M}\s]|\s+') AS pieces FROM documents),
+i AS (SELECT doc_id, pieces, list_filter(range(1, len(pieces) + 1), lambda n: NOT regexp_matches(pieces[n], '^\s')) AS spots FROM p),
+w AS (SELECT doc_id, pieces, len(spots) AS n_words, len(spots) // 2 AS word, spots[len(spots) // 2 + 1] AS piece FROM i),
+s AS (SELECT *, CAST(coalesce(list_sum(list_transform(pieces[1:piece - 1], lambda x: length(x))), 0) AS INT) AS word_start FROM w)
+SELECT doc_id, CAST(n_words AS INT) AS n_words, CAST(word AS INT) AS word, word_start, CAST(word_start + length(pieces[piece]) AS INT) AS word_end,
+       CAST(word AS INT) AS word_of_start, CAST(word AS INT) AS word_of_last, word_start AS token_start FROM s WHERE n_words > 0""")
+def byte_offsets_docs(spark, sf_dir):
+    """Q6 + Q7 + Q9 on byte-level pieces: the character span of every document's middle word, put together from its
+    pieces, the words that its first and last character lie in, and where the token of the first begins."""
+    merges, _ = vb.learn_bpe(_freqs(spark, sf_dir), MERGES, byte_level=True)
+    enc = vb.encode_bpe(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id", merges, byte_level=True)
+    words_ = enc.where(F.size("tokens") > 0).withColumn("n_words", F.array_max("word_ids") + 1)
+    words_ = words_.withColumn("word", F.floor(F.col("n_words") / 2).cast("int"))
+    span = words_.withColumn("span", sq.word_to_chars("offsets", "word_ids", F.col("word")))
+    first = F.col("span.start")
+    return span.select("doc_id", "n_words", "word", first.alias("word_start"), F.col("span.end").alias("word_end"),
+                       sq.char_to_word("offsets", "word_ids", first).alias("word_of_start"),
+                       sq.char_to_word("offsets", "word_ids", F.col("span.end") - 1).alias("word_of_last"),
+                       sq.token_to_chars("offsets", sq.char_to_token("offsets", first))["start"].alias("token_start"))
+
+
 @register("wordpiece_learned_docs")
 def wordpiece_learned_docs(spark, sf_dir):
     """B3 + B7: WordPiece learned to alphabet + PIECE_MERGES merges, every document encoded."""

@@ -226,3 +226,34 @@ def test_unigram_equals_a_slow_loop(spark):
     got = {r["unit"]: r["freq"] for r in vb.prune_unigram(spark.createDataFrame(list(table.items()), "word string, count long"), 20, words_per_task=10).collect()}
     want = slow_unigram(table, 20, 80)
     assert set(got) == set(want) and all(abs(got[u] - want[u]) < 1e-6 * max(1, want[u]) for u in want)
+
+
+def test_byte_level_offsets_cover_their_bytes_and_no_more(spark):
+    from corpusprep.operators import sequences as sq
+    rng = random.Random(8)
+    texts = ["", None, "  ", "naïve café", "日本語 😀😀!", "a😀b é"] + \
+        [" ".join("".join(rng.choice("abéß日😀") for _ in range(rng.randrange(1, 9))) for _ in range(6)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    for merges in (0, 3, 40):
+        learned, _ = vb.learn_bpe(vb.word_frequencies(docs, "t"), max(merges, 1), byte_level=True)
+        enc = vb.encode_bpe(docs, "t", "k", learned.where(F.col("rank") < merges) if merges == 0 else learned, byte_level=True)
+        for r in enc.collect():
+            text = texts[r["k"]] or ""
+            assert len(r["tokens"]) == len(r["offsets"]) == len(r["word_ids"])
+            assert bytes.fromhex("".join(r["tokens"])).decode() == "".join(text.split())
+            at = {}
+            for piece, o, w in zip(r["tokens"], r["offsets"], r["word_ids"]):
+                first = at.setdefault(w, [o["start"], 0])
+                word = text[first[0]:].encode()
+                raw, begin = bytes.fromhex(piece), first[1]
+                assert word[begin:begin + len(raw)] == raw
+                first[1] += len(raw)
+                # Bytes of the word up to either end of the span hold the piece, one character less does not.
+                before = len(text[first[0]:o["start"]].encode())
+                assert before <= begin < before + len(text[o["start"]].encode())
+                after = len(text[first[0]:o["end"]].encode())
+                assert after - len(text[o["end"] - 1].encode()) < begin + len(raw) <= after
+    row = enc.where("k = 4").select(sq.word_to_chars("offsets", "word_ids", F.lit(0)).alias("w0"),
+                                    sq.char_to_word("offsets", "word_ids", F.lit(5)).alias("c5"),
+                                    sq.char_to_word("offsets", "word_ids", F.lit(3)).alias("gap")).first()
+    assert tuple(row["w0"]) == (0, 3) and row["c5"] == 2 and row["gap"] is None
