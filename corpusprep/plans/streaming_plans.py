@@ -25,8 +25,8 @@ def register(name, sql=None):
 
 def _stream(spark, sf_dir, name):
     schema = table(spark, sf_dir, name).schema
-    # The data folder holds one file per table: stream the folder, keep only this table's file.
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))
+    # A table is one file or a folder of files; a pattern that only its name fits lets the source read either.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
 
 
 @register("stream_keyword_docs", """
@@ -35,8 +35,9 @@ def stream_keyword_docs(spark, sf_dir):
     """Keyword filter over the documents read as a file stream."""
     out = st.checkpoint_path(spark, "x1-out")
     sdf = st.stream_keyword_filter(_stream(spark, sf_dir, "documents"), "text", ["the", "und", "que"])
-    st.run_to_parquet(sdf.select("doc_id", "lang"), out, st.checkpoint_path(spark, "x1"))
-    return spark.read.parquet(out)
+    kept = sdf.select("doc_id", "lang")
+    st.run_to_parquet(kept, out, st.checkpoint_path(spark, "x1"))
+    return spark.read.schema(kept.schema).parquet(out)
 
 
 @register("stream_keep_ratio_docs", """
