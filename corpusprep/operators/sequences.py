@@ -8,11 +8,13 @@ Packing emits one slice per (row, chunk) it overlaps instead of one row per toke
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.functions.batches import list_array, list_sizes, parts
 from corpusprep.operators.ranking import global_rank, seeded_uniform
 from corpusprep.operators.vocab import SPECIAL_IDS
 
@@ -193,13 +195,27 @@ def word_runs(word_ids) -> Column:
     return _runs(_c(word_ids))
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _runs(word_ids: pd.Series) -> pd.Series:
-    def numbered(ids) -> list:
-        w = pd.Series(ids, dtype="Int64")
-        known = w.dropna()
-        return list(known.ne(known.shift()).fillna(True).astype(int).cumsum().sub(1).reindex(w.index).astype("Int64").astype(object).where(w.notna(), None))
-    return word_ids.map(numbered)
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _runs(word_ids: pa.Array) -> pa.Array:
+    rows = pa.RecordBatch.from_arrays([word_ids], names=["ids"])
+    done = [_numbered(part.column(0)) for part in parts(rows, list_sizes(word_ids))]
+    return pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.int32()))
+
+
+def _numbered(word_ids: pa.ListArray) -> pa.ListArray:
+    sizes = list_sizes(word_ids)
+    flat = word_ids.flatten()
+    known = flat.is_valid().to_numpy(zero_copy_only=False)
+    ids, row = flat.drop_null().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes)[known]
+    new_row = np.ones(len(ids), dtype=bool)
+    new_row[1:] = row[1:] != row[:-1]
+    changed = new_row.copy()
+    changed[1:] |= ids[1:] != ids[:-1]
+    run = np.cumsum(changed)
+    first = run[new_row]  # of every row that has ids
+    out = np.zeros(len(known), dtype=np.int32)
+    out[known] = run - np.repeat(first, np.diff(np.append(np.flatnonzero(new_row), len(ids))))
+    return list_array(np.concatenate([[0], np.cumsum(sizes)]), pa.array(out, pa.int32(), mask=~known))
 
 
 def mask_words(ids, word_ids, key, seed: int, p: float = 0.2) -> Column:

@@ -7,7 +7,7 @@ with a reliable checkpoint every round.  Unigram
 pruning runs per-word Viterbi in ``mapInPandas`` and sums the loss per unit with ``groupBy``.
 
 Encoding is partition-local: the learned model (bounded by the vocabulary size, checked before
-it is broadcast) is applied by ``mapInPandas`` with a per-task word cache, so no token is
+it is broadcast) is applied by ``mapInArrow`` with a per-task word cache, so no token is
 shuffled and a hot word cannot skew a task.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.functions.batches import list_array, list_sizes, parts, text_sizes
 from corpusprep.functions.text import pretokenize
 from corpusprep.session import cut_lineage
 
@@ -30,7 +32,7 @@ PAD, UNK, CLS, SEP, MASK = "[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"
 SPECIAL_IDS = {PAD: 0, UNK: 100, CLS: 101, SEP: 102, MASK: 103}
 CONTINUATION = "##"
 MAX_MODEL_ENTRIES = 1_000_000
-WORD_CACHE = 200_000
+CACHED_PIECES = 500_000  # pieces of the words that an encoding task remembers
 
 
 def _c(c) -> Column:
@@ -598,31 +600,34 @@ def _wordpiece_segment(word: str, vocab: set, longest: int) -> list[str]:
     return pieces
 
 
-def _piece_offsets(word: str, start: int, pieces: list[str]) -> list[dict]:
-    """[start, end) character span of every piece of a word: continuation markers do not count,
-    an unknown word maps to the whole word."""
-    out, pos = [], start
+def _piece_offsets(word: str, pieces: list[str]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the character spans of a word's pieces, counted from the word's start: continuation markers
+    do not count, an unknown word maps to the whole word."""
+    starts, ends, pos = [], [], 0
     for p in pieces:
         if p == UNK:
-            out.append({"start": start, "end": start + len(word)})
+            starts.append(0)
+            ends.append(len(word))
             continue
         n = len(p[len(CONTINUATION):]) if p.startswith(CONTINUATION) else len(p)
-        out.append({"start": pos, "end": pos + n})
+        starts.append(pos)
+        ends.append(pos + n)
         pos += n
-    return out
+    return starts, ends
 
 
-def _byte_offsets(word: str, start: int, pieces: list[str]) -> list[dict]:
-    """[start, end) span of the characters that a byte-level piece holds bytes of; pieces that share a character
-    all carry it."""
+def _byte_offsets(word: str, pieces: list[str]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the spans of the characters that a byte-level piece holds bytes of; pieces that share a
+    character all carry it."""
     # The character that each byte lies in.
     holds = range(len(word)) if word.isascii() else [i for i, c in enumerate(word) for _ in c.encode("utf-8")]
-    out, pos = [], 0
+    starts, ends, pos = [], [], 0
     for p in pieces:
         n = len(p) // 2
-        out.append({"start": start + holds[pos], "end": start + holds[pos + n - 1] + 1})
+        starts.append(holds[pos])
+        ends.append(holds[pos + n - 1] + 1)
         pos += n
-    return out
+    return starts, ends
 
 
 OFFSETS_T = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -631,7 +636,10 @@ OFFSETS_T = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T
 def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretokenize, spans=_piece_offsets) -> DataFrame:
     """Pre-tokenise in Spark, segment every word in the task (per-task cache), keep token, word index
     and (Q6) the character span of every piece, found by locating each pre-token in the text in order.
-    A null text has no pieces."""
+    A null text has no pieces.
+
+    A batch is encoded in parts (``functions.batches``); word indices and spans are kept as plain integers, and the
+    cache is bounded by its pieces, so a task's memory depends neither on its rows nor on how finely words are cut."""
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(model)
     pieces_t = T.ArrayType(T.StringType())
@@ -643,32 +651,54 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretok
     ])
     src = df.select(key, _c(c).alias("_text"), pretok(_c(c)).alias("_words"))
 
-    def run(it):
+    def run(batches):
+        import pyarrow as pa
         m = bc.value
         cache: dict = {}
-        for pdf in it:
-            toks, wids, offs = [], [], []
-            for text, ws in zip(pdf["_text"], pdf["_words"]):
-                t_row, w_row, o_row, cursor = [], [], [], 0
+        room = CACHED_PIECES
+
+        def encoded(part):
+            nonlocal room
+            toks, bounds = [], [0]
+            wids, starts, ends = array("i"), array("i"), array("i")
+            for text, ws in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                cursor = 0
                 for wi, w in enumerate(ws if ws is not None else ()):
-                    seg = cache.get(w)
-                    if seg is None:
+                    found = cache.get(w)
+                    if found is None:
                         seg = segment(w, m)
-                        if len(cache) >= WORD_CACHE:
+                        found = (seg, *spans(w, seg))
+                        if room < len(seg):
                             cache.clear()
-                        cache[w] = seg
-                    t_row.extend(seg)
-                    w_row.extend([wi] * len(seg))
+                            room = CACHED_PIECES
+                        if room >= len(seg):
+                            cache[w] = found
+                            room -= len(seg)
+                    seg, begin, end = found
+                    toks.extend(seg)
                     start = text.find(w, cursor)
                     start = cursor if start < 0 else start
-                    o_row.extend(spans(w, start, seg))
+                    if len(seg) == 1:
+                        wids.append(wi)
+                        starts.append(start + begin[0])
+                        ends.append(start + end[0])
+                    else:
+                        wids.extend([wi] * len(seg))
+                        starts.extend([start + x for x in begin])
+                        ends.extend([start + x for x in end])
                     cursor = start + len(w)
-                toks.append(t_row)
-                wids.append(w_row)
-                offs.append(o_row)
-            yield pd.DataFrame({key: pdf[key], "tokens": toks, "word_ids": wids, "offsets": offs})
+                bounds.append(len(toks))
+            ints = lambda a: pa.array(np.frombuffer(a, dtype=np.int32) if len(a) else [], pa.int32())
+            offs = pa.StructArray.from_arrays([ints(starts), ints(ends)], names=["start", "end"])
+            return pa.RecordBatch.from_arrays(
+                [part.column(0), list_array(bounds, pa.array(toks, pa.string())), list_array(bounds, ints(wids)), list_array(bounds, offs)],
+                names=[key, "tokens", "word_ids", "offsets"])
+
+        for batch in batches:
+            for part in parts(batch, text_sizes(batch.column(1))):
+                yield encoded(part)
 
-    return src.mapInPandas(run, schema)
+    return src.mapInArrow(run, schema)
 
 
 def encode_bpe(df: DataFrame, c, key: str, merges: DataFrame, byte_level: bool = False) -> DataFrame:
@@ -694,9 +724,13 @@ def encode_unigram(df: DataFrame, c, key: str, units: DataFrame) -> DataFrame:
 
 # --- ids, decoding, reports (B9-B12) --------------------------------------------------------------
 
+#: Tokens that are looked up at a time (or as many as the vocabulary has entries).
+LOOKED_UP = 1 << 18
+
+
 def to_ids(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", out: str = "input_ids", unk_id: int = 100) -> DataFrame:
     """Token array -> id array, partition-local and vectorised: the vocabulary (size-checked)
-    is broadcast as two Arrow arrays and every batch is looked up with one hash lookup in C++."""
+    is broadcast as two Arrow arrays and every part of a batch is looked up with one hash lookup in C++."""
     import pyarrow as pa
     import pyarrow.compute as pc
     rows = bounded_collect(vocab.select("token", "id"), "vocabulary")
@@ -706,17 +740,14 @@ def to_ids(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", out: str = "
     def run(batches):
         keys = pa.array(bc.value[0], pa.string())
         ids = pa.array(bc.value[1], pa.int32())
-        for rb in batches:
-            col = rb.column(rb.schema.get_field_index(tokens))
-            if isinstance(col, pa.ChunkedArray):
-                col = col.combine_chunks()
-            flat = pc.list_flatten(col)
-            pos = pc.index_in(flat, value_set=keys)
-            mapped = pc.fill_null(pc.take(ids, pos), pa.scalar(unk_id, pa.int32()))
-            offsets = pc.list_value_length(col).fill_null(0)
-            starts = pa.array(np.concatenate([[0], np.cumsum(offsets.to_numpy(zero_copy_only=False))]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(starts, mapped, mask=col.is_null())
-            yield pa.RecordBatch.from_arrays(list(rb.columns) + [lists], names=list(rb.schema.names) + [out])
+        for batch in batches:
+            at = batch.schema.get_field_index(tokens)
+            for rb in parts(batch, list_sizes(batch.column(at)), max(LOOKED_UP, len(keys)), batch.num_rows):
+                col = rb.column(at)
+                pos = pc.index_in(pc.list_flatten(col), value_set=keys)
+                mapped = pc.fill_null(pc.take(ids, pos), pa.scalar(unk_id, pa.int32()))
+                starts = np.concatenate([[0], np.cumsum(list_sizes(col))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(list(rb.columns) + [list_array(starts, mapped, col.is_null())], names=list(rb.schema.names) + [out])
 
     return df.mapInArrow(run, schema)
 

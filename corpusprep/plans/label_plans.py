@@ -8,11 +8,14 @@ HTML-free char offsets are Python in the task); tests check their invariants.
 from __future__ import annotations
 
 import re
+from array import array
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.functions.batches import list_array
 from corpusprep.functions.text import words
 from corpusprep.operators import labels as lb
 from corpusprep.operators import sequences as sq
@@ -38,10 +41,17 @@ def register(name, sql=None):
 OFFSET_T = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-@F.pandas_udf(OFFSET_T)
-def word_offsets(s: pd.Series) -> pd.Series:
-    """[start, end) code-point span of every whitespace word."""
-    return s.map(lambda t: [{"start": m.start(), "end": m.end()} for m in re.finditer(r"\S+", t or "")])
+@F.arrow_udf(OFFSET_T)
+def word_offsets(texts: pa.Array) -> pa.Array:
+    """[start, end) code-point span of every whitespace word, kept as plain integers."""
+    starts, ends, bounds = array("i"), array("i"), [0]
+    for t in texts:
+        for m in re.finditer(r"\S+", t.as_py() or ""):
+            starts.append(m.start())
+            ends.append(m.end())
+        bounds.append(len(starts))
+    ints = [pa.array(np.frombuffer(a, dtype=np.int32) if len(a) else [], pa.int32()) for a in (starts, ends)]
+    return list_array(bounds, pa.StructArray.from_arrays(ints, names=["start", "end"]))
 
 
 def wordpiece_vocab(spark, sf_dir, size: int = 2000):
