@@ -1,6 +1,6 @@
 """Web page analytics (W1-W10, S9, P19, A10) as a batch job over a pages table.
 
-HTML is parsed once per page inside ``mapInPandas`` with the standard-library HTMLParser into a
+HTML is parsed once per page inside ``mapInArrow`` with the standard-library HTMLParser into a
 struct of the parts every operator needs; everything after that (fallbacks, explodes, scores,
 routing, rendering) is native column work.  Signature tests (W6, W8 patterns) run on the raw
 HTML with Java regexes and need no parse.
@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from corpusprep.functions.batches import parts, text_sizes
 from corpusprep.functions.text import safe_name, safe_name_replace
 
 # Signatures and thresholds of the reference's page-type detector.
@@ -55,6 +57,7 @@ PARSED_T = T.StructType([
     T.StructField("n_divs", T.IntegerType()), T.StructField("n_empty_divs", T.IntegerType()),
     T.StructField("n_password_inputs", T.IntegerType()), T.StructField("error", T.StringType()),
 ])
+PARSED_ARROW = to_arrow_type(PARSED_T)
 
 
 class _PageParser(HTMLParser):
@@ -172,15 +175,18 @@ def parse_html(html: str | None) -> dict | None:
 
 
 def parse_pages(df: DataFrame, html: str = "html", out: str = "parsed") -> DataFrame:
-    """One parse per page, partition-local (no shuffle); adds the ``parsed`` struct column."""
+    """One parse per page, partition-local (no shuffle); adds the ``parsed`` struct column.  A batch is parsed in
+    parts (``functions.batches``), so a task holds the parts of a few pages as Python objects at a time."""
     schema = T.StructType(list(df.schema.fields) + [T.StructField(out, PARSED_T)])
 
-    def run(it):
-        for pdf in it:
-            pdf[out] = [parse_html(h) for h in pdf[html]]
-            yield pdf
+    def run(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index(html)
+            for part in parts(batch, text_sizes(batch.column(at))):
+                parsed = pa.array([parse_html(h) for h in part.column(at).to_pylist()], PARSED_ARROW)
+                yield pa.RecordBatch.from_arrays([*part.columns, parsed], names=[*part.schema.names, out])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def _nz(c: Column) -> Column:
