@@ -12,10 +12,12 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.functions.batches import list_sizes, parts
 from corpusprep.functions.text import pretokenize, words
 from corpusprep.operators.labels import entity_spans
 from corpusprep.operators.sequences import IGNORE, PAD_ID
@@ -148,10 +150,28 @@ def squad_normalize(c) -> Column:
     return F.array_join(kept, " ")
 
 
-@F.pandas_udf(T.LongType())
-def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.arrow_udf(T.LongType())
+def overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     """Size of the multiset intersection of two arrays of the row."""
-    return pd.Series([sum((Counter(x) & Counter(y)).values()) for x, y in zip(a, b)], dtype="int64")
+    rows = pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+    done = [_overlaps(part.column(0), part.column(1)) for part in parts(rows, list_sizes(a) + list_sizes(b))]
+    return pa.array(np.concatenate(done) if done else [], pa.int64())
+
+
+def _overlaps(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
+    """Items are numbered; each (row, item) is counted on both sides at once."""
+    flat = [a.flatten(), b.flatten()]
+    coded = pa.concat_arrays(flat).dictionary_encode()
+    n = len(coded.dictionary) + 1
+    codes = coded.indices.fill_null(n - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.concatenate([np.repeat(np.arange(len(x)), list_sizes(x)) for x in (a, b)])
+    cut = len(flat[0])
+    places = row * n + codes
+    left, n_left = np.unique(places[:cut], return_counts=True)
+    right, n_right = np.unique(places[cut:], return_counts=True)
+    both, i, j = np.intersect1d(left, right, assume_unique=True, return_indices=True)
+    shared = np.minimum(n_left[i], n_right[j])
+    return np.bincount(both // n, weights=shared, minlength=len(a)).astype(np.int64)
 
 
 def squad_scores(pred: DataFrame, ref: DataFrame, key: str = "id", prediction: str = "prediction_text",
