@@ -10,6 +10,8 @@ No window without ``partitionBy`` ever touches the data itself.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,13 @@ def seeded_uniform(*parts) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def below(digits: Column, share: float) -> Column:
+    """Whether the number in [0, 1) that eight hex digits stand for is below ``share`` (0 to 1): equal digits long, they
+    compare as strings, without being converted."""
+    cut = math.ceil(share * (1 << 32))
+    return digits < F.lit(f"{cut:08x}") if cut < 1 << 32 else F.lit(True)
+
+
 def sort_take(df: DataFrame, by, n: int, ascending: bool = False) -> DataFrame:
     """L1: sort by a (derived) column and take the first n (a TopK, no full sort)."""
     order = [c.asc() if ascending else c.desc() for c in _cols(by)]

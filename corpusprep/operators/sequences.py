@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions.batches import list_array, list_sizes, parts
-from corpusprep.operators.ranking import global_rank, seeded_uniform
+from corpusprep.operators.ranking import below, global_rank, seeded_uniform
 from corpusprep.operators.vocab import SPECIAL_IDS
 
 # Ids of the special tokens and the label that losses ignore.
@@ -177,14 +177,15 @@ def mask_tokens(ids, key, seed: int, p: float = 0.15, vocab_size: int = 30522, f
     def draw(h, at):
         return F.conv(F.substring(h, at, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
-    # one md5 per token; three runs of its digits are the three draws
+    # one md5 per token; three runs of its digits are the three draws, converted only where a number is made of them
     hashed = F.transform(_c(ids), lambda x, i: F.struct(
         x.alias("x"), F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), i.cast("string"))).alias("h")))
     drawn = F.transform(hashed, lambda e: F.struct(
-        e["x"].alias("x"), ((~F.array_contains(spec, e["x"])) & (draw(e["h"], 1) < p)).alias("pick"), draw(e["h"], 9).alias("v"),
-        (F.floor(draw(e["h"], 17) * (vocab_size - first_random)) + first_random).cast("int").alias("r")))
+        e["x"].alias("x"), e["h"].alias("h"), (below(F.substring(e["h"], 1, 8), p) & ~F.array_contains(spec, e["x"])).alias("pick")))
     both = F.transform(drawn, lambda e: F.struct(
-        F.when(~e["pick"], e["x"]).when(e["v"] < 0.8, F.lit(MASK_ID)).when(e["v"] < 0.9, e["r"]).otherwise(e["x"]).alias("input_ids"),
+        F.when(~e["pick"], e["x"]).when(below(F.substring(e["h"], 9, 8), 0.8), F.lit(MASK_ID))
+        .when(below(F.substring(e["h"], 9, 8), 0.9), (F.floor(draw(e["h"], 17) * (vocab_size - first_random)) + first_random).cast("int"))
+        .otherwise(e["x"]).alias("input_ids"),
         F.when(e["pick"], e["x"]).otherwise(F.lit(IGNORE)).alias("labels")))
     return F.struct(both["input_ids"].alias("input_ids"), both["labels"].alias("labels"))
 
