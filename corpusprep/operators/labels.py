@@ -86,22 +86,32 @@ def span_array(tags) -> Column:
     continue it.  Starts and ends come out in the same order, so zipping them pairs each entity.
     Each tag is zipped with its neighbours (shifted copies), so one linear pass decides both
     flags.  Returns array<struct<type, start, end>> with inclusive positions."""
-    t = _c(tags)
-    n = F.size(t)
-    null_s = F.array(F.lit(None).cast("string"))
-    prev = F.concat(null_s, F.slice(t, 1, F.greatest(n - 1, F.lit(0))))
-    nxt = F.concat(F.slice(t, 2, F.greatest(n - 1, F.lit(0))), null_s)
-    pos = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
-    z = F.arrays_zip(t.alias("c"), F.slice(prev, 1, n).alias("p"), F.slice(nxt, 1, n).alias("x"), F.slice(pos, 1, n).alias("i"))
-    flags = F.transform(z, lambda e: F.struct(
-        e["i"].alias("i"), tag_type(e["c"]).alias("ty"),
-        (tag_type(e["c"]).isNotNull() & (e["c"].startswith("B-") | tag_type(e["p"]).isNull()
-                                          | (tag_type(e["p"]) != tag_type(e["c"])))).alias("st"),
-        (tag_type(e["c"]).isNotNull() & ~F.coalesce(e["x"].startswith("I-") & (tag_type(e["x"]) == tag_type(e["c"])),
-                                                      F.lit(False))).alias("en")))
-    starts = F.filter(flags, lambda f: f["st"])
-    ends = F.transform(F.filter(flags, lambda f: f["en"]), lambda f: f["i"])
-    return F.zip_with(starts, ends, lambda s_, e_: F.struct(s_["ty"].alias("type"), s_["i"].alias("start"), e_.alias("end")))
+    marks = F.transform(_c(tags), lambda x: F.struct(tag_type(x).alias("ty"), x.startswith("B-").alias("b")))
+
+    def flagged(m: Column) -> Column:
+        n = F.size(m)
+        none = F.array(F.lit(None).cast("struct<ty:string,b:boolean>"))
+        prev = F.concat(none, F.slice(m, 1, F.greatest(n - 1, F.lit(0))))
+        nxt = F.concat(F.slice(m, 2, F.greatest(n - 1, F.lit(0))), none)
+        pos = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+        z = F.arrays_zip(m.alias("c"), F.slice(prev, 1, n).alias("p"), F.slice(nxt, 1, n).alias("x"), F.slice(pos, 1, n).alias("i"))
+        held = F.filter(z, lambda e: e["c"]["ty"].isNotNull())
+        return F.transform(held, lambda e: F.struct(
+            e["i"].alias("i"), e["c"]["ty"].alias("ty"),
+            (e["c"]["b"] | e["p"]["ty"].isNull() | (e["p"]["ty"] != e["c"]["ty"])).alias("st"),
+            (~F.coalesce(~e["x"]["b"] & (e["x"]["ty"] == e["c"]["ty"]), F.lit(False))).alias("en")))
+
+    def paired(flags: Column) -> Column:
+        starts = F.filter(flags, lambda f: f["st"])
+        ends = F.transform(F.filter(flags, lambda f: f["en"]), lambda f: f["i"])
+        return F.zip_with(starts, ends, lambda s_, e_: F.struct(s_["ty"].alias("type"), s_["i"].alias("start"), e_.alias("end")))
+
+    return _named(_named(marks, flagged), paired)
+
+
+def _named(value: Column, use) -> Column:
+    """``use`` of the value, which is computed once: a lambda's variable stands for it."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def entity_spans(df: DataFrame, key: str, tags: str) -> DataFrame:

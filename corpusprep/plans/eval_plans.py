@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from corpusprep.functions.text import pretokenize, words
 from corpusprep.operators import metrics as mt
 from corpusprep.operators import shape
-from corpusprep.operators.ranking import seeded_uniform
+from corpusprep.operators.ranking import below, seeded_uniform
 from corpusprep.plans.corpus import WORDS_SQL
 from corpusprep.plans.sequence_plans import ENC_SQL, encoded_docs_frame
 from corpusprep.sources.tables import table
@@ -89,12 +89,12 @@ def _tags_frame(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", words("text").alias("w"))
     hashes = F.transform("w", lambda x, i: F.md5(F.concat_ws(":", F.lit("7"), F.lit("t"), F.col("doc_id").cast("string"),
                                                               i.cast("string"))))
-    tag = lambda u: F.when(u < 0.7, F.lit(0)).otherwise((F.floor((u - 0.7) / 0.3 * 8) + 1).cast("int"))
+    digits = lambda h, i: F.substring(h, 8 * i + 1, 8)
+    tag = lambda h, i: F.when(below(digits(h, i), 0.7), F.lit(0)).otherwise((F.floor((_hex_uniform(h, i) - 0.7) / 0.3 * 8) + 1).cast("int"))
     z = F.arrays_zip(F.col("w").alias("x"), hashes.alias("h"))
-    ref = F.transform("_z", lambda e: F.when(F.substring(e["x"], 1, 1).rlike("^[A-Z]$"), F.lit(-100))
-                      .otherwise(tag(_hex_uniform(e["h"], 0))))
-    pred = F.transform("_z", lambda e: F.when(_hex_uniform(e["h"], 1) < 0.1, tag(_hex_uniform(e["h"], 2)))
-                       .otherwise(tag(_hex_uniform(e["h"], 0))))
+    ref = F.transform("_z", lambda e: F.when(F.substring(e["x"], 1, 1).between("A", "Z"), F.lit(-100))
+                      .otherwise(tag(e["h"], 0)))
+    pred = F.transform("_z", lambda e: F.when(below(digits(e["h"], 1), 0.1), tag(e["h"], 2)).otherwise(tag(e["h"], 0)))
     return docs.select("doc_id", z.alias("_z")).select("doc_id", ref.alias("ref"), pred.alias("pred"))
 
 
