@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import functools
 import string
-from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -191,6 +191,10 @@ def squad_scores(pred: DataFrame, ref: DataFrame, key: str = "id", prediction: s
     return best.agg(F.round(100 * F.avg("em"), 4).alias("exact_match"), F.round(100 * F.avg("f1"), 4).alias("f1"))
 
 
+#: Tokens whose n-grams are counted at a time; a larger row alone.
+BLEU_TOKENS = 1 << 18
+
+
 def corpus_bleu(df: DataFrame, key: str, pred: str, refs: str, tokenize=pretokenize, max_n: int = 4) -> DataFrame:
     """Corpus BLEU with clipped n-gram precisions 1..4, brevity penalty against the closest
     reference length (ties: shorter) and exponential smoothing of zero counts; x100.
@@ -198,24 +202,19 @@ def corpus_bleu(df: DataFrame, key: str, pred: str, refs: str, tokenize=pretoken
     The n-grams of a row are counted and clipped inside the row; a task adds up its rows, and only sums leave it."""
     toks = df.select(tokenize(_c(pred)).alias("h"), F.transform(_c(refs), lambda r: tokenize(r)).alias("rs"))
 
-    def run(frames):
+    def run(batches):
         total = np.zeros(2 * max_n + 2, dtype=np.int64)
-        for pdf in frames:
-            for h, rs in zip(pdf["h"], pdf["rs"]):
-                if h is None or rs is None:
-                    continue
-                total[-2] += len(h)
-                total[-1] += min((abs(len(r) - len(h)), len(r)) for r in rs)[1] if len(rs) else 0
-                for n in range(1, max_n + 1):
-                    grams, most = _ngrams(h, n), Counter()
-                    for r in rs:
-                        most |= _ngrams(r, n)
-                    total[2 * n - 2] += sum(min(c, most[g]) for g, c in grams.items() if g in most)
-                    total[2 * n - 1] += max(0, len(h) - n + 1)
-        yield pd.DataFrame([total.tolist()], columns=names)
+        for batch in batches:
+            batch = batch.filter(pc.and_(batch.column(0).is_valid(), batch.column(1).is_valid()))
+            h, rs = batch.columns
+            ends = np.concatenate([[0], np.cumsum(list_sizes(rs))])
+            read = np.concatenate([[0], np.cumsum(list_sizes(rs.flatten()))])[ends]
+            for part in parts(batch, list_sizes(h) + np.diff(read), BLEU_TOKENS):
+                total += _bleu_sums(part.column(0), part.column(1), max_n)
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in total.tolist()], names=names)
 
     names = [f"{kind}{n}" for n in range(1, max_n + 1) for kind in ("m", "t")] + ["c", "r"]
-    sums = toks.mapInPandas(run, ", ".join(f"{n} long" for n in names)).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
+    sums = toks.mapInArrow(run, ", ".join(f"{n} long" for n in names)).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
     logs, k = F.lit(0.0), F.lit(1.0)
     for n in range(1, max_n + 1):
         m, t = F.col(f"m{n}"), F.col(f"t{n}")
@@ -229,8 +228,51 @@ def corpus_bleu(df: DataFrame, key: str, pred: str, refs: str, tokenize=pretoken
     return sums.select(F.round(bleu, 4).alias("bleu"), *shares, F.col("c").alias("sys_len"), F.col("r").alias("ref_len"))
 
 
-def _ngrams(toks, n: int) -> Counter:
-    return Counter(zip(*(toks[k:] for k in range(n))))
+def _bleu_sums(h: pa.ListArray, rs: pa.ListArray, max_n: int) -> np.ndarray:
+    """Clipped matches and n-grams of each order, then tokens and closest reference lengths, summed over the rows.
+
+    Tokens are numbered inside their row, an n-gram is the number its tokens spell, and one sort counts the n-grams of all
+    rows; numbers that could outgrow 64 bits are replaced by their ranks."""
+    total = np.zeros(2 * max_n + 2, dtype=np.int64)
+    rows, refs = len(h), rs.flatten()
+    if not rows:
+        return total
+    held, own, theirs = list_sizes(rs), list_sizes(h).astype(np.int64), list_sizes(refs).astype(np.int64)
+    ref_row, first = np.repeat(np.arange(rows), held), np.concatenate([[0], np.cumsum(held)])[:-1]
+    total[-2] = own.sum()
+    if len(refs):
+        closest = np.minimum.reduceat(np.abs(theirs - own[ref_row]) << 32 | theirs, first[held > 0])
+        total[-1] = (closest & 0xFFFFFFFF).sum()
+    # the hypotheses, then the references: row and number (0: hypothesis) of each token's text
+    sizes = np.concatenate([own, theirs])
+    row = np.repeat(np.concatenate([np.arange(rows), ref_row]), sizes)
+    text = np.repeat(np.concatenate([np.zeros(rows, dtype=np.int64), 1 + np.arange(len(refs)) - first[ref_row]]), sizes)
+    end = np.repeat(np.cumsum(sizes), sizes)
+    texts = int(held.max()) + 1
+    if not len(row):
+        return total
+    coded = pa.concat_arrays([h.flatten(), refs.flatten()]).dictionary_encode(null_encoding="encode")
+    seen, code = np.unique(row * len(coded.dictionary) + coded.indices.to_numpy(), return_inverse=True)
+    code = code - np.searchsorted(seen, np.arange(rows) * len(coded.dictionary))[row]
+    width = space = int(code.max()) + 1
+    at, gram = np.arange(len(code)), code
+    for n in range(1, max_n + 1):
+        if n > 1:
+            whole = end[at] - at >= n
+            at, gram = at[whole], gram[whole]
+            if space * width * rows * texts >= 1 << 63:
+                seen, gram = np.unique(gram, return_inverse=True)
+                space = len(seen)
+            gram, space = gram * width + code[at + n - 1], space * width
+        if not len(at):
+            break
+        key, count = np.unique((row[at] * space + gram) * texts + text[at], return_counts=True)
+        mine, group = key % texts == 0, key // texts
+        starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        most = np.maximum.reduceat(np.where(mine, 0, count), starts)
+        total[2 * n - 2] = np.minimum(np.maximum.reduceat(np.where(mine, count, 0), starts), most).sum()
+        total[2 * n - 1] = count[mine].sum()
+    return total
 
 
 def rouge_tokens(c) -> Column:

@@ -56,3 +56,43 @@ def test_spans_of_odd_tags(spark):
         assert [tuple(s) for s in spans] == want
     plan = spark.createDataFrame([(["O"],)], "t array<string>").select(lb.span_array("t"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("StartsWith(") <= 3
+
+
+def _bleu_by_counters(rows, max_n=4):
+    total = [0] * (2 * max_n + 2)
+    for h, rs in rows:
+        total[-2] += len(h)
+        total[-1] += min((abs(len(r) - len(h)), len(r)) for r in rs)[1] if rs else 0
+        for n in range(1, max_n + 1):
+            grams = lambda t: Counter(zip(*(t[k:] for k in range(n))))  # noqa: B023, E731
+            most = Counter()
+            for r in rs:
+                most |= grams(r)
+            total[2 * n - 2] += sum((grams(h) & most).values())
+            total[2 * n - 1] += max(0, len(h) - n + 1)
+    return total
+
+
+def test_bleu_counts_ngrams_of_many_rows_at_once():
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusprep.operators.metrics import _bleu_sums
+    rng = np.random.default_rng(3)
+    text = lambda n, v: [f"w{x}" for x in rng.integers(0, v, n)]
+    rows = [(text(n, 9), [text(m, 9) for m in ms]) for n, ms in [(0, [3]), (4, []), (12, [30, 30, 2]), (1, [0]), (25, [25]), (3, [9, 1])]]
+    rows.append((text(40_000, 1 << 30), [text(40_000, 1 << 30)]))  # four numbers of its tokens need over 64 bits
+    rows[-1][1][0][100:300] = rows[-1][0][7:207]
+    arrays = lambda some: (pa.array([h for h, _ in some], pa.list_(pa.string())), pa.array([r for _, r in some], pa.list_(pa.list_(pa.string()))))
+    assert _bleu_sums(*arrays(rows), 4).tolist() == _bleu_by_counters(rows)
+    assert _bleu_sums(*arrays(rows[:-1]), 2).tolist() == _bleu_by_counters(rows[:-1], 2)
+    many = [(text(500, 3000), [text(500, 3000), text(500, 3000)]) for _ in range(300)]
+    h, rs = arrays(many)
+    start = time.perf_counter()
+    got = _bleu_sums(h, rs, 4).tolist()
+    quick = time.perf_counter() - start
+    start = time.perf_counter()
+    assert got == _bleu_by_counters(many)
+    assert quick < (time.perf_counter() - start) / 2
