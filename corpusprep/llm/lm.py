@@ -56,6 +56,8 @@ BATCH_WORDS = 2048
 #: Bytes of the pairs of one block, and keys (before repeats in a block are dropped) of one shard.
 PAIR_BYTES = 1 << 17
 SHARD_KEYS = 1 << 22
+#: Keys of a shard that are summed at a time.
+ANSWER_KEYS = 1 << 18
 #: Pairs that one training task should have.
 TRAIN_PAIRS = 400_000
 FREQUENT = 256
@@ -241,7 +243,7 @@ class Counted:
                 hit = np.maximum(hit - 1, 0)
             seen = hit + miss
             odds = np.log((hit + DELTA) / (miss + DELTA)).astype(np.float32)
-            out.append((odds, (seen > 0).astype(np.int64), (seen > 0).astype(np.int64) + (seen > 2) + (seen > 15)))
+            out.append((odds, seen > 0, (seen > 0).astype(np.int8) + (seen > 2) + (seen > 15)))
         return out
 
     def steps(self, evidence, first: int, last: int):
@@ -339,7 +341,7 @@ def word_groups(docs: DataFrame, text_col: str, usable: Column, vocabulary: Data
 def packed(x: np.ndarray) -> bytes:
     """64-bit numbers, compressed by byte planes; those of small numbers are nearly empty."""
     planes = np.ascontiguousarray(x.reshape(-1).view(np.uint8).reshape(-1, 8).T)
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+    return pa.compress(pa.py_buffer(planes), codec="zstd", asbytes=True)
 
 
 def unpacked(x: bytes, size: int) -> np.ndarray:
@@ -353,7 +355,10 @@ def packed_sums(sums: np.ndarray) -> bytes:
 
 
 def unpacked_sums(x: bytes, size: int) -> np.ndarray:
-    return np.cumsum(unpacked(x, 9 * size).reshape(9, -1)[::-1], axis=0)[::-1]
+    sums = unpacked(x, 9 * size).reshape(9, -1)
+    for k in range(7, -1, -1):
+        sums[k] += sums[k + 1]
+    return sums
 
 
 def _tokens_of(pairs: list[bytes]) -> tuple[list[bytes], np.ndarray]:
@@ -385,37 +390,58 @@ def counted_blocks(pairs: DataFrame, n_shards: int) -> DataFrame:
         names, first = np.unique(shard, return_index=True)
         cuts = np.append(first, len(shard)).tolist()
         parts = list(zip(cuts[:-1], cuts[1:]))
-        return pa.table({
+        out = pa.table({
             "shard": pa.array(names.astype(np.int32)), "block": pa.array(np.full(len(names), key[0].as_py(), dtype=np.int32)),
             "size": pa.array([b - a for a, b in parts], pa.int32()),
             "keys": pa.array([packed(np.diff(block.keys[a:b], prepend=np.uint64(0))) for a, b in parts], pa.binary()),
             "counts": pa.array([packed(count[a:b]) for a, b in parts], pa.binary())})
+        release_memory()
+        return out
 
     def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         sizes = table.column("size").to_pylist()
-        asked = np.concatenate([np.cumsum(unpacked(x, n).view(np.uint64)) for x, n in zip(table.column("keys").to_pylist(), sizes)])
-        count = np.concatenate([unpacked(x, n) for x, n in zip(table.column("counts").to_pylist(), sizes)])
-        order = np.argsort(asked, kind="stable")
-        first = np.flatnonzero(np.append(True, asked[order[1:]] != asked[order[:-1]]))
-        sums = prefix_sums(asked[order[first]], np.add.reduceat(count[order], first))
-        at = np.empty(len(asked), dtype=np.int64)
-        at[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(asked))))
-        ends = np.cumsum(sizes).tolist()
-        return pa.table({
-            "shard": table.column("shard"), "block": table.column("block"), "size": table.column("size"),
-            "sums": pa.array([packed_sums(sums[:, at[b - n:b]]) for b, n in zip(ends, sizes)], pa.binary())})
+        asked = [np.cumsum(unpacked(x, n).view(np.uint64)) for x, n in zip(table.column("keys").to_pylist(), sizes)]
+        count = [unpacked(x, n) for x, n in zip(table.column("counts").to_pylist(), sizes)]
+        low, high = min(int(a[0]) for a in asked), max(int(a[-1]) for a in asked)
+        pieces = -(-sum(sizes) // ANSWER_KEYS)
+        cuts = np.array([low + (high - low) * i // pieces & ~0xFF for i in range(1, pieces)], dtype=np.uint64)  # between contexts
+        bounds = [[0, *np.searchsorted(a, cuts).tolist(), len(a)] for a in asked]
+        parts: list[list[bytes]] = [[] for _ in sizes]
+        for p in range(pieces):
+            part = [slice(*b[p:p + 2]) for b in bounds]
+            keys, n = (np.concatenate([x[s] for x, s in zip(rows, part)]) for rows in (asked, count))
+            if not len(keys):
+                continue
+            order = np.argsort(keys, kind="stable")
+            first = np.flatnonzero(np.append(True, keys[order[1:]] != keys[order[:-1]]))
+            sums = prefix_sums(keys[order[first]], np.add.reduceat(n[order], first))
+            at = np.empty(len(keys), dtype=np.int64)
+            at[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+            end = 0
+            for own, s in zip(parts, part):
+                begin, end = end, end + s.stop - s.start
+                if end > begin:
+                    own.append(packed_sums(sums[:, at[begin:end]]))
+        out = pa.table({
+            "shard": table.column("shard"), "block": table.column("block"),
+            "sizes": pa.array([[m for m in np.diff(b).tolist() if m] for b in bounds], pa.list_(pa.int32())),
+            "sums": pa.array(parts, pa.list_(pa.binary()))})
+        release_memory()
+        return out
 
     def join(rows: pa.Table, answers: pa.Table) -> pa.Table:
         coded, n, known = in_order(rows)
-        parts = sorted(zip(*(answers.column(c).to_pylist() for c in ("shard", "size", "sums"))))
-        sums = np.concatenate([unpacked_sums(x, m) for _, m, x in parts], axis=1)
-        return pa.table({
+        parts = sorted(zip(*(answers.column(c).to_pylist() for c in ("shard", "sizes", "sums"))))
+        sums = np.concatenate([unpacked_sums(x, m) for _, sizes, blobs in parts for m, x in zip(sizes, blobs)], axis=1)
+        out = pa.table({
             "block": rows.column("block")[:1], "pairs": pa.array([coded], pa.list_(pa.binary())), "n": pa.array([n], pa.list_(pa.int64())),
             "known": pa.array([known], pa.list_(pa.int64())), "size": pa.array([sums.shape[1]], pa.int32()),
             "sums": pa.array([packed_sums(sums)], pa.binary())})
+        release_memory()
+        return out
 
     answers = pairs.groupBy("block").applyInArrow(ask, "shard int, block int, size int, keys binary, counts binary") \
-        .groupBy("shard").applyInArrow(answer, "shard int, block int, size int, sums binary")
+        .groupBy("shard").applyInArrow(answer, "shard int, block int, sizes array<int>, sums array<binary>")
     return pairs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         join, "block int, pairs array<binary>, n array<bigint>, known array<bigint>, size int, sums binary")
 
@@ -423,9 +449,9 @@ def counted_blocks(pairs: DataFrame, n_shards: int) -> DataFrame:
 def _blocks_of(table):
     """(pairs, counts, word counts, counted contexts) of each row."""
     for i in range(table.num_rows):
-        row = {c: table.column(c)[i].as_py() for c in ("pairs", "n", "known", "size", "sums")}
-        sums = unpacked_sums(row["sums"], row["size"])
-        yield row["pairs"], np.array(row["n"]), row["known"], Counted(*_tokens_of(row["pairs"]), sums)
+        pairs, n, known, size = (table.column(c)[i].as_py() for c in ("pairs", "n", "known", "size"))
+        # no name here keeps the block, so that it is gone before the next one is made
+        yield pairs, np.array(n), known, Counted(*_tokens_of(pairs), unpacked_sums(table.column("sums")[i].as_py(), size))
 
 
 def train_mixer(blocks: DataFrame, n_tasks: int) -> tuple[np.ndarray, np.ndarray]:
@@ -440,6 +466,8 @@ def train_mixer(blocks: DataFrame, n_tasks: int) -> tuple[np.ndarray, np.ndarray
                 b = min(a + BATCH_WORDS, len(counts))
                 mixer.adapt(block.steps(evidence, a, b), counts.astype(np.float64)[block.ctx.token[block.part(a, b)]])
             tokens += int(counts.sum())
+            del block, evidence
+        release_memory()
         return pa.table({"task": table.column("task")[:1], "tokens": pa.array([float(tokens)]),
                          "weights": pa.array([mixer.weights.tobytes()], pa.binary()), "refine": pa.array([(mixer.refine - prior).tobytes()], pa.binary())})
 
@@ -477,8 +505,11 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
         for t, use in zip(byte_texts(block.column("text")), block.column("usable").to_pylist()):
             found = classed_tokens(t, groups)
             n.update(found if use else dict.fromkeys(found, 0))
-        return pa.table({"pair": pa.array(list(n), pa.binary()), BLOCK: pa.array(np.full(len(n), key[0].as_py(), dtype=np.int32)),
-                         "n": pa.array(list(n.values()), pa.int64())})
+        out = pa.table({"pair": pa.array(list(n), pa.binary()), BLOCK: pa.array(np.full(len(n), key[0].as_py(), dtype=np.int32)),
+                        "n": pa.array(list(n.values()), pa.int64())})
+        del n
+        release_memory()
+        return out
 
     found = saved(dealt.groupBy(BLOCK).applyInArrow(distinct_tokens, f"pair binary, {BLOCK} int, n long"), "lm-found")
     pairs = saved(found.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("token", F.expr("substring(pair, 2)"))
@@ -506,6 +537,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                     e = min(a + BATCH_WORDS, len(coded))
                     token = block.ctx.token[block.part(a, e)] - a
                     bits.append(np.bincount(token, weights=mixer.costs(block.steps(evidence, a, e)), minlength=e - a))
+                del block, evidence
                 yield pa.RecordBatch.from_arrays([pa.array(coded, pa.binary()), pa.array(known, pa.int64()), pa.array(np.concatenate(bits))],
                                                  names=["pair", "known", "bits"])
         release_memory()

@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +105,31 @@ def test_lm_learns_only_from_its_documents_and_beats_the_base(spark):
     assert max(abs(a[i].score - b[i].score) / (1 + abs(a[i].score)) for i in same) < 1e-6
 
 
+def test_lm_shards_answer_in_pieces(spark, monkeypatch):
+    rng = random.Random(5)
+    pairs = sorted({bytes([rng.randint(0, 2)]) + "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 9))).encode() for _ in range(400)})
+    rows = spark.createDataFrame([(zlib.crc32(p[1:]) % 3, bytearray(p), i, i) for i, p in enumerate(pairs)], "block int, pair binary, n long, known long")
+    found = []
+    for keys in (1 << 18, 50):
+        monkeypatch.setattr(lm, "ANSWER_KEYS", keys)
+        found.append({r["block"]: lm.unpacked_sums(r["sums"], r["size"]).tolist() for r in lm.counted_blocks(rows, 2).collect()})
+    assert found[0] == found[1] and len(found[0]) == 3
+
+
+def test_lm_holds_one_block_at_a_time():
+    words = [b"\0ab", b"\1abc", b"\0b"]
+    block = lm.Counted(*lm._tokens_of(words))
+    sums = lm.prefix_sums(block.keys, block.own(np.array([1, 2, 3])))
+    row = {"pairs": words, "n": [1, 2, 3], "known": [1, 2, 3], "size": len(block.keys), "sums": lm.packed_sums(sums)}
+    found = lm._blocks_of(pa.Table.from_pylist([row, row]))
+    for _, _, _, b in found:
+        assert b.sums.tolist() == sums.tolist()
+        assert sum(x.nbytes for part in b.evidence(False) for x in part) <= 8 * 6 * len(block.keys)
+        gone = weakref.ref(b)
+        del b, _
+        assert gone() is None
+
+
 def test_lm_counts_are_exact_and_grow_with_the_words(spark, monkeypatch):
     monkeypatch.setattr(lm, "SHARD_KEYS", 1 << 12)
     rng = random.Random(4)
