@@ -37,6 +37,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from corpusprep.llm.common import (BLOCK, KEY_HASH, KEY_ID, ordered_blocks, ranges, running_starts, saved, str_texts,
                                    with_row_key)
@@ -48,6 +50,7 @@ MIN_COUNT = 16
 PAIRS_PER_ROUND = 4096
 STEP_ROWS, STEP_CHARS = 2000, 4 << 20  # texts encoded at a time
 CONTROLS = "\x1c\x1d\x1e\x1f"  # whitespace for str.split alone
+WORDS_PER_CALL = 50_000  # words that the library encodes in one call
 KNOWN_CHUNKS = 240_000  # chunks a worker remembers; beyond that the often used half stays
 
 
@@ -225,12 +228,19 @@ class _Letters(dict):
 
 
 class LibraryEncoder(CachedEncoder):
-    """Texts to ids; the tokenizers library's model encodes each new word.  A full memory of chunks keeps those
-    used again since the last time, so a stream of words that occur once does not push out the frequent ones."""
+    """Texts to ids; the tokenizers library's model encodes the new words, many in a call: the vocabulary marks the
+    token that ends a word.  A full memory of chunks keeps those used again since the last time, so a stream of words
+    that occur once does not push out the frequent ones."""
 
     def __init__(self, splitter: WordSplitter, entries: int = KNOWN_CHUNKS):
         super().__init__(splitter, self.encode_words, entries)
         self.letters = _Letters(splitter.symbols)
+        self.model = Tokenizer(splitter.library.model)
+        self.model.pre_tokenizer = WhitespaceSplit()  # no byte's symbol is white space
+        end, vocab = splitter.spec["model"]["end_of_word_suffix"], splitter.spec["model"]["vocab"]
+        self.ends_word = np.zeros(1 + max(vocab.values()), dtype=bool)
+        if end:
+            self.ends_word[[i for t, i in vocab.items() if t.endswith(end)]] = True
 
     def clear(self) -> None:
         super().clear()
@@ -248,16 +258,26 @@ class LibraryEncoder(CachedEncoder):
         return ["".join(map(symbol, w)) for w in self.splitter.words(chunk)] if chunk else []
 
     def encode_words(self, words: list) -> tuple[np.ndarray, np.ndarray]:
-        tokenize = self.splitter.library.model.tokenize
-        flat: list[int] = []  # flat lists of numbers: a list for each word would keep the garbage collector busy
-        ends = []
-        for w in words:
-            if isinstance(w, tuple):
-                flat.append(w[1])
-            else:
-                flat.extend([t.id for t in tokenize(w)])
-            ends.append(len(flat))
-        return np.array(flat, dtype=np.int32), np.diff(np.array(ends, dtype=np.int64), prepend=0)
+        special = [i for i, w in enumerate(words) if isinstance(w, tuple)]
+        plain = [w for w in words if not isinstance(w, tuple)] if special else words
+        parts = [self.encode_many(plain[a:a + WORDS_PER_CALL]) for a in range(0, len(plain), WORDS_PER_CALL)] or [self.encode_each([])]
+        flat, sizes = (np.concatenate(x) for x in zip(*parts))
+        if special:
+            before = np.array(special) - np.arange(len(special))  # plain words before each
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            flat, sizes = np.insert(flat, ends[before], [words[i][1] for i in special]), np.insert(sizes, before, 1)
+        return flat, sizes
+
+    def encode_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, ids of each word), by one call."""
+        flat = np.array(self.model.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.int32)
+        sizes = np.diff(np.flatnonzero(self.ends_word[flat]), prepend=-1)
+        return (flat, sizes) if len(sizes) == len(words) and int(sizes.sum()) == len(flat) else self.encode_each(words)
+
+    def encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, word by word."""
+        found = [[t.id for t in self.splitter.library.model.tokenize(w)] for w in words]
+        return np.array(list(chain.from_iterable(found)), dtype=np.int32), np.array(list(map(len, found)), dtype=np.int64)
 
     def _learn(self, chunks: list) -> None:
         known, number = len(self.word), self.word.__getitem__
@@ -266,6 +286,8 @@ class LibraryEncoder(CachedEncoder):
         for c in chunks:
             if isinstance(c, tuple):
                 words.append(number(c))
+            elif c.isascii() and c.isalpha():  # most of them
+                words.append(number(c.lower()))
             else:
                 words.extend(map(number, self.mapped(c)))
             last.append(len(words))

@@ -194,3 +194,20 @@ def test_all_ids_of_a_shard_equal_its_expansion():
     for ids in (np.tile(block, 40), np.zeros(5000, dtype=np.int64), rng.integers(0, 20, 9000), np.zeros(0, dtype=np.int64)):
         grammar = Grammar.load(compress(ids, np.array([len(ids)]), 300).dump())
         assert np.array_equal(grammar.ids(), ids) and np.array_equal(grammar.expand(grammar.symbols), ids)
+
+
+def test_library_encoder_takes_many_words_in_a_call():
+    from corpusprep.llm import tokenfile
+    from corpusprep.llm.wordbpe import WordSplitter
+
+    splitter = WordSplitter(PATH)
+    encoder = tokenfile.LibraryEncoder(splitter)
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choice(splitter.symbols) for _ in range(rng.randint(1, 12))) for _ in range(400)} | set(splitter.symbols))
+    mixed = [("special", 7), *words[:100], ("special", 8), ("special", 9), *words[100:], ("special", 7)]
+    each = [[w[1]] if isinstance(w, tuple) else [t.id for t in splitter.library.model.tokenize(w)] for w in mixed]
+    encoder.encode_each = None  # the call for each word is not needed
+    flat, sizes = encoder.encode_words(mixed)
+    assert sizes.tolist() == list(map(len, each)) and flat.tolist() == [i for ids in each for i in ids]
+    assert [x.tolist() for x in tokenfile.LibraryEncoder(splitter).encode_words([])] == [[], []]
+    assert [x.tolist() for x in tokenfile.LibraryEncoder(splitter).encode_words([("special", 5)])] == [[5], [1]]
