@@ -16,7 +16,7 @@ A document's set holds the 64-bit hashes of its distinct shingles.  Sets are lin
    at the last of ``DIVISIONS`` the empty pairs are signatures too.  No link is lost.
 4. Equal sets form one class before all this.  A class is first compared with the smallest class it shares a
    signature with, then, by components, only with classes of other components: the smallest of each other signature,
-   and at last all that share one.  A pair is checked by the difference of two 512-bit parity maps (a lower bound of the
+   while signatures hold large groups one more member of each in turn, and at last all that share one.  A pair is checked by the difference of two 512-bit parity maps (a lower bound of the
    real difference) beside the sizes, and only then by its sets.
 
 Defined results: a null text or one without words has the empty set, which links with nothing; a text of fewer words than
@@ -45,6 +45,9 @@ DIVISIONS = 8
 SLACK_EVERY = 16
 #: Classes that share one signature are compared in blocks of this size.
 BLOCK_CLASSES = 1000
+#: While open signatures hold more possible pairs for each of their classes than this, one member of each is compared with
+#: the others, in at most so many turns; what they leave is compared in full.
+PAIRS_PER_CLASS, TURNS = 4, 3
 _GOLD = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
 
@@ -257,9 +260,31 @@ def similar_classes(rows: DataFrame, sets: DataFrame, width: int = WIDTH, percen
     links = links.unionByName(saved(linked(open_, entries, percent), "set-links"))
     label = labels(links)
     # all others that share a signature across components
-    rest = relabelled(others.select("sig", "class"), label, "class", "label")
-    counts = rest.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
-    pairs = saved(across_pairs(rest.join(counts.select("sig", "size"), "sig").join(maps, "class"), percent), "pairs")
+
+    def still_open(members: DataFrame) -> DataFrame:
+        """(sig, class, label, size) of the signatures (sig, class) whose classes have more than one label."""
+        members = relabelled(members.select("sig", "class"), label, "class", "label")
+        counts = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
+        return saved(members.join(counts.select("sig", "size"), "sig"), "open-signatures")
+
+    rest = still_open(others)
+    for turn in range(TURNS):
+        n, reach = rest.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).collect()[0]
+        if reach - n <= 2 * PAIRS_PER_CLASS * n:
+            break
+        # the same class leads in most of its signatures; compared with all others of a signature, it leaves it
+        chosen = rest.groupBy("sig").agg(F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class", "label")).alias("p"))
+        met = rest.join(chosen.select("sig", F.col("p.class").alias("a"), F.col("p.label").alias("la")), "sig")
+        tried = saved(near(met.where("label <> la").select("a", F.col("class").alias("b")).distinct()), "pairs")
+        found = saved(linked(tried, entries_of(tried), percent), "set-links")
+        merged = bool(found.take(1))
+        if merged:
+            links = links.unionByName(found)
+            label = labels(links)
+        rest = still_open(met.where("class <> a"))
+        if not merged:
+            break
+    pairs = saved(across_pairs(rest.join(maps, "class"), percent), "pairs")
     if pairs.take(1):
         links = links.unionByName(saved(linked(pairs, entries_of(pairs), percent), "set-links"))
         label = labels(links)

@@ -314,3 +314,27 @@ def test_ranked_vocabulary_equals_the_library():
     letters = "etaoin shrdlu'ES 019.,-_\n\té🙂京"
     texts = [" " + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 40))) for _ in range(5000)]
     assert [tok.ranked.encode_ordinary(t) for t in texts] == [e.ids for e in library_a().encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def test_large_signatures_are_compared_in_turns(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(110)]
+    rows = []
+    for i in range(250):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3])):
+            words[rng.randrange(len(words))] = f"x{rng.randint(0, 10 ** 6)}"
+        rows.append((i, " ".join(words)))
+    asked, plain = [], partenum.across_pairs
+
+    def seen(*args):
+        asked.append(plain(*args).count())
+        return plain(*args)
+
+    monkeypatch.setattr(partenum, "across_pairs", seen)
+    monkeypatch.setattr(partenum, "TURNS", 0)
+    whole = sorted(joined(spark, rows))
+    monkeypatch.undo()
+    monkeypatch.setattr(partenum, "across_pairs", seen)
+    assert sorted(joined(spark, rows)) == whole
+    assert asked[1] < asked[0]
