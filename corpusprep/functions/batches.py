@@ -41,3 +41,22 @@ def parts(batch: pa.RecordBatch, sizes: np.ndarray, size: int = PART_SIZE, rows:
 def list_array(ends: list[int] | np.ndarray, values: pa.Array, mask: pa.Array | None = None) -> pa.ListArray:
     """Lists of the values; ``ends`` has 0 and then the end of every list."""
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=mask)
+
+
+def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all texts as numbers, and where each text begins in them (then their end); null has none."""
+    texts = pc.fill_null(texts, "")
+    if not len(texts):
+        return np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    raw = data[int(ends[0]):int(ends[-1])].to_pybytes() if data is not None else b""
+    points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
+    return points, np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)])
+
+
+def joined_ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1 and so on, ``sizes[0]`` of them, then those of first[1]."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(first - (ends - sizes), sizes)

@@ -1,44 +1,81 @@
-"""Label alignment (N1-N7) on token arrays: native higher-order functions per row; entity
-grouping over rows uses windows partitioned by the sequence key (bounded by its length)."""
+"""Label alignment (N1-N7) on token arrays: alignment and rendering in numpy and Arrow over the tokens of a
+batch, answer spans as native higher-order functions per row; entity grouping over rows uses windows partitioned by the sequence key (bounded by its length)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from corpusprep.functions.batches import code_points, joined_ranges, list_array, list_sizes, parts
+from corpusprep.functions.hashes import numbered_draws
 from corpusprep.operators.sequences import IGNORE
+from corpusprep.operators.vocab import CONTINUATION, UNK
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _prev(word_ids, i):
-    return F.when(i > 0, F.element_at(_c(word_ids), i))  # element i (1-based) is the previous token
+def _aligned(labels: pa.ListArray, word_ids: pa.ListArray, first_only: bool) -> pa.ListArray:
+    """Labels of the tokens of all rows at once.  A word without a label is an error, as for ``element_at``."""
+    sizes, held = list_sizes(word_ids), list_sizes(labels)
+    flat = word_ids.flatten()
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    known = flat.is_valid().to_numpy(zero_copy_only=False)
+    word = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    changed = np.ones(len(word), dtype=bool)
+    changed[1:] = (row[1:] != row[:-1]) | (known[1:] != known[:-1]) | (word[1:] != word[:-1])
+    all_labels = labels.flatten()
+    wanted = known & labels.is_valid().to_numpy(zero_copy_only=False)[row]
+    if first_only:
+        wanted &= changed
+    at = np.flatnonzero(wanted)
+    place = np.where(word[at] >= 0, word[at], held[row[at]] + word[at] + 1)
+    outside = (word[at] == -1) | (place < 0) | (place >= held[row[at]])
+    if outside.any():
+        i = int(np.argmax(outside))
+        raise IndexError(f"word {word[at][i]} has no label: there are {held[row[at]][i]}")
+    place += (np.cumsum(held) - held)[row[at]]
+    out = np.full(len(word), IGNORE, dtype=np.int64)
+    missing = known & (changed if first_only else True)  # tokens whose label is not known: a null label, or no list
+    values = pc.fill_null(all_labels, 0).to_numpy(zero_copy_only=False).astype(np.int64)[place]
+    if not first_only:
+        values = values + (~changed[at] & (values % 2 == 1))
+    out[at] = values
+    missing[at] = all_labels.is_null().to_numpy(zero_copy_only=False)[place]
+    return list_array(np.concatenate([[0], np.cumsum(sizes)]), pa.array(out, pa.int32(), mask=missing), word_ids.is_null())
+
+
+def _in_parts(run, sized: int, *columns: pa.Array) -> pa.Array:
+    """``run`` over parts of the columns; the lists of one of them give a part's size."""
+    rows = pa.RecordBatch.from_arrays(list(columns), names=[str(i) for i in range(len(columns))])
+    done = [run(*part.columns) for part in parts(rows, list_sizes(columns[sized]))]
+    return pa.concat_arrays(done) if done else run(*columns)
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _continued(labels: pa.Array, word_ids: pa.Array) -> pa.Array:
+    return _in_parts(lambda x, w: _aligned(x, w, False), 1, labels, word_ids)
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _firsts(labels: pa.Array, word_ids: pa.Array) -> pa.Array:
+    return _in_parts(lambda x, w: _aligned(x, w, True), 1, labels, word_ids)
 
 
 def align_continue(labels, word_ids) -> Column:
     """Specials -> -100; the first piece of a word keeps its label; later pieces turn B- (odd)
-    into I- (odd + 1).  ``labels`` should be a stored column (from a scan, join or Python stage):
-    it is indexed per token inside the lambda, so an expression would be re-evaluated per token."""
-    def f(w, i):
-        prev = _prev(word_ids, i)
-        lab = F.element_at(_c(labels), w + 1)
-        changed = (i == 0) | ~prev.eqNullSafe(w)
-        return (F.when(w.isNull(), F.lit(IGNORE))
-                .when(changed, lab)
-                .when(lab % 2 == 1, lab + 1)
-                .otherwise(lab))
-    return F.transform(_c(word_ids), f)
+    into I- (odd + 1)."""
+    return _continued(_c(labels), _c(word_ids))
 
 
 def align_first(labels, word_ids) -> Column:
     """Only the first piece of every word carries the label, the rest -100."""
-    def f(w, i):
-        prev = _prev(word_ids, i)
-        changed = (i == 0) | ~prev.eqNullSafe(w)
-        return F.when(w.isNull() | ~changed, F.lit(IGNORE)).otherwise(F.element_at(_c(labels), w + 1))
-    return F.transform(_c(word_ids), f)
+    return _firsts(_c(labels), _c(word_ids))
 
 
 def with_special_word_ids(word_ids) -> Column:
@@ -67,13 +104,103 @@ def validation_offsets(offsets, sequence_ids) -> Column:
     return F.zip_with(_c(offsets), _c(sequence_ids), lambda o, s: F.when(s == 1, o))
 
 
+def _two_lines(words: pa.ListArray, names: pa.ListArray) -> pa.StringArray:
+    sizes = list_sizes(words)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    known = pc.and_(words.is_valid(), names.is_valid())
+    if not np.array_equal(sizes, list_sizes(names)):  # the shorter list of a row is filled up with nulls
+        longer = lambda xs, ys: None if xs is None or ys is None else xs + [None] * (len(ys) - len(xs))
+        pairs = list(zip(words.to_pylist(), names.to_pylist()))
+        return _two_lines(pa.array([longer(x, y) for x, y in pairs], pa.list_(pa.string())), pa.array([longer(y, x) for x, y in pairs], pa.list_(pa.string())))
+    flat = words.flatten(), names.flatten()
+    # the width of the wider of the two; a null takes no part, and is not printed
+    long = [pc.utf8_length(x) for x in flat]
+    width = pc.add(pc.max_element_wise(*long), 1)
+    spaces = pa.array([" " * n for n in range((pc.max(width).as_py() or 0) + 1)], pa.string())
+    lines = []
+    for x, n in zip(flat, long):
+        padded = pc.binary_join_element_wise(x, spaces.take(pc.subtract(width, n)), "")
+        lines.append(pc.binary_join(list_array(ends, pc.fill_null(padded, "")), ""))
+    return pc.if_else(known, pc.binary_join_element_wise(*lines, "\n"), None)
+
+
+@F.arrow_udf(T.StringType())
+def _side_by_side(words: pa.Array, names: pa.Array) -> pa.Array:
+    return _in_parts(_two_lines, 0, words, names)
+
+
 def side_by_side(words, label_names) -> Column:
     """Two lines, every word and its label padded to the longer of the two plus one space."""
-    z = F.arrays_zip(_c(words).alias("w"), _c(label_names).alias("l"))
-    width = lambda e: F.greatest(F.length(e["w"]), F.length(e["l"])) + 1
-    line1 = F.array_join(F.transform(z, lambda e: F.rpad(e["w"], width(e), " ")), "")
-    line2 = F.array_join(F.transform(z, lambda e: F.rpad(e["l"], width(e), " ")), "")
-    return F.concat(line1, F.lit("\n"), line2)
+    return _side_by_side(_c(words), _c(label_names))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _names(labels: pa.Array, names: pa.Array) -> pa.Array:
+    def run(some, rows):
+        place = pc.if_else(pc.less(some.flatten(), 0), None, some.flatten())
+        return list_array(np.concatenate([[0], np.cumsum(list_sizes(some))]), pc.fill_null(pa.array(rows[0].as_py(), pa.string()).take(place), "-"), some.is_null())
+
+    return _in_parts(run, 0, labels, names) if len(labels) else pa.array([], pa.list_(pa.string()))
+
+
+def label_names(labels, names: list[str]) -> Column:
+    """Names of a list of labels, '-' for null and for ignored positions."""
+    return _names(_c(labels), F.array(*[F.lit(n) for n in names]))
+
+
+@F.arrow_udf(T.BooleanType())
+def _hold(texts: pa.Array, tokens: pa.Array, offsets: pa.Array) -> pa.Array:
+    return _in_parts(_held_pieces, 1, texts, tokens, offsets)
+
+
+def _held_pieces(texts: pa.Array, tokens: pa.ListArray, offsets: pa.ListArray) -> pa.Array:
+    sizes = list_sizes(tokens)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    flat, spans = tokens.flatten(), offsets.flatten()
+    points, row_at = code_points(texts)
+    marked = pc.starts_with(flat, CONTINUATION)
+    pieces = pc.if_else(marked, pc.utf8_slice_codeunits(flat, len(CONTINUATION)), flat)
+    chars, at = code_points(pieces)
+    n = np.diff(at)
+    size = np.diff(row_at)[row]
+    start, end = (np.minimum(spans.field(i).to_numpy(zero_copy_only=False), size) for i in (0, 1))
+    unknown = pc.equal(flat, UNK).to_numpy(zero_copy_only=False)
+    same = end - start == n
+    looked = np.flatnonzero(same & ~unknown)
+    here = points[joined_ranges((start + row_at[row])[looked], n[looked])]
+    differs = here != chars[joined_ranges(at[:-1][looked], n[looked])]
+    same[np.repeat(looked, n[looked])[differs]] = False
+    wrong = np.bincount(row[~(same | unknown)], minlength=len(sizes)) > 0
+    # a piece in no text is neither held nor not held
+    missing = texts.is_null().to_numpy(zero_copy_only=False) & (np.bincount(row[~unknown], minlength=len(sizes)) > 0)
+    return pc.if_else(tokens.is_valid(), pa.array(~wrong, mask=missing), None)
+
+
+def offsets_hold_pieces(text, tokens, offsets) -> Column:
+    """Whether every piece's character span holds the piece itself (continuation marker removed; [UNK] holds anything)."""
+    return _hold(_c(text), _c(tokens), _c(offsets))
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _drawn_tags(ignored: pa.Array, kinds: pa.Array, counts: pa.Array) -> pa.Array:
+    """Of every row as many tags as it counts words, at least one."""
+    out = []
+    rows = pa.RecordBatch.from_arrays([ignored, kinds, counts], names=["ignored", "kinds", "counts"])
+    for part in parts(rows, pc.fill_null(counts, 0).to_numpy(zero_copy_only=False)):
+        n = np.maximum(pc.fill_null(part.column(2), 0).to_numpy(zero_copy_only=False), 1)
+        plain = numbered_draws(part.column(0), n) / 4294967296.0 < 0.7
+        tags = np.zeros(len(plain), dtype=np.int32)
+        kinds_ = numbered_draws(part.column(1), n, ~plain)
+        tags[~plain] = (kinds_ >> 29) + 1  # eight kinds: the draw's first three bits
+        out.append(list_array(np.concatenate([[0], np.cumsum(n)]), pa.array(tags, pa.int32())))
+    return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+
+
+def drawn_tags(key, n_words) -> Column:
+    """A tag for every word of a row, by the md5 of its seed, key and position (``ranking.seeded_uniform``): none (0) with
+    p = 0.7 by seed 3, else one of eight by seed 4."""
+    prefix = lambda seed: F.concat(F.concat_ws(":", F.lit(seed), _c(key).cast("string")), F.lit(":"))
+    return _drawn_tags(prefix("3"), prefix("4"), _c(n_words))
 
 
 def tag_type(tag: Column) -> Column:

@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.functions.batches import list_array, list_sizes, parts, text_sizes
+from corpusprep.functions.batches import code_points, joined_ranges, list_array, list_sizes, parts, text_sizes
 from corpusprep.functions.text import pretokenize
+from corpusprep.functions.tries import LongestMatch, Merges, Segments
 from corpusprep.session import cut_lineage
 
 # Special tokens and their ids (BERT-style), continuation prefix, limits.
@@ -33,6 +34,7 @@ SPECIAL_IDS = {PAD: 0, UNK: 100, CLS: 101, SEP: 102, MASK: 103}
 CONTINUATION = "##"
 MAX_MODEL_ENTRIES = 1_000_000
 CACHED_PIECES = 500_000  # pieces of the words that an encoding task remembers
+ENCODED = 1 << 21  # bytes of text that are encoded at a time
 
 
 def _c(c) -> Column:
@@ -633,69 +635,120 @@ def _byte_offsets(word: str, pieces: list[str]) -> tuple[list[int], list[int]]:
 OFFSETS_T = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretokenize, spans=_piece_offsets) -> DataFrame:
-    """Pre-tokenise in Spark, segment every word in the task (per-task cache), keep token, word index
-    and (Q6) the character span of every piece, found by locating each pre-token in the text in order.
-    A null text has no pieces.
-
-    A batch is encoded in parts (``functions.batches``); word indices and spans are kept as plain integers, and the
-    cache is bounded by its pieces, so a task's memory depends neither on its rows nor on how finely words are cut."""
+# White space between pre-tokens (Unicode's White_Space property); the last entry stands for all characters above.
+_SPACE = np.zeros(0x3002, dtype=bool)
+_SPACE[[*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = True
+
+
+def _word_starts(texts, words, sizes: np.ndarray) -> np.ndarray:
+    """Where every pre-token begins in its text, located one after the other; ``words`` are those of all texts, ``sizes``
+    how many each text has.
+
+    Where the words are what is left of the texts without white space, as the pre-tokeniser's are, they are found all
+    at once; else one after the other."""
+    points, row_at = code_points(texts)
+    parts_, word_at = code_points(words)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    solid = np.flatnonzero(~_SPACE[np.minimum(points, 0x3001)])
+    lengths = np.diff(word_at)
+    if len(solid) == len(parts_) and lengths.all() and np.array_equal(points[solid], parts_):
+        starts, last = solid[word_at[:-1]], solid[word_at[1:] - 1]
+        if np.array_equal(last - starts, lengths - 1) and (starts >= row_at[row]).all() and (last < row_at[row + 1]).all():
+            return starts - row_at[row]
+    out, every = [], iter(words.to_pylist())
+    for text, n in zip(texts.to_pylist(), sizes.tolist()):
+        cursor = 0
+        for _ in range(n):
+            w = next(every)
+            start = text.find(w, cursor)
+            start = cursor if start < 0 else start
+            out.append(start)
+            cursor = start + len(w)
+    return np.array(out, dtype=np.int64)
+
+
+class _OneByOne:
+    """Segments words one by one, each once: their pieces and spans are kept as plain integers, and forgotten when they are
+    over ``CACHED_PIECES``."""
+
+    def __init__(self, segment, spans):
+        self.segment, self.spans = segment, spans
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict = {}
+        self.names: dict = {}
+        self.first, self.name, self.begin, self.end = array("q", [0]), array("i"), array("i"), array("i")
+
+    def __call__(self, words) -> Segments:
+        import pyarrow as pa
+        if len(self.name) > CACHED_PIECES:
+            self._forget()
+        known, names = self.known, self.names
+        words = words.to_pylist()
+        for w in words:
+            if w in known:
+                continue
+            seg = self.segment(w)
+            begin, end = self.spans(w, seg)
+            known[w] = len(self.first) - 1
+            self.name.extend([names.setdefault(p, len(names)) for p in seg])
+            self.begin.extend(begin)
+            self.end.extend(end)
+            self.first.append(len(self.name))
+        first, name, begin, end = (np.array(x) for x in (self.first, self.name, self.begin, self.end))
+        found = np.array([known[w] for w in words], dtype=np.int64)
+        n = first[found + 1] - first[found]
+        at = joined_ranges(first[found], n)
+        return Segments(np.concatenate([[0], np.cumsum(n)]), name[at], begin[at], end[at], pa.array(list(names), pa.string()))
+
+
+def _encode_partitions(df: DataFrame, key: str, c, model, segment=None, pretok=pretokenize, spans=_piece_offsets, keep: tuple[str, ...] = (),
+                       segmenter=None) -> DataFrame:
+    """Pre-tokenise in Spark, segment the distinct words of a part of a batch, keep token, word index and (Q6) the
+    character span of every piece, found by locating each pre-token in the text in order.  A null text has no pieces; the
+    columns ``keep`` stay.  ``segmenter`` makes of the model a function of an array of words (``functions.tries``), without
+    one ``segment`` takes one word (per-task cache).
+
+    A batch is encoded in parts (``functions.batches``); tokens, word indices and spans of all its words are gathered from
+    those of the distinct ones, so a task's memory depends neither on its rows nor on how finely words are cut."""
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(model)
     pieces_t = T.ArrayType(T.StringType())
     schema = T.StructType([
         T.StructField(key, df.schema[key].dataType),
+        *(df.schema[k] for k in keep),
         T.StructField("tokens", pieces_t),
         T.StructField("word_ids", T.ArrayType(T.IntegerType())),
         T.StructField("offsets", OFFSETS_T),
     ])
-    src = df.select(key, _c(c).alias("_text"), pretok(_c(c)).alias("_words"))
+    src = df.select(key, *keep, _c(c).alias("_text"), pretok(_c(c)).alias("_words"))
 
     def run(batches):
         import pyarrow as pa
         m = bc.value
-        cache: dict = {}
-        room = CACHED_PIECES
+        segmented = segmenter(m) if segmenter else _OneByOne(lambda w: segment(w, m), spans)
 
         def encoded(part):
-            nonlocal room
-            toks, bounds = [], [0]
-            wids, starts, ends = array("i"), array("i"), array("i")
-            for text, ws in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                cursor = 0
-                for wi, w in enumerate(ws if ws is not None else ()):
-                    found = cache.get(w)
-                    if found is None:
-                        seg = segment(w, m)
-                        found = (seg, *spans(w, seg))
-                        if room < len(seg):
-                            cache.clear()
-                            room = CACHED_PIECES
-                        if room >= len(seg):
-                            cache[w] = found
-                            room -= len(seg)
-                    seg, begin, end = found
-                    toks.extend(seg)
-                    start = text.find(w, cursor)
-                    start = cursor if start < 0 else start
-                    if len(seg) == 1:
-                        wids.append(wi)
-                        starts.append(start + begin[0])
-                        ends.append(start + end[0])
-                    else:
-                        wids.extend([wi] * len(seg))
-                        starts.extend([start + x for x in begin])
-                        ends.extend([start + x for x in end])
-                    cursor = start + len(w)
-                bounds.append(len(toks))
-            ints = lambda a: pa.array(np.frombuffer(a, dtype=np.int32) if len(a) else [], pa.int32())
-            offs = pa.StructArray.from_arrays([ints(starts), ints(ends)], names=["start", "end"])
+            texts, lists = part.column(part.num_columns - 2), part.column(part.num_columns - 1)
+            sizes = list_sizes(lists)
+            words = lists.flatten()
+            distinct = words.dictionary_encode()
+            first, name, begin, end, names = segmented(distinct.dictionary)
+            found = distinct.indices.to_numpy(zero_copy_only=False)
+            n = first[found + 1] - first[found]
+            at = joined_ranges(first[found], n)
+            starts = np.repeat(_word_starts(texts, words, sizes), n)
+            bounds = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(sizes)])]
+            wids = np.repeat(joined_ranges(np.zeros(len(sizes), dtype=np.int64), sizes), n)
+            ints = lambda a: pa.array(a.astype(np.int32), pa.int32())
+            offs = pa.StructArray.from_arrays([ints(starts + begin[at]), ints(starts + end[at])], names=["start", "end"])
             return pa.RecordBatch.from_arrays(
-                [part.column(0), list_array(bounds, pa.array(toks, pa.string())), list_array(bounds, ints(wids)), list_array(bounds, offs)],
-                names=[key, "tokens", "word_ids", "offsets"])
+                [*part.columns[:-2], list_array(bounds, names.take(pa.array(name[at]))), list_array(bounds, ints(wids)), list_array(bounds, offs)],
+                names=[key, *keep, "tokens", "word_ids", "offsets"])
 
         for batch in batches:
-            for part in parts(batch, text_sizes(batch.column(1))):
+            for part in parts(batch, text_sizes(batch.column(batch.num_columns - 2)), ENCODED):
                 yield encoded(part)
 
     return src.mapInArrow(run, schema)
@@ -704,15 +757,19 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment, pretok=pretok
 def encode_bpe(df: DataFrame, c, key: str, merges: DataFrame, byte_level: bool = False) -> DataFrame:
     """Replay the merge list (lowest rank first) on every word; (key, tokens, word_ids, offsets)."""
     ranks = {(r["left"], r["right"]): int(r["rank"]) for r in bounded_collect(merges, "merge list")}
-    return _encode_partitions(df, key, c, ranks, lambda w, m: _bpe_segment(w, m, byte_level),
-                              spans=_byte_offsets if byte_level else _piece_offsets)
+    return _encode_partitions(df, key, c, ranks, segmenter=lambda m: Merges(m, byte_level))
+
+
+def _wordpiece_match(tokens: set) -> LongestMatch:
+    words, rest = sorted(tokens), sorted(t for t in tokens if t.startswith(CONTINUATION))
+    return LongestMatch(words, [t[len(CONTINUATION):] for t in rest], words + rest, UNK)
 
 
-def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame) -> DataFrame:
-    """Longest match from the left, '##' for continuation pieces, whole word [UNK] on failure."""
+def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Longest match from the left, '##' for continuation pieces, whole word [UNK] on failure; the columns
+    ``keep`` stay."""
     tokens = {r["token"] for r in bounded_collect(vocab.select("token"), "vocabulary")}
-    longest = _longest(tokens)
-    return _encode_partitions(df, key, c, tokens, lambda w, m: _wordpiece_segment(w, m, longest))
+    return _encode_partitions(df, key, c, tokens, segmenter=_wordpiece_match, keep=keep)
 
 
 def encode_unigram(df: DataFrame, c, key: str, units: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from corpusprep.operators import vocab as vb
 from corpusprep.operators.ranking import seeded_uniform
 from corpusprep.plans.eval_plans import NER_TAGS, TAGS_SQL, _tags_frame
 from corpusprep.plans.sequence_plans import ENC_SQL, encoded_docs_frame
+from corpusprep.session import cut_lineage
 from corpusprep.sources.tables import table
 
 QUERIES = {}
@@ -58,7 +59,7 @@ def wordpiece_vocab(spark, sf_dir, size: int = 2000):
     """A WordPiece vocabulary from the corpus: specials, the most frequent words, and every character
     as a word-initial and a '##' continuation piece (so every word can be segmented)."""
     docs = table(spark, sf_dir, "documents").select("text")
-    freqs = vb.word_frequencies(docs, "text")
+    freqs = cut_lineage(vb.word_frequencies(docs, "text"))  # read twice below
     top = vb.word_vocab(freqs, size).select("token")
     chars = freqs.select(F.explode(F.filter(F.split("word", ""), lambda x: x != "")).alias("c")).distinct()
     pieces = chars.select(F.col("c").alias("token")).unionByName(chars.select(F.concat(F.lit("##"), "c").alias("token")))
@@ -67,6 +68,20 @@ def wordpiece_vocab(spark, sf_dir, size: int = 2000):
     return global_rank(allv, "token", "_r").select("token", (F.col("_r") + 200).cast("int").alias("id"))
 
 
+def _paired(docs, key: str, text: str):
+    """The rows of a table with every text of the same key, ``other``, as a join of the table with itself by the key gives
+    them.  Only repeated keys (one job looks) are joined; a row whose key does not repeat is ``alone``, and its own text
+    the other."""
+    docs = docs.where(F.col(key).isNotNull())
+    repeated = docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(key)
+    alone = lambda df: df.select(key, text, F.lit(None).cast("string").alias("other"), F.lit(True).alias("alone"))
+    if repeated.isEmpty():
+        return alone(docs)
+    many = docs.join(repeated, key, "left_semi")
+    pairs = many.join(many.select(key, F.col(text).alias("other")), key).select(key, text, "other", F.lit(False).alias("alone"))
+    return alone(docs.join(repeated, key, "left_anti")).unionByName(pairs)
+
+
 @register("ner_aligned_docs")
 def ner_aligned_docs(spark, sf_dir):
     """N3 (B7 + Q7 + N1), N2 and N6: every document WordPiece-encoded, tag per word by md5, labels
@@ -74,23 +89,16 @@ def ner_aligned_docs(spark, sf_dir):
     rendering digest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     v = wordpiece_vocab(spark, sf_dir)
-    enc = vb.encode_wordpiece(docs, "text", "doc_id", v)
-    n_words = F.size(F.regexp_extract_all("text", F.lit(r"(?U)(\w+|[^\w\s])"), 1))
-    # word-level tags (md5 per word position) are computed below the join, so the alignment lambdas
-    # above it see a plain column and never re-evaluate the tag expression per token
-    wtags = F.transform(F.sequence(F.lit(0), F.greatest(n_words - 1, F.lit(0))),
-                        lambda i: F.when(seeded_uniform(F.lit(3), F.col("doc_id"), i) < 0.7, F.lit(0))
-                        .otherwise((F.floor(seeded_uniform(F.lit(4), F.col("doc_id"), i) * 8) + 1).cast("int")))
-    pre = docs.select("doc_id", "text", wtags.alias("word_tags"))
-    j = enc.join(pre, "doc_id").withColumn("wids", lb.with_special_word_ids("word_ids"))
+    enc = vb.encode_wordpiece(_paired(docs, "doc_id", "text"), "text", "doc_id", v, keep=("text", "other", "alone"))
+    # a row alone has as many words as its encoding counts
+    n_words = F.when(F.col("alone"), F.coalesce(F.array_max("word_ids") + 1, F.lit(0))) \
+        .otherwise(F.size(F.regexp_extract_all("other", F.lit(r"(?U)(\w+|[^\w\s])"), 1)))
+    j = enc.withColumn("text", F.when(F.col("alone"), F.col("text")).otherwise(F.col("other"))) \
+        .withColumn("word_tags", lb.drawn_tags("doc_id", n_words)).withColumn("wids", lb.with_special_word_ids("word_ids"))
     j = j.withColumn("labels_cont", lb.align_continue("word_tags", "wids")).withColumn("labels_first", lb.align_first("word_tags", "wids"))
-    names = F.array(*[F.lit(n) for n in NER_TAGS])
-    side = lb.side_by_side(F.col("tokens"), F.transform(F.slice("labels_cont", 2, F.size("tokens")),
-                                                                      lambda x: F.coalesce(F.element_at(names, x + 1), F.lit("-"))))
+    side = lb.side_by_side(F.col("tokens"), lb.label_names(F.slice("labels_cont", 2, F.size("tokens")), NER_TAGS))
     # Q6 / Q9: every piece's character span holds the piece itself (continuation marker removed)
-    offsets_ok = F.forall(F.arrays_zip(F.col("tokens").alias("t"), F.col("offsets").alias("o")),
-                          lambda e: (e["t"] == "[UNK]") | (F.substring("text", e["o"]["start"] + 1, e["o"]["end"] - e["o"]["start"])
-                                                            == F.regexp_replace(e["t"], "^##", "")))
+    offsets_ok = lb.offsets_hold_pieces("text", "tokens", "offsets")
     return j.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("labels_cont").alias("n_labels"), offsets_ok.alias("offsets_ok"),
                     F.size(F.filter("labels_first", lambda x: x == -100)).alias("ignored_first"),
                     F.size(F.filter("labels_cont", lambda x: x == -100)).alias("ignored_cont"),
@@ -156,7 +164,7 @@ def whole_word_masked_docs(spark, sf_dir):
     """Q17 (+Q7): WordPiece ids with word ids; whole words masked with p = 0.2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     v = wordpiece_vocab(spark, sf_dir)
-    enc = vb.to_ids(vb.encode_wordpiece(docs, "text", "doc_id", v), v, "tokens", "ids")
+    enc = vb.to_ids(vb.encode_wordpiece(docs, "text", "doc_id", v).select("doc_id", "tokens", "word_ids"), v, "tokens", "ids").select("doc_id", "word_ids", "ids")
     m = enc.withColumn("m", sq.mask_words("ids", "word_ids", F.col("doc_id"), seed=5, p=0.2))
     return m.select("doc_id", F.size("ids").alias("n_ids"),
                     F.size(F.filter("m.labels", lambda x: x != -100)).alias("n_masked"),
