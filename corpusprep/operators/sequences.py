@@ -8,14 +8,18 @@ Packing emits one slice per (row, chunk) it overlaps instead of one row per toke
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions.batches import list_array, list_sizes, parts
-from corpusprep.operators.ranking import below, global_rank, seeded_uniform
+from corpusprep.functions.hashes import numbered_draws
+from corpusprep.operators.ranking import below, global_rank
 from corpusprep.operators.vocab import SPECIAL_IDS
 
 # Ids of the special tokens and the label that losses ignore.
@@ -219,14 +223,42 @@ def _numbered(word_ids: pa.ListArray) -> pa.ListArray:
     return list_array(np.concatenate([[0], np.cumsum(sizes)]), pa.array(out, pa.int32(), mask=~known))
 
 
+@F.arrow_udf(T.StructType([T.StructField("input_ids", T.ArrayType(T.IntegerType())), T.StructField("labels", T.ArrayType(T.IntegerType()))]))
+def _masked(ids: pa.Array, word_ids: pa.Array, prefixes: pa.Array, cuts: pa.Array) -> pa.Array:
+    rows = pa.RecordBatch.from_arrays([ids, word_ids, prefixes, cuts], names=["ids", "word_ids", "prefixes", "cuts"])
+    done = [_masked_words(*part.columns) for part in parts(rows, np.maximum(list_sizes(ids), list_sizes(word_ids)))]
+    return pa.concat_arrays(done) if done else _masked_words(ids, word_ids, prefixes, cuts)
+
+
+def _filled(lists: pa.ListArray, sizes: np.ndarray) -> pa.ListArray:
+    """The lists with nulls at their ends, so that they have the given sizes."""
+    if np.array_equal(list_sizes(lists), sizes):
+        return lists
+    return pa.array([[*(x or ()), *[None] * (n - len(x or ()))] for x, n in zip(lists.to_pylist(), sizes.tolist())], lists.type)
+
+
+def _masked_words(ids: pa.ListArray, word_ids: pa.ListArray, prefixes: pa.Array, cuts: pa.Array) -> pa.StructArray:
+    """Masked ids and labels of all rows at once: one draw for every word."""
+    sizes = np.maximum(list_sizes(ids), list_sizes(word_ids))
+    runs = _filled(_numbered(word_ids), sizes).flatten()
+    known = runs.is_valid().to_numpy(zero_copy_only=False)
+    run, row = pc.fill_null(runs, -1).to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
+    n_runs = np.zeros(len(sizes), dtype=np.int64)
+    np.maximum.at(n_runs, row, run + 1)
+    drawn = numbered_draws(prefixes, n_runs) < (cuts[0].as_py() if len(cuts) else 0)
+    picked = np.zeros(len(run), dtype=bool)
+    picked[known] = drawn[(np.cumsum(n_runs) - n_runs)[row[known]] + run[known]]
+    x, picked = _filled(ids, sizes).flatten(), pa.array(picked)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    made = [pc.if_else(picked, pa.scalar(MASK_ID, pa.int32()), x), pc.if_else(picked, x, pa.scalar(IGNORE, pa.int32()))]
+    return pa.StructArray.from_arrays([list_array(ends, m, ids.is_null()) for m in made], names=["input_ids", "labels"])
+
+
 def mask_words(ids, word_ids, key, seed: int, p: float = 0.2) -> Column:
     """Q17: every word (run of equal word ids) is masked with probability p; all its ids become
-    [MASK]; labels keep the original id there only."""
-    runs = word_runs(word_ids)
-    z = F.arrays_zip(_c(ids).alias("x"), runs.alias("r"))
-    picked = lambda e: e["r"].isNotNull() & (seeded_uniform(F.lit(seed), F.lit("w"), key, e["r"]) < p)
-    return F.struct(F.transform(z, lambda e: F.when(picked(e), F.lit(MASK_ID)).otherwise(e["x"])).alias("input_ids"),
-                    F.transform(z, lambda e: F.when(picked(e), e["x"]).otherwise(F.lit(IGNORE))).alias("labels"))
+    [MASK]; labels keep the original id there only.  One draw by the md5 of seed, key and word (``seeded_uniform``)."""
+    prefix = F.concat(F.concat_ws(":", F.lit(str(seed)), F.lit("w"), key.cast("string")), F.lit(":"))
+    return _masked(_c(ids).cast("array<int>"), _c(word_ids).cast("array<int>"), prefix, F.lit(math.ceil(p * (1 << 32))).cast("long"))
 
 
 def freeze_masks(df: DataFrame, key: str, ids: str, seed: int, path: str, p: float = 0.15) -> DataFrame:
