@@ -198,3 +198,150 @@ class Merges:
         else:
             first, last = begins - at[word], ends - at[word]
         return Segments(np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words)))]), name, first, last, pa.array(names, pa.string()))
+
+
+class BestPaths:
+    """Segmentations of words into units with costs (-log of their probabilities), words of one length together: a step for
+    every start and length of a piece takes all words at once."""
+
+    #: Words times places of a lattice that is held at a time, and the least probability of a word that is taken in floats.
+    HELD, LEAST = 1 << 23, 1e-280
+
+    def __init__(self, model: dict[str, float], unknown: str, one_expected=None):
+        """``one_expected``: the expected counts of a single word, for words too unlikely for floats."""
+        self.model, self.one_expected = model, one_expected
+        self.units = list(model)
+        self.trie = Trie(self.units)
+        self.entry = (self.trie.entry + 1).astype(np.int32)  # 0: no unit ends here
+        self.cost = np.array([np.inf, *model.values()])
+        self.length = np.array([0, *map(len, self.units)])
+        self.longest = int(self.length.max())
+        self.names = pa.array([*self.units, unknown], pa.string())
+
+    def _groups(self, points: np.ndarray, at: np.ndarray):
+        """(numbers of some words of one length, their lattice): of every start the units of length 1 and so on, as
+        numbers from 1 on, 0 or None for no unit."""
+        lengths = np.diff(at)
+        order = np.argsort(lengths, kind="stable")
+        kinds = self.trie.kind[points]
+        n_of, first = np.unique(lengths[order], return_index=True)
+        for n, a, b in zip(n_of.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
+            if not n:
+                continue
+            step = max(1, self.HELD // (n * min(n, self.longest)))
+            for lo in range(a, b, step):
+                words = order[lo:min(lo + step, b)]
+                own = kinds[at[words] + np.arange(n)[:, None]]
+                lattice = []
+                for start in range(n):
+                    nodes, row = np.ones(len(words), dtype=np.int64), []
+                    for k in range(start, n):
+                        nodes = self.trie.step(nodes, own[k])
+                        if not nodes.any():
+                            break
+                        unit = self.entry[nodes]
+                        row.append(unit if unit.any() else None)
+                    lattice.append(row)
+                yield words, lattice
+
+    def _best(self, lattice: list, n_words: int, paths: bool = True, rows: np.ndarray | None = None, banned: np.ndarray | None = None):
+        """Least costs of the words up to every place; with ``paths`` the start and unit of the last piece before each.
+        Of equal costs the earliest start stays.  ``rows`` of the words are taken, without the units ``banned``."""
+        n = len(lattice)
+        best = np.full((n + 1, n_words), np.inf)
+        best[0] = 0.0
+        start_of, unit_of = (np.zeros((n + 1, n_words), dtype=np.int32) for _ in range(2)) if paths else (None, None)
+        for start, row in enumerate(lattice):
+            for k, unit in enumerate(row):
+                if unit is None:
+                    continue
+                end = start + k + 1
+                if rows is not None:
+                    unit = unit[rows]
+                cost = self.cost[unit]
+                if banned is not None:
+                    cost[unit == banned] = np.inf
+                cost += best[start]
+                better = cost < best[end]
+                np.copyto(best[end], cost, where=better)
+                if paths:
+                    np.copyto(start_of[end], start, where=better)
+                    np.copyto(unit_of[end], unit, where=better)
+        return best[n], start_of, unit_of
+
+    @staticmethod
+    def _pieces(costs: np.ndarray, start_of: np.ndarray, unit_of: np.ndarray):
+        """(word, start, end, unit) of the pieces of the best paths, from the last to the first."""
+        word = np.flatnonzero(np.isfinite(costs))
+        end = np.full(len(word), len(start_of) - 1)
+        while len(word):
+            start = start_of[end, word]
+            yield word, start, end, unit_of[end, word]
+            word, end = word[start > 0], start[start > 0]
+
+    def __call__(self, words: pa.Array) -> Segments:
+        """The best segmentation of every word, a word without one is unknown."""
+        points, at = code_points(words)
+        visited = np.zeros(len(points), dtype=bool)
+        name, end_at = np.full(len(points), len(self.units), dtype=np.int64), np.zeros(len(points), dtype=np.int64)
+        for which, lattice in self._groups(points, at):
+            found = self._best(lattice, len(which))
+            for word, start, end, unit in self._pieces(*found):
+                place = at[which[word]] + start
+                visited[place], name[place], end_at[place] = True, unit - 1, end
+            lost = at[which[~np.isfinite(found[0])]]
+            visited[lost], end_at[lost] = True, len(lattice)
+        pieces = np.flatnonzero(visited)
+        return Segments(np.searchsorted(pieces, at), name[pieces], pieces - np.repeat(at[:-1], np.diff(at))[pieces], end_at[pieces], self.names)
+
+    def expected(self, words: pa.Array, counts: np.ndarray) -> np.ndarray:
+        """How often each unit is expected in the words, over all their segmentations (forward-backward), times counts."""
+        points, at = code_points(words)
+        chance = np.exp(-self.cost)
+        total = np.zeros(len(self.cost))
+        for which, lattice in self._groups(points, at):
+            n, some = len(lattice), len(which)
+            ahead, behind = np.zeros((n + 1, some)), np.zeros((n + 1, some))
+            ahead[0], behind[n] = 1.0, 1.0
+            for start, row in enumerate(lattice):
+                for k, unit in enumerate(row):
+                    if unit is not None:
+                        ahead[start + k + 1] += ahead[start] * chance[unit]
+            share = np.where(ahead[n] > self.LEAST, counts[which] / np.maximum(ahead[n], self.LEAST), 0.0)
+            for start in range(n - 1, -1, -1):
+                units, sums = [], []
+                for k, unit in enumerate(lattice[start]):
+                    if unit is not None:
+                        here = chance[unit] * behind[start + k + 1]
+                        behind[start] += here
+                        units.append(unit)
+                        sums.append(here * (ahead[start] * share))
+                if units:
+                    total += np.bincount(np.concatenate(units), np.concatenate(sums), len(total))
+            if self.one_expected:
+                for w in which[ahead[n] <= self.LEAST].tolist():
+                    for unit, x in self.one_expected(words[w].as_py(), self.model, self.longest).items():
+                        total[self.trie_number(unit)] += counts[w] * x
+        return total[1:]
+
+    def trie_number(self, unit: str) -> int:
+        node = 1
+        for c in unit:
+            node = int(self.trie.step(np.array([node]), self.trie.kind[[ord(c)]])[0])
+        return int(self.entry[node])
+
+    def removal_losses(self, words: pa.Array, counts: np.ndarray) -> np.ndarray:
+        """How much dearer the best segmentations of the words get without each multi-character unit of them, times
+        counts."""
+        points, at = code_points(words)
+        total = np.zeros(len(self.cost))
+        for which, lattice in self._groups(points, at):
+            costs, start_of, unit_of = self._best(lattice, len(which))
+            codes = [word * len(total) + unit for word, _, _, unit in self._pieces(costs, start_of, unit_of)]
+            codes = np.unique(np.concatenate(codes)) if codes else np.zeros(0, dtype=np.int64)
+            codes = codes[self.length[codes % len(total)] > 1]
+            for lo in range(0, len(codes), len(which)):
+                word, unit = codes[lo:lo + len(which)] // len(total), codes[lo:lo + len(which)] % len(total)
+                without = self._best(lattice, len(word), False, word, unit)[0]
+                total += np.bincount(unit, (without - costs[word]) * counts[which[word]], len(total))
+        return total[1:]

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from corpusprep.functions.batches import code_points, joined_ranges, list_array, list_sizes, parts, text_sizes
 from corpusprep.functions.text import pretokenize
-from corpusprep.functions.tries import LongestMatch, Merges, Segments
+from corpusprep.functions.tries import BestPaths, LongestMatch, Merges, Segments
 from corpusprep.session import cut_lineage
 
 # Special tokens and their ids (BERT-style), continuation prefix, limits.
@@ -68,37 +68,157 @@ def word_vocab(freqs: DataFrame, size: int, first_id: int = 1000) -> DataFrame:
 
 # --- BPE learning (B2) ----------------------------------------------------------------------------
 
-def _pair_counts(words: DataFrame) -> DataFrame:
-    pairs = words.select("count", F.explode(F.arrays_zip(
-        F.slice("symbols", 1, F.greatest(F.size("symbols") - 1, F.lit(0))),
-        F.slice("symbols", 2, F.greatest(F.size("symbols") - 1, F.lit(0))))).alias("p"))
-    return pairs.groupBy(F.col("p.0").alias("left"), F.col("p.1").alias("right")).agg(F.sum("count").alias("freq"))
+#: Words whose symbols are held together, and entries of a table of all pairs of a block's symbols (more are sorted).
+BLOCK_WORDS, PAIR_TABLE = 1 << 17, 1 << 22
+BLOCK_T = "symbols array<string>, data binary, counts binary, pairs array<struct<left:string,right:string,freq:bigint>>"
+
+
+class _Block:
+    """Words as numbers of their symbols: ``data`` has those of one word after the other, each closed by 0, ``names`` those
+    numbered from 1 on, ``counts`` how often each word occurs."""
+
+    def __init__(self, names: list[str], data: np.ndarray, counts: np.ndarray):
+        self.names, self.data, self.counts = names, data, counts
+
+    @classmethod
+    def of_words(cls, words, counts: np.ndarray, byte_level: bool) -> _Block:
+        points, at = code_points(words)
+        if byte_level:
+            points = np.frombuffer(points.tobytes().decode("utf-32-le").encode(), dtype=np.uint8)
+            at = np.concatenate([[0], np.cumsum(text_sizes(words), dtype=np.int64)])
+        base = np.flatnonzero(np.bincount(points))
+        number = np.zeros(int(base[-1]) + 1 if len(base) else 1, dtype=np.int32)
+        number[base] = np.arange(1, len(base) + 1)
+        data = np.zeros(len(points) + len(words), dtype=np.int32)
+        data[np.arange(len(points)) + np.repeat(np.arange(len(words)), np.diff(at))] = number[points]
+        return cls([f"{x:02X}" if byte_level else chr(x) for x in base.tolist()], data, counts)
+
+    def weights(self) -> np.ndarray:
+        """The count of its word for every place."""
+        ends = np.flatnonzero(self.data == 0)
+        return np.repeat(self.counts, np.diff(ends, prepend=-1))
+
+    def _summed(self, codes: np.ndarray, weights: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Codes that occur (below ``most``) and the sums of their weights."""
+        if most <= PAIR_TABLE:
+            seen = np.zeros(most, dtype=bool)
+            seen[codes] = True
+            found = np.flatnonzero(seen)
+            return found, np.bincount(codes, weights, most)[found].astype(np.int64)
+        found, at = np.unique(codes, return_inverse=True)
+        return found, np.bincount(at, weights, len(found)).astype(np.int64)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(left, right, freq) of all pairs of neighbours."""
+        k = len(self.names) + 1
+        at = np.flatnonzero((self.data[:-1] > 0) & (self.data[1:] > 0))
+        codes, freq = self._summed(self.data[at].astype(np.int64) * k + self.data[at + 1], self.weights()[at], k * k)
+        return codes // k, codes % k, freq
+
+    def _places(self, pairs: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs, and which pair it is at each.  No symbol ends one pair and begins another."""
+        k = len(self.names) + 1
+        number = {s: i + 1 for i, s in enumerate(self.names)}
+        here = [(number[a], number[b], i) for i, (a, b) in enumerate(pairs) if a in number and b in number]
+        lefts, rights = (np.zeros(k, dtype=np.int64) for _ in range(2))
+        for j, x in enumerate(sorted({p[0] for p in here})):
+            lefts[x] = j + 1
+        for j, x in enumerate(sorted({p[1] for p in here})):
+            rights[x] = j + 1
+        which = np.full((lefts.max() + 1, rights.max() + 1), -1, dtype=np.int64)
+        for a, b, i in here:
+            which[lefts[a], rights[b]] = i
+        first = lefts[self.data[:-1]]
+        at = np.flatnonzero(first)
+        found = which[first[at], rights[self.data[at + 1]]]
+        return at[found >= 0], found[found >= 0]
+
+    def neighbours(self, pairs: list[tuple[str, str]]) -> list[tuple]:
+        """(pair, side, symbol, count): how often each symbol is next to places of the pairs, before (0) or after (1)."""
+        at, which = self._places(pairs)
+        weights, k, out = self.weights(), len(self.names) + 1, []
+        for side, beside in enumerate((np.where(at > 0, self.data[at - 1], 0), self.data[np.minimum(at + 2, len(self.data) - 1)])):
+            some = beside > 0
+            codes, sums = self._summed(which[some] * k + beside[some], weights[at[some]], len(pairs) * k)
+            out += [(c // k, side, self.names[c % k - 1], n) for c, n in zip(codes.tolist(), sums.tolist())]
+        return out
+
+    def merged(self, joined: dict[tuple[str, str], str]) -> _Block:
+        """The words after merging every place of the pairs, left to right; words of one symbol are left out, they have no
+        more pairs."""
+        names, number = list(self.names), {s: i + 1 for i, s in enumerate(self.names)}
+        for token in joined.values():
+            if token not in number:
+                names.append(token)
+                number[token] = len(names)
+        at, which = self._places(list(joined))
+        # places of a pair of equal symbols may overlap: every second one of a run is taken
+        same = np.diff(at, prepend=-2) == 1
+        run = np.arange(len(at)) - np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
+        at, which = at[run % 2 == 0], which[run % 2 == 0]
+        data, stays = self.data.copy(), np.ones(len(self.data), dtype=bool)
+        data[at] = np.array([number[t] for t in joined.values()], dtype=np.int32)[which]
+        stays[at + 1] = False
+        data = data[stays]
+        sizes = np.diff(np.flatnonzero(data == 0), prepend=-1)
+        return _Block(names, data[np.repeat(sizes > 2, sizes)], self.counts[sizes > 2])
+
+    def batch(self):
+        """The block as a row of ``BLOCK_T``, with its pairs and the symbols that have places."""
+        import pyarrow as pa
+        used = np.flatnonzero(np.bincount(self.data, minlength=len(self.names) + 1)[1:])
+        number = np.zeros(len(self.names) + 1, dtype=np.int32)
+        number[used + 1] = np.arange(1, len(used) + 1)
+        block = _Block([self.names[i] for i in used.tolist()], number[self.data], self.counts)
+        left, right, freq = block.pairs()
+        names = pa.array(block.names, pa.string())
+        pairs = pa.StructArray.from_arrays([names.take(pa.array(left - 1)), names.take(pa.array(right - 1)), pa.array(freq, pa.int64())], names=["left", "right", "freq"])
+        data = block.data.astype(np.uint16 if len(block.names) < 1 << 16 else np.uint32)
+        return pa.RecordBatch.from_arrays([list_array([0, len(names)], names), pa.array([data.tobytes()], pa.binary()), pa.array([self.counts.tobytes()], pa.binary()),
+                                           list_array([0, len(freq)], pairs)], names=["symbols", "data", "counts", "pairs"])
+
+    @classmethod
+    def of_row(cls, row: dict) -> _Block:
+        data = np.frombuffer(row["data"], dtype=np.uint16 if len(row["symbols"]) < 1 << 16 else np.uint32)
+        return cls(row["symbols"], data.astype(np.int32), np.frombuffer(row["counts"], dtype=np.int64))
+
+
+def _blocks_in(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield _Block.of_row({k: batch.column(batch.schema.get_field_index(k))[i].as_py() for k in ("symbols", "data", "counts")})
+
+
+def _word_blocks(freqs: DataFrame, byte_level: bool) -> DataFrame:
+    """The distinct words in blocks of about ``BLOCK_WORDS``."""
+    def run(batches):
+        import pyarrow as pa
+        held: list = []
 
+        def block():
+            t = pa.Table.from_batches(held).combine_chunks()
+            return _Block.of_words(t.column(0).chunk(0), t.column(1).chunk(0).to_numpy(zero_copy_only=False), byte_level).batch()
 
-def _initial_symbols(freqs: DataFrame, byte_level: bool) -> DataFrame:
-    sym = byte_units("word") if byte_level else F.filter(F.split("word", ""), lambda x: x != "")
-    return freqs.select("word", "count", sym.alias("symbols"))
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= BLOCK_WORDS:
+                yield block()
+                held = []
+        if sum(b.num_rows for b in held):
+            yield block()
+
+    words = freqs.where(F.col("word").isNotNull()).select("word", F.coalesce("count", F.lit(0)).cast("long").alias("count"))
+    return words.mapInArrow(run, BLOCK_T)
 
 
-def _merge_pairs(words: DataFrame, joined: dict[tuple[str, str], str]) -> DataFrame:
-    """Words after merging every place of the given pairs, left to right.  No symbol ends one pair and begins
+def _merge_pairs(blocks: DataFrame, joined: dict[tuple[str, str], str]) -> DataFrame:
+    """Blocks after merging every place of the given pairs, left to right.  No symbol ends one pair and begins
     another, so the places of different pairs cannot overlap."""
-    def run(frames):
-        for pdf in frames:
-            merged = []
-            for symbols in pdf["symbols"]:
-                out: list = []
-                for x in symbols:
-                    token = joined.get((out[-1], x)) if out else None
-                    if token is None:
-                        out.append(x)
-                    else:
-                        out[-1] = token
-                merged.append(out)
-            pdf["symbols"] = merged
-            yield pdf
+    return blocks.select("symbols", "data", "counts").mapInArrow(lambda batches: (b.merged(joined).batch() for b in _blocks_in(batches)), BLOCK_T)
+
 
-    return words.mapInPandas(run, words.schema)
+def _pair_counts(blocks: DataFrame) -> DataFrame:
+    return blocks.select(F.explode("pairs").alias("p")).groupBy("p.left", "p.right").agg(F.sum("p.freq").alias("freq"))
 
 
 def _join_pair(a: str, b: str, continuation: str = "") -> str:
@@ -120,45 +240,41 @@ def apart(candidates: list[tuple]) -> list[tuple]:
     return out
 
 
-def _places(words: DataFrame) -> DataFrame:
-    """(count, a, b, before, after): every place of a pair with the symbols beside it."""
-    return words.select("count", F.explode(F.arrays_zip(
-        F.slice("symbols", 1, F.greatest(F.size("symbols") - 1, F.lit(0))).alias("a"),
-        F.slice("symbols", 2, F.greatest(F.size("symbols") - 1, F.lit(0))).alias("b"),
-        F.concat(F.array(F.lit(None).cast("string")), F.slice("symbols", 1, F.greatest(F.size("symbols") - 2, F.lit(0)))).alias("before"),
-        F.concat(F.slice("symbols", 3, F.greatest(F.size("symbols") - 2, F.lit(0))), F.array(F.lit(None).cast("string"))).alias("after"))).alias("p")) \
-        .select("count", "p.*")
-
-
-def _new_pair_bounds(words: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
+def _new_pair_bounds(blocks: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
     """For each pair the largest count that a pair with its merged symbol would have: from the symbols next
     to its places, before and after."""
-    z = _places(words)
-    wanted = words.sparkSession.createDataFrame(pairs, "a string, b string")
-    near = z.join(F.broadcast(wanted), ["a", "b"])  # as many rows as candidates: a few hundred
-    sides = near.select("a", "b", "count", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("s")),
-                                                               F.struct(F.lit(1).alias("side"), F.col("after").alias("s")))).alias("n"))
-    counts = sides.where("n.s is not null").groupBy("a", "b", "n.side", "n.s").agg(F.sum("count").alias("c"))
-    got = counts.groupBy("a", "b").agg(F.max("c").alias("c")).collect()
-    return {(r["a"], r["b"]): int(r["c"]) for r in got}
+    def run(batches):
+        import pyarrow as pa
+        for block in _blocks_in(batches):
+            found = block.neighbours(pairs)
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.string(), pa.int64()))],
+                                             names=["pair", "side", "s", "c"])
 
+    sides = blocks.select("symbols", "data", "counts").mapInArrow(run, "pair int, side int, s string, c long")
+    got = sides.groupBy("pair", "side", "s").agg(F.sum("c").alias("c")).groupBy("pair").agg(F.max("c").alias("c")).collect()
+    return {pairs[r["pair"]]: int(r["c"]) for r in got}
 
-def _batch(words: DataFrame, room: int, width: int) -> list[tuple[str, str, int]]:
-    """The next merges, as many as are sure to come next one after the other.
+
+def _batch(blocks: DataFrame, room: int, width: int, known: set) -> list[tuple[str, str, int]]:
+    """The next merges, as many as are sure to come next one after the other; ``known`` are the tokens made before.
 
     Pairs that cannot overlap keep their counts while the others are merged.  A merge can only bring up pairs
     with its new symbol, none more frequent than the pair's neighbours allow; as long as the next candidate is
-    more frequent than all of those, it is the next merge."""
-    top = _pair_counts(words).orderBy(F.col("freq").desc(), "left", "right").limit(width).collect()
+    more frequent than all of those, it is the next merge.  A token that was made before in another way has places
+    elsewhere, so that merge ends a batch."""
+    top = _pair_counts(blocks).orderBy(F.col("freq").desc(), "left", "right").limit(width).collect()
     ranked = apart([(r["left"], r["right"], int(r["freq"])) for r in top])[:room]
     if len(ranked) < 2:
         return ranked
-    bounds = _new_pair_bounds(words, [(a, b) for a, b, _ in ranked])
-    out, above = [], -1
+    bounds = _new_pair_bounds(blocks, [(a, b) for a, b, _ in ranked])
+    out, above, made = [], -1, set(known)
     for a, b, f in ranked:
-        if out and f <= above:
+        if out and (f <= above or a + b in made):
             break
         out.append((a, b, f))
+        if a + b in made:
+            break
+        made.add(a + b)
         above = max(above, bounds.get((a, b), 0))
     return out
 
@@ -167,18 +283,20 @@ def learn_bpe(freqs: DataFrame, merges: int, byte_level: bool = False, width: in
     """B2: start from characters (or bytes), merge the most frequent adjacent pair (ties: left,
     right) ``merges`` times.  Returns (merges: rank, left, right, freq) and the base alphabet.
 
-    A round counts the pairs of the distinct words once and takes all leading merges that cannot change each
-    other's rank (at most ``width``), so the result equals merging one pair at a time."""
+    A round takes all leading merges that cannot change each other's rank (at most ``width``), so the result equals
+    merging one pair at a time.  The distinct words are held in blocks of symbol numbers that numpy merges and counts; a
+    block brings its pair counts with it, and only those are shuffled."""
     spark = freqs.sparkSession
-    words = cut_lineage(_initial_symbols(freqs, byte_level))
-    alphabet = words.select(F.explode("symbols").alias("token")).distinct()
+    blocks = cut_lineage(_word_blocks(freqs, byte_level))
+    alphabet = blocks.select(F.explode("symbols").alias("token")).distinct()
     learned: list[tuple] = []
     while len(learned) < merges:
-        batch = _batch(words, merges - len(learned), width)
+        batch = _batch(blocks, merges - len(learned), width, {a + b for _, a, b, _ in learned})
         if not batch:
             break
         learned += [(len(learned) + i, a, b, f) for i, (a, b, f) in enumerate(batch)]
-        words = cut_lineage(_merge_pairs(words, {(a, b): a + b for a, b, _ in batch}))
+        if len(learned) < merges:
+            blocks = cut_lineage(_merge_pairs(blocks, {(a, b): a + b for a, b, _ in batch}))
     merges_df = spark.createDataFrame(learned, "rank int, left string, right string, freq long")
     return merges_df, alphabet
 
