@@ -1,13 +1,13 @@
 """Vocabulary learning and corpus encoding (B1-B12) as Spark jobs.
 
 Learning works on the distinct-word frequency table (B1), never on the raw corpus: a BPE round
-is one weighted pair count (explode + groupBy, partial aggregation on the map side) that yields
-all the merges sure to come next, applied to the word table in one native fold.  Lineage is cut
+is one weighted pair count (blocks of words count theirs in numpy, groupBy sums them) that yields
+all the merges sure to come next, applied to the blocks together.  Lineage is cut
 with a reliable checkpoint every round.  Unigram
-pruning runs per-word Viterbi in ``mapInPandas`` and sums the loss per unit with ``groupBy``.
+pruning runs Viterbi on many words together in ``mapInArrow`` and sums the loss per unit with ``groupBy``.
 
 Encoding is partition-local: the learned model (bounded by the vocabulary size, checked before
-it is broadcast) is applied by ``mapInArrow`` with a per-task word cache, so no token is
+it is broadcast) is applied by ``mapInArrow`` to the distinct words of a part, so no token is
 shuffled and a hot word cannot skew a task.
 """
 
@@ -625,42 +625,51 @@ def _expected_counts(word: str, model: dict, longest: int) -> dict:
     return out
 
 
-def _removal_losses(word: str, model: dict, longest: int) -> dict:
-    """How much dearer the best segmentation of the word gets without each multi-character unit of it."""
-    pieces, base = _viterbi(word, model, longest)
-    return {p: _viterbi(word, model, longest, banned=p)[1] - base for p in set(pieces or ()) if len(p) > 1}
+#: Distinct words whose figures a task takes together.
+LATTICE_WORDS = 1 << 17
 
 
-def _per_unit(words: DataFrame, units: DataFrame, per_word, out: str) -> DataFrame:
-    """(unit, out): ``per_word``'s figures times the word's count, summed over all distinct words."""
+def _per_unit(words: DataFrame, units: DataFrame, figures, out: str) -> DataFrame:
+    """(unit, out): ``figures`` of all distinct words and their counts (a method of ``BestPaths``), summed; units without
+    any are left out."""
     bc = words.sparkSession.sparkContext.broadcast({r["unit"]: float(r["score"]) for r in bounded_collect(units.select("unit", "score"), "unigram model")})
 
-    def run(frames):
-        model = bc.value
-        longest = _longest(model)
-        total: dict = {}
-        for pdf in frames:
-            for word, count in zip(pdf["word"], pdf["count"]):
-                for unit, x in per_word(word, model, longest).items():
-                    total[unit] = total.get(unit, 0.0) + count * x
-        yield pd.DataFrame({"unit": pd.Series(list(total), dtype=object), out: pd.Series(list(total.values()), dtype=float)})
+    def run(batches):
+        import pyarrow as pa
+        paths = BestPaths(bc.value, UNK, _expected_counts)
+        total = np.zeros(len(paths.units))
+        held: list = []
+
+        def taken() -> np.ndarray:
+            t = pa.Table.from_batches(held).combine_chunks()
+            return figures(paths, t.column(0).chunk(0), t.column(1).chunk(0).to_numpy(zero_copy_only=False))
+
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= LATTICE_WORDS:
+                total += taken()
+                held = []
+        if sum(b.num_rows for b in held):
+            total += taken()
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([paths.names.take(pa.array(some)), pa.array(total[some])], names=["unit", out])
 
-    return words.mapInPandas(run, f"unit string, {out} double").groupBy("unit").agg(F.sum(out).alias(out))
+    return words.select("word", "count").mapInArrow(run, f"unit string, {out} double").groupBy("unit").agg(F.sum(out).alias(out))
 
 
 def _reestimated(words: DataFrame, units: DataFrame) -> DataFrame:
     """One step of expectation and maximisation: counts expected under the present scores become the new ones."""
-    counted = units.select("unit").join(_per_unit(words, units, _expected_counts, "freq"), "unit", "left")
+    counted = units.select("unit").join(_per_unit(words, units, BestPaths.expected, "freq"), "unit", "left")
     return _scored(counted.select("unit", F.greatest(F.coalesce("freq", F.lit(0.0)), F.lit(LEAST_COUNT)).alias("freq")))
 
 
 def prune_unigram(freqs: DataFrame, size: int, seed_size: int | None = None, share: float = 0.1, em_steps: int = 1,
-                  words_per_task: int = 4000) -> DataFrame:
+                  words_per_task: int = 100_000) -> DataFrame:
     """From a seed of four times the size, re-estimate the units by ``em_steps`` steps, drop the ``share`` of the
     multi-character units whose removal raises the corpus loss least, and repeat until ``size`` units remain, which
     are re-estimated once more; returns (unit, freq, score)."""
-    units = unigram_seed(freqs, seed_size or size * 4)
-    words = cut_lineage(freqs.select("word", "count"))
+    words = cut_lineage(freqs.where(F.col("word").isNotNull()).select("word", F.col("count").cast("long").alias("count")))
+    units = unigram_seed(words, seed_size or size * 4)
     words = words.repartition(max(1, -(-words.count() // words_per_task)))
     n_units = units.count()
     while True:
@@ -668,7 +677,7 @@ def prune_unigram(freqs: DataFrame, size: int, seed_size: int | None = None, sha
             units = _reestimated(words, units)
         if n_units <= size:
             return units
-        loss = _per_unit(words, units, _removal_losses, "loss")
+        loss = _per_unit(words, units, BestPaths.removal_losses, "loss")
         scored = cut_lineage(units.where(F.length("unit") > 1).join(loss, "unit", "left").select("unit", F.round(F.coalesce("loss", F.lit(0.0)), 6).alias("loss")))
         drop_n = min(max(1, int(n_units * share)), n_units - size, scored.count())
         if drop_n <= 0:
@@ -893,8 +902,7 @@ def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame, keep: tuple[s
 def encode_unigram(df: DataFrame, c, key: str, units: DataFrame) -> DataFrame:
     """Viterbi best path (largest product of unit probabilities); unknown word -> [UNK]."""
     model = {r["unit"]: float(r["score"]) for r in bounded_collect(units.select("unit", "score"), "unigram model")}
-    longest = _longest(model)
-    return _encode_partitions(df, key, c, model, lambda w, m: _viterbi(w, m, longest)[0] or [UNK])
+    return _encode_partitions(df, key, c, model, segmenter=lambda m: BestPaths(m, UNK))
 
 
 # --- ids, decoding, reports (B9-B12) --------------------------------------------------------------
