@@ -6,14 +6,19 @@ need the Python standard library and run as Arrow-batched pandas UDFs.
 
 from __future__ import annotations
 
+import functools
 import html
 import unicodedata
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.functions.batches import code_points
+
 # Character classes and markers the reference uses.
 WORD_OR_PUNCT = r"(?U)(\w+|[^\w\s])"  # whitespace + punctuation pre-tokeniser
 # Byte-level pre-tokeniser: contractions, optional-space letter/number/other runs, spaces.
@@ -78,6 +83,42 @@ def pretokenize(c) -> Column:
     return F.regexp_extract_all(_c(c), F.lit(WORD_OR_PUNCT), 1)
 
 
+@functools.lru_cache(maxsize=1)
+def character_classes() -> np.ndarray:
+    """Of every code point what ``pretokenize`` takes it for, by the same classes of the engine that evaluates it: 1 a word
+    character, 2 white space, 0 a piece of its own."""
+    points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)])
+    every = points.astype("<u4").tobytes().decode("utf-32-le")
+    spark = SparkSession.active()
+    row = spark.range(1).select(F.regexp_replace(F.lit(every), r"(?U)\w", "w").alias("w"), F.regexp_replace(F.lit(every), r"(?U)\s", " ").alias("s")).first()
+    out = np.zeros(0x110000, dtype=np.uint8)
+    for value, name, mark in ((1, "w", "w"), (2, "s", " ")):
+        out[points[np.frombuffer(row[name].encode("utf-32-le"), dtype="<u4") == ord(mark)]] = value
+    return out
+
+
+def pretokens(texts: pa.Array, classes: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """What ``pretokenize`` makes of an Arrow array of texts: the pieces of all of them, how many each text has, and the
+    character of its text that each piece begins at."""
+    points, at = code_points(texts)
+    kind = classes[points]
+    word = kind == 1
+    before, after = np.zeros(len(points), dtype=bool), np.zeros(len(points), dtype=bool)
+    before[1:], after[:-1] = word[:-1], word[1:]
+    inner = at[(at > 0) & (at < len(points))]
+    before[inner], after[inner - 1] = False, False
+    own = kind == 0
+    starts, ends = np.flatnonzero(own | (word & ~before)), np.flatnonzero(own | (word & ~after)) + 1
+    bytes_ = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+    solid = kind != 2
+    data = points[solid].tobytes().decode("utf-32-le").encode()
+    held = np.concatenate([[0], np.cumsum(np.where(solid, bytes_, 0))])
+    offsets = np.append(held[starts], held[-1]).astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
+    sizes = np.diff(np.searchsorted(starts, at))
+    return pieces, sizes, starts - np.repeat(at[:-1], sizes)
+
+
 def pretokenize_spaces(c) -> Column:
     """T5: byte-level pre-tokenisation that keeps spaces: leading space -> U+0120, newline -> U+010A."""
     pieces = F.regexp_extract_all(_c(c), F.lit(BYTE_LEVEL_PATTERN), 1)

@@ -69,17 +69,27 @@ def _firsts(labels: pa.Array, word_ids: pa.Array) -> pa.Array:
 
 def align_continue(labels, word_ids) -> Column:
     """Specials -> -100; the first piece of a word keeps its label; later pieces turn B- (odd)
-    into I- (odd + 1)."""
+    into I- (odd + 1).  Columns, or Arrow arrays inside a task."""
+    if isinstance(word_ids, pa.Array):
+        return _aligned(labels, word_ids, False)
     return _continued(_c(labels), _c(word_ids))
 
 
 def align_first(labels, word_ids) -> Column:
-    """Only the first piece of every word carries the label, the rest -100."""
+    """Only the first piece of every word carries the label, the rest -100.  Columns, or Arrow arrays inside a task."""
+    if isinstance(word_ids, pa.Array):
+        return _aligned(labels, word_ids, True)
     return _firsts(_c(labels), _c(word_ids))
 
 
 def with_special_word_ids(word_ids) -> Column:
-    """Word ids of a single-sequence template: null for [CLS] and [SEP]."""
+    """Word ids of a single-sequence template: null for [CLS] and [SEP].  A column, or an Arrow array inside a task."""
+    if isinstance(word_ids, pa.Array):
+        sizes = list_sizes(word_ids)
+        ends = np.cumsum(sizes + 2)
+        at = np.full(int(ends[-1]) if len(ends) else 0, -1, dtype=np.int64)
+        at[joined_ranges(ends - sizes - 1, sizes)] = np.arange(int(sizes.sum()))
+        return list_array(np.concatenate([[0], ends]), word_ids.flatten().take(pa.array(at, mask=at < 0)), word_ids.is_null())
     null_int = F.lit(None).cast("int")
     return F.concat(F.array(null_int), _c(word_ids), F.array(null_int))
 
@@ -130,30 +140,22 @@ def _side_by_side(words: pa.Array, names: pa.Array) -> pa.Array:
 
 
 def side_by_side(words, label_names) -> Column:
-    """Two lines, every word and its label padded to the longer of the two plus one space."""
+    """Two lines, every word and its label padded to the longer of the two plus one space.
+    Columns, or Arrow arrays inside a task."""
+    if isinstance(words, pa.Array):
+        return _two_lines(words, label_names)
     return _side_by_side(_c(words), _c(label_names))
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def _names(labels: pa.Array, names: pa.Array) -> pa.Array:
-    def run(some, rows):
-        place = pc.if_else(pc.less(some.flatten(), 0), None, some.flatten())
-        return list_array(np.concatenate([[0], np.cumsum(list_sizes(some))]), pc.fill_null(pa.array(rows[0].as_py(), pa.string()).take(place), "-"), some.is_null())
+def label_names(labels: pa.ListArray, names: list[str]) -> pa.ListArray:
+    """Names of lists of labels, '-' for null and for ignored positions."""
+    flat = labels.flatten()
+    found = pc.fill_null(pa.array(names, pa.string()).take(pc.if_else(pc.less(flat, 0), None, flat)), "-")
+    return list_array(np.concatenate([[0], np.cumsum(list_sizes(labels))]), found, labels.is_null())
 
-    return _in_parts(run, 0, labels, names) if len(labels) else pa.array([], pa.list_(pa.string()))
 
-
-def label_names(labels, names: list[str]) -> Column:
-    """Names of a list of labels, '-' for null and for ignored positions."""
-    return _names(_c(labels), F.array(*[F.lit(n) for n in names]))
-
-
-@F.arrow_udf(T.BooleanType())
-def _hold(texts: pa.Array, tokens: pa.Array, offsets: pa.Array) -> pa.Array:
-    return _in_parts(_held_pieces, 1, texts, tokens, offsets)
-
-
-def _held_pieces(texts: pa.Array, tokens: pa.ListArray, offsets: pa.ListArray) -> pa.Array:
+def offsets_hold_pieces(texts: pa.Array, tokens: pa.ListArray, offsets: pa.ListArray) -> pa.Array:
+    """Whether every piece's character span holds the piece itself (continuation marker removed; [UNK] holds anything)."""
     sizes = list_sizes(tokens)
     row = np.repeat(np.arange(len(sizes)), sizes)
     flat, spans = tokens.flatten(), offsets.flatten()
@@ -176,31 +178,14 @@ def _held_pieces(texts: pa.Array, tokens: pa.ListArray, offsets: pa.ListArray) -
     return pc.if_else(tokens.is_valid(), pa.array(~wrong, mask=missing), None)
 
 
-def offsets_hold_pieces(text, tokens, offsets) -> Column:
-    """Whether every piece's character span holds the piece itself (continuation marker removed; [UNK] holds anything)."""
-    return _hold(_c(text), _c(tokens), _c(offsets))
-
-
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def _drawn_tags(ignored: pa.Array, kinds: pa.Array, counts: pa.Array) -> pa.Array:
-    """Of every row as many tags as it counts words, at least one."""
-    out = []
-    rows = pa.RecordBatch.from_arrays([ignored, kinds, counts], names=["ignored", "kinds", "counts"])
-    for part in parts(rows, pc.fill_null(counts, 0).to_numpy(zero_copy_only=False)):
-        n = np.maximum(pc.fill_null(part.column(2), 0).to_numpy(zero_copy_only=False), 1)
-        plain = numbered_draws(part.column(0), n) / 4294967296.0 < 0.7
-        tags = np.zeros(len(plain), dtype=np.int32)
-        kinds_ = numbered_draws(part.column(1), n, ~plain)
-        tags[~plain] = (kinds_ >> 29) + 1  # eight kinds: the draw's first three bits
-        out.append(list_array(np.concatenate([[0], np.cumsum(n)]), pa.array(tags, pa.int32())))
-    return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
-
-
-def drawn_tags(key, n_words) -> Column:
-    """A tag for every word of a row, by the md5 of its seed, key and position (``ranking.seeded_uniform``): none (0) with
-    p = 0.7 by seed 3, else one of eight by seed 4."""
-    prefix = lambda seed: F.concat(F.concat_ws(":", F.lit(seed), _c(key).cast("string")), F.lit(":"))
-    return _drawn_tags(prefix("3"), prefix("4"), _c(n_words))
+def drawn_tags(ignored: pa.Array, kinds: pa.Array, counts: np.ndarray) -> pa.ListArray:
+    """A tag for every word of a row (``counts``, at least one), by md5 as ``ranking.seeded_uniform``: none (0) with p = 0.7
+    by the prefix ``ignored``, else one of eight by the prefix ``kinds``."""
+    n = np.maximum(counts, 1)
+    plain = numbered_draws(ignored, n) / 4294967296.0 < 0.7
+    tags = np.zeros(len(plain), dtype=np.int32)
+    tags[~plain] = (numbered_draws(kinds, n, ~plain) >> 29) + 1  # eight kinds: the draw's first three bits
+    return list_array(np.concatenate([[0], np.cumsum(n)]), pa.array(tags, pa.int32()))
 
 
 def tag_type(tag: Column) -> Column:

@@ -254,9 +254,12 @@ def _masked_words(ids: pa.ListArray, word_ids: pa.ListArray, prefixes: pa.Array,
     return pa.StructArray.from_arrays([list_array(ends, m, ids.is_null()) for m in made], names=["input_ids", "labels"])
 
 
-def mask_words(ids, word_ids, key, seed: int, p: float = 0.2) -> Column:
+def mask_words(ids, word_ids, key, seed: int, p: float = 0.2):
     """Q17: every word (run of equal word ids) is masked with probability p; all its ids become
-    [MASK]; labels keep the original id there only.  One draw by the md5 of seed, key and word (``seeded_uniform``)."""
+    [MASK]; labels keep the original id there only.  One draw by the md5 of seed, key and word (``seeded_uniform``).
+    Columns, or Arrow arrays inside a task, where ``key`` is the prefix of the hashed text."""
+    if isinstance(ids, pa.Array):
+        return _masked_words(ids, word_ids, key, pa.array([math.ceil(p * (1 << 32))] * len(ids)))
     prefix = F.concat(F.concat_ws(":", F.lit(str(seed)), F.lit("w"), key.cast("string")), F.lit(":"))
     return _masked(_c(ids).cast("array<int>"), _c(word_ids).cast("array<int>"), prefix, F.lit(math.ceil(p * (1 << 32))).cast("long"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions.batches import code_points, joined_ranges, list_array, list_sizes, parts, text_sizes
-from corpusprep.functions.text import pretokenize
+from corpusprep.functions.text import character_classes, pretokenize, pretokens
 from corpusprep.functions.tries import BestPaths, LongestMatch, Merges, Segments
 from corpusprep.session import cut_lineage
 
@@ -34,7 +34,7 @@ SPECIAL_IDS = {PAD: 0, UNK: 100, CLS: 101, SEP: 102, MASK: 103}
 CONTINUATION = "##"
 MAX_MODEL_ENTRIES = 1_000_000
 CACHED_PIECES = 500_000  # pieces of the words that an encoding task remembers
-ENCODED = 1 << 21  # bytes of text that are encoded at a time
+ENCODED, COUNTED = 1 << 21, 1 << 22  # bytes of text that are encoded, and whose words are counted, at a time
 
 
 def _c(c) -> Column:
@@ -44,7 +44,20 @@ def _c(c) -> Column:
 # --- B1, B5 ---------------------------------------------------------------------------------------
 
 def word_frequencies(df: DataFrame, c, pretok=pretokenize) -> DataFrame:
-    """B1: distinct pre-tokens with counts (map-side partial counts, so hot words are cheap)."""
+    """B1: distinct pre-tokens with counts (map-side partial counts, so hot words are cheap).  Those of ``pretokenize`` are
+    made and counted for parts of a batch."""
+    if pretok is pretokenize:
+        bc = df.sparkSession.sparkContext.broadcast(character_classes())
+
+        def run(batches):
+            import pyarrow as pa
+            for batch in batches:
+                for part in parts(batch, text_sizes(batch.column(0)), COUNTED, batch.num_rows):
+                    found = pretokens(part.column(0), bc.value)[0].value_counts()
+                    yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "count"])
+
+        counted = df.select(_c(c).cast("string").alias("text")).mapInArrow(run, "word string, count long")
+        return counted.groupBy("word").agg(F.sum("count").alias("count"))
     return df.select(F.explode(pretok(_c(c))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -831,16 +844,18 @@ class _OneByOne:
 
 
 def _encode_partitions(df: DataFrame, key: str, c, model, segment=None, pretok=pretokenize, spans=_piece_offsets, keep: tuple[str, ...] = (),
-                       segmenter=None) -> DataFrame:
+                       segmenter=None, then=None, then_t: str | None = None) -> DataFrame:
     """Pre-tokenise in Spark, segment the distinct words of a part of a batch, keep token, word index and (Q6) the
     character span of every piece, found by locating each pre-token in the text in order.  A null text has no pieces; the
-    columns ``keep`` stay.  ``segmenter`` makes of the model a function of an array of words (``functions.tries``), without
+    columns ``keep`` stay.  ``then`` may make rows of ``then_t`` of an encoded part, so that pieces need not leave the
+    task.  ``pretokenize`` is done in the task, for all texts of a part.  ``segmenter`` makes of the model a function of an array of words (``functions.tries``), without
     one ``segment`` takes one word (per-task cache).
 
     A batch is encoded in parts (``functions.batches``); tokens, word indices and spans of all its words are gathered from
     those of the distinct ones, so a task's memory depends neither on its rows nor on how finely words are cut."""
     spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(model)
+    own = pretok is pretokenize
+    bc = spark.sparkContext.broadcast((model, character_classes() if own else None))
     pieces_t = T.ArrayType(T.StringType())
     schema = T.StructType([
         T.StructField(key, df.schema[key].dataType),
@@ -849,36 +864,41 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment=None, pretok=p
         T.StructField("word_ids", T.ArrayType(T.IntegerType())),
         T.StructField("offsets", OFFSETS_T),
     ])
-    src = df.select(key, *keep, _c(c).alias("_text"), pretok(_c(c)).alias("_words"))
+    src = df.select(key, *keep, *([] if own else [pretok(_c(c)).alias("_words")]), _c(c).cast("string").alias("_text"))
+    n_kept = 1 + len(keep)
 
     def run(batches):
         import pyarrow as pa
-        m = bc.value
+        m, classes = bc.value
         segmented = segmenter(m) if segmenter else _OneByOne(lambda w: segment(w, m), spans)
 
         def encoded(part):
-            texts, lists = part.column(part.num_columns - 2), part.column(part.num_columns - 1)
-            sizes = list_sizes(lists)
-            words = lists.flatten()
+            texts = part.column(part.num_columns - 1)
+            if own:
+                words, sizes, word_starts = pretokens(texts, classes)
+            else:
+                lists = part.column(n_kept)
+                sizes, words = list_sizes(lists), lists.flatten()
+                word_starts = _word_starts(texts, words, sizes)
             distinct = words.dictionary_encode()
             first, name, begin, end, names = segmented(distinct.dictionary)
             found = distinct.indices.to_numpy(zero_copy_only=False)
             n = first[found + 1] - first[found]
             at = joined_ranges(first[found], n)
-            starts = np.repeat(_word_starts(texts, words, sizes), n)
+            starts = np.repeat(word_starts, n)
             bounds = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(sizes)])]
             wids = np.repeat(joined_ranges(np.zeros(len(sizes), dtype=np.int64), sizes), n)
             ints = lambda a: pa.array(a.astype(np.int32), pa.int32())
             offs = pa.StructArray.from_arrays([ints(starts + begin[at]), ints(starts + end[at])], names=["start", "end"])
             return pa.RecordBatch.from_arrays(
-                [*part.columns[:-2], list_array(bounds, names.take(pa.array(name[at]))), list_array(bounds, ints(wids)), list_array(bounds, offs)],
+                [*part.columns[:n_kept], list_array(bounds, names.take(pa.array(name[at]))), list_array(bounds, ints(wids)), list_array(bounds, offs)],
                 names=[key, *keep, "tokens", "word_ids", "offsets"])
 
         for batch in batches:
-            for part in parts(batch, text_sizes(batch.column(batch.num_columns - 2)), ENCODED):
-                yield encoded(part)
+            for part in parts(batch, text_sizes(batch.column(batch.num_columns - 1)), ENCODED):
+                yield then(encoded(part)) if then else encoded(part)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, then_t if then else schema)
 
 
 def encode_bpe(df: DataFrame, c, key: str, merges: DataFrame, byte_level: bool = False) -> DataFrame:
@@ -892,11 +912,11 @@ def _wordpiece_match(tokens: set) -> LongestMatch:
     return LongestMatch(words, [t[len(CONTINUATION):] for t in rest], words + rest, UNK)
 
 
-def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame, keep: tuple[str, ...] = (), then=None, then_t: str | None = None) -> DataFrame:
     """Longest match from the left, '##' for continuation pieces, whole word [UNK] on failure; the columns
-    ``keep`` stay."""
+    ``keep`` stay, or ``then`` makes rows of ``then_t`` of the encoded batches."""
     tokens = {r["token"] for r in bounded_collect(vocab.select("token"), "vocabulary")}
-    return _encode_partitions(df, key, c, tokens, segmenter=_wordpiece_match, keep=keep)
+    return _encode_partitions(df, key, c, tokens, segmenter=_wordpiece_match, keep=keep, then=then, then_t=then_t)
 
 
 def encode_unigram(df: DataFrame, c, key: str, units: DataFrame) -> DataFrame:

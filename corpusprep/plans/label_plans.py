@@ -12,10 +12,11 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.functions.batches import list_array
+from corpusprep.functions.batches import joined_ranges, list_array, list_sizes
 from corpusprep.functions.text import words
 from corpusprep.operators import labels as lb
 from corpusprep.operators import sequences as sq
@@ -89,20 +90,52 @@ def ner_aligned_docs(spark, sf_dir):
     rendering digest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     v = wordpiece_vocab(spark, sf_dir)
-    enc = vb.encode_wordpiece(_paired(docs, "doc_id", "text"), "text", "doc_id", v, keep=("text", "other", "alone"))
-    # a row alone has as many words as its encoding counts
-    n_words = F.when(F.col("alone"), F.coalesce(F.array_max("word_ids") + 1, F.lit(0))) \
-        .otherwise(F.size(F.regexp_extract_all("other", F.lit(r"(?U)(\w+|[^\w\s])"), 1)))
-    j = enc.withColumn("text", F.when(F.col("alone"), F.col("text")).otherwise(F.col("other"))) \
-        .withColumn("word_tags", lb.drawn_tags("doc_id", n_words)).withColumn("wids", lb.with_special_word_ids("word_ids"))
-    j = j.withColumn("labels_cont", lb.align_continue("word_tags", "wids")).withColumn("labels_first", lb.align_first("word_tags", "wids"))
-    side = lb.side_by_side(F.col("tokens"), lb.label_names(F.slice("labels_cont", 2, F.size("tokens")), NER_TAGS))
-    # Q6 / Q9: every piece's character span holds the piece itself (continuation marker removed)
-    offsets_ok = lb.offsets_hold_pieces("text", "tokens", "offsets")
-    return j.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("labels_cont").alias("n_labels"), offsets_ok.alias("offsets_ok"),
-                    F.size(F.filter("labels_first", lambda x: x == -100)).alias("ignored_first"),
-                    F.size(F.filter("labels_cont", lambda x: x == -100)).alias("ignored_cont"),
-                    F.md5(side).alias("side_md5"))
+    prefix = lambda seed: F.concat(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")), F.lit(":"))
+    n_words = F.when(~F.col("alone"), F.size(F.regexp_extract_all("other", F.lit(r"(?U)(\w+|[^\w\s])"), 1)))
+    pairs = _paired(docs, "doc_id", "text").select("*", n_words.alias("n_words"), prefix("3").alias("p3"), prefix("4").alias("p4"))
+
+    def aligned(batch: pa.RecordBatch) -> pa.RecordBatch:
+        c = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+        tokens, text = c["tokens"], pc.if_else(c["alone"], c["text"], c["other"])
+        last = _last(c["word_ids"])
+        # a row alone has as many words as its encoding counts
+        counts = np.where(c["alone"].to_numpy(zero_copy_only=False), last + 1, pc.fill_null(c["n_words"], 0).to_numpy(zero_copy_only=False))
+        tags, wids = lb.drawn_tags(c["p3"], c["p4"], counts), lb.with_special_word_ids(c["word_ids"])
+        labels_cont, labels_first = lb.align_continue(tags, wids), lb.align_first(tags, wids)
+        inner = _without_ends(labels_cont)
+        side = lb.side_by_side(tokens, lb.label_names(inner, NER_TAGS))
+        # Q6 / Q9: every piece's character span holds the piece itself (continuation marker removed)
+        ok = lb.offsets_hold_pieces(text, tokens, c["offsets"])
+        return pa.RecordBatch.from_arrays(
+            [c["doc_id"], pc.list_value_length(tokens), pc.list_value_length(labels_cont), ok, _ignored(labels_first), _ignored(labels_cont), side],
+            names=["doc_id", "n_tokens", "n_labels", "offsets_ok", "ignored_first", "ignored_cont", "side"])
+
+    out = vb.encode_wordpiece(pairs, "text", "doc_id", v, keep=("text", "other", "alone", "n_words", "p3", "p4"), then=aligned,
+                              then_t=f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens int, n_labels int, offsets_ok boolean, "
+                                     "ignored_first int, ignored_cont int, side string")
+    return out.select("doc_id", "n_tokens", "n_labels", "offsets_ok", "ignored_first", "ignored_cont", F.md5("side").alias("side_md5"))
+
+
+def _last(word_ids: pa.ListArray) -> np.ndarray:
+    """The last word index of every row, -1 where it has none."""
+    sizes, flat = list_sizes(word_ids), word_ids.flatten().to_numpy(zero_copy_only=False)
+    out = np.full(len(sizes), -1, dtype=np.int64)
+    out[sizes > 0] = flat[(np.cumsum(sizes) - 1)[sizes > 0]]
+    return out
+
+
+def _without_ends(labels: pa.ListArray) -> pa.ListArray:
+    """The labels of a template's tokens without those of [CLS] and [SEP]."""
+    sizes = list_sizes(labels)
+    first = np.cumsum(sizes) - sizes
+    return list_array(np.concatenate([[0], np.cumsum(sizes - 2)]), labels.flatten().take(pa.array(joined_ranges(first + 1, sizes - 2))))
+
+
+def _ignored(labels: pa.ListArray) -> pa.Array:
+    """How many labels of every row are ignored."""
+    sizes = list_sizes(labels)
+    hit = pc.equal(labels.flatten(), sq.IGNORE).fill_null(False).to_numpy(zero_copy_only=False)
+    return pa.array(np.bincount(np.repeat(np.arange(len(sizes)), sizes)[hit], minlength=len(sizes)).astype(np.int32), pa.int32())
 
 
 def _qa_frame(spark, sf_dir):
@@ -164,7 +197,9 @@ def whole_word_masked_docs(spark, sf_dir):
     """Q17 (+Q7): WordPiece ids with word ids; whole words masked with p = 0.2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     v = wordpiece_vocab(spark, sf_dir)
-    enc = vb.to_ids(vb.encode_wordpiece(docs, "text", "doc_id", v).select("doc_id", "tokens", "word_ids"), v, "tokens", "ids").select("doc_id", "word_ids", "ids")
+    pieces = vb.encode_wordpiece(docs, "text", "doc_id", v, then=lambda batch: batch.select(["doc_id", "tokens", "word_ids"]),  # spans stay in the task
+                                 then_t=f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tokens array<string>, word_ids array<int>")
+    enc = vb.to_ids(pieces, v, "tokens", "ids").select("doc_id", "word_ids", "ids")
     m = enc.withColumn("m", sq.mask_words("ids", "word_ids", F.col("doc_id"), seed=5, p=0.2))
     return m.select("doc_id", F.size("ids").alias("n_ids"),
                     F.size(F.filter("m.labels", lambda x: x != -100)).alias("n_masked"),
