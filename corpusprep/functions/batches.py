@@ -60,3 +60,21 @@ def joined_ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
     return np.arange(total) + np.repeat(first - (ends - sizes), sizes)
+
+
+def last_items(lists: pa.ListArray) -> np.ndarray:
+    """The last number of every list, -1 of a list without items."""
+    sizes, flat = list_sizes(lists), lists.flatten().to_numpy(zero_copy_only=False)
+    out = np.full(len(sizes), -1, dtype=np.int64)
+    out[sizes > 0] = flat[(np.cumsum(sizes) - 1)[sizes > 0]]
+    return out
+
+
+def items_at(lists: pa.ListArray, at: pa.Array) -> pa.Array:
+    """Of every list the item at a place counted from 0, null for a null place or list."""
+    sizes = list_sizes(lists)
+    known = pc.and_(at.is_valid(), lists.is_valid()).to_numpy(zero_copy_only=False)
+    place = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if ((place < 0) | (place >= sizes))[known].any():
+        raise IndexError("a place outside of its list")
+    return lists.flatten().take(pa.array(np.cumsum(sizes) - sizes + place, mask=~known))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.functions.batches import list_array, list_sizes, parts
+from corpusprep.functions.batches import items_at, list_array, list_sizes, parts
 from corpusprep.functions.hashes import numbered_draws
 from corpusprep.operators.ranking import below, global_rank
 from corpusprep.operators.vocab import SPECIAL_IDS
@@ -89,25 +89,54 @@ def sliding_windows(df: DataFrame, key: str, first: str, second: str, n: int, st
     return ex.withColumn("_t", tpl).select("*", "_t.*").withColumn("context_start", F.col("_s")).drop("_t", "_s")
 
 
-def char_to_token(offsets, pos) -> Column:
-    """Q9: index of the token whose [start, end) holds the character, null when none."""
+def _spans(offsets: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of all tokens; the span of a null one holds nothing."""
+    sizes, flat = list_sizes(offsets), offsets.flatten()
+    start, end = (pc.fill_null(pc.struct_field(flat, i), v).to_numpy(zero_copy_only=False) for i, v in ((0, np.iinfo(np.int32).max), (1, -1)))
+    return np.repeat(np.arange(len(sizes)), sizes), start, end
+
+
+def char_to_token(offsets, pos):
+    """Q9: index of the token whose [start, end) holds the character, null when none.  Like the others of Q9 it takes
+    columns, or Arrow arrays inside a task."""
+    if isinstance(offsets, pa.Array):
+        row, start, end = _spans(offsets)
+        known = pos.is_valid().to_numpy(zero_copy_only=False)[row]
+        at = pc.fill_null(pos, -1).to_numpy(zero_copy_only=False)[row]
+        hit = np.flatnonzero(known & (start <= at) & (end > at))
+        rows, first = np.unique(row[hit], return_index=True)
+        sizes = list_sizes(offsets)
+        out, found = np.zeros(len(sizes), dtype=np.int32), np.zeros(len(sizes), dtype=bool)
+        out[rows], found[rows] = hit[first] - (np.cumsum(sizes) - sizes)[rows], True
+        return pa.array(out, mask=~found)
     i = F.array_position(F.transform(_c(offsets), lambda o: (o["start"] <= pos) & (o["end"] > pos)), True)
     return F.when(i > 0, (i - 1).cast("int"))
 
 
-def token_to_chars(offsets, i) -> Column:
+def token_to_chars(offsets, i):
     """Q9"""
+    if isinstance(offsets, pa.Array):
+        return items_at(offsets, i)
     return F.element_at(_c(offsets), F.lit(i) + 1 if isinstance(i, int) else i + 1)
 
 
-def char_to_word(offsets, word_ids, pos) -> Column:
+def char_to_word(offsets, word_ids, pos):
     """Q9"""
     t = char_to_token(offsets, pos)
+    if isinstance(offsets, pa.Array):
+        return items_at(word_ids, t)
     return F.element_at(_c(word_ids), t + 1)
 
 
-def word_to_chars(offsets, word_ids, w) -> Column:
+def word_to_chars(offsets, word_ids, w):
     """Q9: (start, end) span of all tokens of a word."""
+    if isinstance(offsets, pa.Array):
+        row, start, end = _spans(offsets)
+        hit = np.flatnonzero(pc.fill_null(pc.equal(word_ids.flatten(), w.take(pa.array(row))), False).to_numpy(zero_copy_only=False))
+        first, last = np.full(len(offsets), np.iinfo(np.int32).max), np.full(len(offsets), -1)
+        np.minimum.at(first, row[hit], start[hit])
+        np.maximum.at(last, row[hit], end[hit])
+        return pa.StructArray.from_arrays([pa.array(x.astype(np.int32), mask=last < 0) for x in (first, last)], names=["start", "end"])
     z = F.filter(F.arrays_zip(_c(offsets).alias("o"), _c(word_ids).alias("w")), lambda x: x["w"] == w)
     return F.struct(F.array_min(F.transform(z, lambda x: x["o"]["start"])).alias("start"),
                     F.array_max(F.transform(z, lambda x: x["o"]["end"])).alias("end"))

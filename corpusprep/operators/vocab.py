@@ -901,10 +901,11 @@ def _encode_partitions(df: DataFrame, key: str, c, model, segment=None, pretok=p
     return src.mapInArrow(run, then_t if then else schema)
 
 
-def encode_bpe(df: DataFrame, c, key: str, merges: DataFrame, byte_level: bool = False) -> DataFrame:
-    """Replay the merge list (lowest rank first) on every word; (key, tokens, word_ids, offsets)."""
+def encode_bpe(df: DataFrame, c, key: str, merges: DataFrame, byte_level: bool = False, then=None, then_t: str | None = None) -> DataFrame:
+    """Replay the merge list (lowest rank first) on every word; (key, tokens, word_ids, offsets), or the rows of
+    ``then_t`` that ``then`` makes of the encoded batches."""
     ranks = {(r["left"], r["right"]): int(r["rank"]) for r in bounded_collect(merges, "merge list")}
-    return _encode_partitions(df, key, c, ranks, segmenter=lambda m: Merges(m, byte_level))
+    return _encode_partitions(df, key, c, ranks, segmenter=lambda m: Merges(m, byte_level), then=then, then_t=then_t)
 
 
 def _wordpiece_match(tokens: set) -> LongestMatch:

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.functions.batches import joined_ranges, list_array, list_sizes
+from corpusprep.functions.batches import joined_ranges, last_items, list_array, list_sizes
 from corpusprep.functions.text import words
 from corpusprep.operators import labels as lb
 from corpusprep.operators import sequences as sq
@@ -97,9 +97,8 @@ def ner_aligned_docs(spark, sf_dir):
     def aligned(batch: pa.RecordBatch) -> pa.RecordBatch:
         c = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
         tokens, text = c["tokens"], pc.if_else(c["alone"], c["text"], c["other"])
-        last = _last(c["word_ids"])
         # a row alone has as many words as its encoding counts
-        counts = np.where(c["alone"].to_numpy(zero_copy_only=False), last + 1, pc.fill_null(c["n_words"], 0).to_numpy(zero_copy_only=False))
+        counts = np.where(c["alone"].to_numpy(zero_copy_only=False), last_items(c["word_ids"]) + 1, pc.fill_null(c["n_words"], 0).to_numpy(zero_copy_only=False))
         tags, wids = lb.drawn_tags(c["p3"], c["p4"], counts), lb.with_special_word_ids(c["word_ids"])
         labels_cont, labels_first = lb.align_continue(tags, wids), lb.align_first(tags, wids)
         inner = _without_ends(labels_cont)
@@ -116,14 +115,6 @@ def ner_aligned_docs(spark, sf_dir):
     return out.select("doc_id", "n_tokens", "n_labels", "offsets_ok", "ignored_first", "ignored_cont", F.md5("side").alias("side_md5"))
 
 
-def _last(word_ids: pa.ListArray) -> np.ndarray:
-    """The last word index of every row, -1 where it has none."""
-    sizes, flat = list_sizes(word_ids), word_ids.flatten().to_numpy(zero_copy_only=False)
-    out = np.full(len(sizes), -1, dtype=np.int64)
-    out[sizes > 0] = flat[(np.cumsum(sizes) - 1)[sizes > 0]]
-    return out
-
-
 def _without_ends(labels: pa.ListArray) -> pa.ListArray:
     """The labels of a template's tokens without those of [CLS] and [SEP]."""
     sizes = list_sizes(labels)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
+from corpusprep.functions.batches import last_items
 from corpusprep.functions.text import pretokenize, words
 from corpusprep.operators import metrics as mt
 from corpusprep.operators import sequences as sq
@@ -93,15 +96,23 @@ def byte_offsets_docs(spark, sf_dir):
     """Q6 + Q7 + Q9 on byte-level pieces: the character span of every document's middle word, put together from its
     pieces, the words that its first and last character lie in, and where the token of the first begins."""
     merges, _ = vb.learn_bpe(_freqs(spark, sf_dir), MERGES, byte_level=True)
-    enc = vb.encode_bpe(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id", merges, byte_level=True)
-    words_ = enc.where(F.size("tokens") > 0).withColumn("n_words", F.array_max("word_ids") + 1)
-    words_ = words_.withColumn("word", F.floor(F.col("n_words") / 2).cast("int"))
-    span = words_.withColumn("span", sq.word_to_chars("offsets", "word_ids", F.col("word")))
-    first = F.col("span.start")
-    return span.select("doc_id", "n_words", "word", first.alias("word_start"), F.col("span.end").alias("word_end"),
-                       sq.char_to_word("offsets", "word_ids", first).alias("word_of_start"),
-                       sq.char_to_word("offsets", "word_ids", F.col("span.end") - 1).alias("word_of_last"),
-                       sq.token_to_chars("offsets", sq.char_to_token("offsets", first))["start"].alias("token_start"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def spans(batch: pa.RecordBatch) -> pa.RecordBatch:
+        batch = batch.filter(pc.greater(pc.list_value_length(batch.column("tokens")), 0))
+        offsets, word_ids = batch.column("offsets"), batch.column("word_ids")
+        n_words = last_items(word_ids) + 1
+        n_words, word = pa.array(n_words, pa.int32()), pa.array(n_words // 2, pa.int32())
+        span = sq.word_to_chars(offsets, word_ids, word)
+        first, end = span.field(0), span.field(1)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), n_words, word, first, end, sq.char_to_word(offsets, word_ids, first),
+             sq.char_to_word(offsets, word_ids, pc.subtract(end, 1)), sq.token_to_chars(offsets, sq.char_to_token(offsets, first)).field(0)],
+            names=["doc_id", "n_words", "word", "word_start", "word_end", "word_of_start", "word_of_last", "token_start"])
+
+    return vb.encode_bpe(docs, "text", "doc_id", merges, byte_level=True, then=spans,
+                         then_t=f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words int, word int, word_start int, word_end int, "
+                                "word_of_start int, word_of_last int, token_start int")
 
 
 @register("wordpiece_learned_docs")
