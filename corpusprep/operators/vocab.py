@@ -920,10 +920,10 @@ def encode_wordpiece(df: DataFrame, c, key: str, vocab: DataFrame, keep: tuple[s
     return _encode_partitions(df, key, c, tokens, segmenter=_wordpiece_match, keep=keep, then=then, then_t=then_t)
 
 
-def encode_unigram(df: DataFrame, c, key: str, units: DataFrame) -> DataFrame:
-    """Viterbi best path (largest product of unit probabilities); unknown word -> [UNK]."""
+def encode_unigram(df: DataFrame, c, key: str, units: DataFrame, then=None, then_t: str | None = None) -> DataFrame:
+    """Viterbi best path (largest product of unit probabilities); unknown word -> [UNK].  ``then`` as for the others."""
     model = {r["unit"]: float(r["score"]) for r in bounded_collect(units.select("unit", "score"), "unigram model")}
-    return _encode_partitions(df, key, c, model, segmenter=lambda m: BestPaths(m, UNK))
+    return _encode_partitions(df, key, c, model, segmenter=lambda m: BestPaths(m, UNK), then=then, then_t=then_t)
 
 
 # --- ids, decoding, reports (B9-B12) --------------------------------------------------------------

@@ -57,6 +57,11 @@ def _freqs(spark, sf_dir):
     return vb.word_frequencies(table(spark, sf_dir, "documents"), "text")
 
 
+def _tokens_only(docs) -> dict:
+    """For an encoder whose word indices and spans the query does not return: they stay in the task."""
+    return {"then": lambda batch: batch.select(["doc_id", "tokens"]), "then_t": f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tokens array<string>"}
+
+
 @register("bpe_learned_merges")
 def bpe_learned_merges(spark, sf_dir):
     """B2: the first MERGES BPE merges learned from the whole corpus's word frequencies."""
@@ -71,7 +76,7 @@ def bpe_encoded_docs(spark, sf_dir):
     freqs = _freqs(spark, sf_dir)
     merges, _ = vb.learn_bpe(freqs, MERGES)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    enc = vb.encode_bpe(docs, "text", "doc_id", merges)
+    enc = vb.encode_bpe(docs, "text", "doc_id", merges, **_tokens_only(docs))
     base = docs.select("doc_id", F.aggregate(F.transform(pretokenize("text"), lambda w: F.length(w)), F.lit(0),
                                              lambda a, x: a + x).alias("tokens_chars"))
     return enc.select("doc_id", F.size("tokens").alias("tokens_bpe")).join(base, "doc_id")
@@ -81,7 +86,8 @@ def bpe_encoded_docs(spark, sf_dir):
 def byte_bpe_encoded_docs(spark, sf_dir):
     """B5 + B2 + B6: byte-level BPE (256 base units, no unknown), MERGES merges, every document."""
     merges, _ = vb.learn_bpe(_freqs(spark, sf_dir), MERGES, byte_level=True)
-    enc = vb.encode_bpe(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id", merges, byte_level=True)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    enc = vb.encode_bpe(docs, "text", "doc_id", merges, byte_level=True, **_tokens_only(docs))
     return enc.select("doc_id", F.size("tokens").alias("tokens"), F.size(F.filter("tokens", lambda t: F.length(t) > 2)).alias("merged"))
 
 
@@ -129,7 +135,8 @@ def unigram_pruned_docs(spark, sf_dir):
     """B4 + B8: unigram units seeded with four times as many repeated substrings, re-estimated and pruned by
     quarters to UNITS units; every document segmented by Viterbi."""
     units = vb.prune_unigram(_freqs(spark, sf_dir), UNITS, share=0.25)
-    enc = vb.encode_unigram(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id", units)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    enc = vb.encode_unigram(docs, "text", "doc_id", units, **_tokens_only(docs))
     return enc.select("doc_id", F.size("tokens").alias("tokens"))
 
 
